@@ -8,7 +8,6 @@ local mode (tests, bench); a cluster must name a shared folder in
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -61,6 +60,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for written tables."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "tables", name) if "://" not in base else f"{base}/tables/{name}"
+    """A stable sub-folder of the shared checkpoint folder for written tables.
+
+    Uses the configured ``spark.checkpoint.dir`` itself (stable across
+    applications, so materialised tables and stream checkpoints are found
+    again on restart) and falls back to the context's checkpoint folder.
+    """
+    base = (spark.conf.get("spark.checkpoint.dir", None)
+            or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+            or ensure_checkpoint_dir(spark))
+    return f"{base.rstrip('/')}/tabforge/{name}"
