@@ -126,10 +126,7 @@ def group_median_fill(df: DataFrame, keys: str | Sequence[str],
     work per task for hot groups.
     """
     ks = _keys(keys)
-    med = None
-    for c in columns:
-        m = Q.group_quantiles(df, ks, c, {f"_med_{c}": 0.5})
-        med = m if med is None else med.join(m, on=ks, how="full")
+    med = Q.group_quantiles_multi(df, ks, list(columns), 0.5, prefix="_med_")
     out = df.join(med, on=ks, how="left")
     return out.withColumns({c: F.coalesce(F.col(c), F.col(f"_med_{c}")) for c in columns}
                            ).drop(*[f"_med_{c}" for c in columns])

@@ -27,7 +27,8 @@ def _with_range_bucket(df: DataFrame, order_col: str, n_rows: int,
     ``Bucketizer`` places rows by binary search, monotone in the order key, so
     equal keys share a range. NULL keys sort first and go to range 0.
     """
-    ranges = max(1, -(-n_rows // target))
+    par = df.sparkSession.sparkContext.defaultParallelism
+    ranges = max(1, -(-n_rows // target), min(par, n_rows // 50_000))
     if ranges == 1:
         return df.withColumn("_rb", F.lit(0))
     probs = [i / ranges for i in range(1, ranges)]

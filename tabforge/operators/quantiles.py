@@ -13,13 +13,17 @@ refinement*, each step a partially aggregated ``groupBy``:
    values, histogram the range into ``bins`` equal-width bins with
    ``groupBy(key, rank, bin).agg(count, min, max)`` and keep the bin that holds
    the rank (a prefix sum over at most ``bins`` rows per rank);
-4. when the range holds at most ``max_exact`` values (or one distinct value),
-   sort just those values per rank and pick the element.
-
-Each refinement shrinks the value range by at least ``bins``, so the loop
-ends in a handful of passes; small groups go straight to step 4 in one pass.
-The per-rank state is one row per (group, rank) and is checkpointed to cut
-lineage between passes.
+4. when the range holds at most ``max_exact`` rows or distinct values, count
+   the distinct values inside it (``groupBy(key, rank, value).count()``, at most
+   ``max_exact`` rows per rank) and pick the value whose running count covers
+   the rank.
+
+The first pass also estimates each group's number of distinct values
+(HyperLogLog), so a group with few distinct values, however many rows it has,
+goes straight to step 4: one pass after the statistics. Each refinement
+shrinks the value range by at least ``bins``, so the loop ends in a handful
+of passes. The per-rank state is one row per (group, rank): cached after the
+first aggregate, checkpointed after each refinement to cut lineage.
 """
 
 from __future__ import annotations
@@ -45,23 +49,32 @@ def order_statistics(df: DataFrame, keys: Sequence[str], x: str,
                      probs: Sequence[float], max_exact: int = DEFAULT_MAX_EXACT,
                      bins: int = DEFAULT_BINS) -> tuple[DataFrame, DataFrame]:
     """Return ``(stats, values)``: ``stats(keys, _n)`` and ``values(keys, _k, _v)``
-    holding the exact value at 0-based rank ``_k`` for every needed rank."""
+    holding the exact value at 0-based rank ``_k`` for every needed rank.
+
+    Rows with a NULL key or value take no part (pandas drops NaN keys)."""
     spark = df.sparkSession
     ks = list(keys)
-    data = df.select(*ks, F.col(x).cast("double").alias("_x")).where(F.col("_x").isNotNull())
+    cond = F.col("_x").isNotNull()
+    for k in ks:
+        cond = cond & F.col(k).isNotNull()
+    data = df.select(*ks, F.col(x).cast("double").alias("_x")).where(cond)
     stats = data.groupBy(*ks).agg(F.count(F.lit(1)).alias("_n"),
-                                  F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+                                  F.min("_x").alias("_lo"), F.max("_x").alias("_hi"),
+                                  F.approx_count_distinct("_x", 0.02).alias("_ndv"))
     ranks = []
     for p in probs:
         k1, k2, _ = _rank_exprs(p)
         ranks += [k1, k2]
-    state = stats.select(*ks, F.explode(F.array_distinct(F.array(*ranks))).alias("_k"),
+    # initial state: one aggregate of the data, short lineage -> cached, not checkpointed
+    state = stats.select(*ks, "_n", F.explode(F.array_distinct(F.array(*ranks))).alias("_k"),
                          "_lo", "_hi", F.lit(0).cast("long").alias("_below"),
-                         F.col("_n").alias("_cnt"))
+                         F.col("_n").alias("_cnt"), F.col("_ndv")).persist()
+    first_state = state
     ensure_checkpoint_dir(spark)
-    state = state.checkpoint()
 
-    open_cond = (F.col("_cnt") > F.lit(max_exact)) & (F.col("_lo") < F.col("_hi"))
+    # ndv carries a 2% estimate error: keep a margin below max_exact
+    open_cond = ((F.col("_cnt") > F.lit(max_exact)) & (F.col("_lo") < F.col("_hi"))
+                 & (F.col("_ndv") > F.lit(int(max_exact * 0.9))))
     for _ in range(200):
         active = state.where(open_cond)
         if active.isEmpty():
@@ -76,28 +89,44 @@ def order_statistics(df: DataFrame, keys: Sequence[str], x: str,
                      F.max("_x").alias("_bmax")))
         w = Window.partitionBy(*ks, "_k").orderBy("_bin").rowsBetween(
             Window.unboundedPreceding, -1)
-        hist = (hist.join(active.select(*ks, "_k", "_below"), on=[*ks, "_k"])
+        hist = (hist.join(active.select(*ks, "_n", "_k", "_below"), on=[*ks, "_k"])
                 .withColumn("_cum", F.coalesce(F.sum("_c").over(w), F.lit(0)))
                 .where((F.col("_below") + F.col("_cum") <= F.col("_k"))
                        & (F.col("_k") < F.col("_below") + F.col("_cum") + F.col("_c"))))
-        refined = hist.select(*ks, "_k", F.col("_bmin").alias("_lo"),
+        refined = hist.select(*ks, "_n", "_k", F.col("_bmin").alias("_lo"),
                               F.col("_bmax").alias("_hi"),
                               (F.col("_below") + F.col("_cum")).alias("_below"),
-                              F.col("_c").alias("_cnt"))
+                              F.col("_c").alias("_cnt"), F.col("_c").alias("_ndv"))
+        # iterative state: reliable checkpoint cuts the growing lineage
         state = state.where(~open_cond).unionByName(refined).checkpoint()
     else:  # pragma: no cover - range shrinks by `bins` per pass
         raise RuntimeError("quantile refinement did not converge")
 
     single = state.where(F.col("_lo") == F.col("_hi")).select(*ks, "_k", F.col("_lo").alias("_v"))
     pending = state.where(F.col("_lo") < F.col("_hi"))
-    picked = (data.join(pending.select(*ks, "_k", "_lo", "_hi", "_below"), on=ks)
-              .where(F.col("_x").between(F.col("_lo"), F.col("_hi")))
-              .groupBy(*ks, "_k", "_below")
-              .agg(F.sort_array(F.collect_list("_x")).alias("_vals"))
-              .select(*ks, "_k", F.element_at("_vals", (F.col("_k") - F.col("_below") + 1)
-                                              .cast("int")).alias("_v")))
+    if pending.isEmpty():
+        return first_state.select(*ks, "_n").dropDuplicates(ks), single
+    counts_in = (data.join(pending.select(*ks, "_k", "_lo", "_hi", "_below"), on=ks)
+                 .where(F.col("_x").between(F.col("_lo"), F.col("_hi")))
+                 .groupBy(*ks, "_k", "_below", "_x").agg(F.count(F.lit(1)).alias("_c")))
+    wv = Window.partitionBy(*ks, "_k").orderBy("_x").rowsBetween(Window.unboundedPreceding, -1)
+    picked = (counts_in.withColumn("_cum", F.coalesce(F.sum("_c").over(wv), F.lit(0)))
+              .where((F.col("_below") + F.col("_cum") <= F.col("_k"))
+                     & (F.col("_k") < F.col("_below") + F.col("_cum") + F.col("_c")))
+              .select(*ks, "_k", F.col("_x").alias("_v")))
     values = single.unionByName(picked)
-    return stats.select(*ks, "_n"), values
+    counts = first_state.select(*ks, "_n").dropDuplicates(ks) if ks else \
+        first_state.select("_n").limit(1)
+    return counts, values
+
+
+def long_values(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
+                col_name: str = "_col", value: str = "_xv") -> DataFrame:
+    """Stack several value columns into ``(keys, col_name, value)`` so one set
+    of passes serves all of them."""
+    return df.select(*keys, F.explode(F.array(*[
+        F.struct(F.lit(c).alias(col_name), F.col(c).cast("double").alias(value))
+        for c in columns])).alias("_lv")).select(*keys, f"_lv.{col_name}", f"_lv.{value}")
 
 
 def group_quantiles(df: DataFrame, keys: Sequence[str], x: str,
@@ -108,7 +137,8 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], x: str,
     Groups whose values are all NULL do not appear (a left join gives NULL).
     """
     ks = list(keys)
-    if not ks:
+    added = not ks
+    if added:
         df = df.withColumn(_G, F.lit(0))
         ks = [_G]
     stats, values = order_statistics(df, ks, x, list(probs.values()), max_exact, bins)
@@ -122,17 +152,31 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], x: str,
         v2 = F.element_at("_m", k2)
         cols.append((v1 + frac * (v2 - v1)).alias(name))
     out = out.select(*ks, *cols)
-    return out.drop(_G) if _G in ks else out
+    return out.drop(_G) if added else out
+
+
+def group_quantiles_multi(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
+                          p: float, prefix: str = "", max_exact: int = DEFAULT_MAX_EXACT
+                          ) -> DataFrame:
+    """Quantile ``p`` of several columns per group in one set of passes:
+    ``(keys..., prefix + column...)``."""
+    ks = list(keys)
+    added = not ks
+    if added:
+        df = df.withColumn(_G, F.lit(0))
+        ks = [_G]
+    long = long_values(df, ks, columns)
+    q = group_quantiles(long, [*ks, "_col"], "_xv", {"_q": p}, max_exact)
+    wide = q.groupBy(*ks).pivot("_col", list(columns)).agg(F.first("_q"))
+    wide = wide.select(*ks, *[F.col(f"`{c}`").alias(prefix + c) for c in columns])
+    return wide.drop(_G) if added else wide
 
 
 def global_quantiles(df: DataFrame, columns: Sequence[str], p: float,
                      max_exact: int = DEFAULT_MAX_EXACT) -> dict[str, float | None]:
-    """Exact quantile ``p`` of each column as driver values (one row each)."""
-    out: dict[str, float | None] = {}
-    for c in columns:
-        r = group_quantiles(df, [], c, {"q": p}, max_exact).first()
-        out[c] = None if r is None else r["q"]
-    return out
+    """Exact quantile ``p`` of each column as driver values (one small row)."""
+    r = group_quantiles_multi(df, [], columns, p, max_exact=max_exact).first()
+    return {c: (None if r is None else r[c]) for c in columns}
 
 
 def global_cuts(df: DataFrame, c: str, probs: Sequence[float],

@@ -22,6 +22,14 @@ from pyspark.sql import functions as F
 from .ordering import HASH_P, seeded_hash_sql
 
 TARGET_ROWS = 2_000_000
+MIN_ROWS_PER_RANGE = 50_000
+
+
+def n_ranges(spark, n: int, target_rows: int) -> int:
+    """Ranges for ``n`` rows: at most ``target_rows`` each, and at least the
+    default parallelism while ranges keep ``MIN_ROWS_PER_RANGE`` rows."""
+    par = spark.sparkContext.defaultParallelism
+    return max(1, -(-n // target_rows), min(par, n // MIN_ROWS_PER_RANGE))
 
 
 def hash_col(key: str, seed: int) -> Column:
@@ -38,12 +46,15 @@ def hash_ordinal(df: DataFrame, key: str, seed: int, by: Sequence[str] = (),
     gkeys = by
     if gkeys:
         sizes = work.groupBy(*gkeys).agg(F.count(F.lit(1)).alias(size_name))
-        sizes = sizes.withColumn("_R", F.greatest(F.lit(1), F.ceil(F.col(size_name) / F.lit(target_rows))))
+        par = df.sparkSession.sparkContext.defaultParallelism
+        sizes = sizes.withColumn("_R", F.greatest(
+            F.lit(1), F.ceil(F.col(size_name) / F.lit(target_rows)),
+            F.least(F.lit(par), F.floor(F.col(size_name) / F.lit(MIN_ROWS_PER_RANGE)))).cast("long"))
         work = work.join(sizes, on=gkeys, how="left")
     else:  # one stratum: its size is a driver scalar
         n = work.count()
         work = work.withColumns({size_name: F.lit(n).cast("long"),
-                                 "_R": F.lit(max(1, -(-n // target_rows))).cast("long")})
+                                 "_R": F.lit(n_ranges(df.sparkSession, n, target_rows)).cast("long")})
     work = work.withColumn("_rb", F.floor(F.col("_h") * F.col("_R") / F.lit(HASH_P)).cast("long"))
     w = Window.partitionBy(*gkeys, "_rb").orderBy("_h", key)
     work = work.withColumn("_local", F.row_number().over(w))
