@@ -60,6 +60,23 @@ def insert_constant(df: DataFrame, name: str, value, position: int = 0) -> DataF
     return df.select(*cols)
 
 
+# Projections ----------------------------------------------------------------
+
+def columns_of_type(df: DataFrame, types: Iterable[str], exclude: Iterable[str] = ()) -> list[str]:
+    """Names of columns whose Spark type is in ``types``, minus ``exclude``
+    (schema metadata only, no data is read)."""
+    want, drop = set(types), set(exclude)
+    return [c for c, t in df.dtypes if t in want and c not in drop]
+
+
+def with_label_last(df: DataFrame, label: str, features: Iterable[str] | None = None,
+                    name: str = "label") -> DataFrame:
+    """``y = X.pop(label)`` keeps features and label in *one* frame: the
+    feature columns, then the label renamed to ``name`` (no positional pairing)."""
+    feats = [c for c in (features if features is not None else df.columns) if c != label]
+    return df.select(*feats, F.col(label).alias(name))
+
+
 # Casts and rounding ----------------------------------------------
 
 def trunc_int(c: ColumnOrName) -> Column:

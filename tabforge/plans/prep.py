@@ -612,16 +612,15 @@ def q_sort_mixed(spark, d):
 
 
 @query("q_reshape_columns", """
-SELECT 0 AS flag, s_suppkey AS supplier_id, s_acctbal, s_nationkey FROM supplier""")
+SELECT 0 AS flag, s_suppkey AS supplier_id, s_nationkey, s_acctbal AS label FROM supplier""")
 def q_reshape_columns(spark, d):
     s = table(spark, d, "supplier")
-    numeric = [c for c, t in s.dtypes if t in ("bigint", "int", "double") and c != "s_suppkey"]  # B10
-    b = s.select("s_suppkey", *numeric)                                                       # B6
-    b = b.drop("s_name")                                                                      # B7
-    b = b.withColumn("label", F.col("s_acctbal")).drop("label")                              # B8
-    b = b.withColumnRenamed("s_suppkey", "supplier_id")                                       # B9
-    b = C.insert_constant(b, "flag", 0, 0)                                                    # B5
-    return b.select("flag", "supplier_id", "s_acctbal", "s_nationkey")
+    numeric = C.columns_of_type(s, ["bigint", "int", "double"], exclude=["s_suppkey"])  # B10
+    b = s.select("s_suppkey", "s_name", *numeric)                                     # B6
+    b = b.drop("s_name")                                                               # B7
+    b = C.with_label_last(b, "s_acctbal")                                              # B8
+    b = b.withColumnRenamed("s_suppkey", "supplier_id")                                # B9
+    return C.insert_constant(b, "flag", 0, 0)                                          # B5
 
 
 @query("q_fill_from_column", """
