@@ -8,6 +8,8 @@ both sides, and every output column is aliased identically in the SQL.
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +40,11 @@ def query(name: str, sql: str | None):
     return deco
 
 
+def _tag(sf_dir: str) -> str:
+    """Short stable tag of an input folder for scratch paths."""
+    return f"{zlib.crc32(sf_dir.encode()):08x}"
+
+
 def r6(c) -> F.Column:
     return F.round(C.col(c).cast("double"), 6)
 
@@ -887,7 +894,7 @@ def q_knn_vote(spark, d):
 @query("q_csv_roundtrip", """
 SELECT n_nationkey, n_name, n_regionkey FROM nation""")
 def q_csv_roundtrip(spark, d):
-    base = scratch_dir(spark, "csv_roundtrip")
+    base = scratch_dir(spark, f"csv_roundtrip_{_tag(d)}")
     nat = table(spark, d, "nation", "n_nationkey", "n_name", "n_regionkey")
     IO.write_csv(nat, f"{base}/nation")                                                # A6
     IO.write_keyed_csv(nat, f"{base}/keyed", "n_nationkey", "n_regionkey", "Survived")  # A7
@@ -904,7 +911,7 @@ def q_csv_roundtrip(spark, d):
 @query("q_csv_capped", """
 SELECT o_orderkey, o_orderstatus FROM orders ORDER BY o_orderkey LIMIT 100""")
 def q_csv_capped(spark, d):
-    base = scratch_dir(spark, "csv_capped")
+    base = scratch_dir(spark, f"csv_capped_{_tag(d)}")
     o = table(spark, d, "orders", "o_orderkey", "o_orderstatus")
     IO.write_csv(o, f"{base}/orders")
     return IO.read_csv_head(spark, f"{base}/orders", 100, "o_orderkey",
@@ -914,10 +921,12 @@ def q_csv_capped(spark, d):
 @query("q_materialize", """
 SELECT p_type, count(*) AS n, round(avg(p_retailprice), 6) AS avg_price FROM part GROUP BY p_type""")
 def q_materialize(spark, d):
-    path = scratch_dir(spark, "materialized_part_by_type")
+    # the copy is keyed by its input folder and checked against the input's row count
+    path = scratch_dir(spark, f"materialized_part_by_type_{_tag(d)}")
     p = table(spark, d, "part", "p_type", "p_retailprice")
     builder = lambda: p.groupBy("p_type").agg(F.count(F.lit(1)).alias("n"),
                                               r6(F.avg("p_retailprice")).alias("avg_price"))
-    n_types = p.select("p_type").distinct().count()
-    IO.materialize(spark, path, builder, expected_rows=n_types)          # first call builds
-    return IO.materialize(spark, path, builder, expected_rows=n_types)   # second call reuses
+    n_rows = p.count()
+    fresh = lambda t: t.agg(F.sum("n")).first()[0] == n_rows
+    IO.materialize(spark, path, builder, valid=fresh)            # first call builds (or reuses)
+    return IO.materialize(spark, path, builder, valid=fresh)     # second call reuses
