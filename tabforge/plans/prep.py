@@ -489,8 +489,8 @@ def q_pool_fit(spark, d):
 
 
 @query("q_boxcox_fixed", """
-SELECT event_id, round((power(value, 0.5) - 1) / 0.5, 6) AS bc_half,
-       round(ln(value + 1), 6) AS bc_log1p FROM events""")
+SELECT event_id, CASE WHEN value > 0 THEN round((power(value, 0.5) - 1) / 0.5, 6) END AS bc_half,
+       CASE WHEN value + 1 > 0 THEN round(ln(value + 1), 6) END AS bc_log1p FROM events""")
 def q_boxcox_fixed(spark, d):
     ev = table(spark, d, "events", "event_id", "value")
     return ev.select("event_id", r6(BC.boxcox_expr("value", 0.5)).alias("bc_half"),
