@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import ColumnOrName, col
 from . import quantiles as Q
+from .lookup import salted_left_join
 
 
 def _keys(keys: str | Sequence[str]) -> list[str]:
@@ -46,7 +47,8 @@ def with_group_stats(df: DataFrame, keys: str | Sequence[str],
     ks = _keys(keys)
     src = df if exclude is None else df.where(~F.coalesce(exclude, F.lit(False)))
     stats = group_stats(src, ks, aggs)
-    return df.join(stats, on=ks, how="left")
+    # excluded and NULL-key rows never match: salted so they do not pile up in one task
+    return salted_left_join(df, stats, ks, exclude)
 
 
 def group_size(df: DataFrame, keys: str | Sequence[str], name: str = "group_size",

@@ -18,6 +18,30 @@ from pyspark.sql import functions as F
 from ..functions.columns import ColumnOrName, col
 
 DEFAULT_BROADCAST_ROWS = 1_000_000
+SALT_BUCKETS = 256
+
+
+def salted_left_join(df: DataFrame, right: DataFrame, keys: Sequence[str],
+                     skip: Column | None = None, salt_buckets: int = SALT_BUCKETS) -> DataFrame:
+    """Left join on ``keys`` where rows that cannot match are spread out.
+
+    Rows with a NULL key, or where ``skip`` holds (a sentinel group such as
+    'Alone' that the right side excludes), would all hash to one shuffle
+    partition although they never match. They get a non-zero salt from a hash
+    of the row (deterministic, so recomputation is stable); matching rows keep
+    salt 0, as does every right-side row. The join is on ``keys + salt``, which
+    leaves the result unchanged and the partitions balanced.
+    """
+    ks = list(keys)
+    cant = F.lit(False)
+    for k in ks:
+        cant = cant | F.col(k).isNull()
+    if skip is not None:
+        cant = cant | F.coalesce(skip, F.lit(False))
+    salt = F.when(cant, F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]),
+                               F.lit(salt_buckets - 1)) + 1).otherwise(F.lit(0))
+    left = df.withColumn("_salt", salt.cast("int"))
+    return left.join(right.withColumn("_salt", F.lit(0)), on=[*ks, "_salt"], how="left").drop("_salt")
 
 
 def dict_lookup(key: ColumnOrName, mapping: Mapping, default=None) -> Column:
@@ -63,12 +87,14 @@ def first_per_key(df: DataFrame, key: str | Sequence[str], order: str,
 
 def table_lookup(df: DataFrame, table: DataFrame, on: str | Sequence[str],
                  value: str, out: str | None = None, default: ColumnOrName | None = None,
-                 when: Column | None = None, max_broadcast_rows: int | None = None
-                 ) -> DataFrame:
+                 when: Column | None = None, max_broadcast_rows: int | None = None,
+                 skip: Column | None = None) -> DataFrame:
     """Map a value from a keyed table onto rows, with a fallback.
 
     ``table`` must be unique on ``on`` (build it with ``first_per_key`` or an
     aggregate). Rows where ``when`` is false keep their current ``out`` value.
+    ``skip`` marks rows whose key is known to be absent from ``table`` (e.g. a
+    sentinel group); they are salted so a huge sentinel never lands in one task.
     """
     ks = [on] if isinstance(on, str) else list(on)
     out = out or value
@@ -76,7 +102,7 @@ def table_lookup(df: DataFrame, table: DataFrame, on: str | Sequence[str],
     right = table.select(*ks, F.col(value).alias(tmp))
     if max_broadcast_rows is not None:
         right = bounded_broadcast(right, max_broadcast_rows)
-    joined = df.join(right, on=ks, how="left")
+    joined = salted_left_join(df, right, ks, skip)
     mapped = F.col(tmp) if default is None else F.coalesce(F.col(tmp), col(default))
     if when is not None and out in df.columns:
         mapped = F.when(F.coalesce(when, F.lit(False)), mapped).otherwise(F.col(out))

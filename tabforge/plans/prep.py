@@ -91,7 +91,8 @@ def rule_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     train = df.where(F.col("part") == "train")
     rates = E.group_rate(train, "group_id", "label", 1, name="rate",
                          exclude=F.col("group_id") == "Alone")
-    df = D.table_lookup(df, rates, "group_id", "rate", out="rate")
+    df = D.table_lookup(df, rates, "group_id", "rate", out="rate",
+                        skip=F.col("group_id") == "Alone")
     fallback = D.dict_lookup("o_orderpriority", PRIORITY_RATE)
     df = df.withColumn("rate", F.when(F.col("group_id") == "Alone",
                                       F.when(F.col("part") == "train", F.col("label").cast("double"))
