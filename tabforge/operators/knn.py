@@ -1,12 +1,20 @@
 """Exact k-nearest neighbours.
 
 Brute-force kNN must compare each query with each reference row, but it need
-not *materialise* those pairs. The query side is cut into batches whose size
-is checked against ``max_query_bytes``; each batch is shipped to executors as
-a broadcast NumPy matrix, and every reference partition keeps only its local
-top-k per query (``mapInPandas``, Arrow batches, NumPy distance blocks). The
-merge sees at most ``k x partitions`` candidates per query. Ties are broken
-by reference id, so the result is deterministic.
+not *materialise* those pairs, and no vector has to pass through the driver.
+The plan is a block nested-loop join expressed with shuffles:
+
+* queries are cut into ``QB`` batches (each at most ``max_query_bytes`` of
+  vectors) and references into ``R`` blocks (each at most ``block_bytes``);
+* every query row is replicated to the ``R`` reference blocks of its batch and
+  every reference row to the ``QB`` batches (``explode`` of a small sequence);
+* ``cogroup`` on (batch, block) hands one task one query batch and one
+  reference block; a NumPy kernel (``applyInPandas``, Arrow batches) computes
+  the distances in bounded chunks and emits only the local top-k per query;
+* a window over at most ``k x R`` candidates per query keeps the global top-k.
+
+Ties are broken by reference id, so the result is deterministic; the sizes
+come from two scalar aggregates.
 """
 
 from __future__ import annotations
@@ -21,44 +29,48 @@ from pyspark.sql import functions as F
 CANDIDATE_SCHEMA = "query_id long, nbr_id long, nbr_label int, dist double"
 
 
-def _topk_partition(bc, k: int, exclude_self: bool, block_bytes: int):
-    def run(batches):
-        q_ids, q_mat = bc.value
+def _block_topk(k: int, exclude_self: bool, chunk_bytes: int):
+    def run(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
+        if q.empty or r.empty:
+            return pd.DataFrame({"query_id": pd.Series([], dtype="int64"),
+                                 "nbr_id": pd.Series([], dtype="int64"),
+                                 "nbr_label": pd.Series([], dtype="int32"),
+                                 "dist": pd.Series([], dtype="float64")})
+        q_ids = q["id"].to_numpy(np.int64)
+        q_mat = np.vstack(q["vec"].to_numpy()).astype(np.float64)
+        t_ids = r["id"].to_numpy(np.int64)
+        t_lab = r["label"].fillna(-1).to_numpy(np.int64)
+        t_mat = np.vstack(r["vec"].to_numpy()).astype(np.float64)
         nq = len(q_ids)
         best_d = np.full((nq, k), np.inf)
         best_i = np.full((nq, k), np.iinfo(np.int64).max, dtype=np.int64)
         best_l = np.full((nq, k), -1, dtype=np.int64)
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            t_ids = pdf["id"].to_numpy(np.int64)
-            t_lab = pdf["label"].fillna(-1).to_numpy(np.int64)
-            t_mat = np.vstack(pdf["vec"].to_numpy()).astype(np.float64)
-            step = max(1, block_bytes // max(1, nq * t_mat.shape[1] * 8))
-            for s in range(0, len(t_ids), step):
-                tm, ti, tl = t_mat[s:s + step], t_ids[s:s + step], t_lab[s:s + step]
-                diff = q_mat[:, None, :] - tm[None, :, :]
-                d2 = np.einsum("qtd,qtd->qt", diff, diff)
-                if exclude_self:
-                    d2 = np.where(q_ids[:, None] == ti[None, :], np.inf, d2)
-                cd = np.concatenate([best_d, d2], axis=1)
-                ci = np.concatenate([best_i, np.broadcast_to(ti, d2.shape)], axis=1)
-                cl = np.concatenate([best_l, np.broadcast_to(tl, d2.shape)], axis=1)
-                order = np.lexsort((ci, cd), axis=1)[:, :k]
-                best_d = np.take_along_axis(cd, order, 1)
-                best_i = np.take_along_axis(ci, order, 1)
-                best_l = np.take_along_axis(cl, order, 1)
+        step = max(1, chunk_bytes // max(1, nq * t_mat.shape[1] * 8))
+        for s in range(0, len(t_ids), step):
+            tm, ti, tl = t_mat[s:s + step], t_ids[s:s + step], t_lab[s:s + step]
+            diff = q_mat[:, None, :] - tm[None, :, :]
+            d2 = np.einsum("qtd,qtd->qt", diff, diff)
+            if exclude_self:
+                d2 = np.where(q_ids[:, None] == ti[None, :], np.inf, d2)
+            cd = np.concatenate([best_d, d2], axis=1)
+            ci = np.concatenate([best_i, np.broadcast_to(ti, d2.shape)], axis=1)
+            cl = np.concatenate([best_l, np.broadcast_to(tl, d2.shape)], axis=1)
+            order = np.lexsort((ci, cd), axis=1)[:, :k]
+            best_d = np.take_along_axis(cd, order, 1)
+            best_i = np.take_along_axis(ci, order, 1)
+            best_l = np.take_along_axis(cl, order, 1)
         keep = np.isfinite(best_d)
         qi = np.repeat(q_ids, k).reshape(nq, k)
-        yield pd.DataFrame({"query_id": qi[keep], "nbr_id": best_i[keep],
-                            "nbr_label": best_l[keep].astype(np.int32),
-                            "dist": np.sqrt(best_d[keep])})
+        return pd.DataFrame({"query_id": qi[keep], "nbr_id": best_i[keep],
+                             "nbr_label": best_l[keep].astype(np.int32),
+                             "dist": np.sqrt(best_d[keep])})
     return run
 
 
 def knn_neighbours(reference: DataFrame, queries: DataFrame, k: int, id_col: str,
                    vec_col: str, label_col: str | None = None, exclude_self: bool = False,
-                   max_query_bytes: int = 64 << 20, block_bytes: int = 32 << 20) -> DataFrame:
+                   max_query_bytes: int = 64 << 20, block_bytes: int = 128 << 20,
+                   chunk_bytes: int = 32 << 20) -> DataFrame:
     """``(query_id, nbr_id, nbr_label, dist, rank)`` for the k nearest
     reference rows of every query row (Euclidean, Minkowski p=2)."""
     spark = reference.sparkSession
@@ -67,23 +79,23 @@ def knn_neighbours(reference: DataFrame, queries: DataFrame, k: int, id_col: str
                            (F.col(label_col) if label_col else F.lit(None)).cast("int").alias("label"))
     qs = queries.select(F.col(id_col).cast("long").alias("id"),
                         F.col(vec_col).cast("array<double>").alias("vec"))
-    n_q = qs.count()
-    if n_q == 0:
+    qstat = qs.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("d")).first()
+    n_ref = ref.count()
+    if not qstat["n"] or not n_ref:
         return spark.createDataFrame([], CANDIDATE_SCHEMA + ", rank int")
-    dim = qs.select(F.size("vec").alias("d")).agg(F.max("d")).first()[0]
-    batch_rows = max(1, max_query_bytes // (8 * max(1, dim)))
-    n_batches = math.ceil(n_q / batch_rows)
-    parts = []
-    for b in range(n_batches):
-        batch = qs if n_batches == 1 else qs.where(F.pmod(F.col("id"), F.lit(n_batches)) == b)
-        pdf = batch.toPandas()  # bounded: at most max_query_bytes of vectors
-        bc = spark.sparkContext.broadcast(
-            (pdf["id"].to_numpy(np.int64), np.vstack(pdf["vec"].to_numpy()).astype(np.float64)))
-        parts.append(ref.mapInPandas(_topk_partition(bc, k, exclude_self, block_bytes),
-                                     CANDIDATE_SCHEMA))
-    cands = parts[0]
-    for p in parts[1:]:
-        cands = cands.unionByName(p)
+    row_bytes = 8 * max(1, qstat["d"]) + 16
+    n_qb = max(1, math.ceil(qstat["n"] * row_bytes / max_query_bytes))
+    n_rb = max(spark.sparkContext.defaultParallelism, math.ceil(n_ref * row_bytes / block_bytes))
+    # both sides must use identical key types, or their hash partitions differ
+    q_rep = qs.select(
+        F.pmod(F.xxhash64("id"), F.lit(n_qb)).cast("int").alias("_qb"),
+        F.explode(F.sequence(F.lit(0), F.lit(n_rb - 1))).alias("_rb"), "id", "vec")
+    r_rep = ref.select(
+        F.explode(F.sequence(F.lit(0), F.lit(n_qb - 1))).alias("_qb"),
+        F.pmod(F.xxhash64("id"), F.lit(n_rb)).cast("int").alias("_rb"), "id", "vec", "label")
+    cands = (q_rep.groupBy("_qb", "_rb")
+             .cogroup(r_rep.groupBy("_qb", "_rb"))
+             .applyInPandas(_block_topk(k, exclude_self, chunk_bytes), CANDIDATE_SCHEMA))
     w = Window.partitionBy("query_id").orderBy("dist", "nbr_id")
     return cands.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 

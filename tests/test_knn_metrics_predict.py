@@ -19,7 +19,8 @@ def test_knn_matches_brute_force_across_batches(spark):
     df = spark.createDataFrame([(i, [float(v) for v in X[i]], int(lab[i])) for i in range(60)],
                                "id long, v array<double>, y int").repartition(4)
     nb = KNN.knn_neighbours(df, df, 4, "id", "v", "y", exclude_self=True,
-                            max_query_bytes=8 * 5 * 16, block_bytes=256)   # 4 query batches
+                            max_query_bytes=1000, block_bytes=500,      # 4 query batches, 8 blocks
+                            chunk_bytes=256)
     got = {}
     for r in nb.collect():
         got.setdefault(r["query_id"], []).append((r["rank"], r["nbr_id"]))
