@@ -100,19 +100,28 @@ def knn_neighbours(reference: DataFrame, queries: DataFrame, k: int, id_col: str
     return cands.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
+def knn_votes(neighbours: DataFrame, outs: dict[str, str]) -> DataFrame:
+    """Class votes over the neighbours, several weightings in one pass.
+
+    ``outs`` maps output column -> 'uniform' or 'distance'. Distance weights
+    are 1/d, and a zero distance takes all the weight; ties go to the lowest
+    class. The neighbours frame is already partitioned by query (top-k
+    window), so the zero-distance flag adds no shuffle.
+    """
+    w = Window.partitionBy("query_id")
+    has_zero = F.max((F.col("dist") == 0).cast("int")).over(w) == 1
+    dist_w = F.when(has_zero, (F.col("dist") == 0).cast("double")).otherwise(
+        F.lit(1.0) / F.col("dist"))
+    weight = {"uniform": F.lit(1.0), "distance": dist_w}
+    nb = neighbours.withColumns({f"_w_{o}": weight[s] for o, s in outs.items()})
+    votes = nb.groupBy("query_id", "nbr_label").agg(
+        *[F.sum(f"_w_{o}").alias(f"_s_{o}") for o in outs])
+    return votes.groupBy("query_id").agg(*[
+        F.max_by(F.col("nbr_label"), F.struct(F.col(f"_s_{o}"), -F.col("nbr_label"))).alias(o)
+        for o in outs])
+
+
 def knn_vote(neighbours: DataFrame, weights: str = "uniform", out: str = "prediction"
              ) -> DataFrame:
-    """Class vote over the neighbours; ``weights='distance'`` uses 1/d and a
-    zero distance takes all the weight. Ties go to the lowest class."""
-    nb = neighbours
-    if weights == "distance":
-        w = Window.partitionBy("query_id")
-        has_zero = F.max((F.col("dist") == 0).cast("int")).over(w) == 1
-        wt = F.when(has_zero, (F.col("dist") == 0).cast("double")).otherwise(
-            F.lit(1.0) / F.col("dist"))
-    else:
-        wt = F.lit(1.0)
-    votes = nb.withColumn("_w", wt).groupBy("query_id", "nbr_label").agg(
-        F.sum("_w").alias("_s"))
-    return votes.groupBy("query_id").agg(
-        F.max_by(F.col("nbr_label"), F.struct(F.col("_s"), -F.col("nbr_label"))).alias(out))
+    """L17 with one weighting (see ``knn_votes``)."""
+    return knn_votes(neighbours, {out: weights})

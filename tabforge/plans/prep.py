@@ -883,9 +883,8 @@ FROM bu JOIN bw USING (q)""")
 def q_knn_vote(spark, d):
     e = table(spark, d, "embeddings", "vec_id", "embedding", "label")
     nb = KNN.knn_neighbours(e, e, 5, "vec_id", "embedding", "label", exclude_self=True)
-    u = KNN.knn_vote(nb, "uniform", "prediction")
-    w = KNN.knn_vote(nb, "distance", "prediction_w")
-    return u.join(w, on="query_id").select(F.col("query_id").alias("vec_id"),
+    v = KNN.knn_votes(nb, {"prediction": "uniform", "prediction_w": "distance"})
+    return v.select(F.col("query_id").alias("vec_id"),
                                            F.col("prediction").cast("int").alias("prediction"),
                                            F.col("prediction_w").cast("int").alias("prediction_w"))
 
