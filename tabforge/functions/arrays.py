@@ -32,6 +32,18 @@ def softmax(a: ColumnOrName, stable: bool = True) -> Column:
     return F.transform(e, lambda x: x / F.aggregate(e, F.lit(0.0), lambda acc, y: acc + y))
 
 
+def with_softmax(df, a: ColumnOrName, out: str, stable: bool = True):
+    """H10 as three projections (max, exps, sum) so each is computed once per
+    row: a lambda cannot share a sub-expression with its enclosing row, so the
+    single-expression ``softmax`` re-evaluates the sum for every element."""
+    arr = col(a)
+    df = df.withColumn("_sm_m", F.array_max(arr) if stable else F.lit(0.0))
+    df = df.withColumn("_sm_e", F.transform(arr, lambda x: F.exp(x - F.col("_sm_m"))))
+    df = df.withColumn("_sm_s", F.aggregate("_sm_e", F.lit(0.0), lambda acc, y: acc + y))
+    return df.withColumn(out, F.transform("_sm_e", lambda x: x / F.col("_sm_s"))).drop(
+        "_sm_m", "_sm_e", "_sm_s")
+
+
 def cross_entropy_term(probs: ColumnOrName, label: ColumnOrName, eps: float = 1e-10) -> Column:
     """``-ln(p[label] + eps)`` per row; average it for the loss."""
     return -F.ln(F.get(col(probs), col(label)) + F.lit(eps))

@@ -115,9 +115,16 @@ def positional_split(ordered: DataFrame, ordinal: str, n: int,
 
 
 def kfold(df: DataFrame, key: str, k: int, seed: int, by: Sequence[str] = (),
-          out: str = "fold", target_rows: int = TARGET_ROWS) -> DataFrame:
-    """K6: balanced fold ids 0..k-1 (sizes differ by at most one per stratum)
-    dealt round-robin in seeded-hash order; ``by`` makes it stratified."""
+          out: str = "fold", target_rows: int = TARGET_ROWS, exact: bool = True) -> DataFrame:
+    """K6: fold ids 0..k-1.
+
+    ``exact`` deals folds round-robin in seeded-hash order, so sizes differ by
+    at most one per stratum (``by``); it needs the hash ordinal (a window per
+    hash range). ``exact=False`` is ``hash mod k``: a pure projection, no
+    shuffle, sizes balanced only in expectation (enough for cross-validation).
+    """
+    if not exact:
+        return df.withColumn(out, F.pmod(hash_col(key, seed), F.lit(k)).cast("int"))
     o = hash_ordinal(df, key, seed, by, target_rows=target_rows)
     return o.withColumn(out, ((F.col("_ord") - 1) % F.lit(k)).cast("int")).drop("_ord", "_n")
 

@@ -251,7 +251,7 @@ def q_linear_family(spark, d):
 
 @query("q_cv_scores")
 def q_cv_scores(spark, d):
-    li = K.kfold(line_table(spark, d), "line_id", 5, 1)
+    li = K.kfold(line_table(spark, d), "line_id", 5, 1, exact=False)
     scores = GR.cv_rmse(li, ["l_quantity", "l_discount", "l_tax"], "l_extendedprice", "fold",
                         ["ols", "ridge", "omp", "bayesian_ridge", "ard"])
     return scores.join(N.score_summary(scores, "rmse", ["model"]), "model")   # M2: worst fold
@@ -259,7 +259,7 @@ def q_cv_scores(spark, d):
 
 @query("q_shortlist")
 def q_shortlist(spark, d):
-    t = K.kfold(emb_table(spark, d, binary=True), "vec_id", 3, 2).cache()
+    t = K.kfold(emb_table(spark, d, binary=True), "vec_id", 3, 2, exact=False).cache()
     n = t.count()
     cands = {"tree": L.decision_tree("gini", 4), "forest": L.random_forest(10, 4),
              "logistic": L.logistic(1.0, n, max_iter=20), "nb": L.gaussian_nb()}
@@ -268,7 +268,7 @@ def q_shortlist(spark, d):
 
 @query("q_oof")
 def q_oof(spark, d):
-    t = K.kfold(emb_table(spark, d, binary=True), "vec_id", 3, 4)
+    t = K.kfold(emb_table(spark, d, binary=True), "vec_id", 3, 4, exact=False)
     oof = M.oof_predictions(L.logistic(1.0, 400, max_iter=20), t, "fold", ["vec_id", "label"])
     r2 = N.regression_errors(oof, "prediction", "label").first()["r2"]          # N7
     return oof.withColumn("r2", F.lit(r2)).drop("label")
@@ -276,7 +276,7 @@ def q_oof(spark, d):
 
 @query("q_grid")
 def q_grid(spark, d):
-    t = K.kfold(customer_table(spark, d), "c_custkey", 3, 6)
+    t = K.kfold(customer_table(spark, d), "c_custkey", 3, 6, exact=False)
     est = L.decision_tree()
     maps = M.union_grids(est, [{"maxDepth": [2, 3], "impurity": ["gini", "entropy"]},
                                {"maxDepth": [4]}])
@@ -286,7 +286,7 @@ def q_grid(spark, d):
 
 @query("q_random_search")
 def q_random_search(spark, d):
-    t = K.kfold(emb_table(spark, d, binary=True), "vec_id", 3, 8)
+    t = K.kfold(emb_table(spark, d, binary=True), "vec_id", 3, 8, exact=False)
     est = L.logistic(1.0, 400, max_iter=20)
     maps = M.sample_params(est, {"regParam": ("loguniform", 1e-4, 1.0),
                                  "elasticNetParam": ("uniform", 0.0, 1.0)}, n_iter=6, seed=42)
@@ -297,7 +297,7 @@ def q_random_search(spark, d):
 @query("q_prep_search")
 def q_prep_search(spark, d):
     li = line_table(spark, d).withColumn("disc", C.sentinel_to_null("l_discount"))
-    li = K.kfold(li.withColumnRenamed("l_extendedprice", "label"), "line_id", 3, 10)
+    li = K.kfold(li.withColumnRenamed("l_extendedprice", "label"), "line_id", 3, 10, exact=False)
     imp = Imputer(inputCols=["disc"], outputCols=["disc_f"])
     asm = VectorAssembler(inputCols=["l_quantity", "disc_f", "l_tax"], outputCol="features")
     reg = LinearRegression(solver="normal", standardization=False)

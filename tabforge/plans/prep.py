@@ -831,8 +831,8 @@ SELECT vec_id, CAST(list_position(pr, list_max(pr)) - 1 AS INTEGER) AS argmax,
 FROM p""")
 def q_softmax_xent(spark, d):
     e = table(spark, d, "embeddings", "vec_id", "embedding", "label")
-    z = F.slice(A.to_double_array("embedding"), 1, 10)
-    p = e.select("vec_id", "label", A.softmax(z).alias("pr"))
+    z = e.select("vec_id", "label", F.slice(A.to_double_array("embedding"), 1, 10).alias("z"))
+    p = A.with_softmax(z, "z", "pr")
     return p.select("vec_id", A.argmax("pr").alias("argmax"), r6(F.array_max("pr")).alias("p_max"),
                     r6(A.cross_entropy_term("pr", "label")).alias("xent"))
 
@@ -844,7 +844,8 @@ SELECT round(avg(-ln(pr[label + 1] + 1e-10)), 6) AS xent, round(avg(CAST(
     list_position(pr, list_max(pr)) - 1 = label AS DOUBLE)), 6) AS accuracy FROM p""")
 def q_xent_mean(spark, d):
     e = table(spark, d, "embeddings", "embedding", "label")
-    p = e.select("label", A.softmax(F.slice(A.to_double_array("embedding"), 1, 10)).alias("pr"))
+    z = e.select("label", F.slice(A.to_double_array("embedding"), 1, 10).alias("z"))
+    p = A.with_softmax(z, "z", "pr")
     return p.agg(r6(F.avg(A.cross_entropy_term("pr", "label"))).alias("xent"),
                  r6(F.avg((A.argmax("pr") == F.col("label")).cast("double"))).alias("accuracy"))
 
@@ -859,11 +860,10 @@ SELECT vec_id, CAST(cls AS INTEGER) AS prediction, round(score, 6) AS prediction
 def q_prob_ensemble(spark, d):
     e = table(spark, d, "embeddings", "vec_id", "embedding")
     v = A.to_double_array("embedding")
-    # six "models": softmax over consecutive 10-value slices of each vector
-    long = e.select("vec_id", F.explode(F.array(*[
-        F.struct(F.lit(k).alias("model"), A.softmax(F.slice(v, k * 10 + 1, 10)).alias("pr"))
-        for k in range(6)])).alias("m")).select("vec_id", "m.model", "m.pr")
-    out = P.ensemble_argmax(long, "vec_id", "pr")
+    # six "models": softmax over consecutive 10-value slices of each vector (long form)
+    long = e.select("vec_id", F.posexplode(F.array(*[F.slice(v, k * 10 + 1, 10) for k in range(6)]))
+                    .alias("model", "z"))
+    out = P.ensemble_argmax(A.with_softmax(long, "z", "pr"), "vec_id", "pr")
     return out.select("vec_id", "prediction", r6("prediction_score").alias("prediction_score"))
 
 
