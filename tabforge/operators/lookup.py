@@ -41,7 +41,11 @@ def salted_left_join(df: DataFrame, right: DataFrame, keys: Sequence[str],
     salt = F.when(cant, F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]),
                                F.lit(salt_buckets - 1)) + 1).otherwise(F.lit(0))
     left = df.withColumn("_salt", salt.cast("int"))
-    return left.join(right.withColumn("_salt", F.lit(0)), on=[*ks, "_salt"], how="left").drop("_salt")
+    # The right side's salt is 0, written as a function of its key: a literal
+    # would be constant-folded into a filter and the shuffle would ignore it.
+    # (A NULL right key gets -1 and, like every NULL key, matches nothing.)
+    r_salt = F.when(F.col(ks[0]).isNull(), F.lit(-1)).otherwise(F.lit(0)).cast("int")
+    return left.join(right.withColumn("_salt", r_salt), on=[*ks, "_salt"], how="left").drop("_salt")
 
 
 def dict_lookup(key: ColumnOrName, mapping: Mapping, default=None) -> Column:
