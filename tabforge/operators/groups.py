@@ -129,7 +129,7 @@ def group_median_fill(df: DataFrame, keys: str | Sequence[str],
     """
     ks = _keys(keys)
     med = Q.group_quantiles_multi(df, ks, list(columns), 0.5, prefix="_med_")
-    out = df.join(med, on=ks, how="left")
+    out = salted_left_join(df, med, ks)
     return out.withColumns({c: F.coalesce(F.col(c), F.col(f"_med_{c}")) for c in columns}
                            ).drop(*[f"_med_{c}" for c in columns])
 

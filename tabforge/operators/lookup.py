@@ -120,17 +120,22 @@ def keyed_update(base: DataFrame, override: DataFrame, on: str | Sequence[str],
     greatest key order deterministically (max) so the base never gains rows."""
     ks = [on] if isinstance(on, str) else list(on)
     ov = override.groupBy(*ks).agg(*[F.max(c).alias(f"_ov_{c}") for c in columns])
-    joined = base.join(ov, on=ks, how="left")
+    joined = salted_left_join(base, ov, ks)
     return joined.withColumns({c: F.coalesce(F.col(f"_ov_{c}"), F.col(c)) for c in columns}
                               ).drop(*[f"_ov_{c}" for c in columns])
 
 
 def align_assign(df: DataFrame, other: DataFrame, on: str | Sequence[str],
                  columns: Mapping[str, str]) -> DataFrame:
-    """Index-aligned assignment ``df[new] = other[src]`` as a left join."""
+    """Index-aligned assignment ``df[new] = other[src]`` as a left join.
+
+    ``other`` must be unique on the key (an index); a duplicated key keeps the
+    maximum so ``df`` never gains rows. The dedupe aggregate is partitioned by
+    the key, which the join then reuses.
+    """
     ks = [on] if isinstance(on, str) else list(on)
-    right = other.select(*ks, *[F.col(src).alias(dst) for dst, src in columns.items()])
-    return df.drop(*[c for c in columns if c in df.columns]).join(right, on=ks, how="left")
+    right = other.groupBy(*ks).agg(*[F.max(src).alias(dst) for dst, src in columns.items()])
+    return salted_left_join(df.drop(*[c for c in columns if c in df.columns]), right, ks)
 
 
 def select_keys(df: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFrame:

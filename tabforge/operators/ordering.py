@@ -2,10 +2,10 @@
 B24, B25, K4/K5 ordinals, N5 prefix sums).
 
 A global row number or running total over ``Window.orderBy`` with no
-partitioning moves every row into one task. Here the order key is first cut
-into ranges at sampled quantiles (bounded driver data: one boundary per
-range), so each range is one window partition of bounded size. Per-range
-totals (one row per range) give the offsets.
+partitioning moves every row into one task. Here the rows are first
+range-partitioned on the whole order key (sampled bounds), so each range is
+one window partition of bounded size; per-range totals (one row per range)
+give the offsets.
 """
 
 from __future__ import annotations
@@ -13,32 +13,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import functions as F
 
 TARGET_ROWS_PER_RANGE = 2_000_000
-
-
-def _with_range_bucket(df: DataFrame, order_col: str, n_rows: int,
-                       target: int = TARGET_ROWS_PER_RANGE) -> DataFrame:
-    """Add ``_rb``: the index of the range of ``order_col`` holding the row.
-
-    Cut points are sampled quantiles (one double per range on the driver);
-    ``Bucketizer`` places rows by binary search, monotone in the order key, so
-    equal keys share a range. NULL keys sort first and go to range 0.
-    """
-    par = df.sparkSession.sparkContext.defaultParallelism
-    ranges = max(1, -(-n_rows // target), min(par, n_rows // 50_000))
-    if ranges == 1:
-        return df.withColumn("_rb", F.lit(0))
-    probs = [i / ranges for i in range(1, ranges)]
-    cuts = sorted(set(df.approxQuantile(order_col, probs, 1.0 / (4 * ranges))))
-    splits = [float("-inf"), *[float(c) for c in cuts], float("inf")]
-    splits = [v for i, v in enumerate(splits) if i == 0 or v > splits[i - 1]]
-    keyed = df.withColumn("_rbx", F.coalesce(F.col(order_col).cast("double"),
-                                             F.lit(float("-inf"))))
-    out = Bucketizer(splits=splits, inputCol="_rbx", outputCol="_rbd").transform(keyed)
-    return out.withColumn("_rb", F.col("_rbd").cast("int")).drop("_rbx", "_rbd")
+MIN_ROWS_PER_RANGE = 50_000
 
 
 def global_prefix(df: DataFrame, order: Sequence[str | tuple[str, bool]],
@@ -48,19 +26,21 @@ def global_prefix(df: DataFrame, order: Sequence[str | tuple[str, bool]],
     """Running sums and/or a 1-based ordinal over a total order.
 
     ``order`` items are names (direction from ``descending``) or
-    ``(name, ascending)`` pairs. The first column must be numeric: it is
-    range-cut; further columns break ties inside a range. Within a range a
-    window computes local running values, and a tiny per-range total table
-    supplies the offsets.
+    ``(name, ascending)`` pairs; include a unique column last for a
+    deterministic order. Rows are range-partitioned on the *whole* order key
+    (``repartitionByRange``: sampled bounds on the composite key, so a value
+    repeated in the first column is split by the next ones), each range is
+    numbered by a window, and a per-range total table (one row per range,
+    broadcast) supplies the offsets. Range ``i`` holds the ``i``-th slice of
+    the order, so offsets follow the range index.
     """
     spec = [(o, not descending) if isinstance(o, str) else (o[0], bool(o[1])) for o in order]
     sums = dict(sums or {})
-    first, first_asc = spec[0]
-    n = df.count()
-    work = _with_range_bucket(df, first, n, target_rows)
-    if not first_asc:
-        work = work.withColumn("_rb", -F.col("_rb"))
     okeys = [F.col(c).asc() if a else F.col(c).desc() for c, a in spec]
+    n = df.count()
+    par = df.sparkSession.sparkContext.defaultParallelism
+    ranges = max(1, -(-n // target_rows), min(par, n // MIN_ROWS_PER_RANGE))
+    work = df.repartitionByRange(ranges, *okeys).withColumn("_rb", F.spark_partition_id())
     vals = {f"_v_{k}": v for k, v in sums.items()}
     if ordinal:
         vals["_v__ord"] = F.lit(1).cast("long")
