@@ -354,8 +354,8 @@ def q_persist_model(spark, d):
     return sub.withColumn("C", F.lit(IO.load_params(spark, base)["C"]))
 
 
-@query("q_pipeline")
-def q_pipeline(spark, d):
+@query("q_column_transformer")
+def q_column_transformer(spark, d):
     c = table(spark, d, "customer", "c_custkey", "c_acctbal", "c_nationkey", "c_mktsegment")
     c = c.withColumn("bal", F.when(F.col("c_acctbal") > 0, F.col("c_acctbal")))
     c = c.withColumn("label", (F.col("c_nationkey") < 12).cast("double"))

@@ -67,7 +67,7 @@ def _case_map(col: str, mapping: dict, default: str = "NULL") -> str:
 
 # ---------------------------------------------------------------- flagship (entry)
 
-def rule_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+def rule_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The minimum end-to-end slice on orders + customer:
     lookup (D1), sentinel to NULL (B17), group-median fill (E7), composite
     group key (H6) with the 'Alone' sentinel (H7) and group sizes (E1),
@@ -138,7 +138,7 @@ SELECT kind, part, count(*) AS n, CAST(sum(prediction) AS BIGINT) AS predicted_1
 FROM p GROUP BY kind, part
 """
 
-query("q_rule_predict", RULE_SQL)(rule_pipeline)
+query("q_rule_predict", RULE_SQL)(rule_report)
 
 
 # ---------------------------------------------------------------- B: column derivations

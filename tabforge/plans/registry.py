@@ -25,4 +25,4 @@ def oracle_sql() -> dict[str, str]:
 
 
 def flagship(spark, sf_dir: str):
-    return prep.rule_pipeline(spark, sf_dir)
+    return prep.rule_report(spark, sf_dir)
