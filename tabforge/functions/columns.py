@@ -1,4 +1,4 @@
-"""Row-local column expressions.
+"""Row-local column expressions.
 
 Every function returns a ``Column`` built from ``pyspark.sql.functions`` so it
 stays inside whole-stage codegen and works unchanged on batch and streaming
@@ -19,12 +19,7 @@ def col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-# Derived arithmetic columns ------------------------------------------------
-
-def add_columns(df: DataFrame, exprs: Mapping[str, Column]) -> DataFrame:
-    """Add derived columns in one projection (``withColumns``)."""
-    return df.withColumns(dict(exprs))
-
+# Derived arithmetic columns (otherwise plain ``withColumns``) ----------------
 
 def family_size(*parts: ColumnOrName, plus: int = 1) -> Column:
     """B1: ``SibSp + Parch + 1`` style sum of count columns."""
@@ -165,20 +160,3 @@ def fill_constant(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
 def fill_from(c: ColumnOrName, *fallbacks: ColumnOrName) -> Column:
     """Fill NULLs from another column or expression."""
     return F.coalesce(col(c), *[col(f) for f in fallbacks])
-
-
-# H8: numeric helpers ------------------------------------------------------------------
-
-def log_safe(c: ColumnOrName) -> Column:
-    """``ln`` that yields NULL for non-positive inputs instead of -inf/NaN."""
-    x = col(c)
-    return F.when(x > 0, F.ln(x))
-
-
-def round6(c: ColumnOrName) -> Column:
-    """Presentation rounding used by the SQL-checked queries."""
-    return F.round(col(c).cast("double"), 6)
-
-
-def names(cols: Iterable[ColumnOrName]) -> list[Column]:
-    return [col(c) for c in cols]

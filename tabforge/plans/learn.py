@@ -23,7 +23,6 @@ from ..models import gram as GR
 from ..models import selection as M
 from ..operators import boxcox as BC
 from ..operators import encode as J
-from ..operators import groups as E
 from ..operators import lookup as D
 from ..operators import metrics as N
 from ..operators import predict as P
