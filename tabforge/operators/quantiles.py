@@ -51,10 +51,11 @@ def order_statistics(df: DataFrame, keys: Sequence[str], x: str,
     """Return ``(stats, values)``: ``stats(keys, _n)`` and ``values(keys, _k, _v)``
     holding the exact value at 0-based rank ``_k`` for every needed rank.
 
-    Rows with a NULL key or value take no part (pandas drops NaN keys)."""
+    Rows with a NULL key, or a NULL or NaN value, take no part (pandas drops
+    NaN keys and skips NaN values). Values are assumed finite."""
     spark = df.sparkSession
     ks = list(keys)
-    cond = F.col("_x").isNotNull()
+    cond = F.col("_x").isNotNull() & ~F.isnan("_x")   # NaN is missing, as in pandas
     for k in ks:
         cond = cond & F.col(k).isNotNull()
     data = df.select(*ks, F.col(x).cast("double").alias("_x")).where(cond)

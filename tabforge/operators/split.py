@@ -32,6 +32,18 @@ def n_ranges(spark, n: int, target_rows: int) -> int:
     return max(1, -(-n // target_rows), min(par, n // MIN_ROWS_PER_RANGE))
 
 
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join where a NULL key matches a NULL key (a NULL stratum is a group)."""
+    if not keys:
+        return left
+    r = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(r[f"_r_{k}"])
+        cond = c if cond is None else cond & c
+    return left.join(r, cond, "left").drop(*[f"_r_{k}" for k in keys])
+
+
 def hash_col(key: str, seed: int) -> Column:
     return F.expr(seeded_hash_sql(key, seed))
 
@@ -50,7 +62,7 @@ def hash_ordinal(df: DataFrame, key: str, seed: int, by: Sequence[str] = (),
         sizes = sizes.withColumn("_R", F.greatest(
             F.lit(1), F.ceil(F.col(size_name) / F.lit(target_rows)),
             F.least(F.lit(par), F.floor(F.col(size_name) / F.lit(MIN_ROWS_PER_RANGE)))).cast("long"))
-        work = work.join(sizes, on=gkeys, how="left")
+        work = _join_null_safe(work, sizes, gkeys)
     else:  # one stratum: its size is a driver scalar
         n = work.count()
         work = work.withColumns({size_name: F.lit(n).cast("long"),
@@ -61,7 +73,7 @@ def hash_ordinal(df: DataFrame, key: str, seed: int, by: Sequence[str] = (),
     counts = work.groupBy(*gkeys, "_rb").agg(F.count(F.lit(1)).alias("_c"))
     w_off = Window.partitionBy(*gkeys).orderBy("_rb").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*gkeys, "_rb", F.coalesce(F.sum("_c").over(w_off), F.lit(0)).alias("_off"))
-    out = work.join(offsets, on=[*gkeys, "_rb"], how="left")
+    out = _join_null_safe(work, offsets, [*gkeys, "_rb"])
     return out.withColumn(name, (F.col("_off") + F.col("_local")).cast("long")).drop(
         "_h", "_R", "_rb", "_local", "_off")
 

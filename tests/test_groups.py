@@ -101,6 +101,11 @@ def test_quantile_refinement_matches_numpy(spark, values, p):
         assert got[g] == pytest.approx(exp, rel=1e-9, abs=1e-9)
 
 
+def test_quantile_skips_nan(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,), (None,)], "x double")
+    assert Q.group_quantiles(df, [], "x", {"m": 0.5}).first()["m"] == 2.0
+
+
 def test_quantile_heavy_duplicates_and_global(spark):
     vals = [1.0] * 50 + [2.0] * 3 + [1e9]
     df = spark.createDataFrame([(v,) for v in vals], "x double")

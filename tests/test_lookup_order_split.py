@@ -94,6 +94,13 @@ def test_exact_and_stratified_holdout(people):
     assert got == {"a": 20, "b": 20, "c": 20, "d": 3}       # round(80 * .25), round(10 * .25)
 
 
+def test_null_stratum_is_a_stratum(spark):
+    df = spark.createDataFrame([(i, None if i < 8 else "a") for i in range(16)], "id int, s string")
+    out = K.exact_holdout(df, "id", 0.25, 1, by=["s"])
+    got = dict(rows(out.where("split = 'test'").groupBy("s").count()))
+    assert got == {None: 2, "a": 2}
+
+
 def test_three_way_folds_positional(spark, people):
     t = K.three_way_split(people, "id", 0.2, 0.2, 3, target_rows=30)
     assert dict(rows(t.groupBy("split").count())) == {"test": 50, "valid": 50, "train": 150}
