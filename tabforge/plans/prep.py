@@ -82,7 +82,11 @@ def rule_report(spark: SparkSession, sf_dir: str) -> DataFrame:
           .withColumn("label", (F.col("o_orderstatus") == "F").cast("int"))
           .withColumn("acct", C.sentinel_to_null(F.round(F.col("c_acctbal") / 1000), 0.0))
           .withColumn("part", F.when(F.expr(seeded_hash_sql("o_orderkey", HOLDOUT_SEED))
-                                     < F.lit(HOLDOUT_CUT), "test").otherwise("train")))
+                                     < F.lit(HOLDOUT_CUT), "test").otherwise("train"))
+          .select("o_orderkey", "o_custkey", "o_orderpriority", "kind", "label", "acct", "part"))
+    # five passes follow (median statistics and values, group sizes, rates, report):
+    # stage the joined, narrowed frame once instead of re-running the join each time
+    df = IO.stage_table(df, scratch_dir(spark, f"rule_base_{_tag(sf_dir)}"))
     df = E.group_median_fill(df, ["kind"], ["acct"])
     df = df.withColumn("group_id", T.composite_key("o_custkey", "o_orderpriority"))
     df = E.group_size(df, "group_id", "group_size",

@@ -91,6 +91,15 @@ def materialize(spark: SparkSession, path: str, builder: Callable[[], DataFrame]
     return spark.read.parquet(path)
 
 
+def stage_table(df: DataFrame, path: str) -> DataFrame:
+    """Write an expensive intermediate once (Parquet, shared folder) and read it
+    back: later passes scan the narrow columnar copy instead of recomputing
+    its joins, and the lineage is cut, so a lost executor re-reads files
+    rather than replaying the plan."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def save_model(model, path: str, params: Mapping | None = None) -> str:
     """A10: persist a fitted ML stage; best params go alongside as one JSON row."""
     model.write().overwrite().save(path)
