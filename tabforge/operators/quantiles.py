@@ -47,9 +47,9 @@ def _rank_exprs(p: float):
 
 def order_statistics(df: DataFrame, keys: Sequence[str], x: str,
                      probs: Sequence[float], max_exact: int = DEFAULT_MAX_EXACT,
-                     bins: int = DEFAULT_BINS) -> tuple[DataFrame, DataFrame]:
-    """Return ``(stats, values)``: ``stats(keys, _n)`` and ``values(keys, _k, _v)``
-    holding the exact value at 0-based rank ``_k`` for every needed rank.
+                     bins: int = DEFAULT_BINS) -> DataFrame:
+    """Return ``(keys, _n, _k, _v)``: the exact value ``_v`` at 0-based rank
+    ``_k`` for every needed rank of every group (``_n`` values in the group).
 
     Rows with a NULL key, or a NULL or NaN value, take no part (pandas drops
     NaN keys and skips NaN values). Values are assumed finite."""
@@ -70,7 +70,6 @@ def order_statistics(df: DataFrame, keys: Sequence[str], x: str,
     state = stats.select(*ks, "_n", F.explode(F.array_distinct(F.array(*ranks))).alias("_k"),
                          "_lo", "_hi", F.lit(0).cast("long").alias("_below"),
                          F.col("_n").alias("_cnt"), F.col("_ndv")).persist()
-    first_state = state
     ensure_checkpoint_dir(spark)
 
     # ndv carries a 2% estimate error: keep a margin below max_exact
@@ -103,22 +102,20 @@ def order_statistics(df: DataFrame, keys: Sequence[str], x: str,
     else:  # pragma: no cover - range shrinks by `bins` per pass
         raise RuntimeError("quantile refinement did not converge")
 
-    single = state.where(F.col("_lo") == F.col("_hi")).select(*ks, "_k", F.col("_lo").alias("_v"))
+    single = state.where(F.col("_lo") == F.col("_hi")).select(
+        *ks, "_n", "_k", F.col("_lo").alias("_v"))
     pending = state.where(F.col("_lo") < F.col("_hi"))
     if pending.isEmpty():
-        return first_state.select(*ks, "_n").dropDuplicates(ks), single
-    counts_in = (data.join(pending.select(*ks, "_k", "_lo", "_hi", "_below"), on=ks)
+        return single
+    counts_in = (data.join(pending.select(*ks, "_n", "_k", "_lo", "_hi", "_below"), on=ks)
                  .where(F.col("_x").between(F.col("_lo"), F.col("_hi")))
-                 .groupBy(*ks, "_k", "_below", "_x").agg(F.count(F.lit(1)).alias("_c")))
+                 .groupBy(*ks, "_n", "_k", "_below", "_x").agg(F.count(F.lit(1)).alias("_c")))
     wv = Window.partitionBy(*ks, "_k").orderBy("_x").rowsBetween(Window.unboundedPreceding, -1)
     picked = (counts_in.withColumn("_cum", F.coalesce(F.sum("_c").over(wv), F.lit(0)))
               .where((F.col("_below") + F.col("_cum") <= F.col("_k"))
                      & (F.col("_k") < F.col("_below") + F.col("_cum") + F.col("_c")))
-              .select(*ks, "_k", F.col("_x").alias("_v")))
-    values = single.unionByName(picked)
-    counts = first_state.select(*ks, "_n").dropDuplicates(ks) if ks else \
-        first_state.select("_n").limit(1)
-    return counts, values
+              .select(*ks, "_n", "_k", F.col("_x").alias("_v")))
+    return single.unionByName(picked)
 
 
 def long_values(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
@@ -142,10 +139,11 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], x: str,
     if added:
         df = df.withColumn(_G, F.lit(0))
         ks = [_G]
-    stats, values = order_statistics(df, ks, x, list(probs.values()), max_exact, bins)
-    by_group = values.groupBy(*ks).agg(
+    values = order_statistics(df, ks, x, list(probs.values()), max_exact, bins)
+    # at most 2 entries per probability and group: a bounded map per group
+    out = values.groupBy(*ks).agg(
+        F.first("_n").alias("_n"),
         F.map_from_entries(F.collect_list(F.struct("_k", "_v"))).alias("_m"))
-    out = stats.join(by_group, on=ks)
     cols = []
     for name, p in probs.items():
         k1, k2, frac = _rank_exprs(p)
