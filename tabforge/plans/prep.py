@@ -24,6 +24,7 @@ from ..operators import lookup as D
 from ..operators import metrics as N
 from ..operators import ordering as G
 from ..operators import predict as P
+from ..operators import quantiles as Q
 from ..operators import split as K
 from ..operators.ordering import seeded_hash_sql
 from ..session import scratch_dir
@@ -189,6 +190,19 @@ def q_group_median_impute(spark, d):
                       r6("tax").alias("tax"))
 
 
+@query("q_group_quantiles", """
+SELECT l_returnflag, l_linestatus, round(median(l_extendedprice), 6) AS p50,
+       round(quantile_cont(l_extendedprice, 0.1), 6) AS p10,
+       round(quantile_cont(l_extendedprice, 0.99), 6) AS p99
+FROM lineitem GROUP BY l_returnflag, l_linestatus""")
+def q_group_quantiles(spark, d):
+    li = table(spark, d, "lineitem", "l_returnflag", "l_linestatus", "l_extendedprice")
+    q = Q.group_quantiles(li, ["l_returnflag", "l_linestatus"], "l_extendedprice",
+                          {"p50": 0.5, "p10": 0.1, "p99": 0.99})
+    return q.select("l_returnflag", "l_linestatus", r6("p50").alias("p50"),
+                    r6("p10").alias("p10"), r6("p99").alias("p99"))
+
+
 @query("q_mode_fill", """
 WITH b AS (SELECT c_custkey, nullif(c_mktsegment, 'MACHINERY') AS seg,
                   nullif(c_nationkey, 0) AS nat FROM customer),
