@@ -8,8 +8,9 @@ Bayesian ridge and ARD (the scikit-learn update rules, written on the Gram
 matrix instead of the data matrix). The fitted model is a column expression.
 
 For k-fold scoring, one ``groupBy(fold)`` job yields per-fold statistics; the
-training statistics of fold f are the total minus fold f, so all k fits cost
-one scan, and one more scan scores all folds.
+training statistics of fold f are the total minus fold f and the held-out
+squared error is a quadratic form in fold f's statistics, so fitting and
+scoring all k folds of every solver costs one scan.
 """
 
 from __future__ import annotations
@@ -197,24 +198,30 @@ def fit(df: DataFrame, features: Sequence[str], label: str, solver: str = "ols")
     return SOLVERS[solver](gram(df, features, label), list(features))
 
 
+def sse(g: Gram, fit: LinearFit) -> float:
+    """Sum of squared errors of ``fit`` on the rows summarised by ``g``:
+    sum((y - b - w.x)^2) expanded into the statistics, no pass over rows."""
+    w, b = fit.coef, fit.intercept
+    return float(g.yy - 2 * b * g.sy - 2 * w @ g.xy + g.n * b * b + 2 * b * (w @ g.sx)
+                 + w @ g.xx @ w)
+
+
 def cv_rmse(df: DataFrame, features: Sequence[str], label: str, fold: str,
             solvers: Sequence[str]) -> DataFrame:
-    """M1/M3 for Gram models: per (solver, fold) RMSE in two scans total."""
+    """M1/M3 for Gram models: per (solver, fold) held-out RMSE from ONE scan.
+
+    ``groupBy(fold)`` yields each fold's statistics; the training statistics of
+    fold f are the total minus fold f, and the held-out error is a quadratic
+    form in fold f's own statistics (``sse``)."""
     spark = df.sparkSession
     per = fold_grams(df, features, label, fold)
     total = None
     for g in per.values():
         total = g if total is None else Gram(total.n + g.n, total.sx + g.sx, total.sy + g.sy,
                                              total.xx + g.xx, total.xy + g.xy, total.yy + g.yy)
-    fits = {(s, f): SOLVERS[s](total - g, list(features)) for s in solvers for f, g in per.items()}
-    clean = df.dropna(subset=[*features, label])
-    y = F.col(label).cast("double")
-    aggs = []
-    names = []
-    for i, ((s, f), m) in enumerate(sorted(fits.items())):
-        err = F.when(F.col(fold) == F.lit(f), F.pow(m.predict_col() - y, 2))
-        aggs.append(F.sqrt(F.avg(err)).alias(f"r{i}"))
-        names.append((s, f))
-    r = clean.agg(*aggs).first()
-    rows = [(s, int(f), float(r[f"r{i}"])) for i, (s, f) in enumerate(names)]
+    rows = []
+    for s_name in solvers:
+        for f, g in sorted(per.items()):
+            fit = SOLVERS[s_name](total - g, list(features))
+            rows.append((s_name, int(f), float(np.sqrt(max(sse(g, fit), 0.0) / g.n))))
     return spark.createDataFrame(rows, "model string, fold int, rmse double")

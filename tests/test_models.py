@@ -67,7 +67,7 @@ def test_bayesian_ridge_and_ard_on_gram_equal_data_matrix(reg_data):
     assert np.count_nonzero(omp.coef) == 2 and omp.coef[2] == 0.0
 
 
-def test_gram_cv_two_scans_matches_refits(reg_data):
+def test_gram_cv_one_scan_matches_refits(reg_data):
     df, _, _ = reg_data
     f = K.kfold(df, "id", 3, 1)
     cv = {(r["model"], r["fold"]): r["rmse"] for r in GR.cv_rmse(f, FEATS, "y", "fold", ["ols"]).collect()}
