@@ -30,6 +30,7 @@ from ..operators import split as K
 from ..session import scratch_dir
 from ..sources import files as IO
 from ..sources.tables import table
+from .prep import _tag
 
 QUERIES: dict[str, tuple] = {}
 
@@ -344,12 +345,12 @@ def q_repeat_holdout_models(spark, d):
 def q_persist_model(spark, d):
     t = customer_table(spark, d)
     m = L.logistic(1.0, t.count(), max_iter=20).fit(t)
-    base = scratch_dir(spark, "persisted_logistic")
+    base = scratch_dir(spark, f"persisted_logistic_{_tag(d)}")
     IO.save_model(m, base, {"C": 1.0})                                         # A10
     from pyspark.ml.classification import LogisticRegressionModel
     back = LogisticRegressionModel.load(base)
     sub = P.keyed_predictions(back, t, "c_custkey", "Survived")                 # P3
-    IO.write_csv(sub, scratch_dir(spark, "submission"))                        # A7 layout
+    IO.write_csv(sub, scratch_dir(spark, f"submission_{_tag(d)}"))              # A7 layout
     return sub.withColumn("C", F.lit(IO.load_params(spark, base)["C"]))
 
 
