@@ -136,7 +136,9 @@ def minmax_scale(df: DataFrame, columns: Sequence[str], fit_on: DataFrame | None
 # J1 / J2 / J3 / J4 ---------------------------------------------------------------------
 
 def sorted_categories(df: DataFrame, c: str) -> list:
-    """Distinct non-null values in ascending order (bounded by cardinality)."""
+    """Distinct non-null values in ascending order, collected: only for
+    categorical columns, whose cardinality bounds the list (StringIndexer
+    collects the same)."""
     return [r[0] for r in df.where(F.col(c).isNotNull()).select(c).distinct()
             .orderBy(c).collect()]
 

@@ -40,7 +40,7 @@ def confusion(df: DataFrame, truth: str, pred: str, classes: Sequence | None = N
     spark = df.sparkSession
     counts = df.groupBy(F.col(truth).alias("truth"), F.col(pred).alias("pred")).agg(
         F.count(F.lit(1)).alias("n"))
-    if classes is None:
+    if classes is None:  # the class list: bounded by the number of classes
         classes = sorted(r[0] for r in (
             df.select(F.col(truth).alias("c")).union(df.select(F.col(pred).alias("c")))
             .where(F.col("c").isNotNull()).distinct().collect()))
