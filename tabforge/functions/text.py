@@ -23,17 +23,20 @@ def surname(name: ColumnOrName) -> Column:
 
 
 def title_by_split(name: ColumnOrName) -> Column:
-    """H3: text after the first comma, up to the next period, stripped.
+    """H3: text after the first comma, up to the next period, stripped;
+    NULL when there is no comma (``split(',')[1]``).
 
-    ``get`` returns NULL for a missing element (``[i]`` raises under ANSI).
+    ``substring_index`` cuts the segment directly, so a long text is not
+    turned into an array of all its comma-separated pieces.
     """
-    after_comma = F.get(F.split(col(name), ","), 1)
-    return F.trim(F.get(F.split(after_comma, r"\."), 0))
+    x = col(name)
+    between = F.substring_index(F.substring_index(x, ",", 2), ",", -1)
+    return F.when(F.instr(x, ",") > 0, F.trim(F.substring_index(between, ".", 1)))
 
 
 def surname_by_split(name: ColumnOrName) -> Column:
     """H3: text before the first comma, stripped."""
-    return F.trim(F.get(F.split(col(name), ","), 0))
+    return F.trim(F.substring_index(col(name), ",", 1))
 
 
 def first_char(c: ColumnOrName) -> Column:
