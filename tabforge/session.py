@@ -13,6 +13,29 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
+# Settings for a large cluster (applied by the cluster's launcher, not here).
+# Sized for ~100 TB inputs on ~1000 executors with ~8-16 GB per core:
+CLUSTER_CONF = {
+    # AQE re-plans on measured sizes: broadcast small join sides, split skewed
+    # partitions of inner/left joins, coalesce small shuffle partitions.
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # ~256 MB per shuffle partition after coalescing; start high so the first
+    # stage of a 100 TB shuffle is ~400k partitions of <=256 MB each.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+    "spark.sql.shuffle.partitions": "400000",
+    # 256 MB scan splits: ~400k scan tasks over 100 TB of Parquet.
+    "spark.sql.files.maxPartitionBytes": str(256 << 20),
+    # runtime broadcast only for small measured sides (AQE), never by estimate
+    "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    # survive executor loss: shuffle files outlive executors
+    "spark.shuffle.service.enabled": "true",
+    "spark.decommission.enabled": "true",
+}
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "tabforge") -> SparkSession:
     spark = (
