@@ -68,14 +68,57 @@ def _row_to_gram(r, p: int) -> Gram:
                 float(r["yy"] or 0.0))
 
 
+WIDE_FEATURES = 32
+
+
+def _gram_wide(clean: DataFrame, features: Sequence[str], label: str,
+               fold: str | None = None) -> dict:
+    """Many features: each task forms ``A'A`` for ``A = [1, X, y]`` with NumPy
+    (one (p+2) x (p+2) matrix per task and fold, upper triangle emitted), and
+    ``groupBy(fold, i, j).sum`` adds the tasks' matrices. The shuffle is
+    ~(p+2)^2 / 2 rows per task and fold, independent of the row count.
+    Returns ``{fold: Gram}`` (fold 0 when ``fold`` is None)."""
+    import pandas as pd
+    cols = [*features, label]
+    m = len(cols) + 1
+    iu, ju = np.triu_indices(m)
+    fcol = F.col(fold).cast("int") if fold else F.lit(0)
+
+    def part(batches):
+        acc: dict[int, np.ndarray] = {}
+        for pdf in batches:
+            for f, g in pdf.groupby("_f"):
+                a = np.column_stack([np.ones(len(g)), g[cols].to_numpy(dtype=np.float64)])
+                acc[int(f)] = acc.get(int(f), np.zeros((m, m))) + a.T @ a
+        for f, mat in acc.items():
+            yield pd.DataFrame({"f": np.full(len(iu), f, dtype=np.int32), "i": iu.astype(np.int32),
+                                "j": ju.astype(np.int32), "v": mat[iu, ju]})
+
+    sums = (clean.select(fcol.alias("_f"), *[F.col(c).cast("double") for c in cols])
+            .mapInPandas(part, "f int, i int, j int, v double")
+            .groupBy("f", "i", "j").agg(F.sum("v").alias("v")).collect())   # k (p+2)^2 / 2 values
+    mats: dict[int, np.ndarray] = {}
+    for r in sums:
+        a = mats.setdefault(r["f"], np.zeros((m, m)))
+        a[r["i"], r["j"]] = a[r["j"], r["i"]] = r["v"]
+    p = len(features)
+    return {f: Gram(a[0, 0], a[0, 1:p + 1].copy(), a[0, p + 1], a[1:p + 1, 1:p + 1].copy(),
+                    a[1:p + 1, p + 1].copy(), a[p + 1, p + 1]) for f, a in mats.items()}
+
+
 def gram(df: DataFrame, features: Sequence[str], label: str) -> Gram:
-    """One aggregate job over complete rows (NULL in any input drops the row)."""
+    """One aggregate job over complete rows (NULL in any input drops the row):
+    named sums for few features, a per-task NumPy kernel for many."""
     clean = df.dropna(subset=[*features, label])
+    if len(features) > WIDE_FEATURES:
+        return _gram_wide(clean, features, label)[0]
     return _row_to_gram(clean.agg(*_gram_aggs(features, label)).first(), len(features))
 
 
 def fold_grams(df: DataFrame, features: Sequence[str], label: str, fold: str) -> dict[int, Gram]:
     clean = df.dropna(subset=[*features, label])
+    if len(features) > WIDE_FEATURES:
+        return _gram_wide(clean, features, label, fold)
     rows = clean.groupBy(fold).agg(*_gram_aggs(features, label)).collect()  # k rows
     return {r[fold]: _row_to_gram(r, len(features)) for r in rows}
 
