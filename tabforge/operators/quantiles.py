@@ -129,11 +129,20 @@ def long_values(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
 
 def group_quantiles(df: DataFrame, keys: Sequence[str], x: str,
                     probs: Mapping[str, float], max_exact: int = DEFAULT_MAX_EXACT,
-                    bins: int = DEFAULT_BINS) -> DataFrame:
+                    bins: int = DEFAULT_BINS, approx_accuracy: int | None = None) -> DataFrame:
     """Exact interpolated quantiles per group: ``(keys..., name...)``.
 
     Groups whose values are all NULL do not appear (a left join gives NULL).
+    ``approx_accuracy`` switches to one pass of ``percentile_approx`` (a
+    mergeable sketch of bounded size; rank error about n / accuracy, and it
+    returns data values, without interpolation).
     """
+    if approx_accuracy is not None:
+        v = F.col(x).cast("double")
+        clean = df.where(v.isNotNull() & ~F.isnan(v))
+        return clean.groupBy(*keys).agg(*[
+            F.percentile_approx(v, float(p), int(approx_accuracy)).alias(n)
+            for n, p in probs.items()])
     ks = list(keys)
     added = not ks
     if added:

@@ -112,3 +112,10 @@ def test_quantile_heavy_duplicates_and_global(spark):
     r = Q.group_quantiles(df, [], "x", {"m": 0.5, "q": 0.99}, max_exact=2, bins=2).first()
     assert r["m"] == 1.0 and r["q"] == pytest.approx(np.quantile(vals, 0.99))
     assert Q.global_cuts(df, "x", [1 / 3, 2 / 3], max_exact=2) == [1.0, 1.0]
+
+
+def test_quantile_approx_switch(spark):
+    vals = [float(i) for i in range(1001)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    r = Q.group_quantiles(df, [], "x", {"m": 0.5}, approx_accuracy=10_000).first()
+    assert abs(r["m"] - 500.0) <= 1.0
