@@ -5,10 +5,10 @@ The profile log-likelihood for positive ``x`` is
     llf(l) = (l - 1) * sum(ln x) - n/2 * ln(var_pop(y_l)),
     y_l = (x^l - 1) / l   (ln x when l == 0).
 
-One aggregate job evaluates ``var_pop(y_l)`` for a whole grid of lambdas as
-separate columns (one scan, partial aggregation); the grid is then narrowed
-around the best point and evaluated again. Only grid statistics reach the
-driver.
+One aggregate job evaluates ``var_pop(y_l)`` for a whole grid of lambdas
+(rows paired with grid values, ``groupBy(lambda)``: one scan, partial
+aggregation); the grid is then narrowed around the best point and evaluated
+again. Only grid statistics (one row per lambda) reach the driver.
 """
 
 from __future__ import annotations
@@ -32,19 +32,25 @@ def boxcox_expr(x: ColumnOrName, lmbda: float, shift: float = 0.0) -> Column:
 
 
 def _llf_grid(df: DataFrame, x: str, shift: float, grid: list[float]) -> list[tuple[float, float]]:
+    """Profile log-likelihood at every lambda of ``grid`` in one scan: rows are
+    paired with the grid values (``explode`` of a literal array, streamed, not
+    stored) and ``groupBy(lambda)`` aggregates partially, returning one row per
+    grid point."""
     v = F.col(x).cast("double") + F.lit(float(shift))
-    pos = df.where(v > 0)
-    aggs = [F.count(F.lit(1)).alias("n"), F.sum(F.ln(v)).alias("sl")]
-    aggs += [F.var_pop(boxcox_expr(x, l, shift)).alias(f"v{i}") for i, l in enumerate(grid)]
-    r = pos.agg(*aggs).first()
-    n, sl = r["n"], r["sl"]
+    lam = F.col("_l")
+    y = F.when(lam == 0, F.ln("_v")).otherwise((F.pow("_v", lam) - F.lit(1.0)) / lam)
+    rows = (df.select(v.alias("_v")).where(F.col("_v") > 0)
+            .select("_v", F.explode(F.array(*[F.lit(float(l)) for l in grid])).alias("_l"))
+            .groupBy("_l").agg(F.count(F.lit(1)).alias("n"), F.sum(F.ln("_v")).alias("sl"),
+                               F.var_pop(y).alias("var"))
+            .collect())                                                  # len(grid) rows
     out = []
-    for i, l in enumerate(grid):
-        var = r[f"v{i}"]
+    for r in rows:
+        n, sl, var, l = r["n"], r["sl"], r["var"], r["_l"]
         if not n or var is None or var <= 0:
             continue
         out.append((l, (l - 1.0) * sl - n / 2.0 * math.log(var)))
-    return out
+    return sorted(out)
 
 
 def fit_lambda(df: DataFrame, x: str, shift: float = 0.0, lo: float = -5.0, hi: float = 5.0,
