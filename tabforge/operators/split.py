@@ -144,17 +144,25 @@ def kfold(df: DataFrame, key: str, k: int, seed: int, by: Sequence[str] = (),
 def repeated_holdout_baseline(df: DataFrame, key: str, target: str, reps: int,
                               test_ratio: float) -> DataFrame:
     """K7 with the constant-mean model: for each repetition ``r`` (seed r), fit
-    the train mean and score test MSE. Two scans in total, whatever ``reps``:
-    one aggregate row of per-repetition train sums, then one of test errors."""
+    the train mean and score test MSE.
+
+    Two scans in total, whatever ``reps``: rows are paired with the
+    repetitions (``explode``, streamed) and ``groupBy(rep)`` aggregates
+    partially, first the train means (one row per repetition), then the test
+    errors against those means.
+    """
     y = F.col(target).cast("double")
     cut = F.lit(int(round(test_ratio * HASH_P)))
-    is_test = {r: hash_col(key, r) < cut for r in range(reps)}
-    fit = df.agg(*[F.avg(F.when(~is_test[r], y)).alias(f"m{r}") for r in range(reps)]).first()
-    aggs = []
+    per_rep = F.array(*[F.struct(F.lit(r).alias("rep"), (hash_col(key, r) < cut).alias("t"))
+                        for r in range(reps)])
+    long = df.select(y.alias("_y"), F.explode(per_rep).alias("_r")).select(
+        "_y", F.col("_r.rep").alias("rep"), F.col("_r.t").alias("t"))
+    means = {r["rep"]: r["m"] for r in long.where(~F.col("t")).groupBy("rep")
+             .agg(F.avg("_y").alias("m")).collect()}                      # reps rows
+    pairs = []
     for r in range(reps):
-        m = F.lit(fit[f"m{r}"]).cast("double")
-        aggs += [F.avg(F.when(is_test[r], F.pow(y - m, 2))).alias(f"mse{r}"),
-                 F.count_if(is_test[r]).alias(f"n{r}")]
-    wide = df.agg(*aggs)
-    stack = ", ".join(f"{r}, mse{r}, n{r}" for r in range(reps))
-    return wide.selectExpr(f"stack({reps}, {stack}) as (rep, mse, n_test)")
+        pairs += [F.lit(r), F.lit(means.get(r)).cast("double")]
+    m = F.element_at(F.create_map(*pairs), F.col("rep"))
+    return long.groupBy("rep").agg(
+        F.avg(F.when(F.col("t"), F.pow(F.col("_y") - m, 2))).alias("mse"),
+        F.count_if(F.col("t")).alias("n_test"))
