@@ -75,10 +75,18 @@ def order_statistics(df: DataFrame, keys: Sequence[str], x: str,
     # ndv carries a 2% estimate error: keep a margin below max_exact
     open_cond = ((F.col("_cnt") > F.lit(max_exact)) & (F.col("_lo") < F.col("_hi"))
                  & (F.col("_ndv") > F.lit(int(max_exact * 0.9))))
+    pending_cond = F.col("_lo") < F.col("_hi")
+
+    def flags(st):  # one small job on the (cached or checkpointed) state
+        r = st.agg(F.max(open_cond.cast("int")).alias("o"),
+                   F.max(pending_cond.cast("int")).alias("p")).first()
+        return bool(r["o"]), bool(r["p"])
+
     for _ in range(200):
-        active = state.where(open_cond)
-        if active.isEmpty():
+        has_open, has_pending = flags(state)
+        if not has_open:
             break
+        active = state.where(open_cond)
         span = F.col("_hi") / 2 - F.col("_lo") / 2
         b = F.least(F.floor((F.col("_x") / 2 - F.col("_lo") / 2) / span * F.lit(bins)),
                     F.lit(bins - 1)).cast("int")
@@ -104,8 +112,8 @@ def order_statistics(df: DataFrame, keys: Sequence[str], x: str,
 
     single = state.where(F.col("_lo") == F.col("_hi")).select(
         *ks, "_n", "_k", F.col("_lo").alias("_v"))
-    pending = state.where(F.col("_lo") < F.col("_hi"))
-    if pending.isEmpty():
+    pending = state.where(pending_cond)
+    if not has_pending:
         return single
     counts_in = (data.join(pending.select(*ks, "_n", "_k", "_lo", "_hi", "_below"), on=ks)
                  .where(F.col("_x").between(F.col("_lo"), F.col("_hi")))
