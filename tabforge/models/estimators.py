@@ -79,7 +79,7 @@ def xgb_like(n_estimators: int = 20, eta: float = 0.3, max_depth: int = 6, subsa
         return GBTRegressor(labelCol=label, **kw)
     if n_classes <= 2:
         return GBTClassifier(labelCol=label, **kw)
-    return OneVsRest(classifier=GBTClassifier(**kw), labelCol=label)
+    return OneVsRest(classifier=GBTClassifier(**kw), labelCol=label, parallelism=4)
 
 
 # Linear classifiers -------------------------------------------------
