@@ -49,6 +49,54 @@ group by doc_id
 """
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import read_archives, write_archives
+
+    files = write_archives(table(spark, sf_dir, "pages"), min_bytes=0)
+    return read_archives(files).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+# DuckDB has sha1 as hex; base 32 takes 5 bits at a time from the 160.
+OP6_SQL = r"""
+with p as (select page_id, encode(coalesce(html, '')) as payload from pages),
+d as (
+  select page_id, octet_length(payload) as payload_bytes, payload,
+         max(page_id) over (partition by payload) as keeper
+  from p),
+h as (select *, cast(cast(from_hex(sha1(payload)) as bit) as varchar) as bits from d)
+select page_id, cast(payload_bytes as bigint) as payload_bytes,
+       array_to_string([
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                1 + 16 * cast(bits[5 * i + 1] as int) + 8 * cast(bits[5 * i + 2] as int)
+                  + 4 * cast(bits[5 * i + 3] as int) + 2 * cast(bits[5 * i + 4] as int)
+                  + cast(bits[5 * i + 5] as int), 1) for i in range(32)], '') as payload_digest,
+       case when page_id = keeper then 'response' else 'revisit' end as record_type,
+       case when page_id <> keeper then keeper end as refers_to
+from h
+"""
+
+
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op7_piece_bpe(spark: SparkSession, sf_dir: str, model_path: str | None = None) -> DataFrame:
+    from .piece_bpe import token_digests
+
+    return token_digests(table(spark, sf_dir, "documents"), model_path or _tokenizer("piece_bpe_32k.model"))
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str, ranks_path: str | None = None) -> DataFrame:
+    import public_tokenizers
+
+    from .token_scan import byte_bpe_encoder, document_token_counts
+
+    encoder = byte_bpe_encoder(ranks_path or _tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return document_token_counts(table(spark, sf_dir, "documents"), encoder, end_id=50256)
+
+
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import cyclic_weights, mix
 
@@ -99,7 +147,10 @@ from c
 QUERIES: dict[str, tuple] = {
     "op3_url_rules": (op3_url_rules, None),
     "op4_line_runs": (op4_line_runs, OP4_SQL),
+    "op6_warc": (op6_warc, OP6_SQL),
+    "op7_piece_bpe": (op7_piece_bpe, None),
     "op8_source_mix": (op8_source_mix, OP8_SQL),
+    "op9_token_counts": (op9_token_counts, None),
 }
 
 
