@@ -14,6 +14,33 @@ URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example
 _WORDS = r"[^\x20\x09-\x0D]+"
 
 
+def op1_itq_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .itq_dedup import near_vectors
+
+    return near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
+OP1_SQL = r"""
+with recursive e as (
+  select vec_id, cast(embedding as double[]) as v from embeddings),
+g as (
+  select vec_id, v from e
+  where v is not null and len(v) > 0 and len(list_filter(v, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(v, lambda x: x <> 0)) > 0),
+l as (
+  select a.vec_id as a, b.vec_id as b from g a join g b
+    on a.vec_id <> b.vec_id and len(a.v) = len(b.v) and list_cosine_similarity(a.v, b.v) >= 0.9),
+reach(vec_id, root) as (
+  select vec_id, vec_id from e
+  union
+  select l.b, reach.root from reach join l on l.a = reach.vec_id where reach.root < l.b),
+n as (select a as vec_id, count(*) as n_links from l group by a),
+c as (select vec_id, min(root) as component_id from reach group by vec_id)
+select c.vec_id, cast(coalesce(n_links, 0) as bigint) as n_links, component_id, c.vec_id = component_id as kept
+from c left join n on c.vec_id = n.vec_id
+"""
+
+
 def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .url_rules import judge_urls
 
@@ -145,6 +172,7 @@ from c
 """
 
 QUERIES: dict[str, tuple] = {
+    "op1_itq_dedup": (op1_itq_dedup, OP1_SQL),
     "op3_url_rules": (op3_url_rules, None),
     "op4_line_runs": (op4_line_runs, OP4_SQL),
     "op6_warc": (op6_warc, OP6_SQL),
