@@ -41,6 +41,12 @@ from c left join n on c.vec_id = n.vec_id
 """
 
 
+def op2_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .weighted_sampling import edited_fingerprints
+
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .url_rules import judge_urls
 
@@ -173,6 +179,7 @@ from c
 
 QUERIES: dict[str, tuple] = {
     "op1_itq_dedup": (op1_itq_dedup, OP1_SQL),
+    "op2_weighted_sampling": (op2_weighted_sampling, None),
     "op3_url_rules": (op3_url_rules, None),
     "op4_line_runs": (op4_line_runs, OP4_SQL),
     "op6_warc": (op6_warc, OP6_SQL),
