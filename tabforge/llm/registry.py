@@ -82,6 +82,16 @@ group by doc_id
 """
 
 
+def op5_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .crf_quality import fold_of, score, train
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    field = train(docs, table(spark, sf_dir, "labels"))
+    return score(docs, field).select(
+        "row.doc_id", (fold_of(F.col("row.doc_id")) == 1).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .warc import read_archives, write_archives
 
@@ -182,6 +192,7 @@ QUERIES: dict[str, tuple] = {
     "op2_weighted_sampling": (op2_weighted_sampling, None),
     "op3_url_rules": (op3_url_rules, None),
     "op4_line_runs": (op4_line_runs, OP4_SQL),
+    "op5_crf_quality": (op5_crf_quality, None),
     "op6_warc": (op6_warc, OP6_SQL),
     "op7_piece_bpe": (op7_piece_bpe, None),
     "op8_source_mix": (op8_source_mix, OP8_SQL),
