@@ -105,11 +105,12 @@ def _order_key(seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
 
 
-def mix(docs: DataFrame, weights, share: float = 1.5, most: int = 2, seed: int = 17) -> DataFrame:
+def mix(docs: DataFrame, weights, share: float = 1.5, most: int = 2, seed: int = 17,
+        keep: tuple[str, ...] = ()) -> DataFrame:
     """Repetitions per document.
 
     ``docs``: doc_id, sources (array of source names, null names allowed), size
-    (long >= 0). ``weights``: a function from the list of sources (by code point,
+    (long >= 0); columns named in ``keep`` come along. ``weights``: a function from the list of sources (by code point,
     null last) to their weights, all above 0. ``share``: words to take in all,
     as a share of all words. ``most``: uses of one document at most.
 
@@ -124,7 +125,7 @@ def mix(docs: DataFrame, weights, share: float = 1.5, most: int = 2, seed: int =
     spark = docs.sparkSession
     base = stage(docs.select("doc_id", F.array_sort(F.array_distinct(F.coalesce("sources", F.array(F.lit(None).cast("string")))))
                              .alias("sources"), F.col("size").cast("long").alias("size"),
-                             _order_key(seed).alias("ord")), "mix-docs")
+                             _order_key(seed).alias("ord"), *keep), "mix-docs")
     patterns = base.groupBy("sources").agg(F.sum("size").alias("words"), F.count("*").alias("n")).collect()
     patterns.sort(key=lambda r: [(x is None, x or "") for x in r.sources])
     names = sorted({s for r in patterns for s in r.sources}, key=lambda x: (x is None, x or ""))
@@ -160,7 +161,7 @@ def mix(docs: DataFrame, weights, share: float = 1.5, most: int = 2, seed: int =
              .withColumn("extra", (2 * F.col("before") + F.col("size") <= 2 * F.col("rest")) & (F.col("rest") > 0)))
     outer = known.where("not (after > rest and before <= rest)").withColumn("extra", (F.col("after") <= F.col("rest")) & (F.col("rest") > 0))
     both = outer.unionByName(inner)
-    return both.select("doc_id", "sources", "size", (F.col("whole") + F.col("extra").cast("long")).alias("copies"), "stats")
+    return both.select("doc_id", "sources", "size", (F.col("whole") + F.col("extra").cast("long")).alias("copies"), "stats", *keep)
 
 
 def cyclic_weights(names: list, cycle: tuple[int, ...] = (3, 1, 2)) -> list[int]:

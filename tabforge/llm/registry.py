@@ -119,7 +119,7 @@ from h
 """
 
 
-def _tokenizer(name: str) -> str:
+def tokenizer(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
@@ -128,7 +128,7 @@ def _tokenizer(name: str) -> str:
 def op7_piece_bpe(spark: SparkSession, sf_dir: str, model_path: str | None = None) -> DataFrame:
     from .piece_bpe import token_digests
 
-    return token_digests(table(spark, sf_dir, "documents"), model_path or _tokenizer("piece_bpe_32k.model"))
+    return token_digests(table(spark, sf_dir, "documents"), model_path or tokenizer("piece_bpe_32k.model"))
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str, ranks_path: str | None = None) -> DataFrame:
@@ -136,10 +136,16 @@ def op9_token_counts(spark: SparkSession, sf_dir: str, ranks_path: str | None =
 
     from .token_scan import byte_bpe_encoder, document_token_counts
 
-    encoder = byte_bpe_encoder(ranks_path or _tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    encoder = byte_bpe_encoder(ranks_path or tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return document_token_counts(table(spark, sf_dir, "documents"), encoder, end_id=50256)
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ngram_join import jaccard_components
+
+    return jaccard_components(table(spark, sf_dir, "documents"), width=5, percent=75)
+
+
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import cyclic_weights, mix
 
@@ -196,6 +202,7 @@ QUERIES: dict[str, tuple] = {
     "op6_warc": (op6_warc, OP6_SQL),
     "op7_piece_bpe": (op7_piece_bpe, None),
     "op8_source_mix": (op8_source_mix, OP8_SQL),
+    "op10_ngram_join": (op10_ngram_join, None),
     "op9_token_counts": (op9_token_counts, None),
 }
 
