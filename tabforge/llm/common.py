@@ -69,6 +69,18 @@ def content_key(*cols: Column) -> tuple[Column, Column]:
     return (F.xxhash64(*cols), F.xxhash64(F.lit(0x5EED), *cols))
 
 
+def least_hashed(df: DataFrame, rows: int, *cols: str) -> DataFrame:
+    """The ``rows`` rows of least hash of ``cols`` (hash in column h), for bounded samples.
+
+    A threshold on the hash, from the row count, leaves about twice as many rows
+    before they are sorted, so no task hands on more than its share.
+    """
+    n = df.count()
+    share = min(1.0, (2 * rows + 100) / max(1, n))
+    h = F.shiftrightunsigned(F.xxhash64(*cols), 1)
+    return df.withColumn("h", h).where(F.col("h") <= int(share * (2**63 - 1024))).orderBy("h", *cols).limit(rows)
+
+
 def packed(df: DataFrame, name: str = "row") -> Column:
     """All columns of ``df`` as one struct, so that no name of theirs can clash."""
     return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(name)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import packed
+from .common import least_hashed, packed
 from .piece_bpe import spans
 
 #: Labelled documents (of least hash) that the field is fitted on, and the most
@@ -252,8 +252,8 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, trai
              .agg((F.avg("quality") >= 0.5).cast("int").alias("label")).where(fold_of(F.col("label_id")) != 1))
     rows = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(known, F.col("doc_id") == F.col("label_id"))
             .withColumn("lines", F.char_length("text") - F.char_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1)
-            .where(F.col("lines") <= train_lines)
-            .select(F.xxhash64("doc_id").alias("h"), "doc_id", "label", "text").orderBy("h", "doc_id").limit(train_docs))
+            .where(F.col("lines") <= train_lines).select("doc_id", "label", "text"))
+    rows = least_hashed(rows, train_docs, "doc_id")
 
     def features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

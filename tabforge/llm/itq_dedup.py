@@ -3,7 +3,7 @@
 1. Equal vectors collapse to one representative with a multiplicity.
 2. A rotation learnt on a bounded sample (principal axes, then alternating
    signs and orthogonal Procrustes) turns each vector into a balanced binary
-   code. Every representative is encoded, in the JVM.
+   code. Every representative is encoded, in Arrow batches.
 3. A code splits into chunks. Two codes at distance 2 or less in a chunk meet
    under a key at distance 1 or less from both, so each chunk is filed under
    itself and its one-bit neighbours. A pair is emitted once: by its first
@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import least_hashed, stage
 from .components import components
 
 #: Vectors from which the rotation is learnt.
@@ -31,9 +31,31 @@ CHUNK_BITS = 16
 ROUNDS = 50
 #: Pairs farther apart than this are not reranked (cosine 0.9: 9.2 bits on average, 2.8 deviation).
 RADIUS = 22
+#: Recall at the threshold below which codes are taken about the origin instead of the mean.
+LEAST_RECALL = 0.9
 
 
-def learn_rotation(sample: np.ndarray, bits: int, rounds: int = ROUNDS, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
+def sign_codes(x: np.ndarray, mean: np.ndarray, proj: np.ndarray) -> np.ndarray:
+    """Sign bits of the projections as one unsigned 64-bit integer each."""
+    bits = ((x - mean) @ proj >= 0).astype(np.uint64)
+    return (bits << np.arange(bits.shape[1], dtype=np.uint64)).sum(1, dtype=np.uint64)
+
+
+def recall_at(sample: np.ndarray, mean: np.ndarray, proj: np.ndarray, threshold: float, chunks: int, width: int,
+              radius: int, seed: int = 11) -> float:
+    """Share of neighbours drawn at the very threshold that the tables would propose."""
+    rng = np.random.default_rng(seed)
+    base = sample[rng.integers(0, len(sample), 2000)]
+    side = rng.standard_normal(base.shape)
+    side -= (side * base).sum(1, keepdims=True) * base
+    length = np.linalg.norm(side, axis=1, keepdims=True)
+    near = threshold * base + np.sqrt(1 - threshold**2) * side / np.where(length > 0, length, 1)
+    apart = sign_codes(base, mean, proj) ^ sign_codes(near, mean, proj)
+    parts = np.array([np.bitwise_count((apart >> np.uint64(t * width)) & np.uint64((1 << width) - 1)) for t in range(chunks)])
+    return float(((parts.min(0) <= 2) & (parts.sum(0, dtype=np.int64) <= radius)).mean())
+
+
+def learn_rotation(sample: np.ndarray, bits: int, centre: bool, rounds: int = ROUNDS, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
     """(mean, projection of shape dim x bits) by iterative quantisation.
 
     More bits than dimensions take the principal axes several times, each with a
@@ -41,16 +63,16 @@ def learn_rotation(sample: np.ndarray, bits: int, rounds: int = ROUNDS, seed: in
     """
     rng = np.random.default_rng(seed)
     dim = sample.shape[1]
-    mean = sample.mean(0) if len(sample) else np.zeros(dim)
+    mean = sample.mean(0) if centre else np.zeros(dim)
     centred = sample - mean
-    _, axes = np.linalg.eigh(centred.T @ centred if len(sample) else np.eye(dim))
+    _, axes = np.linalg.eigh(centred.T @ centred)
     axes = axes[:, ::-1]
     out = []
     for at in range(0, bits, dim):
         use = axes[:, :min(dim, bits - at)]
         low = centred @ use
         turn, _ = np.linalg.qr(rng.standard_normal((use.shape[1], use.shape[1])))
-        for _ in range(rounds if len(sample) else 0):
+        for _ in range(rounds):
             signs = np.where(low @ turn >= 0, 1.0, -1.0)
             u, _, vt = np.linalg.svd(signs.T @ low)
             turn = (u @ vt).T
@@ -62,9 +84,7 @@ def _codes(vectors: DataFrame, mean: np.ndarray, proj: np.ndarray) -> DataFrame:
     """Add code: one long of sign bits (64 or fewer), by Arrow batches."""
     @F.pandas_udf("long")
     def code(v: pd.Series) -> pd.Series:
-        x = np.stack(v.to_numpy()).astype(np.float64)
-        bits = ((x - mean) @ proj >= 0).astype(np.uint64)
-        return pd.Series((bits << np.arange(bits.shape[1], dtype=np.uint64)).sum(1, dtype=np.uint64).view(np.int64))
+        return pd.Series(sign_codes(np.stack(v.to_numpy()).astype(np.float64), mean, proj).view(np.int64))
     return vectors.withColumn("code", code("unit"))
 
 
@@ -114,8 +134,12 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, sample: int = SAMPL
     links = []
     for (dim,) in groups.select(F.size("unit")).distinct().collect():
         mine = groups.where(F.size("unit") == dim)
-        drawn = mine.select(F.xxhash64("unit").alias("h"), "unit").orderBy("h").limit(sample).select("unit").collect()
-        mean, proj = learn_rotation(np.array([r.unit for r in drawn], np.float64).reshape(-1, dim), chunks * width)
+        drawn = least_hashed(mine.select("rep", "unit"), sample, "rep").select("unit").collect()
+        units = np.array([r.unit for r in drawn], np.float64).reshape(-1, dim)
+        mean, proj = learn_rotation(units, chunks * width, centre=True)
+        if recall_at(units, mean, proj, threshold, chunks, width, radius) < LEAST_RECALL:
+            # far from the origin the signs about the mean no longer follow the angle
+            mean, proj = learn_rotation(units, chunks * width, centre=False)
         links.append(_links(mine, mean, proj, threshold, chunks, width, radius))
     if not links:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))

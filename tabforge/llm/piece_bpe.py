@@ -228,16 +228,20 @@ class PieceModel:
         """The library's decode(ids): dummy prefix off, byte runs joined, bad bytes as U+FFFD."""
         ids = np.asarray(ids, np.int64)
         raw = self.out_flat[spans(self.out_at[ids], self.out_len[ids])].tobytes()
-        body = ids[~np.isin(ids, [self.bos, self.eos])]
+        ends = (ids == self.bos) | (ids == self.eos)
+        body = ids[~ends]
         if len(body) and self.spaced[body[0]]:
             raw = raw[1:]
-        try:
-            return raw.decode()
-        except UnicodeDecodeError:
-            return self._decode_bad(body)
+        if not ends[1:-1].any():  # an end inside parts the bytes around it
+            try:
+                return raw.decode()
+            except UnicodeDecodeError:
+                pass
+        return self._decode_slowly(ids)
 
-    def _decode_bad(self, body: np.ndarray) -> str:
-        out, run = [], bytearray()
+    def _decode_slowly(self, ids: np.ndarray) -> str:
+        """Piece by piece, with every byte that is no part of a character as U+FFFD."""
+        out, run, first = [], bytearray(), True
 
         def flush() -> None:
             at = 0
@@ -254,12 +258,13 @@ class PieceModel:
                     at += 1
             run.clear()
 
-        for k, i in enumerate(body.tolist()):
+        for i in ids.tolist():
             if self.is_byte[i]:
                 run += self.piece_bytes[i]
-                continue
-            flush()
-            out.append(self.piece_bytes[i].decode()[1 if k == 0 and self.spaced[i] else 0:])
+            else:
+                flush()
+                out.append(self.piece_bytes[i].decode()[1 if first and self.spaced[i] else 0:])
+            first = first and i in (self.bos, self.eos)
         flush()
         return "".join(out)
 

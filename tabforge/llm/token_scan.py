@@ -53,7 +53,7 @@ def write_token_files(docs: DataFrame, make_encoder, end_id: int) -> DataFrame:
             if sink is None:
                 store, place = open_store(name)
                 store.create_dir(place.rpartition("/")[0], recursive=True)
-                sink = store.open_output_stream(place)
+                sink = store.open_output_stream(place, compression=None)
             for text in texts:
                 ids = encode(text)
                 ids.append(end_id)

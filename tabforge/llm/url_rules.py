@@ -67,7 +67,7 @@ def url_tokens(url: Column) -> Column:
 
 
 def mine_rules(labelled: DataFrame, min_support: float = 0.001, min_rows: int = 20,
-               min_confidence: float = 0.5) -> DataFrame:
+               min_confidence: float = 0.7) -> DataFrame:
     """Rules ``tokens -> bad`` from (tokens, bad boolean): tokens, rarest, support, confidence.
 
     ``min_support`` is the share of labelled rows that hold the tokens and are

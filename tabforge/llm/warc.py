@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh_folder, open_store, stage, store_uri
+from .common import fresh_folder, least_hashed, open_store, stage, store_uri
 
 #: Fixed values of the WARC 1.1 and Zstandard formats.
 SKIPPABLE = 0x184D2A5D
@@ -44,8 +44,8 @@ def train_dictionary(pages: DataFrame, rows: int = SAMPLE_ROWS, row_bytes: int =
     """
     import zstandard
 
-    sample = (pages.select(F.xxhash64("page_id", "payload").alias("h"), F.substring("payload", 1, row_bytes).alias("p"))
-              .where(F.length("p") > 8).orderBy("h").limit(rows).select("p").collect())
+    drawn = least_hashed(pages.select("page_id", "payload"), rows, "page_id")
+    sample = [r for r in drawn.select(F.substring("payload", 1, row_bytes).alias("p")).collect() if len(r.p) > 8]
     # training alone needs a few samples and far more bytes than the dictionary
     if len(sample) < 16 or sum(len(r.p) for r in sample) < 8 * dict_bytes:
         return b""
@@ -145,7 +145,7 @@ def write_archives(pages: DataFrame, min_bytes: int = 0, file_bytes: int = FILE_
                     path, count = f"{folder}/part-{uuid.uuid4().hex}.warc.zst", 0
                     store, place = open_store(path)
                     store.create_dir(place.rpartition("/")[0], recursive=True)
-                    sink = store.open_output_stream(place)
+                    sink = store.open_output_stream(place, compression=None)
                     sink.write(struct.pack("<II", SKIPPABLE, len(known)) + known)
                     size = 8 + len(known)
                 page_id, url, payload, n, sha1, refers_to = (c[row].as_py() for c in batch.columns)
@@ -178,7 +178,7 @@ def read_archives(files: DataFrame) -> DataFrame:
             for path in batch.column("path").to_pylist():
                 store, place = open_store(path)
                 out: list[tuple] = []
-                with store.open_input_stream(place) as raw:
+                with store.open_input_stream(place, compression=None) as raw:
                     for head, block in read_records(raw):
                         http, _, payload = block.partition(b"\r\n\r\n")
                         size = int(re.search(rb"Content-Length: (\d+)", http)[1])
