@@ -21,7 +21,7 @@ from pyspark.sql.window import Window
 
 from .common import content_key, stage, strip_white
 
-SAMPLES = 32
+SAMPLES = 64
 #: Draws that one row computes: keeps generated methods small enough to compile.
 BLOCK = 4
 _BITS = 21
@@ -136,11 +136,10 @@ def edited_fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     following = stage(successors(copies), "doc-next")
     need = (following.join(copies.select("k1", "k2", F.expr("n_chars div 4").alias("m")), ["k1", "k2"])
             .select(F.col("k1").alias("p1"), F.col("k2").alias("p2"), F.col("n1").alias("k1"), F.col("n2").alias("k2"), "m"))
-    # only the replacing part of the next text travels, keyed by the document that takes it
-    tails = (rows.select("k1", "k2", "text").join(need, ["k1", "k2"])
-             .select(F.col("p1").alias("k1"), F.col("p2").alias("k2"), F.expr("left(text, cast(m as int))").alias("tail"))
-             .groupBy("k1", "k2").agg(F.max("tail").alias("tail")))
     once = rows.select("k1", "k2", "text").groupBy("k1", "k2").agg(F.max("text").alias("text"))
+    # only the replacing part of the next text travels, keyed by the document that takes it
+    tails = once.join(need, ["k1", "k2"]).select(
+        F.col("p1").alias("k1"), F.col("p2").alias("k2"), F.expr("left(text, cast(m as int))").alias("tail"))
     both = once.join(tails, ["k1", "k2"])
     kept = F.expr("left(text, cast(char_length(text) - char_length(text) div 4 as int))")
     both = both.withColumn("kept", kept).withColumn(
