@@ -17,12 +17,10 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import ColumnOrName, col
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
-SALT_BUCKETS = 256
-
 
 def salted_left_join(df: DataFrame, right: DataFrame, keys: Sequence[str],
-                     skip: Column | None = None, salt_buckets: int = SALT_BUCKETS) -> DataFrame:
+                     skip: Column | None = None, salt_buckets: int | None = None,
+                     spread: Sequence[str] | None = None) -> DataFrame:
     """Left join on ``keys`` where rows that cannot match are spread out.
 
     Rows with a NULL key, or where ``skip`` holds (a sentinel group such as
@@ -30,15 +28,24 @@ def salted_left_join(df: DataFrame, right: DataFrame, keys: Sequence[str],
     partition although they never match. They get a non-zero salt from a hash
     of the row (deterministic, so recomputation is stable); matching rows keep
     salt 0, as does every right-side row. The join is on ``keys + salt``, which
-    leaves the result unchanged and the partitions balanced.
+    leaves the result unchanged and the partitions balanced. There are as many
+    salts as shuffle partitions. ``spread`` names the columns whose hash is the
+    salt (default: all columns that can be hashed). Where no key can be NULL and
+    nothing is skipped, the join is on the keys alone.
     """
     ks = list(keys)
+    if skip is None and not any(df.schema[k].nullable for k in ks):
+        return df.join(right, on=ks, how="left")
+    if salt_buckets is None:
+        salt_buckets = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    if spread is None:
+        spread = [f.name for f in df.schema if "map<" not in f.dataType.simpleString()]
     cant = F.lit(False)
     for k in ks:
         cant = cant | F.col(k).isNull()
     if skip is not None:
         cant = cant | F.coalesce(skip, F.lit(False))
-    salt = F.when(cant, F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]),
+    salt = F.when(cant, F.pmod(F.xxhash64(*[F.col(c) for c in spread]),
                                F.lit(salt_buckets - 1)) + 1).otherwise(F.lit(0))
     left = df.withColumn("_salt", salt.cast("int"))
     # The right side's salt is 0, written as a function of its key: a literal
@@ -66,16 +73,6 @@ def replace_values(c: ColumnOrName, mapping: Mapping) -> Column:
     return F.coalesce(dict_lookup(c, mapping), col(c))
 
 
-def bounded_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``small`` only after checking it has at most ``max_rows`` rows.
-
-    The check is a count (a small job on an already-small side); beyond the
-    bound the frame is returned unhinted and the join is a shuffle join.
-    """
-    n = small.limit(max_rows + 1).count()
-    return F.broadcast(small) if n <= max_rows else small
-
-
 def first_per_key(df: DataFrame, key: str | Sequence[str], order: str,
                   value_cols: Sequence[str]) -> DataFrame:
     """Keep-first row per key by ``order`` (pandas ``drop_duplicates``).
@@ -91,8 +88,7 @@ def first_per_key(df: DataFrame, key: str | Sequence[str], order: str,
 
 def table_lookup(df: DataFrame, table: DataFrame, on: str | Sequence[str],
                  value: str, out: str | None = None, default: ColumnOrName | None = None,
-                 when: Column | None = None, max_broadcast_rows: int | None = None,
-                 skip: Column | None = None) -> DataFrame:
+                 when: Column | None = None, skip: Column | None = None) -> DataFrame:
     """Map a value from a keyed table onto rows, with a fallback.
 
     ``table`` must be unique on ``on`` (build it with ``first_per_key`` or an
@@ -104,8 +100,6 @@ def table_lookup(df: DataFrame, table: DataFrame, on: str | Sequence[str],
     out = out or value
     tmp = f"_lk_{value}"
     right = table.select(*ks, F.col(value).alias(tmp))
-    if max_broadcast_rows is not None:
-        right = bounded_broadcast(right, max_broadcast_rows)
     joined = salted_left_join(df, right, ks, skip)
     mapped = F.col(tmp) if default is None else F.coalesce(F.col(tmp), col(default))
     if when is not None and out in df.columns:

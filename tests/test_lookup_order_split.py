@@ -29,7 +29,7 @@ def test_first_per_key_and_table_lookup(spark):
     base = spark.createDataFrame([(10, "t1", "Alone"), (11, "t9", "Alone"), (12, "t2", "keep")],
                                  "id int, ticket string, gid string")
     out = D.table_lookup(base, first, "ticket", "gid", default=F.lit("Alone"),
-                         when=F.col("gid") == "Alone", max_broadcast_rows=10)
+                         when=F.col("gid") == "Alone")
     assert rows(out, "id", "gid") == [(10, "g1"), (11, "Alone"), (12, "keep")]
 
 
@@ -127,3 +127,20 @@ def test_repeated_holdout_baseline(spark):
     df = spark.createDataFrame([(i, float(i % 7)) for i in range(100)], "id int, y double")
     out = K.repeated_holdout_baseline(df, "id", "y", 5, 0.3)
     assert out.count() == 5 and out.where("mse is null").count() == 0
+
+
+def test_ordinals_of_400k_rows_with_payload(spark):
+    """Many ranges over real samples: every ordinal right, also with NULL keys, ties and payload columns."""
+    n = 400_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 7 > 0, F.pmod(F.xxhash64("id"), F.lit(1000))).alias("a"), "id",
+        F.concat(F.lit("p"), F.col("id")).alias("pay"), (F.col("id") * 0.5).alias("pay2"))
+    out = G.global_prefix(df, [("a", False), ("id", True)], {"run": F.lit(1).cast("long")}, ordinal="pos")
+    assert "_rb" not in out.columns and out.columns == [*df.columns, "run", "pos"]
+    bad = out.select("a", "id", "pos", "run").toPandas()
+    bad = bad.assign(na=bad["a"].isna()).sort_values(["na", "a", "id"], ascending=[True, False, True])
+    assert (bad["pos"].to_numpy() == range(1, n + 1)).all() and (bad["run"] == bad["pos"]).all()
+    only = G.row_ordinal(spark.range(n).select("id", F.lit("x").alias("pay")), ["id"])
+    assert only.where("row_id <> id + 1").count() == 0 and only.count() == n
+    same = G.row_ordinal(spark.range(200_000).select(F.lit(5).alias("k")), ["k"])
+    assert same.select("row_id").distinct().count() == 200_000
