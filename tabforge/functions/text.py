@@ -51,10 +51,28 @@ def drop_last(c: ColumnOrName, n: int = 2) -> Column:
     return F.substring(x, F.lit(1), keep)
 
 
+def plain_number(c: ColumnOrName) -> Column:
+    """Text of a value as the reference prints it: doubles from 1e-4 up to 1e16 without an
+    exponent ("10000000.0", "0.0001"), others with a signed exponent of two digits or more
+    ("1e-05", "1e+16"); values of other types as their plain cast."""
+    x = col(c)
+    text = x.cast("string")
+    size = F.abs(text.try_cast("double"))
+    digits = F.rtrim(text.try_cast("decimal(38,21)").cast("string"), F.lit("0"))
+    plain = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
+    mantissa = F.regexp_replace(F.regexp_extract(text, "^(.*)E", 1), r"\.0$", "")
+    power = F.regexp_extract(text, "E(-?)([0-9]+)$", 2)
+    sign = F.when(F.regexp_extract(text, "E(-?)([0-9]+)$", 1) == "-", "-").otherwise("+")
+    wide = F.concat(mantissa, F.lit("e"), sign, F.lpad(power, F.greatest(F.lit(2), F.length(power)), F.lit("0")))
+    shown = F.when((size >= 1e-4) & (size < 1e16), plain).otherwise(wide)
+    is_float = F.typeof(x).isin("double", "float")
+    return F.when(is_float & text.contains("E"), shown).otherwise(text)
+
+
 def composite_key(*cols: ColumnOrName, sep: str = "-", missing: str = "nan") -> Column:
     """H6: stringify columns and join with ``sep``; NULL prints as ``missing``
-    (``concat_ws`` alone would skip it)."""
-    parts = [F.coalesce(col(c).cast("string"), F.lit(missing)) for c in cols]
+    (``concat_ws`` alone would skip it), doubles as in ``plain_number``."""
+    parts = [F.coalesce(plain_number(c), F.lit(missing)) for c in cols]
     return F.concat_ws(sep, *parts)
 
 

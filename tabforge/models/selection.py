@@ -55,17 +55,21 @@ def cv_table(spark: SparkSession, name: str, scores: Sequence[tuple[int, float]]
 
 def shortlist(candidates: Mapping[str, object], df: DataFrame, fold: str, evaluator,
               parallelism: int = 4) -> DataFrame:
-    """M2/M3: fit every candidate on every fold; ``mean``, population ``std``
-    and ``worst`` (max) per model, sorted by mean ascending then std descending."""
+    """M2/M3: fit every candidate on every fold; ``mean``, population ``std`` and
+    ``worst`` per model, best model first (by the evaluator's direction), then
+    smaller ``std``. ``worst`` is the worst fold: the least value where larger is
+    better, the greatest otherwise."""
     spark = df.sparkSession
     tables = [cv_table(spark, n, cv_scores(est, df, fold, evaluator, parallelism))
               for n, est in candidates.items()]
     long = tables[0]
     for t in tables[1:]:
         long = long.unionByName(t)
+    larger = evaluator.isLargerBetter()
+    worst = F.min("value") if larger else F.max("value")
     return (long.groupBy("model").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"),
-                                      F.max("value").alias("worst"), F.count(F.lit(1)).alias("folds"))
-            .orderBy(F.col("mean").asc(), F.col("std").desc()))
+                                      worst.alias("worst"), F.count(F.lit(1)).alias("folds"))
+            .orderBy(F.col("mean").desc() if larger else F.col("mean").asc(), F.col("std").asc()))
 
 
 def union_grids(estimator, grids: Sequence[Mapping]) -> list:

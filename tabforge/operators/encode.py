@@ -137,10 +137,15 @@ def minmax_scale(df: DataFrame, columns: Sequence[str], fit_on: DataFrame | None
 
 def sorted_categories(df: DataFrame, c: str) -> list:
     """Distinct non-null values in ascending order, collected: only for
-    categorical columns, whose cardinality bounds the list (StringIndexer
-    collects the same)."""
-    return [r[0] for r in df.where(F.col(c).isNotNull()).select(c).distinct()
-            .orderBy(c).collect()]
+    categorical columns. More than ``MAX_CATEGORIES`` raise an error."""
+    found = (df.where(F.col(c).isNotNull()).select(c).distinct().limit(MAX_CATEGORIES + 1).collect())
+    if len(found) > MAX_CATEGORIES:
+        raise ValueError(f"{c} has more than {MAX_CATEGORIES} categories: it is no categorical column")
+    return sorted(r[0] for r in found)
+
+
+#: Most categories of an encoded column; more raise an error.
+MAX_CATEGORIES = 100_000
 
 
 def label_encoder(c: str, out: str) -> StringIndexer:

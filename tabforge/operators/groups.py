@@ -242,7 +242,7 @@ def crosstab(df: DataFrame, row: str, column: str, values: Sequence) -> DataFram
 
 
 def histogram(df: DataFrame, c: str, bins: int = 10) -> DataFrame:
-    """Equal-width histogram ``(bin, lo, hi, n)`` over [min, max].
+    """Equal-width histogram ``(bin, lo, hi, n)`` over [min, max], empty bins included.
 
     min/max come from one aggregate row (bounded); the bin index is a column
     expression; counts are a partially aggregated ``groupBy``. The maximum
@@ -258,11 +258,12 @@ def histogram(df: DataFrame, c: str, bins: int = 10) -> DataFrame:
     b = F.least(F.floor((x - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)).cast("int")
     counts = df.where(F.col(c).isNotNull()).groupBy(b.alias("bin")).agg(
         F.count(F.lit(1)).alias("n"))
-    return counts.select(
+    every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    return every.join(counts, "bin", "left").select(
         "bin",
         (F.lit(lo) + F.col("bin") * F.lit(width)).alias("lo"),
         (F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("hi"),
-        "n")
+        F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
 def mean_std(df: DataFrame, c: str, by: Sequence[str] = ()) -> DataFrame:

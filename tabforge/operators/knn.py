@@ -26,6 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+NO_LABEL = np.iinfo(np.int32).min  # stands for NULL inside the kernel
 CANDIDATE_SCHEMA = "query_id long, nbr_id long, nbr_label int, dist double"
 
 
@@ -39,17 +40,18 @@ def _block_topk(k: int, exclude_self: bool, chunk_bytes: int):
         q_ids = q["id"].to_numpy(np.int64)
         q_mat = np.vstack(q["vec"].to_numpy()).astype(np.float64)
         t_ids = r["id"].to_numpy(np.int64)
-        t_lab = r["label"].fillna(-1).to_numpy(np.int64)
+        t_lab = r["label"].fillna(NO_LABEL).to_numpy(np.int64)
         t_mat = np.vstack(r["vec"].to_numpy()).astype(np.float64)
         nq = len(q_ids)
         best_d = np.full((nq, k), np.inf)
         best_i = np.full((nq, k), np.iinfo(np.int64).max, dtype=np.int64)
-        best_l = np.full((nq, k), -1, dtype=np.int64)
+        best_l = np.full((nq, k), NO_LABEL, dtype=np.int64)
         step = max(1, chunk_bytes // max(1, nq * t_mat.shape[1] * 8))
         for s in range(0, len(t_ids), step):
             tm, ti, tl = t_mat[s:s + step], t_ids[s:s + step], t_lab[s:s + step]
             diff = q_mat[:, None, :] - tm[None, :, :]
             d2 = np.einsum("qtd,qtd->qt", diff, diff)
+            d2 = np.where(np.isfinite(d2), d2, np.inf)
             if exclude_self:
                 d2 = np.where(q_ids[:, None] == ti[None, :], np.inf, d2)
             cd = np.concatenate([best_d, d2], axis=1)
@@ -59,11 +61,20 @@ def _block_topk(k: int, exclude_self: bool, chunk_bytes: int):
             best_d = np.take_along_axis(cd, order, 1)
             best_i = np.take_along_axis(ci, order, 1)
             best_l = np.take_along_axis(cl, order, 1)
-        keep = np.isfinite(best_d)
+        found = np.isfinite(best_d)
+        keep = found.copy()
+        keep[:, 0] = True  # a query without any neighbour here keeps one empty row
         qi = np.repeat(q_ids, k).reshape(nq, k)
-        return pd.DataFrame({"query_id": qi[keep], "nbr_id": best_i[keep],
-                             "nbr_label": best_l[keep].astype(np.int32),
-                             "dist": np.sqrt(best_d[keep])})
+        empty = ~found[keep]
+        label = best_l[keep]
+        return pd.DataFrame({
+            "query_id": qi[keep],
+            "nbr_id": pd.array(np.where(empty, 0, best_i[keep]), dtype="Int64").copy(),
+            "nbr_label": pd.array(label, dtype="Int32"),
+            "dist": np.sqrt(best_d[keep])}).assign(
+                nbr_id=lambda d: d["nbr_id"].mask(empty),
+                nbr_label=lambda d: d["nbr_label"].mask(empty | (label == NO_LABEL)),
+                dist=lambda d: d["dist"].mask(empty))
     return run
 
 
@@ -72,7 +83,11 @@ def knn_neighbours(reference: DataFrame, queries: DataFrame, k: int, id_col: str
                    max_query_bytes: int = 64 << 20, block_bytes: int = 128 << 20,
                    chunk_bytes: int = 32 << 20) -> DataFrame:
     """``(query_id, nbr_id, nbr_label, dist, rank)`` for the k nearest
-    reference rows of every query row (Euclidean, Minkowski p=2)."""
+    reference rows of every query row (Euclidean, Minkowski p=2).
+
+    A vector that holds NaN or infinity is near nothing: as a reference it is
+    never a neighbour, as a query it keeps one row with NULL neighbour, label and
+    distance. A reference without a label is a neighbour with a NULL label."""
     spark = reference.sparkSession
     ref = reference.select(F.col(id_col).cast("long").alias("id"),
                            F.col(vec_col).cast("array<double>").alias("vec"),
@@ -96,8 +111,9 @@ def knn_neighbours(reference: DataFrame, queries: DataFrame, k: int, id_col: str
     cands = (q_rep.groupBy("_qb", "_rb")
              .cogroup(r_rep.groupBy("_qb", "_rb"))
              .applyInPandas(_block_topk(k, exclude_self, chunk_bytes), CANDIDATE_SCHEMA))
-    w = Window.partitionBy("query_id").orderBy("dist", "nbr_id")
-    return cands.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    w = Window.partitionBy("query_id").orderBy(F.col("dist").asc_nulls_last(), "nbr_id")
+    ranked = cands.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return ranked.where((F.col("rank") == 1) | F.col("nbr_id").isNotNull())
 
 
 def knn_votes(neighbours: DataFrame, outs: dict[str, str]) -> DataFrame:
@@ -106,18 +122,21 @@ def knn_votes(neighbours: DataFrame, outs: dict[str, str]) -> DataFrame:
     ``outs`` maps output column -> 'uniform' or 'distance'. Distance weights
     are 1/d, and a zero distance takes all the weight; ties go to the lowest
     class. The neighbours frame is already partitioned by query (top-k
-    window), so the zero-distance flag adds no shuffle.
+    window), so the zero-distance flag adds no shuffle. Neighbours without a
+    label do not vote; a query without any voter gets a NULL prediction.
     """
     w = Window.partitionBy("query_id")
-    has_zero = F.max((F.col("dist") == 0).cast("int")).over(w) == 1
+    nb = neighbours
+    has_zero = F.max(((F.col("dist") == 0) & F.col("nbr_label").isNotNull()).cast("int")).over(w) == 1
     dist_w = F.when(has_zero, (F.col("dist") == 0).cast("double")).otherwise(
-        F.lit(1.0) / F.col("dist"))
+        F.try_divide(F.lit(1.0), F.col("dist")))
     weight = {"uniform": F.lit(1.0), "distance": dist_w}
-    nb = neighbours.withColumns({f"_w_{o}": weight[s] for o, s in outs.items()})
+    nb = nb.withColumns({f"_w_{o}": weight[s] for o, s in outs.items()})
     votes = nb.groupBy("query_id", "nbr_label").agg(
         *[F.sum(f"_w_{o}").alias(f"_s_{o}") for o in outs])
     return votes.groupBy("query_id").agg(*[
-        F.max_by(F.col("nbr_label"), F.struct(F.col(f"_s_{o}"), -F.col("nbr_label"))).alias(o)
+        F.max_by(F.col("nbr_label"), F.when(F.col("nbr_label").isNotNull(),
+                                            F.struct(F.col(f"_s_{o}"), -F.col("nbr_label")))).alias(o)
         for o in outs])
 
 

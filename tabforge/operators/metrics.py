@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 from .ordering import global_prefix
 
 
+#: Most classes of a dense confusion matrix; more raise an error.
+MAX_CLASSES = 2000
+
+
 def accuracy(df: DataFrame, pred: str, truth: str) -> DataFrame:
     """Share of rows where prediction equals truth."""
     return df.agg(F.avg((F.col(pred) == F.col(truth)).cast("double")).alias("accuracy"),
@@ -40,10 +44,12 @@ def confusion(df: DataFrame, truth: str, pred: str, classes: Sequence | None = N
     spark = df.sparkSession
     counts = df.groupBy(F.col(truth).alias("truth"), F.col(pred).alias("pred")).agg(
         F.count(F.lit(1)).alias("n"))
-    if classes is None:  # the class list: bounded by the number of classes
-        classes = sorted(r[0] for r in (
-            df.select(F.col(truth).alias("c")).union(df.select(F.col(pred).alias("c")))
-            .where(F.col("c").isNotNull()).distinct().collect()))
+    if classes is None:
+        found = (df.select(F.col(truth).alias("c")).union(df.select(F.col(pred).alias("c")))
+                 .where(F.col("c").isNotNull()).distinct().limit(MAX_CLASSES + 1).collect())
+        if len(found) > MAX_CLASSES:
+            raise ValueError(f"more than {MAX_CLASSES} classes: a dense matrix is not meant for these columns")
+        classes = sorted(r[0] for r in found)
     tt = dict(df.dtypes)[truth]
     grid = spark.createDataFrame([(a, b) for a in classes for b in classes],
                                  f"truth {tt}, pred {tt}")
@@ -94,13 +100,48 @@ def top_k_features(names: Sequence[str], importances, k: int) -> list[int]:
     return sorted(top)
 
 
-def tree_dump(spark, model) -> DataFrame:
-    """The fitted tree's structure as text lines ``(line_no, text)``."""
-    lines = model.toDebugString.splitlines()
-    return spark.createDataFrame(list(enumerate(lines)), "line_no int, text string")
+def features_above(names: Sequence[str], importances, cut: float) -> list[str]:
+    """The features whose importance reaches ``cut``; the others are to be dropped."""
+    return [n for n, v in zip(names, importances.toArray()) if float(v) >= cut]
 
 
-def score_summary(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
-    """Mean, population std and worst (max) fold value per group."""
+def tree_dump(spark, model) -> DataFrame:
+    """One row per node of the fitted tree: ``(node, depth, feature, threshold,
+    left, right, prediction, impurity, samples, class_counts)``.
+
+    ``class_counts`` (classifiers; null for regressors) are the training rows of
+    each class at the node; inner nodes have a feature and a threshold, leaves
+    have neither. Bounded by the nodes of one tree.
+    """
+    rows = []
+
+    def visit(node, number: int, depth: int) -> int:
+        """Rows of the subtree in preorder; returns the next free number."""
+        stats = node.impurityStats()
+        inner = node.subtreeDepth() > 0
+        counts = [float(x) for x in stats.stats()] if hasattr(model, "numClasses") else None
+        at = len(rows)
+        rows.append(None)
+        left = right = feature = threshold = None
+        nxt = number + 1
+        if inner:
+            split = node.split()
+            feature = split.featureIndex()
+            threshold = float(split.threshold()) if hasattr(split, "threshold") else None
+            left, nxt = nxt, visit(node.leftChild(), nxt, depth + 1)
+            right, nxt = nxt, visit(node.rightChild(), nxt, depth + 1)
+        rows[at] = (number, depth, feature, threshold, left, right, float(node.prediction()),
+                    float(node.impurity()), int(stats.count()), counts)
+        return nxt
+
+    visit(model._call_java("rootNode"), 0, 0)
+    return spark.createDataFrame(rows, "node int, depth int, feature int, threshold double, left int, right int, "
+                                       "prediction double, impurity double, samples long, class_counts array<double>")
+
+
+def score_summary(df: DataFrame, value: str, by: Sequence[str], larger_better: bool = False) -> DataFrame:
+    """Mean, population std and worst fold value per group (the greatest for
+    errors, the least for scores where larger is better)."""
+    worst = F.min(value) if larger_better else F.max(value)
     return df.groupBy(*by).agg(F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"),
-                               F.max(value).alias("worst"), F.count(F.lit(1)).alias("folds"))
+                               worst.alias("worst"), F.count(F.lit(1)).alias("folds"))

@@ -33,20 +33,21 @@ def group_rule_prediction(df: DataFrame, kind: str, group: str, rate: str,
     return df.withColumn(out, rule_chain(rules, 0))
 
 
-def ensemble_argmax(long_probs: DataFrame, key: str, probs: str,
+def ensemble_argmax(long_probs: DataFrame, key: str, probs: str, n_classes: int,
                     out: str = "prediction") -> DataFrame:
     """Sum class probabilities over models per key, then argmax (first
     maximum: lowest class on ties).
 
-    ``long_probs`` has one row per (key, model) with an array of class
-    probabilities. Both steps are partial aggregates (``sum`` then
-    ``max_by``), so a key with many model rows never gathers in one buffer.
+    ``long_probs`` has one row per (key, model) with an array of ``n_classes``
+    probabilities. One partial aggregate with a sum per class: one shuffle, and a
+    key with many model rows never gathers in one buffer.
     """
-    per_class = (long_probs.select(key, F.posexplode(probs).alias("cls", "p"))
-                 .groupBy(key, "cls").agg(F.sum("p").alias("score")))
-    return per_class.groupBy(key).agg(
-        F.max_by(F.col("cls"), F.struct(F.col("score"), -F.col("cls"))).cast("int").alias(out),
-        F.max("score").alias(f"{out}_score"))
+    summed = long_probs.groupBy(key).agg(*[
+        F.sum(F.get(F.col(probs), F.lit(i))).alias(f"_p{i}") for i in range(n_classes)])
+    scores = F.array(*[F.col(f"_p{i}") for i in range(n_classes)])
+    best = F.array_max(scores)
+    return summed.select(key, (F.array_position(scores, best) - 1).cast("int").alias(out),
+                         best.alias(f"{out}_score"))
 
 
 def keyed_predictions(model, df: DataFrame, key: str, name: str = "prediction",

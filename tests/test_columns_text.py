@@ -84,3 +84,10 @@ def test_first_char_drop_last_and_keys(spark):
     assert got == [("C", "C", "C85-1-7.25"), ("A", "", "A5-2-nan"), ("7", "", "7-3-8.05")]
     sk = df.select(T.sentinel_key("ticket", F.col("k") > 1)).collect()
     assert [r[0] for r in sk] == ["C85", "Alone", "Alone"]
+
+
+def test_composite_key_prints_numbers_as_the_reference(spark):
+    values = [1e7, 12345678.9, 1e-4, 0.00012345, 1e-5, 1.5e-7, 1e16, 1e22, -2.5e9, 0.1, 7.0, 1e15, -1e-4]
+    df = spark.createDataFrame([(i, v, "s1E5") for i, v in enumerate(values)], "i int, v double, t string")
+    got = [r[0] for r in df.orderBy("i").select(T.composite_key("v", "t")).collect()]
+    assert got == [f"{v!r}-s1E5" for v in values]

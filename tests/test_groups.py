@@ -119,3 +119,9 @@ def test_quantile_approx_switch(spark):
     df = spark.createDataFrame([(v,) for v in vals], "x double")
     r = Q.group_quantiles(df, [], "x", {"m": 0.5}, approx_accuracy=10_000).first()
     assert abs(r["m"] - 500.0) <= 1.0
+
+
+def test_histogram_keeps_empty_bins(spark):
+    df = spark.createDataFrame([(0.0,), (1.0,), (10.0,), (None,)], "x double")
+    got = [(r["bin"], r["n"]) for r in E.histogram(df, "x", 10).orderBy("bin").collect()]
+    assert got == [(0, 1), (1, 1), *[(i, 0) for i in range(2, 9)], (9, 1)]

@@ -78,7 +78,7 @@ def test_rule_prediction_variants(spark):
 def test_ensemble_argmax_sums_models(spark):
     df = spark.createDataFrame([(1, 0, [0.6, 0.4]), (1, 1, [0.1, 0.9]), (2, 0, [0.5, 0.5])],
                                "id int, model int, p array<double>")
-    out = {r["id"]: r["prediction"] for r in P.ensemble_argmax(df, "id", "p").collect()}
+    out = {r["id"]: r["prediction"] for r in P.ensemble_argmax(df, "id", "p", n_classes=2).collect()}
     assert out == {1: 1, 2: 0}                            # tie -> lowest class
 
 
@@ -86,3 +86,36 @@ def test_override_predictions(spark):
     base = spark.createDataFrame([(1, 0.0), (2, 1.0)], "k int, prediction double")
     over = spark.createDataFrame([(2, 0.0)], "k int, prediction double")
     assert rows(P.override_predictions(base, over, "k", ["prediction"])) == [(1, 0.0), (2, 0.0)]
+
+
+def test_knn_null_labels_and_bad_vectors(spark):
+    nan = float("nan")
+    ref = spark.createDataFrame([(1, [0.0, 0.0], None), (2, [0.1, 0.0], 3), (3, [nan, 0.0], 5), (4, [9.0, 9.0], 4)],
+                                "id int, v array<double>, l int")
+    q = spark.createDataFrame([(10, [0.0, 0.0]), (11, [nan, 1.0]), (12, [9.0, 9.0])], "id int, v array<double>")
+    nb = KNN.knn_neighbours(ref, q, 2, "id", "v", "l")
+    got = {(r["query_id"], r["rank"]): (r["nbr_id"], r["nbr_label"]) for r in nb.collect()}
+    assert got == {(10, 1): (1, None), (10, 2): (2, 3), (11, 1): (None, None), (12, 1): (4, 4), (12, 2): (2, 3)}
+    votes = {r["query_id"]: (r["u"], r["w"]) for r in KNN.knn_votes(nb, {"u": "uniform", "w": "distance"}).collect()}
+    assert votes == {10: (3, 3), 11: (None, None), 12: (3, 4)}
+    lone = KNN.knn_votes(KNN.knn_neighbours(ref.where("id = 1"), q, 2, "id", "v", "l"), {"u": "uniform"})
+    assert {r["query_id"]: r["u"] for r in lone.collect()} == {10: None, 11: None, 12: None}
+
+
+def test_shortlist_follows_the_metric(spark):
+    import random
+
+    from pyspark.ml.classification import DecisionTreeClassifier
+    from pyspark.ml.feature import VectorAssembler
+
+    from tabforge.models import selection as M
+    from tabforge.operators import split as K
+    rnd = random.Random(1)
+    data = [(i, float(x), float(x > 0.5)) for i, x in ((i, rnd.random()) for i in range(300))]
+    df = VectorAssembler(inputCols=["x"], outputCol="features").transform(spark.createDataFrame(data, "id int, x double, label double"))
+    df = K.kfold(df, "id", 3, 1, exact=False)
+    good, bad = DecisionTreeClassifier(maxDepth=3), DecisionTreeClassifier(maxDepth=0)
+    out = M.shortlist({"bad": bad, "good": good}, df, "fold", M.accuracy_evaluator()).collect()
+    assert [r["model"] for r in out] == ["good", "bad"] and all(r["worst"] <= r["mean"] for r in out)
+    out = M.shortlist({"bad": bad, "good": good}, df, "fold", M.rmse_evaluator()).collect()
+    assert [r["model"] for r in out] == ["good", "bad"] and all(r["worst"] >= r["mean"] for r in out)
