@@ -46,7 +46,7 @@ def decision_tree(impurity: str = "gini", max_depth: int = 5, label: str = "labe
     return DecisionTreeClassifier(impurity=impurity, maxDepth=max_depth, labelCol=label, seed=seed)
 
 
-def random_forest(n_estimators: int = 20, max_depth: int = 5, min_samples_split: int = 2,
+def random_forest(n_estimators: int = 500, max_depth: int = 5, min_samples_split: int = 2,
                   label: str = "label", regression: bool = False, seed: int = 42):
     """L2: ``min_samples_split`` becomes ``minInstancesPerNode`` (a child must
     keep at least half of a splittable node, the nearest MLlib knob)."""
@@ -55,7 +55,7 @@ def random_forest(n_estimators: int = 20, max_depth: int = 5, min_samples_split:
     return RandomForestRegressor(**kw) if regression else RandomForestClassifier(**kw)
 
 
-def gradient_boosting(n_estimators: int = 20, learning_rate: float = 0.1, max_depth: int = 3,
+def gradient_boosting(n_estimators: int = 100, learning_rate: float = 0.1, max_depth: int = 3,
                       subsample: float = 1.0, label: str = "label", regression: bool = False,
                       seed: int = 42):
     """L3: binary gradient boosting."""
@@ -64,7 +64,7 @@ def gradient_boosting(n_estimators: int = 20, learning_rate: float = 0.1, max_de
     return GBTRegressor(**kw) if regression else GBTClassifier(**kw)
 
 
-def xgb_like(n_estimators: int = 20, eta: float = 0.3, max_depth: int = 6, subsample: float = 1.0,
+def xgb_like(n_estimators: int = 100, eta: float = 0.3, max_depth: int = 6, subsample: float = 1.0,
              colsample: float = 1.0, n_classes: int = 2, label: str = "label",
              regression: bool = False, validation_col: str | None = None, seed: int = 42):
     """L4 re-aimed: ``eta`` -> ``stepSize``, ``subsample`` -> ``subsamplingRate``,
@@ -105,8 +105,17 @@ def softmax_regression(label: str = "label", max_iter: int = 100):
     return LogisticRegression(family="multinomial", regParam=0.0, maxIter=max_iter, labelCol=label)
 
 
+def doubling_steps(most: int) -> list[int]:
+    """1, 2, 4, ... and ``most`` itself: the iteration path of early stopping."""
+    steps = [1]
+    while steps[-1] * 2 < most:
+        steps.append(steps[-1] * 2)
+    return steps + ([most] if most > 1 else [])
+
+
 def softmax_early_stop(train: DataFrame, valid: DataFrame, label: str = "label",
-                       steps: Sequence[int] = (1, 2, 4, 8, 16, 32), eps: float = 1e-10):
+                       steps: Sequence[int] = (1, 2, 4, 8, 16, 32, 64, 128, 256, 512, 1024, 2048, 4096, 5001),
+                       eps: float = 1e-10):
     """L8 early stopping: fit along an iteration path, score validation
     cross-entropy (H11) after each, stop at the first rise; returns
     ``(best model, [(iterations, loss)])``."""

@@ -45,35 +45,9 @@ class Gram:
         return mx, my, cxx, cxy, cyy
 
 
-def _gram_aggs(features: Sequence[str], label: str) -> list[Column]:
-    x = [F.col(f).cast("double") for f in features]
-    y = F.col(label).cast("double")
-    aggs = [F.count(F.lit(1)).cast("double").alias("n"), F.sum(y).alias("sy"),
-            F.sum(y * y).alias("yy")]
-    p = len(features)
-    for i in range(p):
-        aggs += [F.sum(x[i]).alias(f"sx{i}"), F.sum(x[i] * y).alias(f"xy{i}")]
-        for j in range(i, p):
-            aggs.append(F.sum(x[i] * x[j]).alias(f"xx{i}_{j}"))
-    return aggs
-
-
-def _row_to_gram(r, p: int) -> Gram:
-    xx = np.zeros((p, p))
-    for i in range(p):
-        for j in range(i, p):
-            xx[i, j] = xx[j, i] = r[f"xx{i}_{j}"] or 0.0
-    return Gram(float(r["n"] or 0.0), np.array([r[f"sx{i}"] or 0.0 for i in range(p)]),
-                float(r["sy"] or 0.0), xx, np.array([r[f"xy{i}"] or 0.0 for i in range(p)]),
-                float(r["yy"] or 0.0))
-
-
-WIDE_FEATURES = 32
-
-
-def _gram_wide(clean: DataFrame, features: Sequence[str], label: str,
+def _gram_sums(clean: DataFrame, features: Sequence[str], label: str,
                fold: str | None = None) -> dict:
-    """Many features: each task forms ``A'A`` for ``A = [1, X, y]`` with NumPy
+    """Each task forms ``A'A`` for ``A = [1, X, y]`` with NumPy
     (one (p+2) x (p+2) matrix per task and fold, upper triangle emitted), and
     ``groupBy(fold, i, j).sum`` adds the tasks' matrices. The shuffle is
     ~(p+2)^2 / 2 rows per task and fold, independent of the row count.
@@ -107,20 +81,15 @@ def _gram_wide(clean: DataFrame, features: Sequence[str], label: str,
 
 
 def gram(df: DataFrame, features: Sequence[str], label: str) -> Gram:
-    """One aggregate job over complete rows (NULL in any input drops the row):
-    named sums for few features, a per-task NumPy kernel for many."""
-    clean = df.dropna(subset=[*features, label])
-    if len(features) > WIDE_FEATURES:
-        return _gram_wide(clean, features, label)[0]
-    return _row_to_gram(clean.agg(*_gram_aggs(features, label)).first(), len(features))
+    """One aggregate job over complete rows (NULL in any input drops the row)."""
+    found = _gram_sums(df.dropna(subset=[*features, label]), features, label)
+    p = len(features)
+    return found.get(0, Gram(0.0, np.zeros(p), 0.0, np.zeros((p, p)), np.zeros(p), 0.0))
 
 
 def fold_grams(df: DataFrame, features: Sequence[str], label: str, fold: str) -> dict[int, Gram]:
     clean = df.dropna(subset=[*features, label])
-    if len(features) > WIDE_FEATURES:
-        return _gram_wide(clean, features, label, fold)
-    rows = clean.groupBy(fold).agg(*_gram_aggs(features, label)).collect()  # k rows
-    return {r[fold]: _row_to_gram(r, len(features)) for r in rows}
+    return _gram_sums(clean, features, label, fold)
 
 
 @dataclass

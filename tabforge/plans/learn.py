@@ -4,8 +4,8 @@
 Model outputs are not SQL-expressible, so these entries carry no oracle SQL
 (rows-only check); each returns one row per input key (or one per model /
 fold / parameter point) so lost or duplicated rows are still visible. Their
-numeric checks live in ``tests/test_models.py``. Fits are kept small
-(``maxIter <= 20``, trees <= 20) as the registry runs at sf0.01.
+numeric checks live in ``tests/test_models.py``. The sizes of the fits below
+are those of the reference; every query takes them as parameters.
 """
 
 from __future__ import annotations
@@ -42,6 +42,15 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+# The reference's sizes of fits and searches.
+FOREST_TREES = 500
+BOOST_ROUNDS = 100
+ADABOOST_ROUNDS = 200
+ADABOOST_RATE = 0.5
+SOFTMAX_MOST_STEPS = 5001
+RANDOM_DRAWS = 10
+HOLDOUT_REPETITIONS = 50
+
 CUST_FEATURES = ["c_acctbal", "c_nationkey", "n_orders", "avg_price"]
 EMB_DIM = 64
 
@@ -95,29 +104,32 @@ def q_tree_dump(spark, d):
 
 
 @query("q_importance")
-def q_importance(spark, d):
+def q_importance(spark, d, trees: int = FOREST_TREES, cut: float = 0.02):
     t = customer_table(spark, d)
-    m = L.random_forest(10, 4).fit(t)
+    m = L.random_forest(trees, 4).fit(t)
     imp = N.feature_importance(spark, CUST_FEATURES, m.featureImportances)      # N6 / G5
     top = N.top_k_features(CUST_FEATURES, m.featureImportances, 2)             # G6
     sliced = VectorSlicer(inputCol="features", outputCol="top", indices=top).transform(t)
-    width = sliced.select(F.size(vector_to_array("top"))).first()[0]
+    refit = L.decision_tree("gini", 4).setFeaturesCol("top").fit(sliced)       # fit on the top features alone
+    hits = refit.transform(sliced).agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0]
+    kept = N.features_above(CUST_FEATURES, m.featureImportances, cut)          # G7: the others are dropped
+    left = t.drop(*[c for c in CUST_FEATURES if c not in kept]).columns
     return imp.withColumn("selected", F.col("feature").isin([CUST_FEATURES[i] for i in top])) \
-              .withColumn("kept", F.col("importance") >= 0.02) \
-              .withColumn("slice_width", F.lit(width))                          # G7: cut-off flag
+              .withColumn("kept", F.col("feature").isin([c for c in CUST_FEATURES if c in left])) \
+              .withColumn("top_accuracy", F.lit(float(hits)))
 
 
 @query("q_forest")
-def q_forest(spark, d):
+def q_forest(spark, d, trees: int = FOREST_TREES):
     t = emb_table(spark, d, binary=True)
-    m = L.random_forest(20, 5).fit(t)
+    m = L.random_forest(trees, 5).fit(t)
     return _keyed(m.transform(t), "vec_id", [L.col_prob1().alias("p1")])
 
 
 @query("q_gbt")
-def q_gbt(spark, d):
+def q_gbt(spark, d, rounds: int = BOOST_ROUNDS):
     t = emb_table(spark, d, binary=True)
-    m = L.gradient_boosting(10, 0.1, 3).fit(t)
+    m = L.gradient_boosting(rounds, 0.1, 3).fit(t)
     return _keyed(m.transform(t), "vec_id")
 
 
@@ -144,23 +156,23 @@ def q_adaboost(spark, d):
 @query("q_logit")
 def q_logit(spark, d):
     t = emb_table(spark, d, binary=True)
-    m = L.logistic(1.0, t.count(), max_iter=20).fit(t)
+    m = L.logistic(1.0, t.count()).fit(t)
     scored = m.transform(t).withColumn("p1", L.col_prob1())
     return _keyed(scored.withColumn("prediction", C.threshold("p1", 0.5)), "vec_id", ["p1"])  # B20
 
 
 @query("q_softmax_reg")
-def q_softmax_reg(spark, d):
+def q_softmax_reg(spark, d, most_steps: int = SOFTMAX_MOST_STEPS):
     t = K.three_way_split(emb_table(spark, d), "vec_id", 0.2, 0.2, 9)
     best, path = L.softmax_early_stop(t.where("split = 'train'"), t.where("split = 'valid'"),
-                                      steps=(1, 2, 4, 8, 16))
+                                      steps=L.doubling_steps(most_steps))
     return _keyed(best.transform(t), "vec_id", ["split", F.lit(len(path)).alias("path_len")])
 
 
 @query("q_svc")
 def q_svc(spark, d):
     t = emb_table(spark, d, binary=True)
-    m = L.linear_svc(1.0, t.count(), max_iter=20).fit(t)
+    m = L.linear_svc(1.0, t.count()).fit(t)
     return _keyed(m.transform(t), "vec_id")
 
 
@@ -172,7 +184,7 @@ def q_decision_line(spark, d):
                  (F.col("label") == 2).cast("double").alias("label"))       # binary target class == 2
     t = J.standard_scale(t, ["x0", "x1"])                                  # J5 fitted on itself
     t = L.assemble(t, ["x0", "x1"])
-    m = L.linear_svc(1.0, t.count(), max_iter=20).fit(t)
+    m = L.linear_svc(1.0, t.count()).fit(t)
     slope, offset = L.decision_line(m.coefficients, m.intercept)           # H17
     return _keyed(m.transform(t), "vec_id", [F.lit(slope).alias("slope"), F.lit(offset).alias("offset")])
 
@@ -181,7 +193,7 @@ def q_decision_line(spark, d):
 def q_kernel_svm(spark, d):
     e = emb_table(spark, d, binary=True)
     t = L.random_fourier_features(e, "embedding", EMB_DIM, gamma=0.01, n_components=32, seed=3)
-    m = L.linear_svc(1.0, t.count(), max_iter=20).setFeaturesCol("rff").fit(t)
+    m = L.linear_svc(1.0, t.count()).setFeaturesCol("rff").fit(t)
     poly = L.poly_features(2, "features", "poly").transform(e.select("vec_id", "features"))
     width = poly.select(F.size(vector_to_array("poly"))).first()[0]
     return _keyed(m.transform(t), "vec_id", [F.lit(width).alias("poly_width")])
@@ -196,15 +208,15 @@ def q_nb(spark, d):
 @query("q_mlp")
 def q_mlp(spark, d):
     t = emb_table(spark, d)
-    return _keyed(L.mlp(EMB_DIM, 10, (16,), max_iter=20).fit(t).transform(t), "vec_id")
+    return _keyed(L.mlp(EMB_DIM, 10, (16,)).fit(t).transform(t), "vec_id")
 
 
 @query("q_vote")
 def q_vote(spark, d):
     t = emb_table(spark, d, binary=True)
     n = t.count()
-    models = [L.random_forest(10, 4).fit(t), L.logistic(1.0, n, max_iter=20).fit(t),
-              L.mlp(EMB_DIM, 2, (8,), max_iter=20).fit(t), L.platt_svc(1.0, n).fit(t)]
+    models = [L.random_forest(FOREST_TREES, 4).fit(t), L.logistic(1.0, n).fit(t),
+              L.mlp(EMB_DIM, 2, (8,)).fit(t), L.platt_svc(1.0, n).fit(t)]
     return _keyed(L.soft_vote(models, t), "vec_id")
 
 
@@ -239,8 +251,8 @@ def q_linear_family(spark, d):
     li = li.withColumnRenamed("l_extendedprice", "label")
     ols = L.linear().fit(li)
     rid = L.ridge(1.0, li).fit(li)
-    las = L.lasso(1.0, max_iter=20).fit(li)
-    ela = L.elastic_net(1.0, 0.5, li, max_iter=20).fit(li)
+    las = L.lasso(1.0).fit(li)
+    ela = L.elastic_net(1.0, 0.5, li).fit(li)
     out = li.select("line_id", "features")
     for name, m in (("ols", ols), ("ridge", rid), ("lasso", las), ("enet", ela)):
         out = m.setPredictionCol(f"pred_{name}").transform(out)
@@ -260,16 +272,20 @@ def q_cv_scores(spark, d):
 @query("q_shortlist")
 def q_shortlist(spark, d):
     t = K.kfold(emb_table(spark, d, binary=True), "vec_id", 3, 2, exact=False).cache()
-    n = t.count()
-    cands = {"tree": L.decision_tree("gini", 4), "forest": L.random_forest(10, 4),
-             "logistic": L.logistic(1.0, n, max_iter=20), "nb": L.gaussian_nb()}
-    return M.shortlist(cands, t, "fold", M.accuracy_evaluator())
+    n = t.count() * 2 // 3
+    cands = {"tree": L.decision_tree("gini", 4), "forest": L.random_forest(FOREST_TREES, 4),
+             "logistic": L.logistic(1.0, n), "nb": L.gaussian_nb()}
+    try:
+        return M.shortlist(cands, t, "fold", M.accuracy_evaluator())
+    finally:
+        t.unpersist()
 
 
 @query("q_oof")
 def q_oof(spark, d):
     t = K.kfold(emb_table(spark, d, binary=True), "vec_id", 3, 4, exact=False)
-    oof = M.oof_predictions(L.logistic(1.0, 400, max_iter=20), t, "fold", ["vec_id", "label"])
+    n_fit = t.count() * 2 // 3                                    # rows that each fold's model sees
+    oof = M.oof_predictions(L.logistic(1.0, n_fit), t, "fold", ["vec_id", "label"])
     r2 = N.regression_errors(oof, "prediction", "label").first()["r2"]          # N7
     return oof.withColumn("r2", F.lit(r2)).drop("label")
 
@@ -285,11 +301,11 @@ def q_grid(spark, d):
 
 
 @query("q_random_search")
-def q_random_search(spark, d):
+def q_random_search(spark, d, draws: int = RANDOM_DRAWS):
     t = K.kfold(emb_table(spark, d, binary=True), "vec_id", 3, 8, exact=False)
-    est = L.logistic(1.0, 400, max_iter=20)
+    est = L.logistic(1.0, t.count() * 2 // 3)
     maps = M.sample_params(est, {"regParam": ("loguniform", 1e-4, 1.0),
-                                 "elasticNetParam": ("uniform", 0.0, 1.0)}, n_iter=6, seed=42)
+                                 "elasticNetParam": ("uniform", 0.0, 1.0)}, n_iter=draws, seed=42)
     table_, _, _ = M.search(est, maps, t, "fold", M.accuracy_evaluator(), parallelism=3)
     return table_
 
@@ -333,10 +349,15 @@ def q_override_model(spark, d):
 
 
 @query("q_repeat_holdout_models")
-def q_repeat_holdout_models(spark, d):
+def q_repeat_holdout_models(spark, d, repetitions: int = HOLDOUT_REPETITIONS):
     t = emb_table(spark, d, binary=True).cache()
-    return M.repeated_holdout({"logistic": L.logistic(1.0, 400, max_iter=10),
-                               "tree": L.decision_tree("gini", 3)}, t, "vec_id", 3, 0.25, "label")
+    n = t.count() * 3 // 4
+    try:
+        return M.repeated_holdout({"logistic": L.logistic(1.0, n), "tree": L.decision_tree("gini", 3),
+                                   "nb": L.gaussian_nb(), "svc": L.linear_svc(1.0, n)},
+                                  t, "vec_id", repetitions, 0.25, "label", parallelism=8)
+    finally:
+        t.unpersist()
 
 
 # ---------------------------------------------------------------- persistence and pipelines
@@ -344,7 +365,7 @@ def q_repeat_holdout_models(spark, d):
 @query("q_persist_model")
 def q_persist_model(spark, d):
     t = customer_table(spark, d)
-    m = L.logistic(1.0, t.count(), max_iter=20).fit(t)
+    m = L.logistic(1.0, t.count()).fit(t)
     base = scratch_dir(spark, f"persisted_logistic_{_tag(d)}")
     IO.save_model(m, base, {"C": 1.0})                                         # A10
     from pyspark.ml.classification import LogisticRegressionModel
@@ -364,7 +385,7 @@ def q_column_transformer(spark, d):
     cat = [StringIndexer(inputCol="c_mktsegment", outputCol="seg_idx", stringOrderType="alphabetAsc"),
            J.one_hot_vector("seg_idx", "seg_vec")]                              # categorical branch
     asm = VectorAssembler(inputCols=["bal_f_std", "seg_vec"], outputCol="features")  # J12
-    clf = L.logistic(1.0, 1000, max_iter=20)
+    clf = L.logistic(1.0, c.count())
     model = Pipeline(stages=[*num, *cat, asm, clf]).fit(c)                      # J11
     return _keyed(model.transform(c), "c_custkey")
 

@@ -402,11 +402,12 @@ def q_crosstab(spark, d):
 
 @query("q_histogram", """
 WITH s AS (SELECT min(value) AS lo, max(value) AS hi FROM events),
-b AS (SELECT CAST(least(floor((value - lo) / ((hi - lo) / 10)), 9) AS INTEGER) AS bin, lo, hi
-      FROM events, s)
-SELECT bin, round(lo + bin * ((hi - lo) / 10), 6) AS lo, round(lo + (bin + 1) * ((hi - lo) / 10), 6) AS hi,
-       count(*) AS n
-FROM b GROUP BY bin, lo, hi""")
+b AS (SELECT CAST(least(floor((value - lo) / ((hi - lo) / 10)), 9) AS INTEGER) AS bin, count(*) AS n
+      FROM events, s WHERE value IS NOT NULL GROUP BY ALL),
+e AS (SELECT CAST(range AS INTEGER) AS bin, lo, hi FROM range(10), s)
+SELECT e.bin, round(lo + e.bin * ((hi - lo) / 10), 6) AS lo, round(lo + (e.bin + 1) * ((hi - lo) / 10), 6) AS hi,
+       coalesce(n, 0) AS n
+FROM e LEFT JOIN b ON e.bin = b.bin""")
 def q_histogram(spark, d):
     ev = table(spark, d, "events", "value")
     h = E.histogram(ev, "value", 10)
@@ -841,28 +842,41 @@ SOFTMAX_SQL = ("list_transform(list_transform({a}, lambda x: exp(x - list_max({a
                "lambda y: y / list_sum(list_transform({a}, lambda x: exp(x - list_max({a})))))")
 
 
+#: Ten class scores from a vector of any length: score k sums the values k, k + 10, k + 20, ...
+CLASS_SCORES_SQL = ("list_transform(range(0, 10), lambda k: list_sum(list_transform("
+                    "range(CAST(k AS BIGINT) + 1, len({v}) + 1, 10), lambda i: {v}[i])))")
+
+
+def class_scores(v):
+    """The same in Spark: values of the vector by index modulo 10, summed in order."""
+    return F.transform(F.sequence(F.lit(0), F.lit(9)), lambda k: F.aggregate(
+        F.filter(v, lambda x, i: i % 10 == k), F.lit(0.0), lambda a, x: a + x))
+
+
 @query("q_softmax_xent", """
-WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[])[1:10] AS z FROM embeddings),
+WITH v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+e AS (SELECT vec_id, label, """ + CLASS_SCORES_SQL.format(v="v") + """ AS z FROM v),
 p AS (SELECT vec_id, label, """ + SOFTMAX_SQL.format(a="z") + """ AS pr FROM e)
 SELECT vec_id, CAST(list_position(pr, list_max(pr)) - 1 AS INTEGER) AS argmax,
        round(list_max(pr), 6) AS p_max, round(-ln(pr[label + 1] + 1e-10), 6) AS xent
 FROM p""")
 def q_softmax_xent(spark, d):
     e = table(spark, d, "embeddings", "vec_id", "embedding", "label")
-    z = e.select("vec_id", "label", F.slice(A.to_double_array("embedding"), 1, 10).alias("z"))
+    z = e.select("vec_id", "label", class_scores(A.to_double_array("embedding")).alias("z"))
     p = A.with_softmax(z, "z", "pr")
     return p.select("vec_id", A.argmax("pr").alias("argmax"), r6(F.array_max("pr")).alias("p_max"),
                     r6(A.cross_entropy_term("pr", "label")).alias("xent"))
 
 
 @query("q_xent_mean", """
-WITH e AS (SELECT label, CAST(embedding AS DOUBLE[])[1:10] AS z FROM embeddings),
+WITH v AS (SELECT label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+e AS (SELECT label, """ + CLASS_SCORES_SQL.format(v="v") + """ AS z FROM v),
 p AS (SELECT label, """ + SOFTMAX_SQL.format(a="z") + """ AS pr FROM e)
 SELECT round(avg(-ln(pr[label + 1] + 1e-10)), 6) AS xent, round(avg(CAST(
     list_position(pr, list_max(pr)) - 1 = label AS DOUBLE)), 6) AS accuracy FROM p""")
 def q_xent_mean(spark, d):
     e = table(spark, d, "embeddings", "embedding", "label")
-    z = e.select("label", F.slice(A.to_double_array("embedding"), 1, 10).alias("z"))
+    z = e.select("label", class_scores(A.to_double_array("embedding")).alias("z"))
     p = A.with_softmax(z, "z", "pr")
     return p.agg(r6(F.avg(A.cross_entropy_term("pr", "label"))).alias("xent"),
                  r6(F.avg((A.argmax("pr") == F.col("label")).cast("double"))).alias("accuracy"))
@@ -870,7 +884,7 @@ def q_xent_mean(spark, d):
 
 @query("q_prob_ensemble", """
 WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
-m AS (SELECT vec_id, k AS model, v[k * 10 + 1: k * 10 + 10] AS z FROM e, range(0, 6) t(k)),
+m AS (SELECT vec_id, k AS model, list_resize(v[k * 10 + 1: k * 10 + 10], 10, 0.0) AS z FROM e, range(0, 7) t(k)),
 p AS (SELECT vec_id, model, """ + SOFTMAX_SQL.format(a="z") + """ AS pr FROM m),
 c AS (SELECT vec_id, i - 1 AS cls, sum(pr[i]) AS score FROM p, range(1, 11) r(i) GROUP BY vec_id, i),
 r AS (SELECT vec_id, cls, score, row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, cls) AS rn FROM c)
@@ -878,10 +892,10 @@ SELECT vec_id, CAST(cls AS INTEGER) AS prediction, round(score, 6) AS prediction
 def q_prob_ensemble(spark, d):
     e = table(spark, d, "embeddings", "vec_id", "embedding")
     v = A.to_double_array("embedding")
-    # six "models": softmax over consecutive 10-value slices of each vector (long form)
-    long = e.select("vec_id", F.posexplode(F.array(*[F.slice(v, k * 10 + 1, 10) for k in range(6)]))
-                    .alias("model", "z"))
-    out = P.ensemble_argmax(A.with_softmax(long, "z", "pr"), "vec_id", "pr")
+    # seven "models": softmax over consecutive 10-value slices of all 64 values, the last filled with 0
+    part = lambda k: F.slice(F.concat(F.slice(v, k * 10 + 1, 10), F.array_repeat(F.lit(0.0), 10)), 1, 10)
+    long = e.select("vec_id", F.posexplode(F.array(*[part(k) for k in range(7)])).alias("model", "z"))
+    out = P.ensemble_argmax(A.with_softmax(long, "z", "pr"), "vec_id", "pr", n_classes=10)
     return out.select("vec_id", "prediction", r6("prediction_score").alias("prediction_score"))
 
 
@@ -939,12 +953,11 @@ def q_csv_capped(spark, d):
 @query("q_materialize", """
 SELECT p_type, count(*) AS n, round(avg(p_retailprice), 6) AS avg_price FROM part GROUP BY p_type""")
 def q_materialize(spark, d):
-    # the copy is keyed by its input folder and checked against the input's row count
+    # the copy is keyed by its input files: their names, sizes and times
     path = scratch_dir(spark, f"materialized_part_by_type_{_tag(d)}")
     p = table(spark, d, "part", "p_type", "p_retailprice")
     builder = lambda: p.groupBy("p_type").agg(F.count(F.lit(1)).alias("n"),
                                               r6(F.avg("p_retailprice")).alias("avg_price"))
-    n_rows = p.count()
-    fresh = lambda t: t.agg(F.sum("n")).first()[0] == n_rows
-    IO.materialize(spark, path, builder, valid=fresh)            # first call builds (or reuses)
-    return IO.materialize(spark, path, builder, valid=fresh)     # second call reuses
+    seen = IO.source_fingerprint(p)
+    IO.materialize(spark, path, builder, fingerprint=seen)            # first call builds (or reuses)
+    return IO.materialize(spark, path, builder, fingerprint=seen)     # second call reuses

@@ -9,6 +9,7 @@ machine-local temp space on a cluster.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -67,15 +68,27 @@ def write_score_lines(scores: DataFrame, path: str) -> str:
     return path
 
 
+def source_fingerprint(df: DataFrame) -> str:
+    """A digest of the files behind a file-based frame: names, sizes and times, one aggregate row."""
+    files = df.sparkSession.read.format("binaryFile").load(df.inputFiles()).select(
+        F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)").alias("h"))
+    r = files.agg(F.count(F.lit(1)).alias("n"), F.sum("h").alias("h")).first()
+    return f"{r['n']}-{r['h']}"
+
+
 def materialize(spark: SparkSession, path: str, builder: Callable[[], DataFrame],
                 valid: Callable[[DataFrame], bool] | None = None,
-                expected_rows: int | None = None) -> DataFrame:
+                expected_rows: int | None = None, fingerprint: str | None = None) -> DataFrame:
     """Reuse a Parquet copy when present and valid, else rebuild it.
 
-    Validity is ``valid(df)`` or a row-count check (the reference's
-    "5 x input rows" staleness rule is ``expected_rows=5 * n``). The returned
-    frame always reads the written copy, which also cuts lineage.
+    With a ``fingerprint`` of the sources (``source_fingerprint``) each state of
+    the sources has a copy of its own, so changed values never meet an old one.
+    Further validity is ``valid(df)`` or a row-count check (the "5 x input rows"
+    staleness rule is ``expected_rows=5 * n``). The returned frame always reads
+    the written copy, which also cuts lineage.
     """
+    if fingerprint is not None:
+        path = f"{path.rstrip('/')}/{fingerprint}"
     try:
         existing = spark.read.parquet(path)
         ok = True
@@ -95,9 +108,11 @@ def stage_table(df: DataFrame, path: str) -> DataFrame:
     """Write an expensive intermediate once (Parquet, shared folder) and read it
     back: later passes scan the narrow columnar copy instead of recomputing
     its joins, and the lineage is cut, so a lost executor re-reads files
-    rather than replaying the plan."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    rather than replaying the plan. Every call writes a folder of its own below
+    ``path``, so runs side by side never replace each other's files."""
+    run = f"{path.rstrip('/')}/{uuid.uuid4().hex}"
+    df.write.parquet(run)
+    return df.sparkSession.read.schema(df.schema).parquet(run)
 
 
 def save_model(model, path: str, params: Mapping | None = None) -> str:

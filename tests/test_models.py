@@ -40,20 +40,15 @@ def test_gram_ols_and_ridge_match_closed_form(reg_data):
     assert pred < 0.12
 
 
-def test_wide_gram_path_equals_named_sums(reg_data, monkeypatch):
-    df, _, _ = reg_data
-    narrow = GR.gram(df, FEATS, "y")
-    monkeypatch.setattr(GR, "WIDE_FEATURES", 1)
-    wide = GR.gram(df.repartition(5), FEATS, "y")
-    for a, b in zip([narrow.n, narrow.sy, narrow.yy], [wide.n, wide.sy, wide.yy]):
-        assert a == pytest.approx(b, rel=1e-10)
-    for a, b in zip([narrow.sx, narrow.xx, narrow.xy], [wide.sx, wide.xx, wide.xy]):
-        assert np.allclose(a, b, rtol=1e-10)
+def test_gram_and_folds_equal_numpy(reg_data):
+    df, X, y = reg_data
+    g = GR.gram(df.repartition(5), FEATS, "y")
+    assert g.n == len(y) and g.sy == pytest.approx(y.sum(), rel=1e-9) and g.yy == pytest.approx(y @ y, rel=1e-9)
+    assert np.allclose(g.xx, X.T @ X, rtol=1e-9) and np.allclose(g.xy, X.T @ y, rtol=1e-9)
     f = K.kfold(df, "id", 3, 1, exact=False)
-    wide_cv = GR.cv_rmse(f, FEATS, "y", "fold", ["ols"]).orderBy("fold").collect()
-    monkeypatch.setattr(GR, "WIDE_FEATURES", 32)
-    narrow_cv = GR.cv_rmse(f, FEATS, "y", "fold", ["ols"]).orderBy("fold").collect()
-    assert [r["rmse"] for r in wide_cv] == pytest.approx([r["rmse"] for r in narrow_cv], rel=1e-9)
+    parts = GR.fold_grams(f, FEATS, "y", "fold")
+    assert sum(p.n for p in parts.values()) == len(y)
+    assert np.allclose(sum(p.xx for p in parts.values()), g.xx, rtol=1e-9)
 
 
 def test_bayesian_ridge_and_ard_on_gram_equal_data_matrix(reg_data):

@@ -31,3 +31,14 @@ def test_stage_table_round_trip_and_materialize_reuse(spark):
     IO.materialize(spark, path, build, expected_rows=-1)        # stale -> rebuilt
     again = IO.materialize(spark, path, build, expected_rows=100)
     assert again.count() == 100 and len(calls) == 1
+
+
+def test_changed_values_of_equal_count_are_seen(spark, tmp_path):
+    src = f"{tmp_path}/src"
+    spark.range(5).write.parquet(src)
+    build = lambda: spark.read.parquet(src).agg({"id": "sum"}).toDF("s")
+    one = IO.materialize(spark, f"{tmp_path}/copy", build, fingerprint=IO.source_fingerprint(spark.read.parquet(src)))
+    assert one.first()["s"] == 10
+    spark.range(10, 15).write.mode("overwrite").parquet(src)
+    two = IO.materialize(spark, f"{tmp_path}/copy", build, fingerprint=IO.source_fingerprint(spark.read.parquet(src)))
+    assert two.first()["s"] == 60 and one.first()["s"] == 10
