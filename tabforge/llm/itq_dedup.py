@@ -25,12 +25,12 @@ from .common import least_hashed, stage
 from .components import components
 
 #: Vectors from which the rotation is learnt.
-SAMPLE = 20_000
+SAMPLE = 10_000
 CHUNKS = 4
 CHUNK_BITS = 16
 ROUNDS = 50
 #: Pairs farther apart than this are not reranked (cosine 0.9: 9.2 bits on average, 2.8 deviation).
-RADIUS = 22
+RADIUS = 18
 #: Recall at the threshold below which codes are taken about the origin instead of the mean.
 LEAST_RECALL = 0.9
 
