@@ -1,18 +1,20 @@
 """Query registry for ``__spark_entry__``: name -> builder, and name -> oracle SQL.
 
-``prep`` holds the SQL-checked table/feature/split/metric queries; ``learn``
+``prep`` holds the SQL-checked table/feature/split/metric queries, ``closed`` the
+SQL-checked ones with a closed form (linear models, imputation); ``learn``
 holds estimator and model-selection queries (rows-only checks: their SQL
 equivalent does not exist, their real checks are the estimator tests).
 """
 
 from __future__ import annotations
 
-from . import learn, prep
+from . import closed, learn, prep
 
 
 def _all() -> dict[str, tuple]:
     out = dict(prep.QUERIES)
     out.update(learn.QUERIES)
+    out.update(closed.QUERIES)
     return out
 
 
