@@ -7,13 +7,17 @@
    sets with Jaccard >= t share a shingle among the first n - ceil(t n) + 1 of
    each. Nodes with equal prefixes and size form one group; only groups are
    posted under their prefix shingles. Shingles with large counts are salted.
-3. Each posting list first proposes a star: every group against one leader. The
-   verified links make components, and later rounds and the final join propose
-   only pairs of groups that are not within one component yet. So a group of n
-   near copies costs about n comparisons, and still every pair that could
-   connect two components is proposed.
-4. Group pairs pass the size and position filters, then expand to members, whose
-   whole sets are compared exactly.
+3. Each posting list proposes a star: every group against one leader. A group
+   joins the leader with which it shares the most lists, if these are a fair part
+   of its prefix; that makes tentative clusters, unverified.
+4. Group pairs of different clusters that share a list are filtered by size and
+   by the number of prefix shingles they share, which bounds the intersection
+   from above. They and the stars expand to members, whose whole sets are
+   compared exactly; the links make components.
+5. Within a cluster, verified stars and at last all pairs are proposed, but only
+   between members of different components. So a group of n near copies costs
+   about n comparisons, and still every pair that could connect two components
+   is compared.
 """
 
 from __future__ import annotations
@@ -37,6 +41,8 @@ SKETCH_CHUNKS = 256
 #: Postings that one salt of a frequent shingle holds, about.
 SALT_ROWS = 2000
 STAR_ROUNDS = 2
+#: Percent of its prefix that a group must share with a leader to join it tentatively.
+STAR_SHARE = 10
 #: Words whose hashes a task keeps.
 KNOWN_WORDS = 500_000
 
@@ -221,10 +227,8 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                  .where(100 * F.col("i") >= percent * (F.size("x") + F.size("y") - F.col("i"))).select("a", "b"), "links")
 
 
-def _component_of(members: DataFrame, links: DataFrame | None) -> DataFrame:
-    """(g, s, n, c): the component of each node so far."""
-    if links is None:
-        return members.withColumn("c", F.col("s"))
+def _component_of(members: DataFrame, links: DataFrame) -> DataFrame:
+    """``members`` (with column s) and c: the component of each node so far."""
     found = components(links, "a", "b").select(F.col("node").alias("s"), "component")
     return members.join(found, "s", "left").withColumn("c", F.coalesce("component", "s")).drop("component")
 
@@ -255,13 +259,21 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75) -> Da
     listed = Window.partitionBy("token", "salt")
     shared = stage(posted.withColumn("k", F.count("*").over(listed)).where("k > 1 or salt > 0")
                    .select("token", "g", F.shiftright("np", 32).alias("n"), F.col("np").bitwiseAND(F.lit(0x7FFFFFFF)).alias("pos")), "postings")
-    many = members.groupBy("g").agg(F.count("*").alias("k")).where("k > 1").select("g")
-    wanted = members.join(shared.select("g").unionByName(many).distinct(), "g", "left_semi")
-    sets = _whole_sets(docs, wanted, width)
-    links = None
+    stars = _tentative_stars(shared, percent)
+    cluster = stage(_clusters(members, stars), "clusters")
+    across = _pairs_across(shared, cluster, percent)
+    own = _own_stars(members)
+    leaders = members.groupBy("g").agg(F.min("s").alias("s"))  # a star needs one member of the leader
+    first = stage(_expand(stars, members, leaders).unionByName(_expand(across, members, members)).unionByName(own).distinct(), "candidates")
+    sets = _whole_sets(docs, first.select(F.col("a").alias("s")).unionByName(first.select(F.col("b").alias("s"))).distinct(), width)
+    links = _verify(first, sets, percent)
+    # lists within one cluster; what differs between clusters has been compared
+    inside = stage(shared.join(cluster, "g").where("clustered").withColumn("token", F.xxhash64("token", "cluster"))
+                   .select("token", "g", "n", "pos"), "cluster-postings")
+    held = stage(members.join(sets.select("s"), "s", "left_semi"), "compared-members")
     for seed in range(STAR_ROUNDS):
-        links = _star_round(members, shared, sets, links, seed, percent)
-    links = _last_round(members, shared, sets, links, percent)
+        links = links.unionByName(_star_round(held, inside, sets, links, seed, percent))
+    links = links.unionByName(_last_round(held, inside, sets, links, percent))
     known = _component_of(members.select("s").distinct(), links).select("s", "c")
     out = rows.join(known.withColumnRenamed("s", "of"), F.col("s") == F.col("of"), "left")
     out = stage(out.select("doc_id", "n", F.when(F.col("n") > 0, F.col("c")).alias("c")), "doc-nodes")
@@ -270,21 +282,80 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75) -> Da
             .select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("c").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id")))
 
 
+def _tentative_stars(shared: DataFrame, percent: int) -> DataFrame:
+    """Written stage (g_a, g_b): each group with the leader it shares the most lists with.
+
+    Only a guide to what is compared first: the leader must share STAR_SHARE of
+    the group's prefix, and nothing is concluded from it.
+    """
+    lead = shared.groupBy("token").agg(F.min(F.struct(F.xxhash64("g").alias("h"), "g", "n")).alias("l"))
+    seen = (shared.join(lead, "token").where("g <> l.g").select("g", "n", F.col("l.g").alias("b"), F.col("l.n").alias("ln"))
+            .where(_near_sizes("n", "ln", percent)).groupBy("g", "n", "b").agg(F.count("*").alias("k")))
+    best = (seen.where(F.col("k") * 100 >= STAR_SHARE * _prefix("n", percent))
+            .groupBy("g").agg(F.max(F.struct("k", "b")).alias("best")))
+    return stage(best.select(F.col("g").alias("g_a"), F.col("best.b").alias("g_b")), "stars")
+
+
+def _clusters(members: DataFrame, stars: DataFrame) -> DataFrame:
+    """(g, cluster, clustered): the tentative cluster of each group, and whether it has other members."""
+    found = components(stars, "g_a", "g_b").select(F.col("node").alias("g"), "component")
+    groups = members.groupBy("g").agg(F.count("*").alias("k")).join(found, "g", "left")
+    roots = found.select(F.col("component").alias("g")).distinct().withColumn("leads", F.lit(True))
+    return groups.join(roots, "g", "left").select(
+        "g", F.coalesce("component", "g").alias("cluster"),
+        (F.col("component").isNotNull() | F.col("leads").isNotNull() | (F.col("k") > 1)).alias("clustered"))
+
+
+def _own_stars(members: DataFrame) -> DataFrame:
+    """(a, b): the members of each group of several against one of them."""
+    one = members.groupBy("g").agg(F.min("s").alias("a"), F.count("*").alias("k")).where("k > 1")
+    return members.join(one, "g").where("s <> a").select("a", F.col("s").alias("b"))
+
+
+def _pairs_across(shared: DataFrame, cluster: DataFrame, percent: int) -> DataFrame:
+    """(g_a, g_b) of different clusters that may reach the similarity.
+
+    ``k`` counts the prefix shingles that both groups have: every list that two
+    clusters share is kept, so the count is whole. Of the two prefixes one ends
+    first in the order of shingles; what is common beyond it lies in the rest of
+    that set, so the intersection is at most k and the longer of the two rests.
+    """
+    post = shared.join(cluster.select("g", "cluster"), "g")
+    mixed = post.groupBy("token").agg(F.min("cluster").alias("lo"), F.max("cluster").alias("hi")).where("lo <> hi").select("token")
+    post = stage(post.join(mixed, "token", "left_semi"), "mixed-postings")
+    a, b = (post.select(F.col("token").alias("t" + k), *[F.col(c).alias(c + k) for c in ("g", "n", "pos", "cluster")]) for k in ("_a", "_b"))
+    pairs = a.join(b, (F.col("t_a") == F.col("t_b")) & (F.col("g_a") < F.col("g_b")) & (F.col("cluster_a") != F.col("cluster_b"))
+                   & _near_sizes("n_a", "n_b", percent))
+    counted = pairs.groupBy("g_a", "g_b", "n_a", "n_b").agg(F.count("*").alias("k"))
+    rest = F.greatest(F.col("n_a") - _prefix("n_a", percent), F.col("n_b") - _prefix("n_b", percent))
+    return stage(counted.where((100 + percent) * (F.col("k") + rest) >= percent * (F.col("n_a") + F.col("n_b")))
+                 .select("g_a", "g_b"), "pairs-across")
+
+
+def _expand(group_pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
+    """(a, b): the members that ``left`` has of one group against those that ``right`` has of the other, a < b."""
+    one = left.select(F.col("g").alias("g_a"), F.col("s").alias("x"))
+    two = right.select(F.col("g").alias("g_b"), F.col("s").alias("y"))
+    return (group_pairs.join(one, "g_a").join(two, "g_b")
+            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
+
+
+def _prefix(n: str, percent: int):
+    """``prefix_size`` of a column."""
+    return F.col(n) - F.ceil(F.col(n) * percent / F.lit(100)) + 1
+
+
 def _near_sizes(a: str, b: str, percent: int):
     return (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
 
 
-def _spans_of_groups(members: DataFrame, links: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+def _spans_of_groups(members: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(members with component, groups with their least and greatest component and one member)."""
     known = stage(_component_of(members, links), "node-components")
     spans = known.groupBy("g").agg(F.min("c").alias("c1"), F.max("c").alias("c2"), F.min("s").alias("one"))
     return known, stage(spans, "group-components")
 
 
-def _add(links: DataFrame | None, more: DataFrame) -> DataFrame:
-    return more if links is None else links.unionByName(more)
-
-
 def _star_round(members, shared, sets, links, seed: int, percent: int) -> DataFrame:
     """Compare the members of each posted group with one leader of the list, where components differ."""
     known, spans = _spans_of_groups(members, links)
@@ -299,7 +370,7 @@ def _star_round(members, shared, sets, links, seed: int, percent: int) -> DataFr
     leader = known.select(F.col("s").alias("b"), F.col("c").alias("cb"))
     pairs = (stars.unionByName(own).distinct().join(known, "g").join(leader, "b").where("s <> b and c <> cb")
              .select(F.least("s", "b").alias("a"), F.greatest("s", "b").alias("b")).distinct())
-    return _add(links, _verify(pairs, sets, percent))
+    return _verify(pairs, sets, percent)
 
 
 def _last_round(members, shared, sets, links, percent: int) -> DataFrame:
@@ -320,4 +391,4 @@ def _last_round(members, shared, sets, links, percent: int) -> DataFrame:
     right = known.select(F.col("g").alias("g_b"), F.col("s").alias("b"), F.col("c").alias("cb"))
     expanded = (pairs.unionByName(own).join(left, "g_a").join(right, "g_b").where("ca <> cb")
                 .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    return _add(links, _verify(expanded, sets, percent))
+    return _verify(expanded, sets, percent)
