@@ -264,10 +264,10 @@ class AdaBoostSAMME(Estimator):
             alphas.append(alpha)
             if err <= 1e-10:
                 break
-            df = scored.withColumn("_w", F.col("_w") * F.exp(F.lit(alpha) * miss)).drop(
+            # weights sum to 1, so the new total follows from the error: no second aggregate
+            total = err * math.exp(alpha) + (1.0 - err)
+            df = scored.withColumn("_w", F.col("_w") * F.exp(F.lit(alpha) * miss) / F.lit(total)).drop(
                 "_p", "_rp", "_pp")
-            total = df.agg(F.sum("_w")).first()[0]
-            df = df.withColumn("_w", F.col("_w") / F.lit(total))
             if (r + 1) % self.every == 0:
                 df = df.checkpoint()
         return AdaBoostModel(trees, alphas, self.k)

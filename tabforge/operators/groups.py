@@ -213,16 +213,18 @@ def simple_impute(df: DataFrame, columns: Sequence[str], strategy: str = "median
 
 def corr_long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every ordered pair, pairwise-complete, as a
-    long table ``(col_a, col_b, corr)`` from one aggregate job."""
-    pairs = [(a, b) for a in columns for b in columns]
+    long table ``(col_a, col_b, corr)`` from one aggregate job; each unordered
+    pair is computed once and listed both ways."""
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
     aggs = []
     for i, (a, b) in enumerate(pairs):
         both = F.col(a).isNotNull() & F.col(b).isNotNull()
         aggs.append(F.corr(F.when(both, F.col(a).cast("double")),
                            F.when(both, F.col(b).cast("double"))).alias(f"c{i}"))
     wide = df.agg(*aggs)
-    stack = ", ".join(f"'{a}', '{b}', c{i}" for i, (a, b) in enumerate(pairs))
-    return wide.selectExpr(f"stack({len(pairs)}, {stack}) as (col_a, col_b, corr)")
+    cells = [(a, b, i) for i, (a, b) in enumerate(pairs)] + [(b, a, i) for i, (a, b) in enumerate(pairs) if a != b]
+    stack = ", ".join(f"'{a}', '{b}', c{i}" for a, b, i in cells)
+    return wide.selectExpr(f"stack({len(cells)}, {stack}) as (col_a, col_b, corr)")
 
 
 def count_where(df: DataFrame, cond: Column) -> DataFrame:

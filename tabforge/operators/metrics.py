@@ -55,10 +55,12 @@ def confusion(df: DataFrame, truth: str, pred: str, classes: Sequence | None = N
                                  f"truth {tt}, pred {tt}")
     out = grid.join(counts.withColumn("pred", F.col("pred").cast(tt)),
                     on=["truth", "pred"], how="left").fillna(0, subset=["n"])
-    if zero_diagonal:
-        out = out.withColumn("n", F.when(F.col("truth") == F.col("pred"), F.lit(0).cast("long"))
-                             .otherwise(F.col("n")))
-    return out
+    return out.withColumn("n", off_diagonal("truth", "pred", "n")) if zero_diagonal else out
+
+
+def off_diagonal(truth: str, pred: str, n: str):
+    """The count of a cell, 0 on the diagonal."""
+    return F.when(F.col(truth) == F.col(pred), F.lit(0).cast("long")).otherwise(F.col(n))
 
 
 def roc_points(df: DataFrame, score: str, truth: str, positive=1) -> DataFrame:

@@ -21,6 +21,7 @@ from ..functions import columns as C
 from ..models import estimators as L
 from ..models import gram as GR
 from ..models import selection as M
+from ..models import svr as SVR
 from ..operators import boxcox as BC
 from ..operators import encode as J
 from ..operators import lookup as D
@@ -190,13 +191,27 @@ def q_decision_line(spark, d):
 
 
 @query("q_kernel_svm")
-def q_kernel_svm(spark, d):
+def q_kernel_svm(spark, d, components: int = 256):
     e = emb_table(spark, d, binary=True)
-    t = L.random_fourier_features(e, "embedding", EMB_DIM, gamma=0.01, n_components=32, seed=3)
-    m = L.linear_svc(1.0, t.count()).setFeaturesCol("rff").fit(t)
-    poly = L.poly_features(2, "features", "poly").transform(e.select("vec_id", "features"))
-    width = poly.select(F.size(vector_to_array("poly"))).first()[0]
-    return _keyed(m.transform(t), "vec_id", [F.lit(width).alias("poly_width")])
+    t = L.random_fourier_features(e, "embedding", EMB_DIM, gamma=0.01, n_components=components, seed=3)
+    t = IO.stage_table(t, scratch_dir(spark, f"rff_{_tag(d)}"))                 # each fit step reads it again
+    n = t.count()
+    rbf = L.linear_svc(1.0, n).setFeaturesCol("rff").fit(t)
+    p = IO.stage_table(L.poly_features(2, "features", "poly").transform(e), scratch_dir(spark, f"poly_{_tag(d)}"))
+    poly = L.linear_svc(1.0, n).setFeaturesCol("poly").fit(p)                   # the expansion, fitted
+    second = poly.transform(p).select("vec_id", F.col("prediction").alias("poly_prediction"))
+    return _keyed(rbf.transform(t), "vec_id").join(second, "vec_id")
+
+
+@query("q_svr")
+def q_svr(spark, d, components: int = 64):
+    li = table(spark, d, "part", "p_partkey", "p_size", "p_retailprice").withColumn("label", F.col("p_retailprice") / 100)
+    t = J.standard_scale(li.withColumn("key", F.col("p_partkey").cast("double")), ["p_size", "key"])
+    t = t.withColumn("x", F.array(F.col("p_size").cast("double"), F.col("key").cast("double")))
+    t = L.random_fourier_features(t, "x", 2, gamma=0.5, n_components=components, seed=5)
+    linear, rbf = SVR.fit_svr(t, "x", C=0.01, eps=0.5), SVR.fit_svr(t, "rff", C=1.0, eps=0.5)
+    out = rbf.transform(linear.transform(t, "linear_prediction"), "rbf_prediction")
+    return out.select("p_partkey", "linear_prediction", "rbf_prediction")
 
 
 @query("q_nb")

@@ -330,11 +330,10 @@ def q_group_rate_map(spark, d):
     b = K.random_holdout(o.withColumn("y", (F.col("o_orderstatus") == "F").cast("int")),
                          "o_orderkey", 0.3, HOLDOUT_SEED, out="part")
     rates = E.group_rate(b.where(F.col("part") == "train"), "o_custkey", "y", 1, name="rate")
-    out = D.table_lookup(b, rates, "o_custkey", "rate", default=D.dict_lookup(
-        "o_orderpriority", PRIORITY_RATE))
-    out = D.table_lookup(out, rates, "o_custkey", "rate_n", out="train_group_size",
-                         default=F.lit(0).cast("long"))
-    return out.select("o_orderkey", "part", r6("rate").alias("rate"), "train_group_size")
+    out = D.salted_left_join(b, rates, ["o_custkey"], spread=["o_orderkey"])     # one join brings both columns
+    rate = F.coalesce("rate", D.dict_lookup("o_orderpriority", PRIORITY_RATE))
+    return out.select("o_orderkey", "part", r6(rate).alias("rate"),
+                      F.coalesce("rate_n", F.lit(0)).cast("long").alias("train_group_size"))
 
 
 @query("q_leave_one_out", """
@@ -746,8 +745,7 @@ FROM g LEFT JOIN c ON g.truth = c.truth AND g.pred = c.pred""")
 def q_confusion(spark, d):
     lab = table(spark, d, "labels", "quality", "toxic")
     m = N.confusion(lab, "quality", "toxic")
-    off = N.confusion(lab, "quality", "toxic", zero_diagonal=True).withColumnRenamed("n", "n_off")
-    return m.join(off, on=["truth", "pred"])
+    return m.withColumn("n_off", N.off_diagonal("truth", "pred", "n"))
 
 
 @query("q_rmse", """
