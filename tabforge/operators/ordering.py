@@ -86,7 +86,10 @@ def global_prefix(df: DataFrame, order: Sequence[str | tuple[str, bool]],
     n = df.count()
     par = df.sparkSession.sparkContext.defaultParallelism
     ranges = min(MAX_RANGES, max(1, -(-n // target_rows), min(par, n // MIN_ROWS_PER_RANGE)))
-    work = df.withColumn("_rb", _range_of(spec, _draw_bounds(df, spec, n, ranges)).cast("int"))
+    bounds = _draw_bounds(df, spec, n, ranges)
+    # one range: 0 in a form that is not folded, or the join below would lose its key
+    index = _range_of(spec, bounds) if bounds else F.spark_partition_id() * F.lit(0)
+    work = df.withColumn("_rb", index.cast("int"))
     vals = {f"_v_{k}": v for k, v in sums.items()}
     if ordinal:
         vals["_v__ord"] = F.lit(1).cast("long")
