@@ -35,7 +35,10 @@ class LineRuns:
         (df.select("h1", "h2", "n").repartition(self.buckets, "h1").write
          .bucketBy(self.buckets, "h1").sortBy("h1", "h2")
          .option("path", fresh_folder(self.spark, "line-run")).saveAsTable(name))
-        return self.spark.table(name)
+        run = self.spark.table(name)
+        # the frame keeps files and bucketing; the catalog need not keep the name
+        self.spark.sql(f"DROP TABLE {name}")
+        return run
 
     def _union(self, runs: list[DataFrame]) -> DataFrame:
         out = runs[0]
