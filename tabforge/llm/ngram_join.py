@@ -251,14 +251,14 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75) -> Da
         raise ValueError("two shingle sets share a 64-bit name")
     nodes = _prefixes(docs, counts, width, percent)
     members = stage(nodes.select("g", "s", "n").distinct(), "members")
-    # one posting per group and prefix shingle
-    groups = nodes.dropDuplicates(["g"]).select("g", "n", F.arrays_zip("tokens", "spread").alias("t"))
-    posted = (groups.select("g", "n", F.posexplode("t").alias("pos", "t"))
+    posted = (nodes.select("g", "n", F.posexplode(F.arrays_zip("tokens", "spread")).alias("pos", "t"))
               .select(F.col("t.tokens").alias("token"), "g", F.shiftleft("n", 32).bitwiseOR(F.col("pos")).alias("np"),
                       F.when(F.col("t.spread") > 1, F.pmod(F.xxhash64("g"), F.col("t.spread")) + 1).otherwise(0).cast("int").alias("salt")))
+    # lists of one group alone end here; several tasks may have posted the same group
     listed = Window.partitionBy("token", "salt")
-    shared = stage(posted.withColumn("k", F.count("*").over(listed)).where("k > 1 or salt > 0")
-                   .select("token", "g", F.shiftright("np", 32).alias("n"), F.col("np").bitwiseAND(F.lit(0x7FFFFFFF)).alias("pos")), "postings")
+    shared = stage(posted.withColumns({"lo": F.min("g").over(listed), "hi": F.max("g").over(listed)}).where("lo <> hi or salt > 0")
+                   .select("token", "salt", "g", "np").distinct().select(
+                       "token", "g", F.shiftright("np", 32).alias("n"), F.col("np").bitwiseAND(F.lit(0x7FFFFFFF)).alias("pos")), "postings")
     stars = _tentative_stars(shared, percent)
     cluster = stage(_clusters(members, stars), "clusters")
     across = _pairs_across(shared, cluster, percent)
