@@ -28,18 +28,19 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """
     cur = stage(edges.select(F.greatest(a, b).alias("node"), F.least(a, b).alias("other"))
                 .where(f"{a} is not null and {b} is not null and {a} <> {b}").distinct(), "cc")
-    before = None
-    while True:
+    while not _is_star(cur):
         both = cur.unionByName(cur.select(F.col("other").alias("node"), F.col("node").alias("other")))
-        large = (_star(both).where("other > node").select(F.col("other").alias("node"), F.col("m").alias("other"))
-                 .where("node <> other").distinct())
-        # keep the edge from each node to its own minimum, which large-star drops for minima
+        large = _star(both).where("other > node").select(F.col("other").alias("node"), F.col("m").alias("other"))
         small = _star(large)
         nxt = (small.select(F.col("other").alias("node"), F.col("m").alias("other"))
-               .unionByName(small.select("node", F.col("m").alias("other")))
-               .where("node <> other").distinct())
-        cur = stage(nxt, "cc")
-        now = cur.agg(F.count("*").alias("n"), F.sum(F.xxhash64("node", "other").cast("decimal(38,0)")).alias("h")).first()
-        if now == before:
-            return cur.select("node", F.col("other").alias("component"))
-        before = now
+               .unionByName(small.select("node", F.col("m").alias("other"))))
+        cur = stage(nxt.where("node <> other").distinct(), "cc")
+    return cur.select("node", F.col("other").alias("component"))
+
+
+def _is_star(edges: DataFrame) -> bool:
+    """True when every node has one edge, to an end that has none itself: its least reachable id."""
+    ends = edges.select(F.col("node").alias("x"), F.lit(1).alias("out")).unionByName(
+        edges.select(F.col("other").alias("x"), F.lit(0).alias("out")))
+    seen = ends.groupBy("x").agg(F.sum("out").alias("outs"), F.count("*").alias("n"))
+    return seen.where("outs > 1 or (outs = 1 and n > 1)").isEmpty()

@@ -271,12 +271,16 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75) -> Da
     inside = stage(shared.join(cluster, "g").where("clustered").withColumn("token", F.xxhash64("token", "cluster"))
                    .select("token", "g", "n", "pos"), "cluster-postings")
     held = stage(members.join(sets.select("s"), "s", "left_semi"), "compared-members")
-    for seed in range(STAR_ROUNDS):
-        links = links.unionByName(_star_round(held, inside, sets, links, seed, percent))
-    links = links.unionByName(_last_round(held, inside, sets, links, percent))
-    known = _component_of(members.select("s").distinct(), links).select("s", "c")
+    state = _spans_of_groups(held, links)
+    for seed in range(STAR_ROUNDS + 1):
+        # the last time all pairs, before that stars; all between different components only
+        more = _star_round(state, inside, sets, seed, percent) if seed < STAR_ROUNDS else _last_round(state, inside, sets, percent)
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            state = _spans_of_groups(held, links)
+    known = state[0].select("s", "c").distinct()  # nodes that were never compared stand alone
     out = rows.join(known.withColumnRenamed("s", "of"), F.col("s") == F.col("of"), "left")
-    out = stage(out.select("doc_id", "n", F.when(F.col("n") > 0, F.col("c")).alias("c")), "doc-nodes")
+    out = stage(out.select("doc_id", "n", F.when(F.col("n") > 0, F.coalesce("c", "s")).alias("c")), "doc-nodes")
     least = out.where("c is not null").groupBy(F.col("c").alias("root")).agg(F.min("doc_id").alias("least"))
     return (out.join(least, F.col("c") == F.col("root"), "left")
             .select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("c").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id")))
@@ -356,9 +360,9 @@ def _spans_of_groups(members: DataFrame, links: DataFrame) -> tuple[DataFrame, D
     return known, stage(spans, "group-components")
 
 
-def _star_round(members, shared, sets, links, seed: int, percent: int) -> DataFrame:
+def _star_round(state, shared: DataFrame, sets: DataFrame, seed: int, percent: int) -> DataFrame:
     """Compare the members of each posted group with one leader of the list, where components differ."""
-    known, spans = _spans_of_groups(members, links)
+    known, spans = state
     post = shared.select("token", "g", "n").join(spans, "g")
     lead = (post.groupBy("token").agg(F.min("c1").alias("lo"), F.max("c2").alias("hi"),
                                       F.min(F.struct(F.xxhash64("g", F.lit(seed)).alias("h"), "one", "n", "c1", "c2")).alias("l"))
@@ -373,9 +377,9 @@ def _star_round(members, shared, sets, links, seed: int, percent: int) -> DataFr
     return _verify(pairs, sets, percent)
 
 
-def _last_round(members, shared, sets, links, percent: int) -> DataFrame:
+def _last_round(state, shared: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """All pairs of groups on a list that are not within one component, by size and position."""
-    known, spans = _spans_of_groups(members, links)
+    known, spans = state
     post = shared.join(spans.select("g", "c1", "c2"), "g")
     mixed = post.groupBy("token").agg(F.min("c1").alias("lo"), F.max("c2").alias("hi")).where("lo <> hi").select("token")
     post = stage(post.join(mixed, "token", "left_semi"), "mixed-postings")
