@@ -1,13 +1,15 @@
 """URL filter: listed host and path rules, then mined token rules.
 
 FP-growth mines combinations of URL tokens together with a label item. Rules
-``tokens -> bad`` with enough support and confidence are kept and indexed under
-their rarest token; a URL is compared only with rules filed under one of its
-tokens.
+``tokens -> bad`` that hold well above the share of bad labels, and not by
+chance, are kept and indexed under their rarest token; a URL is compared only
+with rules filed under one of its tokens.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -66,24 +68,50 @@ def url_tokens(url: Column) -> Column:
         F.when(u.contains("#"), F.array(F.lit("fragment"))).otherwise(F.array().cast("array<string>"))))
 
 
-def mine_rules(labelled: DataFrame, min_support: float = 0.001, min_rows: int = 20,
-               min_confidence: float = 0.7) -> DataFrame:
+def mine_rules(labelled: DataFrame, min_support: float = 0.001, min_odds: float = 2.0, chance: float = 0.05,
+               min_confidence: float = 0.0) -> DataFrame:
     """Rules ``tokens -> bad`` from (tokens, bad boolean): tokens, rarest, support, confidence.
 
-    ``min_support`` is the share of labelled rows that hold the tokens and are
-    bad, at least ``min_rows`` rows. A rule goes when a part of its tokens is a
-    rule of the same or a higher confidence. No labelled rows: no rules.
+    Everything is relative to the share of bad rows. ``min_support`` is the
+    share of the bad rows that hold the tokens, at least as many rows as a rule
+    without a good row needs to be no accident. The odds of bad are at least
+    ``min_odds`` times those of all labelled rows, and by the Chernoff bound
+    over all token sets, any rule is an accident with a probability of
+    ``chance`` at most; sets held by the same rows count once, and those of too
+    few rows to ever be a rule do not count (Tarone 1990). ``support`` is the
+    share of labelled rows. A rule goes when a part of its tokens is a rule of the same or a
+    higher confidence. No labelled rows, none bad or all bad: no rules.
     """
     baskets = stage(labelled.select(F.when(F.col("bad"), F.concat("tokens", F.array(F.lit(BAD)))).otherwise(F.col("tokens"))
                                     .alias("items")).where(F.size("items") > 0), "url-baskets")
-    n = baskets.count()
+    n, n_bad = baskets.agg(F.count(F.lit(1)), F.count_if(F.array_contains("items", BAD))).first()
     shape = "tokens array<string>, rarest string, support double, confidence double"
-    if n == 0:
+    if n_bad in (0, n):
         return baskets.sparkSession.createDataFrame([], shape)
-    share = min(1.0, max(min_support, min_rows / n))
-    model = FPGrowth(itemsCol="items", minSupport=share, minConfidence=min_confidence).fit(baskets)
-    rules = (model.associationRules.where(F.array_contains("consequent", BAD))
-             .select(F.array_sort("antecedent").alias("tokens"), "support", "confidence"))
+    base = n_bad / n
+    least = max(1, math.ceil(min_support * n_bad), math.ceil(math.log(1 / chance) / -math.log(base)))
+    # half a row less, as the share is rounded up to rows again
+    sets = stage(FPGrowth(itemsCol="items", minSupport=min(1.0, (least - 0.5) / n)).fit(baskets).freqItemsets
+                 .select(F.array_sort(F.array_remove("items", BAD)).alias("tokens"),
+                         F.array_contains("items", BAD).alias("bad"), "freq").where(F.size("tokens") > 0), "url-sets")
+    held = sets.where(~F.col("bad")).select("tokens", F.col("freq").alias("held"))
+    parts = (held.where(F.size("tokens") > 1).select("held", "tokens", F.explode("tokens").alias("t"))
+             .select(F.array_remove("tokens", F.col("t")).alias("tokens"), "held").distinct())
+    own = held.join(parts, ["tokens", "held"], "left_anti")     # the largest of the sets held by the same rows
+    most = least + 1000
+    by_rows = {r[0]: r[1] for r in own.groupBy(F.least("held", F.lit(most))).count().collect()}
+    tried = sum(by_rows.values())
+    while least < most and least * -math.log(base) < math.log(max(1, tried) / chance):
+        tried -= by_rows.get(least, 0)
+        least += 1
+    odds = min_odds * base / (1 - base)
+    c, b = F.col("confidence"), F.lit(base)
+    excess = c * F.log(c / b) + F.when(c < 1, (1 - c) * F.log((1 - c) / (1 - b))).otherwise(0.0)
+    rules = (sets.where("bad").join(held, "tokens")
+             .withColumns({"support": F.col("freq") / n, "confidence": F.col("freq") / F.col("held")})
+             .where((c >= max(min_confidence, odds / (1 + odds))) & (F.col("held") >= least)
+                    & (F.col("held") * excess >= math.log(max(1, tried) / chance)))
+             .select("tokens", "support", "confidence"))
     rules = stage(rules, "url-rules")
     # a rule's proper parts: leave out one token at a time (support only grows, so chains are covered)
     parts = rules.select("tokens", "confidence", F.explode("tokens").alias("t")).select(
@@ -92,7 +120,7 @@ def mine_rules(labelled: DataFrame, min_support: float = 0.001, min_rows: int =
     covered = (parts.join(known, "part").where(F.col("part_confidence") >= F.col("confidence"))
                .select("tokens").distinct())
     rules = rules.join(covered, "tokens", "left_anti")
-    single = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("t"), "freq")
+    single = held.where(F.size("tokens") == 1).select(F.col("tokens")[0].alias("t"), F.col("held").alias("freq"))
     rarest = (rules.select("tokens", F.explode("tokens").alias("t")).join(single, "t")
               .groupBy("tokens").agg(F.min(F.struct("freq", "t")).alias("r"))
               .select("tokens", F.col("r.t").alias("rarest")))

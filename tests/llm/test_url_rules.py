@@ -50,3 +50,37 @@ def test_mined_rules_block_bad_combinations(spark):
 
 def test_empty_pages(spark):
     assert judge_urls(spark.createDataFrame([], "page_id long, url string"), labels(spark, [(1, True)]), URL_RULES).count() == 0
+
+
+def spam_pages(spark, n, share, signal):
+    """n pages, one in ``share`` of a spam host; bad is one in eight, or ``signal`` of the spam."""
+    rnd = random.Random(7)
+    rows = []
+    for i in range(n):
+        spam = i % share == 0
+        host = "m.casino-win.test" if spam else f"{rnd.choice(['m', 'www', 'blog'])}.{rnd.choice(['news', 'shop', 'wiki'])}.test"
+        url = f"http{rnd.choice(['', 's'])}://{host}/{rnd.choice(['en', 'de', 'fr'])}/{i}{rnd.choice(['', '/', '.html', '#top'])}"
+        rows.append((i, url, rnd.random() < (signal if spam else 0.125)))
+    return spark.createDataFrame(rows, "page_id long, url string, bad boolean")
+
+
+def test_moderate_signal_yields_rules(spark):
+    df = spam_pages(spark, 2500, 30, 0.5)          # 84 spam pages, half of them bad, all pages labelled
+    got = judge_urls(df.drop("bad"), df.select("page_id", "bad"), []).collect()
+    assert len(got) == 2500
+    assert all((r.verdict == "block") == ("casino" in r.url) for r in got)
+
+
+def test_support_follows_the_labelled_rows(spark):
+    df = spam_pages(spark, 98, 8, 0.95)            # about as many bad rows as sf0.01 has
+    assert 10 <= df.where("bad").count() < 26
+    got = judge_urls(df.drop("bad"), df.select("page_id", "bad"), []).collect()
+    assert all((r.verdict == "block") == ("casino" in r.url) for r in got)
+
+
+def test_labels_without_signal_yield_no_rules(spark):
+    df = spam_pages(spark, 2500, 30, 0.125)
+    assert judge_urls(df.drop("bad"), df.select("page_id", "bad"), []).where("verdict = 'block'").count() == 0
+    for bad in (True, False):                      # all alike: no token says more than another
+        alike = df.select("page_id", F.lit(bad).alias("bad"))
+        assert judge_urls(df.drop("bad"), alike, []).where("verdict = 'block'").count() == 0
