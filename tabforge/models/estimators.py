@@ -209,53 +209,73 @@ def mlp(n_features: int, n_classes: int, hidden: Sequence[int] = (16,), label: s
 
 # AdaBoost (SAMME) --------------------------------------------------------------------------
 
+def _leaf_value(node, x: Column, value) -> Column:
+    """A fitted tree as one CASE expression over the feature array: ``value(class)`` of the row's leaf."""
+    if node.subtreeDepth() == 0:
+        return F.lit(float(value(node.prediction())))
+    split = node.split()
+    return F.when(F.get(x, split.featureIndex()) <= split.threshold(),
+                  _leaf_value(node.leftChild(), x, value)).otherwise(_leaf_value(node.rightChild(), x, value))
+
+
+def _leaf_weights(node) -> tuple[float, float]:
+    """(weight of the missed training rows, weight of all) from the class weights the tree keeps in its leaves."""
+    if node.subtreeDepth() == 0:
+        stats = list(node.impurityStats().stats())
+        return sum(stats) - stats[int(node.prediction())], sum(stats)
+    sides = _leaf_weights(node.leftChild()), _leaf_weights(node.rightChild())
+    return sides[0][0] + sides[1][0], sides[0][1] + sides[1][1]
+
+
 class AdaBoostModel(Model):
     def __init__(self, trees, alphas, n_classes: int):
         super().__init__()
         self.trees, self.alphas, self.n_classes = trees, alphas, n_classes
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        df = dataset
-        score = [F.lit(0.0)] * self.n_classes
-        for i, (t, a) in enumerate(zip(self.trees, self.alphas)):
-            t = t.copy().setPredictionCol(f"_ab{i}").setRawPredictionCol(f"_abr{i}") \
-                .setProbabilityCol(f"_abp{i}")
-            df = t.transform(df).drop(f"_abr{i}", f"_abp{i}")
-            score = [s + F.when(F.col(f"_ab{i}") == k, F.lit(a)).otherwise(0.0)
-                     for k, s in enumerate(score)]
-        arr = F.array(*score)
-        df = df.withColumn("ada_score", arr)
-        df = df.withColumn("prediction", (F.array_position(arr, F.array_max(arr)) - 1).cast("double"))
-        return df.drop(*[f"_ab{i}" for i in range(len(self.trees))])
+        """One expression per class over all trees: the plan does not grow with the rounds."""
+        df, x = dataset, F.col("_abx")
+        if self.trees:
+            df = df.withColumn("_abx", vector_to_array(F.col(self.trees[0].getFeaturesCol())))
+        roots = [t._call_java("rootNode") for t in self.trees]
+        arr = F.array(*[F.aggregate(F.array(*[_leaf_value(n, x, lambda c, k=k, a=a: a if c == k else 0.0)
+                                              for n, a in zip(roots, self.alphas)]).cast("array<double>"),
+                                    F.lit(0.0), lambda s, v: s + v) for k in range(self.n_classes)])
+        df = df.withColumn("ada_score", arr).drop("_abx")
+        arr = F.col("ada_score")
+        return df.withColumn("prediction", (F.array_position(arr, F.array_max(arr)) - 1).cast("double"))
 
 
 class AdaBoostSAMME(Estimator):
     """SAMME boosting of shallow trees with row weights.
 
-    Each round fits a weighted tree (``weightCol``), computes the weighted error
-    in one aggregate, and updates weights by a column expression; the weighted
-    frame is checkpointed every ``checkpoint_every`` rounds to cut lineage.
+    Each round fits a weighted tree (``weightCol``), takes the weighted error
+    from the class weights in its leaves (no job of its own), and updates the
+    weights by a column expression; the frame of features, label and weight is
+    checkpointed every ``checkpoint_every`` rounds to cut lineage.
     """
 
     def __init__(self, n_estimators: int = 10, learning_rate: float = 0.5, max_depth: int = 2,
-                 n_classes: int = 2, label: str = "label", checkpoint_every: int = 3, seed: int = 42):
+                 n_classes: int = 2, label: str = "label", checkpoint_every: int = 10, seed: int = 42):
         super().__init__()
         self.n, self.lr, self.depth, self.k = n_estimators, learning_rate, max_depth, n_classes
         self.label, self.every, self.seed = label, checkpoint_every, seed
 
     def _fit(self, dataset: DataFrame) -> AdaBoostModel:
         ensure_checkpoint_dir(dataset.sparkSession)
-        n = dataset.count()
-        df = dataset.withColumn("_w", F.lit(1.0 / n))
+        df = dataset.select("features", F.col(self.label).cast("double").alias(self.label)).checkpoint()
+        n, width = df.agg(F.count(F.lit(1)), F.max(F.size(vector_to_array("features")))).first()
+        # with these known, no round looks for them again
+        df = (df.withMetadata("features", {"ml_attr": {"num_attrs": width}})
+              .withMetadata(self.label, {"ml_attr": {"type": "nominal", "num_vals": self.k}})
+              .withColumn("_w", F.lit(1.0 / n)))
         trees, alphas = [], []
         for r in range(self.n):
             tree = DecisionTreeClassifier(maxDepth=self.depth, labelCol=self.label, weightCol="_w",
                                           seed=self.seed + r, predictionCol="_p",
-                                          rawPredictionCol="_rp", probabilityCol="_pp").fit(df)
-            scored = tree.transform(df)
-            miss = (F.col("_p") != F.col(self.label)).cast("double")
-            err_row = scored.agg((F.sum(F.col("_w") * miss) / F.sum("_w")).alias("e")).first()
-            err = float(err_row["e"] or 0.0)
+                                          rawPredictionCol="", probabilityCol="").fit(df)
+            missed, weight = _leaf_weights(tree._call_java("rootNode"))
+            err = missed / weight
             if err >= 1.0 - 1.0 / self.k:
                 break
             err = max(err, 1e-10)
@@ -266,8 +286,9 @@ class AdaBoostSAMME(Estimator):
                 break
             # weights sum to 1, so the new total follows from the error: no second aggregate
             total = err * math.exp(alpha) + (1.0 - err)
-            df = scored.withColumn("_w", F.col("_w") * F.exp(F.lit(alpha) * miss) / F.lit(total)).drop(
-                "_p", "_rp", "_pp")
+            miss = (F.col("_p") != F.col(self.label)).cast("double")
+            df = tree.transform(df).withColumn(
+                "_w", F.col("_w") * F.exp(F.lit(alpha) * miss) / F.lit(total)).drop("_p")
             if (r + 1) % self.every == 0:
                 df = df.checkpoint()
         return AdaBoostModel(trees, alphas, self.k)

@@ -4,8 +4,10 @@
 Model outputs are not SQL-expressible, so these entries carry no oracle SQL
 (rows-only check); each returns one row per input key (or one per model /
 fold / parameter point) so lost or duplicated rows are still visible. Their
-numeric checks live in ``tests/test_models.py``. The sizes of the fits below
-are those of the reference; every query takes them as parameters.
+numeric checks live in ``tests/test_models.py`` and ``tests/test_boosting.py``.
+Forests, boosters, AdaBoost, softmax steps, random draws and hold-out
+repetitions have the sizes below, those of the reference or the operator's own
+default; only those of q_vote and q_shortlist are not parameters.
 """
 
 from __future__ import annotations
@@ -135,20 +137,20 @@ def q_gbt(spark, d, rounds: int = BOOST_ROUNDS):
 
 
 @query("q_xgb_like")
-def q_xgb_like(spark, d):
+def q_xgb_like(spark, d, rounds: int = BOOST_ROUNDS):
     t = emb_table(spark, d)
     valid = F.expr(K.seeded_hash_sql("vec_id", 1)) < F.lit(int(0.2 * K.HASH_P))
-    m = L.xgb_like(5, 0.3, 3, subsample=0.8, n_classes=10).fit(t)
-    reg = L.xgb_like(5, 0.3, 3, regression=True, validation_col="is_valid").fit(
+    m = L.xgb_like(rounds, 0.3, 3, subsample=0.8, n_classes=10).fit(t)
+    reg = L.xgb_like(rounds, 0.3, 3, regression=True, validation_col="is_valid").fit(
         t.withColumn("is_valid", valid))
     return _keyed(reg.transform(m.transform(t).withColumnRenamed("prediction", "cls")),
                   "vec_id", ["cls"])
 
 
 @query("q_adaboost")
-def q_adaboost(spark, d):
+def q_adaboost(spark, d, rounds: int = ADABOOST_ROUNDS, rate: float = ADABOOST_RATE):
     t = emb_table(spark, d, binary=True)
-    m = L.AdaBoostSAMME(n_estimators=5, learning_rate=0.5, max_depth=2).fit(t)
+    m = L.AdaBoostSAMME(n_estimators=rounds, learning_rate=rate, max_depth=2).fit(t)
     return _keyed(m.transform(t), "vec_id")
 
 
