@@ -25,12 +25,12 @@ from .common import least_hashed, stage
 from .components import components
 
 #: Vectors from which the rotation is learnt.
-SAMPLE = 10_000
+SAMPLE = 20_000
 CHUNKS = 4
 CHUNK_BITS = 16
 ROUNDS = 50
 #: Pairs farther apart than this are not reranked (cosine 0.9: 9.2 bits on average, 2.8 deviation).
-RADIUS = 18
+RADIUS = 22
 #: Recall at the threshold below which codes are taken about the origin instead of the mean.
 LEAST_RECALL = 0.9
 
@@ -136,11 +136,14 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, sample: int = SAMPL
         mine = groups.where(F.size("unit") == dim)
         drawn = least_hashed(mine.select("rep", "unit"), sample, "rep").select("unit").collect()
         units = np.array([r.unit for r in drawn], np.float64).reshape(-1, dim)
+        reach = radius
         mean, proj = learn_rotation(units, chunks * width, centre=True)
         if recall_at(units, mean, proj, threshold, chunks, width, radius) < LEAST_RECALL:
             # far from the origin the signs about the mean no longer follow the angle
             mean, proj = learn_rotation(units, chunks * width, centre=False)
-        links.append(_links(mine, mean, proj, threshold, chunks, width, radius))
+            if recall_at(units, mean, proj, threshold, chunks, width, radius) < LEAST_RECALL:
+                reach = chunks * width                        # every pair that meets is compared
+        links.append(_links(mine, mean, proj, threshold, chunks, width, reach))
     if not links:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     pairs = links[0]

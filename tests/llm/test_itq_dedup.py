@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import numpy as np
 
+from tabforge.llm import itq_dedup
 from tabforge.llm.itq_dedup import near_vectors
 
 from .helpers import Roots
@@ -61,3 +62,19 @@ def test_recall_near_the_threshold(spark):
     found = sum(got[2 * i] for i in range(500))
     assert found <= true
     assert found >= 0.9 * true
+
+
+def linked_at(spark, monkeypatch, bits, recall):
+    """Whether two near vectors link whose codes differ in ``bits`` bits, none of the first chunk."""
+    monkeypatch.setattr(itq_dedup, "learn_rotation", lambda sample, n, centre: (np.zeros(64), np.eye(64)))
+    monkeypatch.setattr(itq_dedup, "recall_at", lambda *args: recall)
+    rows = [(k, [1.0] * (64 - bits) + [s * 0.01] * bits) for k, s in ((1, 1), (2, -1))]
+    return [r.n_links for r in near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()] == [1, 1]
+
+
+def test_radius_holds_22_bits(spark, monkeypatch):
+    assert linked_at(spark, monkeypatch, 22, 1.0)
+
+
+def test_low_recall_after_the_fallback_widens_the_radius(spark, monkeypatch):
+    assert linked_at(spark, monkeypatch, 40, 0.0)
