@@ -41,19 +41,23 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near copies (five words, 0.75) the document of least doc_id.
+    """Of each component of near copies (five words, 0.75) one row: that of least doc_id, then of least text key.
 
-    Documents without words stay. Rows of one doc_id that are all least in their
-    component leave one row, the one of least text hash. Rows without a doc_id
-    stay unless they are near copies of one that has one.
+    Documents without words stay. Rows without a doc_id stay unless they are
+    near copies of one that has one.
     """
-    least = stage(jaccard_components(docs, width=5, percent=75).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-                  .groupBy(F.col("doc_id").alias("id")).agg(F.count("*").alias("rows"), F.max("n_shingles").alias("most")), "kept-ids")
-    found = docs.select(packed(docs), F.col("doc_id").alias("of"), F.xxhash64("text").alias("h")).join(
-        least, F.col("of").eqNullSafe(F.col("id")))
-    several = F.col("of").isNotNull() & (F.col("rows") > 1) & (F.col("most") > 0)
-    one = found.where(several).groupBy("of").agg(F.min_by("row", "h").alias("row")).select("row.*")
-    return found.where(~several).select("row.*").unionByName(one)
+    k1, k2 = content_key(F.col("doc_id"), F.coalesce("text", F.lit("")))
+    # rows without a doc_id come last, so they are least only where no other is
+    of = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), k1.alias("k1"), k2.alias("k2"))
+    least = stage(jaccard_components(docs.select(of.alias("doc_id"), "text"), width=5, percent=75)
+                  .where((F.col("n_shingles") == 0) | F.col("component_id.none") | (F.col("doc_id.k1") == F.col("component_id.k1"))
+                         & (F.col("doc_id.k2") == F.col("component_id.k2")))
+                  .groupBy(F.col("doc_id.k1").alias("m1"), F.col("doc_id.k2").alias("m2"))
+                  .agg((F.max(~F.col("doc_id.none")) & (F.count("*") > 1) & (F.max("n_shingles") > 0)).alias("several")), "kept-rows")
+    found = docs.select(packed(docs), k1.alias("k1"), k2.alias("k2")).join(
+        least, (F.col("k1") == F.col("m1")) & (F.col("k2") == F.col("m2")))
+    one = found.where("several").groupBy("k1", "k2").agg(F.first("row").alias("row")).select("row.*")
+    return found.where(~F.col("several")).select("row.*").unionByName(one)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

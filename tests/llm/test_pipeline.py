@@ -58,3 +58,13 @@ def test_empty_documents(spark):
     for name, function in corpus_pipeline.STAGES:
         docs = stage(function(spark, docs, SF), f"empty-{name}")
         assert docs.count() == 0
+
+
+def test_near_duplicates_decides_row_by_row(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
+    rows = [(5, a), (5, b), (5, ""), (5, a),               # equal ids, other texts, an empty one and a repeated row
+            (1, c), (5, c + " x"), (None, c + " y"),       # copies of document 1
+            (None, d), (None, d), (None, None)]            # without an id, copies of no document that has one
+    df = spark.createDataFrame([(i, t, "s") for i, t in rows], "doc_id long, text string, source string")
+    got = texts(dict(corpus_pipeline.STAGES)["near_duplicates"](spark, df, SF))
+    assert Counter(got) == Counter([(5, a), (5, b), (5, ""), (1, c), (None, d), (None, d), (None, None)])
