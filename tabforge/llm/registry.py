@@ -193,6 +193,79 @@ select doc_id, size, words as source_size, target,
 from c
 """
 
+def op11_cyk_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .conversation_repair import damaged_and_repaired
+
+    return damaged_and_repaired(table(spark, sf_dir, "conversations"))
+
+
+# The same repair from left to right: the least (cost, audit, lines) for each state after each row. States: 0 nothing
+# yet, 1 after s, 2 after u, 3 after a. DuckDB has no crc32: a byte at a time, with 8 shifts for each.
+OP11_SQL = r"""
+with recursive c as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+         xor(list_reduce(
+           list_transform(string_split(coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' '), ''),
+                          lambda x: cast(ord(x) as bigint)),
+           lambda h, x: list_reduce(range(8), lambda v, k: case when v & 1 = 1 then xor(v >> 1, 3988292384) else v >> 1 end, xor(h, x)),
+           cast(4294967295 as bigint)), 4294967295) % 20 as harm
+  from conversations),
+d as (
+  select conv_id, turn, case when harm = 4 then 'user' else role end as role,
+         case harm when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text
+  from c, range(case harm when 0 then 0 when 3 then 2 else 1 end)),
+o as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as pos,
+         left(role, 1) as ini, not regexp_matches(text, '[^\x20\x09-\x0D]') as blank,
+         regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) not in ('.', '!', '?') as unended
+  from d),
+r as (
+  select *, not blank and row_number() over (partition by conv_id, role, text order by pos) > 1 as dup,
+         lag(ini) over (partition by conv_id order by pos) as before
+  from o),
+step(p, role, q) as (values (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (3, 'u', 2), (2, 'a', 3)),
+added(p, q, lines) as (
+  values (0, 0, cast([] as varchar[])), (1, 1, []), (2, 2, []), (3, 3, []), (0, 2, ['user:']), (1, 2, ['user:']),
+         (3, 2, ['user:']), (2, 3, ['assistant:']), (0, 3, ['user:', 'assistant:']), (1, 3, ['user:', 'assistant:'])),
+e as (
+  select r.conv_id, pos, p, p as q, 2 as cost, 'D' as audit, cast([] as varchar[]) as lines from r, (select unnest(range(4)) as p)
+  union all
+  select r.conv_id, pos, p, q, case when unended then 5 else 0 end, 'K', [r.role || ':' || text] from r join step on ini = step.role
+  where not blank and not dup
+  union all
+  select r.conv_id, pos, p, q, case when unended then 6 else 1 end, 'R',
+         [case step.role when 'u' then 'user' else 'assistant' end || ':' || text] from r, step
+  where not blank and not dup and step.role <> 's'),
+f as (
+  select conv_id, pos, e.p, added.q, {'cost': cast(cost + 5 * len(added.lines) as bigint),
+         'audit': audit || repeat('I', len(added.lines)), 'lines': list_concat(e.lines, added.lines)} as way
+  from e join added on e.q = added.p),
+dp as (
+  select conv_id, cast(0 as bigint) as pos, q,
+         {'cost': cast(5 * len(lines) as bigint), 'audit': repeat('I', len(lines)), 'lines': lines} as best
+  from (select distinct conv_id from d), added where p = 0
+  union all
+  select conv_id, pos, q, min(best) from (
+    select f.conv_id, f.pos, f.q, {'cost': best.cost + way.cost, 'audit': best.audit || way.audit,
+                                   'lines': list_concat(best.lines, way.lines)} as best
+    from dp join f on dp.conv_id is not distinct from f.conv_id and f.pos = dp.pos + 1 and f.p = dp.q)
+  group by conv_id, pos, q),
+n as (
+  select conv_id, count(*) as n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+         count(*) filter (where blank) as blank, count(*) filter (where dup) as duplicate,
+         count(*) filter (where not blank and not dup and unended) as truncated,
+         count(*) filter (where before is not null and before || ini not in ('su', 'ua', 'au')) as illegal
+  from r group by conv_id),
+b as (
+  select n.conv_id, min(best) as best from n join dp on n.conv_id is not distinct from dp.conv_id and n.n = dp.pos
+  where dp.q in (0, 3) group by n.conv_id)
+select i.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+       coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, coalesce(best.cost, 0) as cost,
+       coalesce(best.audit, '') as audit, sha256(coalesce(array_to_string(best.lines, chr(10)), '')) as repaired_sha256
+from (select distinct conv_id from conversations) i
+left join n on i.conv_id is not distinct from n.conv_id left join b on i.conv_id is not distinct from b.conv_id
+"""
+
 QUERIES: dict[str, tuple] = {
     "op1_itq_dedup": (op1_itq_dedup, OP1_SQL),
     "op2_weighted_sampling": (op2_weighted_sampling, None),
@@ -204,6 +277,7 @@ QUERIES: dict[str, tuple] = {
     "op8_source_mix": (op8_source_mix, OP8_SQL),
     "op10_ngram_join": (op10_ngram_join, None),
     "op9_token_counts": (op9_token_counts, None),
+    "op11_cyk_repair": (op11_cyk_repair, OP11_SQL),
 }
 
 
