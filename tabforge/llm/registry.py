@@ -266,6 +266,85 @@ from (select distinct conv_id from conversations) i
 left join n on i.conv_id is not distinct from n.conv_id left join b on i.conv_id is not distinct from b.conv_id
 """
 
+def op12_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .rule_ledger import BASE, DEFAULT, apply_policy, build_ledger
+
+    ledger = build_ledger(table(spark, sf_dir, "documents"))
+    judged = apply_policy(apply_policy(ledger, BASE, "passed"), DEFAULT)
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                         (~F.col("passed")).alias("base_failed"), "kept", "failed")
+
+
+OP12_SQL = r"""
+with t as (select row_number() over () as id, doc_id, coalesce(text, '') as text from documents),
+w as (select id, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as words, string_split(text, chr(10)) as lines from t),
+m as (
+  select *, cast(len(words) as bigint) as n_words, cast(coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) as bigint) as word_chars,
+         cast(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) as bigint) as n_symbols,
+         list_filter(lines, lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as full_lines,
+         len(list_filter(words, lambda x: regexp_matches(x, '[A-Za-z]|[^\x00-\x7F]'))) as n_letter_words,
+         len(list_filter(words, lambda x: regexp_matches(x, '[A-Z]') and not regexp_matches(x, '[a-z]|[^\x00-\x7F]'))) as n_capital_words
+  from w),
+g as (
+  select id, i, words[i:i + 2] as three from (select id, words, unnest(range(1, len(words) - 1)) as i from m)),
+c as (select id, unnest([i, i + 1, i + 2]) as i from (select id, i, count(*) over (partition by id, three) as n from g) where n > 1),
+r as (select id, count(distinct i) as n from c group by id),
+a as (
+  select doc_id, n_words, word_chars, n_symbols, cast(len(full_lines) - len(list_distinct(full_lines)) as bigint) as n_dup_lines,
+         cast(coalesce(r.n, 0) as bigint) as n_repeat_words, n_letter_words, n_capital_words, cast(len(full_lines) as bigint) as n_lines,
+         len(list_filter(full_lines, lambda x: regexp_matches(x, '[.!?"][\x20\x09-\x0D]*$'))) as n_ended_lines
+  from m left join r on m.id = r.id),
+b as (
+  select *, case when n_words < 50 then 1 else 0 end + case when 100 * n_repeat_words > 50 * n_words then 2 else 0 end
+    + case when word_chars < 3 * n_words then 4 else 0 end + case when word_chars > 10 * n_words then 8 else 0 end
+    + case when 10 * n_symbols > n_words then 16 else 0 end + case when 2 * n_capital_words > n_words then 32 else 0 end
+    + case when 10 * n_letter_words < 8 * n_words then 64 else 0 end + case when 2 * n_dup_lines > n_lines then 128 else 0 end
+    + case when 10 * n_dup_lines > 3 * n_lines then 256 else 0 end + case when 100 * n_ended_lines < 12 * n_lines then 512 else 0 end
+    + case when n_words > 100000 then 1024 else 0 end as failed
+  from a)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed & 3 <> 0 as base_failed,
+       failed & 255 = 0 as kept, cast(failed as bigint) as failed
+from b
+"""
+
+def op13_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .phrase_mining import collocations
+
+    return collocations(table(spark, sf_dir, "documents"), least=100, top=2000)
+
+
+OP13_SQL = r"""
+with t as (
+  select row_number() over () as id, coalesce(lang, 'und') as lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text from documents),
+p as (select id, lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) as piece from t),
+w as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from p),
+x as (
+  select lang, k, array_to_string(w[i:i + k - 1], ' ') as phrase
+  from (select lang, w, k, unnest(range(1, len(w) - k + 2)) as i from w, (select unnest(range(1, 6)) as k) where len(w) >= k)),
+f as (select lang, k, phrase, count(*) as f from x group by all),
+n as (select lang, sum(f) as n from f where k = 1 group by lang),
+c as (select lang, k, phrase, string_split(phrase, ' ') as w, f as a from f where f >= 100 and k >= 2),
+cut as (
+  select c.lang, c.phrase, c.a, j, l.f as l, r.f as r, n.n,
+         cast(1000 as hugeint) * c.a * n.n // (cast(l.f as hugeint) * r.f) as score
+  from (select *, unnest(range(1, k)) as j from c) c
+  join f l on l.lang = c.lang and l.k = j and l.phrase = array_to_string(w[1:j], ' ')
+  join f r on r.lang = c.lang and r.k = c.k - j and r.phrase = array_to_string(w[j + 1:], ' ')
+  join n on n.lang = c.lang),
+worst as (select *, row_number() over (partition by lang, phrase order by score, j) as pick from cut),
+inner_ as (
+  select distinct s.lang, s.phrase from c s join c g on s.lang = g.lang and g.k > s.k and g.a >= s.a
+    and contains(' ' || g.phrase || ' ', ' ' || s.phrase || ' ')),
+kept as (
+  select * from worst where pick = 1 and not exists (
+    select 1 from inner_ where inner_.lang = worst.lang and inner_.phrase = worst.phrase)),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, encode(phrase)) as rank from kept)
+select lang, cast(rank as bigint) as rank, phrase, cast(a as bigint) as a, cast(l as bigint) as l, cast(r as bigint) as r,
+       cast(n as bigint) as n, cast(score as bigint) as score
+from ranked where rank <= 2000
+"""
+
 QUERIES: dict[str, tuple] = {
     "op1_itq_dedup": (op1_itq_dedup, OP1_SQL),
     "op2_weighted_sampling": (op2_weighted_sampling, None),
@@ -278,6 +357,8 @@ QUERIES: dict[str, tuple] = {
     "op10_ngram_join": (op10_ngram_join, None),
     "op9_token_counts": (op9_token_counts, None),
     "op11_cyk_repair": (op11_cyk_repair, OP11_SQL),
+    "op12_rule_ledger": (op12_rule_ledger, OP12_SQL),
+    "op13_phrase_mining": (op13_phrase_mining, OP13_SQL),
 }
 
 
