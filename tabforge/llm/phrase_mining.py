@@ -2,14 +2,15 @@
 
 The words of a text are laid out as one byte string with single spaces; prefix polynomials over it give the fingerprint
 of every run of words as a difference of two prefixes times an inverse power, for all runs at once in numpy. Only
-fingerprints travel: a task sums what it has read by fingerprint, and the shuffle adds counts and keeps an occurrence
-pointer (text key and word number). Words come first, then pairs of frequent words, then runs of three to five words
-whose pairs are all frequent, because a run is no more frequent than what it holds. "Frequent" is asked of a bitmap of
-bounded size; a full bitmap lets more runs through to be counted, and loses none.
+fingerprints travel: a task sums what it has read by fingerprint, and the shuffle adds the counts. Words come first,
+then pairs of frequent words, then runs of three to five words whose pairs are all frequent, because a run is no more
+frequent than what it holds. "Frequent" is asked of a bitmap of bounded size; a full bitmap lets more runs through to
+be counted, and loses none.
 
-Every occurrence also carries an independent 64-bit check. A fingerprint whose least and greatest check differ stands
-for several phrases: those are counted again by their text. Phrases that are frequent, and only they, become text: the
-texts that the pointers name are read again, and the words found there must give the fingerprint and the check.
+A last pass takes, for frequent fingerprints only, an occurrence pointer (text key and word number) and the least and
+greatest of an independent 64-bit check of each occurrence. A fingerprint whose checks differ stands for several
+phrases: those are counted again by their text. Phrases that are frequent, and only they, become text: the texts that
+the pointers name are read again, and the words found there must give the fingerprint and the check.
 
 Cuts, scores and the dropping of inner phrases are joins of the table of frequent phrases with itself.
 """
@@ -27,12 +28,14 @@ from .common import stage
 
 LONGEST = 5
 #: Bytes of text worked on at once; a longer text is cut between words, with the words before the cut as context.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 #: Bits of a bitmap of frequent fingerprints: 16 for each, and no more than this (16 MB).
 MOST_BITS = 1 << 27
 #: Bits of a pointer that hold the number of the word; the others are those of the text's key.
 WORD_BITS = 24
 LAST_WORD = (1 << WORD_BITS) - 1
+#: Languages whose totals are broadcast; with more they are joined.
+MOST_LANGUAGES = 100_000
 
 # Two primes below 2**31 and a power of two; bases are odd and larger than a byte.
 _PRIMES = (2147483629, 2147483587)
@@ -47,7 +50,7 @@ _LOWER[65:91] += 32
 _OUTSIDE = re.compile(rb"[ \t.,;:!?\x0a-\x0d]")
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=2)
 def _powers(size: int) -> list[tuple]:
     """For each modulus: powers of the base and of its inverse, up to ``size``."""
     def by_doubling(base, mod):
@@ -158,7 +161,8 @@ def _chunks(batch, chunk: int):
         yield lang, held
 
 
-_COUNTS = "lang string, n int, fp long, c long, at long, low long, high long"
+_COUNTS = "lang string, n int, fp long, f long"
+_POINTERS = "lang string, n int, fp long, at long, low long, high long"
 
 
 def _lit(bitmap, fps):
@@ -188,52 +192,60 @@ def _eligible(runs: Runs, ns, words_lit, pairs_lit):
         yield n, np.flatnonzero(mine)
 
 
-def _scan(docs: DataFrame, ns, words_lit=None, pairs_lit=None, bits: int = 62, chunk: int = CHUNK) -> DataFrame:
-    """Counts by fingerprint of the runs of ``ns`` words (n = 0, if asked: all words of the language)."""
+def _scan(docs: DataFrame, ns, words_lit=None, pairs_lit=None, wanted=None, bits: int = 62, chunk: int = CHUNK) -> DataFrame:
+    """By language, n and fingerprint: how often the runs of ``ns`` words occur (n = 0: all words), summed by task.
+
+    With the bitmap ``wanted``: an occurrence pointer and the least and greatest check of those fingerprints instead.
+    """
     spark = docs.sparkSession
-    shared = [spark.sparkContext.broadcast(x) if x is not None else None for x in (words_lit, pairs_lit)]
+    shared = [spark.sparkContext.broadcast(x) if x is not None else None for x in (words_lit, pairs_lit, wanted)]
+    schema = _COUNTS if wanted is None else _POINTERS
 
     def scan(batches):
         import pyarrow as pa
 
+        words, pairs, want = [x.value if x else None for x in shared]
         for batch in batches:
             for lang, held in _chunks(batch, chunk):
                 runs = Runs(b"\n".join(h[0] for h in held), lang, bits)
                 starts = np.cumsum([0] + [len(h[0]) + 1 for h in held[:-1]])
                 doc = np.searchsorted(starts, runs.at, side="right") - 1
-                first = np.searchsorted(runs.at, starts)
-                keys = np.array([h[1] for h in held], dtype=np.int64)
+                number = np.arange(len(runs)) - np.searchsorted(runs.at, starts)[doc]
                 context = np.array([h[2] for h in held])
-                number = np.arange(len(runs)) - first[doc]
-                fresh = number >= context[doc] if context.any() else None
-                number = np.minimum(number + np.array([h[3] for h in held])[doc], LAST_WORD)
-                pointer = (keys[doc] & ~np.int64(LAST_WORD)) | number
-                cols = [[] for _ in range(6)]
+                fresh = number >= context[doc] if context.any() else np.ones(len(runs), dtype=bool)
+                rows = [[] for _ in schema.split(", ")[1:]]
                 if 0 in ns:
-                    total = len(runs) if fresh is None else int(fresh.sum())
-                    for c, v in zip(cols, (0, 0, total, 0, 0, 0)):
+                    for c, v in zip(rows, (0, 0, int(fresh.sum()))):
                         c.append(np.array([v], dtype=np.int64))
-                for n, i in _eligible(runs, [n for n in ns if n], *[x.value if x else None for x in shared]):
-                    if fresh is not None:
-                        i = i[fresh[i + n - 1]]                     # the others were counted before the cut
+                for n, i in _eligible(runs, [n for n in ns if n], words, pairs):
+                    i = i[fresh[i + n - 1]]                         # the others were counted before the cut
+                    fp = runs.fingerprints(i, n)
+                    if want is not None:
+                        lit = _lit(want, fp)
+                        i, fp = i[lit], fp[lit]
                     if not len(i):
                         continue
-                    fp, check = runs.fingerprints(i, n), runs.checks(i, n)
                     order = np.argsort(fp, kind="stable")
-                    fp, check = fp[order], check[order]
+                    fp = fp[order]
                     edge = np.flatnonzero(np.concatenate(([True], fp[1:] != fp[:-1])))
-                    for c, v in zip(cols, (np.full(len(edge), n), fp[edge], np.diff(np.append(edge, len(fp))),
-                                           np.minimum.reduceat(pointer[i][order], edge),
-                                           np.minimum.reduceat(check, edge), np.maximum.reduceat(check, edge))):
+                    if want is None:
+                        found = [np.diff(np.append(edge, len(fp)))]
+                    else:
+                        check = runs.checks(i, n)[order]
+                        at = np.minimum(number + np.array([h[3] for h in held])[doc], LAST_WORD)
+                        at |= np.array([h[1] for h in held], dtype=np.int64)[doc] & ~np.int64(LAST_WORD)
+                        found = [np.minimum.reduceat(at[i][order], edge), np.minimum.reduceat(check, edge),
+                                 np.maximum.reduceat(check, edge)]
+                    for c, v in zip(rows, (np.full(len(edge), n), fp[edge], *found)):
                         c.append(v)
-                if cols[0]:
-                    n, *rest = [np.concatenate(c) for c in cols]
+                if rows[0]:
+                    n, *rest = [np.concatenate(c) for c in rows]
                     names = pa.DictionaryArray.from_arrays(pa.array(np.zeros(len(n), np.int32)), pa.array([lang])).cast(pa.string())
                     yield pa.RecordBatch.from_arrays([names, pa.array(n, pa.int32()), *[pa.array(r, pa.int64()) for r in rest]],
-                                                     names=[c.split()[0] for c in _COUNTS.split(", ")])
+                                                     names=[c.split()[0] for c in schema.split(", ")])
 
-    return (docs.select("lang", "k", "text").mapInArrow(scan, _COUNTS).groupBy("lang", "n", "fp")
-            .agg(F.sum("c").alias("f"), F.min("at").alias("at"), F.min("low").alias("low"), F.max("high").alias("high")))
+    sums = [F.sum("f").alias("f")] if wanted is None else [F.min("at").alias("at"), F.min("low").alias("low"), F.max("high").alias("high")]
+    return docs.select("lang", "k", "text").mapInArrow(scan, schema).groupBy("lang", "n", "fp").agg(*sums)
 
 
 def _bitmap(values: DataFrame, name: str):
@@ -340,11 +352,16 @@ def frequent_phrases(documents: DataFrame, least: int, bits: int = 62, chunk: in
     docs = documents.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.xxhash64(text).alias("k"),
                             F.xxhash64(F.lit(0x5EED), text).alias("k2"), F.encode(text, "UTF-8").alias("text"))
     many = F.col("f") >= least
-    one = stage(_scan(docs, (0, 1), None, None, bits, chunk).where(many | (F.col("n") == 0)), "phrase-words")
+    size = {"bits": bits, "chunk": chunk}
+    one = stage(_scan(docs, (0, 1), **size).where(many | (F.col("n") == 0)), "phrase-words")
     words = one.where("n = 1")
-    pairs = stage(_scan(docs, (2,), _bitmap(words, "fp"), None, bits, chunk).where(many), "phrase-pairs")
-    longer = stage(_scan(docs, range(3, LONGEST + 1), None, _bitmap(pairs, "fp"), bits, chunk).where(many), "phrase-runs")
-    counted = words.unionByName(pairs).unionByName(longer)
+    words_lit = _bitmap(words, "fp")
+    pairs = stage(_scan(docs, (2,), words_lit, **size).where(many), "phrase-pairs")
+    pairs_lit = _bitmap(pairs, "fp")
+    longer = stage(_scan(docs, range(3, LONGEST + 1), None, pairs_lit, **size).where(many), "phrase-runs")
+    frequent = words.unionByName(pairs).unionByName(longer)
+    pointers = _scan(docs, range(1, LONGEST + 1), words_lit, pairs_lit, _bitmap(frequent, "fp"), **size)
+    counted = stage(frequent.join(pointers, ["lang", "n", "fp"]), "phrase-pointers")
     phrases = _materialise(docs, counted.where("low = high"), bits, chunk)
     collided = counted.where("low <> high")
     if not collided.isEmpty():
@@ -371,7 +388,8 @@ def collocations(documents: DataFrame, least: int = 100, top: int = 2000, bits:
     found = lambda part, f: phrases.select(F.col("lang").alias(f"{part}_lang"), F.col("phrase").alias(f"{part}_phrase"), F.col("f").alias(f))
     at = lambda part: (F.col("lang") == F.col(f"{part}_lang")) & (F.col(part) == F.col(f"{part}_phrase"))
     ends = cut.join(found("head", "l"), at("head")).join(found("rest", "r"), at("rest"))
-    # one row for each language
+    # one row for each language: sent to all tasks if its size is known to be small
+    totals = F.broadcast(totals) if totals.count() <= MOST_LANGUAGES else totals
     score = F.expr("cast(1000 as decimal(38,0)) * cast(a as decimal(38,0)) * cast(words as decimal(38,0)) "
                    "div (cast(l as decimal(38,0)) * cast(r as decimal(38,0)))")
     scored = (ends.join(totals.withColumnRenamed("lang", "t_lang"), F.col("lang") == F.col("t_lang"))
