@@ -2,8 +2,8 @@
 
 Features are cut once at (weighted) quantiles into at most 255 bins and the binned rows are written to the shared
 folder, one byte for each feature. A round grows one tree for each class, level by level; a level is one job: every
-task sums gradients, hessians and rows by (class, node, feature, bin) over its rows with numpy, a shuffle adds the
-tasks' cells, running sums over the bins give every cut's gain, and one best split for each node reaches the driver.
+task sums gradients, hessians and rows by (class, node, feature, bin) over its rows with numpy, one shuffle by feature adds
+the tasks' cells, running sums over the bins give every cut's gain, and the best splits of each node reach the driver.
 So a level costs one pass over the bytes whatever the depth, and neither rows nor histograms are collected.
 
 Rows are never joined or renumbered: a row's node follows from its bins and the tree so far, its margin from the trees
@@ -21,7 +21,7 @@ from dataclasses import asdict, dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
@@ -31,6 +31,8 @@ OBJECTIVES = ("reg:squarederror", "binary:logistic", "multi:softmax")
 MOST_BINS = 255
 #: Cells of a task's histograms; a level with more is done in several jobs.
 MOST_CELLS = 1 << 22
+#: Bytes of binned rows up to which they are one partition, whose task then searches the cuts itself.
+ONE_TASK_BYTES = 1 << 22
 
 
 @dataclass
@@ -255,6 +257,8 @@ def quantile_cuts(df: DataFrame, x: str, width: int, max_bins: int, weight: str
     One pass of mergeable quantile sketches. With weights the sketch is finer, and a second pass sums the weights
     between its points (``max_bins`` x 8 x features cells at most); cuts are then set at equal shares of the weight.
     """
+    if not width:
+        return []
     points = max_bins * (8 if weight else 1)
     probs = [i / points for i in range(1, points)]
     found = df.agg(*[F.percentile_approx(F.when(~F.isnan(F.get(x, F.lit(i))), F.get(x, F.lit(i))), probs, max(10_000, 4 * points))
@@ -325,12 +329,16 @@ def _margins(pdf, bins: np.ndarray, recent: list[list[Tree]]) -> np.ndarray:
 
 
 _CELLS = "k int, node int, f int, b int, g double, h double, n double"
+_BEST = "k int, node int, gain double, f int, b int, missing_left int, gl double, hl double, g double, h double, n double"
 
 
 def _level(data: DataFrame, p: Params, width: int, r: int, recent: list[list[Tree]], growing: list[Tree],
-           frontier: list[tuple[int, int]], columns: list[np.ndarray], score: bool) -> DataFrame:
-    """The cells of one level: for (output, node) of ``frontier`` sums by feature and bin; losses as k = -1 if asked."""
-    outputs, objective, bins_n = p.outputs(), p.objective, MOST_BINS + 1
+           frontier: list[tuple[int, int]], columns: list[np.ndarray], score: bool, bins_n: int, search: bool) -> DataFrame:
+    """The cells of one level: for (output, node) of ``frontier`` sums by feature and bin; losses as k = -1 if asked.
+
+    With ``search``, of a table in one partition, the best cuts themselves.
+    """
+    outputs, objective = p.outputs(), p.objective
     place = {kn: i for i, kn in enumerate(frontier)}
 
     def run(batches):
@@ -367,8 +375,16 @@ def _level(data: DataFrame, p: Params, width: int, r: int, recent: list[list[Tre
                 cell = ((where[ok, None] * width + cols[None, :]) * bins_n + bins[ok][:, cols]).ravel()
                 for row, v in enumerate((g[ok, k] * w[ok], h[ok, k] * w[ok], np.ones(int(ok.sum())))):
                     sums[row] += np.bincount(cell, weights=np.repeat(v, len(cols)), minlength=sums.shape[1])
-        full = np.flatnonzero(sums[2])
         kn = np.array(frontier, dtype=np.int32).reshape(-1, 2)
+        if search:
+            if len(kn):
+                knf = np.column_stack([np.repeat(kn, width, axis=0), np.tile(np.arange(width), len(kn))])
+                drawn = np.concatenate([np.isin(np.arange(width), columns[k]) for k, _ in frontier])
+                yield best_cuts(knf[drawn], sums.reshape(3, -1, bins_n)[:, drawn], p)
+            for s, v in scores.items():
+                yield pd.DataFrame([(-1, s, 0.0, 0, 0, 0, 0.0, 0.0, *v)], columns=[x.split()[0] for x in _BEST.split(", ")])
+            return
+        full = np.flatnonzero(sums[2])
         i, rest = full // (width * bins_n), full % (width * bins_n)
         out = {"k": kn[i, 0], "node": kn[i, 1], "f": (rest // bins_n).astype(np.int32), "b": (rest % bins_n).astype(np.int32),
                "g": sums[0][full], "h": sums[1][full], "n": sums[2][full]}
@@ -377,39 +393,69 @@ def _level(data: DataFrame, p: Params, width: int, r: int, recent: list[list[Tre
             yield pd.DataFrame([(-1, s, 0, 0, *v) for s, v in scores.items()], columns=list(out)).astype(
                 {c: np.int32 for c in ("k", "node", "f", "b")})
 
-    return data.mapInPandas(run, _CELLS)
+    return data.mapInPandas(run, _BEST if search else _CELLS)
 
 
-def _best_splits(cells: DataFrame, p: Params) -> DataFrame:
-    """One row for each (k, node): the best cut with its sums, and the node's own (losses pass through as k = -1).
+def best_cuts(knf: np.ndarray, sums: np.ndarray, p: Params) -> pd.DataFrame:
+    """The best cut of each (k, node) over the features given.
 
-    The gain is T(GL)^2/(HL+l) + T(GR)^2/(HR+l) - T(G)^2/(H+l); ties go to the least feature, then the least bin.
+    ``knf``: (k, node, f) of each group, ``sums``: 3 x groups x bins of g, h and rows, bin 0 for missing values. Left of
+    the cut behind bin b are bins 1 to b, the missing values on either side. The gain is
+    T(GL)^2/(HL+l) + T(GR)^2/(HR+l) - T(G)^2/(H+l); ties go to the least feature, then the least bin. Without a cut that
+    ``min_child_weight`` allows the gain is 0. k = -1 marks sums of losses, which pass through.
+    """
+    t = lambda g: np.maximum(np.abs(g) - p.reg_alpha, 0.0)
+
+    def score(g, h):
+        with np.errstate(divide="ignore", invalid="ignore"):
+            return np.where(h + p.reg_lambda > 0, t(g) ** 2 / (h + p.reg_lambda), 0.0)
+
+    parts = []
+    step = max(1, (1 << 18) // sums.shape[2])
+    for i in range(0, len(knf), step):
+        v = sums[:, i:i + step]
+        total, missing, below = v.sum(axis=2)[..., None], v[..., :1], np.cumsum(v[..., 1:], axis=2)
+        best = None
+        for to_left in (0, 1):
+            here = below + missing * to_left
+            right = total - here
+            fits = (here[2] > 0) & (right[2] > 0) & (here[1] >= p.min_child_weight) & (right[1] >= p.min_child_weight)
+            gain = np.where(fits, score(here[0], here[1]) + score(right[0], right[1]) - score(total[0], total[1]), -np.inf)
+            gain = gain.astype(np.float32)                    # so that the order of sums hardly ever decides between equals
+            at = gain.argmax(axis=1)
+            row = np.arange(len(at))
+            found = np.column_stack([np.maximum(gain[row, at], 0.0), at + 1, np.full(len(at), to_left), here[0, row, at], here[1, row, at]])
+            best = found if best is None else np.where((found[:, 0] > best[:, 0])[:, None], found, best)
+        parts.append(np.column_stack([knf[i:i + step], best, total[..., 0].T]))
+    names = ["k", "node", "f", "gain", "b", "missing_left", "gl", "hl", "g", "h", "n"]
+    out = pd.DataFrame(np.concatenate(parts) if parts else np.empty((0, len(names))), columns=names)
+    return _first_of_node(out).astype({c: np.int32 for c in ("k", "node", "f", "b", "missing_left")})
+
+
+def _first_of_node(found: pd.DataFrame) -> pd.DataFrame:
+    ordered = found.sort_values(["k", "node", "gain", "f", "b"], ascending=[True, True, False, True, True])
+    return ordered.groupby(["k", "node"], as_index=False).first()[[x.split()[0] for x in _BEST.split(", ")]]
+
+
+def _best_splits(cells: DataFrame, p: Params, bins: int) -> list[dict]:
+    """One row for each (k, node): the best cut and the node's sums.
+
+    Tasks have summed their cells, so these go straight to the tasks that search the features: one shuffle, and a row
+    for each node and task comes back.
     """
-    # tasks have summed their cells, so they are sent to the split search unsummed: one shuffle serves both
-    summed = cells.repartition("k", "node", "f").groupBy("k", "node", "f", "b").agg(
-        F.sum("g").alias("g"), F.sum("h").alias("h"), F.sum("n").alias("n"))
-    group = Window.partitionBy("k", "node", "f")
-    run = group.orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    known = lambda c: F.when(F.col("b") > 0, F.col(c)).otherwise(0.0)
-    missing = lambda c: F.when(F.col("b") == 0, F.col(c)).otherwise(0.0)
-    sums = summed.select("k", "node", "f", "b", *[e for c in ("g", "h", "n") for e in (
-        F.sum(known(c)).over(run).alias(f"{c}l"), F.sum(missing(c)).over(group).alias(f"{c}m"), F.sum(c).over(group).alias(f"{c}t"))])
-
-    def score(g: Column, h: Column) -> Column:
-        t = F.greatest(F.abs(g) - p.reg_alpha, F.lit(0.0))
-        return F.when(h + p.reg_lambda > 0, t * t / (h + p.reg_lambda)).otherwise(0.0)
-
-    def side(left: bool) -> Column:
-        """The cut with missing values on the left or the right."""
-        gl, hl, nl = (F.col(f"{c}l") + F.col(f"{c}m") if left else F.col(f"{c}l") for c in "ghn")
-        gt, ht, nt = (F.col(f"{c}t") for c in "ghn")
-        fits = (nl > 0) & (nt - nl > 0) & (hl >= p.min_child_weight) & (ht - hl >= p.min_child_weight) & (F.col("b") > 0)
-        gain = score(gl, hl) + score(gt - gl, ht - hl) - score(gt, ht)
-        return F.when(fits, F.struct(gain.alias("gain"), (-F.col("f")).alias("f"), (-F.col("b")).alias("b"),
-                                     F.lit(int(left)).alias("left"), gl.alias("gl"), hl.alias("hl")))
-
-    return sums.groupBy("k", "node").agg(F.max(F.greatest(side(False), side(True))).alias("best"),
-                                         F.max("gt").alias("g"), F.max("ht").alias("h"), F.max("nt").alias("n"))
+    def search(batches):
+        parts = [b for b in batches if len(b)]
+        if parts:
+            c = pd.concat(parts)
+            knf, group = np.unique(c[["k", "node", "f"]].to_numpy(), axis=0, return_inverse=True)
+            sums = np.zeros((3, len(knf), bins))
+            sums[:, group.ravel(), c["b"].to_numpy()] = c[["g", "h", "n"]].to_numpy().T
+            yield best_cuts(knf, sums, p)
+
+    found = (cells.repartition("k", "node", "f").groupBy("k", "node", "f", "b")
+             .agg(F.sum("g").alias("g"), F.sum("h").alias("h"), F.sum("n").alias("n"))
+             .mapInPandas(search, _BEST).toPandas())
+    return _first_of_node(found).to_dict("records")
 
 
 def fit_boosted(train: DataFrame, features: Sequence[str] | str, label: str, params: Params, weight: str | None = None,
@@ -444,6 +490,10 @@ def fit_boosted(train: DataFrame, features: Sequence[str] | str, label: str, par
         every_row = every_row.unionByName(rows(df, i))
     folder = scratch_dir(spark, "boost")
     data = stage_table(_binned(every_row, cuts, outputs, p.base_margin()), folder)
+    bins_n = max([len(c) for c in cuts], default=0) + 2
+    alone = data.count() * (width + 8 * outputs) <= ONE_TASK_BYTES
+    if alone:
+        data = stage_table(data.coalesce(1), folder)
 
     done: list[list[Tree]] = []
     recent: list[list[Tree]] = []
@@ -461,10 +511,10 @@ def fit_boosted(train: DataFrame, features: Sequence[str] | str, label: str, par
         depth = 0
         while frontier or (depth == 0 and r == p.n_estimators):
             found = []
-            share = max(1, MOST_CELLS // (width * (MOST_BINS + 1)))
+            share = max(1, MOST_CELLS // max(1, width * bins_n))
             for i in range(0, max(1, len(frontier)), share):
-                cells = _level(data, p, width, r, recent, growing, frontier[i:i + share], columns, depth == 0 and i == 0)
-                found += _best_splits(cells, p).collect()              # a row for each node
+                level = _level(data, p, width, r, recent, growing, frontier[i:i + share], columns, depth == 0 and i == 0, bins_n, alone)
+                found += level.toPandas().to_dict("records") if alone else _best_splits(level, p, bins_n)
             for row in (x for x in found if x["k"] == -1):
                 # the cells of a loss: its sum in g, the errors in h, the weight in n
                 last_losses[row["node"]] = (row["g"] / row["n"], row["h"] / row["n"]) if row["n"] else (math.nan, math.nan)
@@ -486,25 +536,26 @@ def fit_boosted(train: DataFrame, features: Sequence[str] | str, label: str, par
         recent.append(growing)
         if len(recent) >= every:
             data = _with_margins(data, recent, width, folder)
+            data = data.coalesce(1) if alone else data
             recent = []
     return BoostedTrees(p, features if isinstance(features, str) else list(features), width, done, noted,
                         best_round if p.early_stopping_rounds else len(done) - 1)
 
 
-def _grow(growing: list[Tree], found: list, p: Params, cuts: list[np.ndarray], depth: int) -> list[tuple[int, int]]:
+def _grow(growing: list[Tree], found: list[dict], p: Params, cuts: list[np.ndarray], depth: int) -> list[tuple[int, int]]:
     """Apply the splits of one level; the nodes of the next."""
     frontier = []
     for row in sorted(found, key=lambda x: (x["k"], x["node"])):
-        tree, node, best = growing[row["k"]], row["node"], row["best"]
+        tree, node = growing[row["k"]], row["node"]
         if depth == 0:
             tree.value[0], tree.cover[0] = p.eta * leaf_value(row["g"], row["h"], p), row["h"]
-        if depth >= p.max_depth or best is None or best["gain"] <= 1e-6:
+        if depth >= p.max_depth or row["gain"] <= 1e-6:
             continue
-        f, b = -best["f"], -best["b"]
-        gr, hr = row["g"] - best["gl"], row["h"] - best["hl"]
-        tree.feature[node], tree.bin[node], tree.missing_left[node], tree.gain[node] = f, b, best["left"], best["gain"]
+        f, b = row["f"], row["b"]
+        gr, hr = row["g"] - row["gl"], row["h"] - row["hl"]
+        tree.feature[node], tree.bin[node], tree.missing_left[node], tree.gain[node] = f, b, row["missing_left"], row["gain"]
         tree.cut[node] = float(cuts[f][b - 1]) if b <= len(cuts[f]) else math.inf
-        tree.left[node] = tree.add(p.eta * leaf_value(best["gl"], best["hl"], p), best["hl"])
+        tree.left[node] = tree.add(p.eta * leaf_value(row["gl"], row["hl"], p), row["hl"])
         tree.right[node] = tree.add(p.eta * leaf_value(gr, hr, p), hr)
         if depth + 1 < p.max_depth:
             frontier += [(row["k"], tree.left[node]), (row["k"], tree.right[node])]

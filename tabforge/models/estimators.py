@@ -1,4 +1,4 @@
-"""Estimators on ``pyspark.ml``.
+"""Estimators on ``pyspark.ml``.
 
 Factories translate the reference's hyper-parameters to MLlib's objectives
 (penalty scaling differs between the libraries); custom pieces are small
@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC,
                                        LogisticRegression, MultilayerPerceptronClassifier,
-                                       NaiveBayes, OneVsRest, RandomForestClassifier)
+                                       NaiveBayes, RandomForestClassifier)
 from pyspark.ml.feature import PolynomialExpansion, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
@@ -36,7 +36,7 @@ def array_features(df: DataFrame, arr: str, out: str = "features") -> DataFrame:
     return df.withColumn(out, array_to_vector(F.col(arr).cast("array<double>")))
 
 
-# L1 - L4: trees ----------------------------------------------------------------------
+# L1 - L3: trees ----------------------------------------------------------------------
 
 def decision_tree(impurity: str = "gini", max_depth: int = 5, label: str = "label",
                   regression: bool = False, seed: int = 42):
@@ -64,24 +64,6 @@ def gradient_boosting(n_estimators: int = 100, learning_rate: float = 0.1, max_d
     return GBTRegressor(**kw) if regression else GBTClassifier(**kw)
 
 
-def xgb_like(n_estimators: int = 100, eta: float = 0.3, max_depth: int = 6, subsample: float = 1.0,
-             colsample: float = 1.0, n_classes: int = 2, label: str = "label",
-             regression: bool = False, validation_col: str | None = None, seed: int = 42):
-    """L4 re-aimed: ``eta`` -> ``stepSize``, ``subsample`` -> ``subsamplingRate``,
-    ``colsample_bytree`` -> ``featureSubsetStrategy`` (fraction), eval set ->
-    ``validationIndicatorCol``; ``multi:softmax`` -> one-vs-rest of binary
-    boosters. L1/L2 leaf penalties and ``gamma`` have no MLlib counterpart."""
-    kw = dict(maxIter=n_estimators, stepSize=eta, maxDepth=max_depth, subsamplingRate=subsample,
-              featureSubsetStrategy=str(colsample) if colsample < 1 else "all", seed=seed)
-    if validation_col:
-        kw["validationIndicatorCol"] = validation_col
-    if regression:
-        return GBTRegressor(labelCol=label, **kw)
-    if n_classes <= 2:
-        return GBTClassifier(labelCol=label, **kw)
-    return OneVsRest(classifier=GBTClassifier(**kw), labelCol=label, parallelism=4)
-
-
 # Linear classifiers -------------------------------------------------
 
 def logistic(C: float, n_rows: int, label: str = "label", max_iter: int = 100, family: str = "auto"):

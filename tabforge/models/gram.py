@@ -131,8 +131,9 @@ def elastic_net(g: Gram, features, alpha: float = 1.0, l1_ratio: float = 0.5, ma
 
     Cyclic coordinate descent with the soft threshold, on the centred statistics: a sweep costs p^2 and no pass over
     rows. With one target the multi-task forms have the same objective. It ends when no step of a sweep moves the
-    fitted values by more than ``tol`` of the label's norm, or, on nearly dependent columns, as soon as the equations of
-    the columns in use have a solution that meets all conditions of the optimum.
+    fitted values by more than ``tol`` of the label's norm, or as soon as the equations of the columns in use have a
+    solution that meets all conditions of the optimum. On nearly dependent columns sweeps hardly move; after 2,000 the
+    columns in use are those of the least-angle path.
     """
     _, _, cxx, cxy, cyy = g.centered()
     p = len(features)
@@ -141,7 +142,8 @@ def elastic_net(g: Gram, features, alpha: float = 1.0, l1_ratio: float = 0.5, ma
     enough = tol * np.sqrt(max(cyy, 0.0))
     for sweep in range(max_iter):
         if sweep % 50 == 49:
-            exact = _solved_in_use(cxx, cxy, w, l1, l2)
+            near = w if sweep != 1999 else on_path(_angle_path(cxx + l2 * np.eye(p), cxy, np.ones(p), True, p), l1)
+            exact = _solved_in_use(cxx, cxy, near, l1, l2)
             if exact is not None:
                 w = exact
                 break
@@ -190,24 +192,28 @@ def least_angle_path(g: Gram, drops: bool = True, normalize: bool = False, most:
     without variance, or one that the chosen columns span, is never chosen.
     """
     _, _, cxx, cxy, _ = g.centered()
-    p = len(cxy)
     scale = np.sqrt(np.maximum(np.diag(cxx), 0.0))
-    usable = scale > 1e-12 * max(scale.max(initial=0.0), 1e-300)
-    unit = np.where(usable, scale, 1.0) if normalize else np.ones(p)
+    unit = np.where(scale > 0, scale, 1.0) if normalize else np.ones(len(cxy))
+    return [(c / g.n, w) for c, w in _angle_path(cxx, cxy, unit, drops, most or len(cxy))]
+
+
+def _angle_path(cxx, cxy, unit, drops: bool, most: int) -> list[tuple[float, np.ndarray]]:
+    """Knots (greatest correlation, weights) of the least-angle path of the columns divided by ``unit``."""
+    p = len(cxy)
+    diag = np.maximum(np.diag(cxx), 0.0)
+    banned = diag <= 1e-24 * max(diag.max(initial=0.0), 1e-300)
     a, c0 = cxx / np.outer(unit, unit), cxy / unit
-    w, active, path = np.zeros(p), [], []
-    banned = ~usable
+    w, active = np.zeros(p), []
     start = float(np.abs(np.where(banned, 0.0, c0)).max(initial=0.0))
     tiny = 1e-12 * max(start, 1e-300)
-    path.append((start / g.n, w / unit))
-    dropped = -1
+    path, dropped = [(start, w / unit)], -1
     for _ in range(8 * p + 8):
         corr = c0 - a @ w
         free = np.array([j for j in range(p) if j not in active and not banned[j]], dtype=int)
         now = float(np.abs(corr[active]).max()) if active else start
         if now <= tiny:
             break
-        if dropped < 0 and len(free) and len(active) < (most or p):
+        if dropped < 0 and len(free) and len(active) < most:
             j = int(free[np.argmax(np.abs(corr[free]))])
             if abs(corr[j]) >= now * (1 - 1e-9):
                 trial = a[np.ix_(active + [j], active + [j])]
@@ -217,10 +223,9 @@ def least_angle_path(g: Gram, drops: bool = True, normalize: bool = False, most:
                     banned[j] = True
                     continue
         free = np.array([j for j in range(p) if j not in active and not banned[j]], dtype=int)
-        sign = np.sign(corr[active])
-        direction = np.linalg.solve(a[np.ix_(active, active)], sign)       # correlations fall by one for each unit
+        direction = np.linalg.solve(a[np.ix_(active, active)], np.sign(corr[active]))     # correlations fall by one a unit
         step, dropped = now, -1
-        if len(free) and len(active) < (most or p):
+        if len(free) and len(active) < most:
             fall = a[np.ix_(free, active)] @ direction
             with np.errstate(divide="ignore", invalid="ignore"):
                 meets = np.concatenate([(now - corr[free]) / (1 - fall), (now + corr[free]) / (1 + fall)])
@@ -236,7 +241,7 @@ def least_angle_path(g: Gram, drops: bool = True, normalize: bool = False, most:
         if dropped >= 0:
             w[active[dropped]] = 0.0
             del active[dropped]
-        path.append((max(now - step, 0.0) / g.n, w / unit))
+        path.append((max(now - step, 0.0), w / unit))
         if now - step <= tiny or not active:
             break
     return path

@@ -9,14 +9,17 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..models import boosting as B
 from ..models import estimators as L
 from ..models import gram as GR
 from ..models import selection as M
 from ..operators import groups as E
 from ..operators import lookup as D
+from ..operators import metrics as N
 from ..operators import ordering as G
 from ..operators import predict as P
 from ..operators import split as K
@@ -88,8 +91,6 @@ SELECT model, fold, round(rmse, 4) AS rmse, round(avg(rmse) OVER w, 4) AS mean,
        round(stddev_pop(rmse) OVER w, 4) AS std, round(max(rmse) OVER w, 4) AS worst
 FROM v WINDOW w AS (PARTITION BY model)""")
 def q_cv_closed(spark, d):
-    from ..operators import metrics as N
-
     li = K.kfold(table(spark, d, "lineitem", "l_orderkey", *LINE_FEATURES, "l_extendedprice"), "l_orderkey", 5, 1, exact=False)
     scores = GR.cv_rmse(li, LINE_FEATURES, "l_extendedprice", "fold", ["ols", "ridge"])
     whole = scores.join(N.score_summary(scores, "rmse", ["model"]), "model")
@@ -97,6 +98,89 @@ def q_cv_closed(spark, d):
                         *[F.round(c, 4).alias(c) for c in ("rmse", "mean", "std", "worst")])
 
 
+# With one feature every member of the linear family has a closed form in s (centred square sum), t and n: a soft
+# threshold of t for the lasso, of t / sqrt(s) for the lasso on columns of unit length.
+_ONE_FEATURE = {
+    "ols": "t / s", "lars": "t / s", "omp": "t / s", "ridge": "t / (s + 1)",
+    "lasso": "sign(t) * greatest(abs(t) - n, 0) / s", "multitask_lasso": "sign(t) * greatest(abs(t) - n, 0) / s",
+    "elastic_net": "sign(t) * greatest(abs(t) - 0.5 * n, 0) / (s + 0.5 * n)",
+    "multitask_elastic_net": "sign(t) * greatest(abs(t) - 0.5 * n, 0) / (s + 0.5 * n)",
+    "lasso_lars": "sign(t) * greatest(abs(t) / sqrt(s) - n, 0) / sqrt(s)"}
+
+
+@query("q_shortlist_closed", f"""
+WITH li AS (SELECT l_quantity AS x, l_extendedprice / 100 AS y, {_FOLD} AS fold FROM lineitem),
+s AS (SELECT r.range AS out_fold, var_pop(x) * count(*) AS s, covar_pop(x, y) * count(*) AS t, count(*) AS n,
+             avg(x) AS mx, avg(y) AS my
+      FROM li JOIN range(5) r ON li.fold <> r.range GROUP BY r.range),
+f AS ({" UNION ALL ".join(f"SELECT '{m}' AS model, *, {w} AS w FROM s" for m, w in _ONE_FEATURE.items())}),
+v AS (SELECT model, fold, sqrt(avg(power(y - my - w * (x - mx), 2))) AS rmse
+      FROM li JOIN f ON li.fold = f.out_fold GROUP BY model, fold),
+m AS (SELECT model, round(avg(rmse), 5) AS mean, round(stddev_pop(rmse), 5) AS std, round(max(rmse), 5) AS worst FROM v GROUP BY model)
+SELECT *, row_number() OVER (ORDER BY mean, std DESC, model) AS place FROM m""")
+def q_shortlist_closed(spark, d):
+    """M3 on one feature: the linear family by five-fold RMSE, least mean first."""
+    li = table(spark, d, "lineitem", "l_orderkey", "l_quantity", "l_extendedprice")
+    li = K.kfold(li.withColumn("y", F.col("l_extendedprice") / 100), "l_orderkey", 5, 1, exact=False)
+    scores = GR.cv_rmse(li, ["l_quantity"], "y", "fold", list(_ONE_FEATURE))
+    mean = N.score_summary(scores, "rmse", ["model"]).select("model", *[F.round(c, 5).alias(c) for c in ("mean", "std", "worst")])
+    # one row for each model
+    return mean.withColumn("place", F.row_number().over(Window.orderBy("mean", F.col("std").desc(), "model")).cast("long"))
+
+
+# The cuts are all values of a feature; a node's sums follow from one group-by, a cut's from a running sum.
+_BOOST_FEATURES = ["l_quantity", "l_discount", "l_tax"]
+
+
+def _best_cut(cells: str, keys: str) -> str:
+    return f"""
+SELECT * FROM (
+  SELECT *, power(greatest(abs(gl) - 0.5, 0), 2) / (hl + 2) + power(greatest(abs(gt - gl) - 0.5, 0), 2) / (ht - hl + 2)
+            - power(greatest(abs(gt) - 0.5, 0), 2) / (ht + 2) AS gain
+  FROM (SELECT {keys}, f, v, sum(g) OVER (PARTITION BY {keys}, f ORDER BY v) - g AS gl,
+               sum(h) OVER (PARTITION BY {keys}, f ORDER BY v) - h AS hl,
+               sum(g) OVER (PARTITION BY {keys}, f) AS gt, sum(h) OVER (PARTITION BY {keys}, f) AS ht FROM ({cells})))
+WHERE hl >= 1 AND ht - hl >= 1
+QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY gain DESC, f, v) = 1"""
+
+
+def _cells(rows: str, keys: str) -> str:
+    return " UNION ALL ".join(f"SELECT {keys}, {i} AS f, {c} AS v, sum(0.5 - y) AS g, CAST(count(*) AS DOUBLE) AS h "
+                              f"FROM {rows} GROUP BY ALL" for i, c in enumerate(_BOOST_FEATURES))
+
+
+def _leaf(g: str, h: str) -> str:
+    return f"-0.3 * sign({g}) * greatest(abs({g}) - 0.5, 0) / ({h} + 2)"
+
+
+@query("q_boost_tree", f"""
+WITH li AS (SELECT 0 AS node, {', '.join(_BOOST_FEATURES)}, l_extendedprice / 1000 + 10 * l_quantity * (l_tax + l_discount) AS y FROM lineitem),
+root AS ({_best_cut(_cells('li', 'node'), 'node')}),
+sides AS (SELECT CASE WHEN CASE f WHEN 0 THEN l_quantity WHEN 1 THEN l_discount ELSE l_tax END < v THEN 1 ELSE 2 END AS node,
+                 {', '.join(f'li.{c}' for c in _BOOST_FEATURES)}, y FROM li, root),
+inner_ AS ({_best_cut(_cells('sides', 'node'), 'node')})
+SELECT 'split' AS kind, node, f AS feature, round(v, 6) AS cut, round(gain / 1000, 2) AS gain, round({_leaf('gt', 'ht')}, 6) AS value
+FROM (SELECT * FROM root UNION ALL SELECT * FROM inner_)
+UNION ALL
+SELECT 'leaf', 2 * node + 1, -1, 0, 0, round({_leaf('gl', 'hl')}, 6) FROM inner_
+UNION ALL
+SELECT 'leaf', 2 * node + 2, -1, 0, 0, round({_leaf('gt - gl', 'ht - hl')}, 6) FROM inner_""")
+def q_boost_tree(spark, d):
+    """L4: the first tree of a regularised booster (two levels, alpha 0.5, lambda 2), node by node."""
+    li = table(spark, d, "lineitem", *_BOOST_FEATURES, "l_extendedprice").withColumn(
+        "y", F.col("l_extendedprice") / 1000 + 10 * F.col("l_quantity") * (F.col("l_tax") + F.col("l_discount")))
+    model = B.fit_boosted(li, _BOOST_FEATURES, "y", B.Params(n_estimators=1, max_depth=2, reg_alpha=0.5, reg_lambda=2.0))
+    tree, rows, todo = model.rounds[0][0], [], [(0, 0)]
+    while todo:
+        at, number = todo.pop()
+        inner = tree.left[at] >= 0
+        rows.append(("split" if inner else "leaf", number, tree.feature[at], round(tree.cut[at], 6) if inner else 0.0,
+                     round(tree.gain[at] / 1000, 2), round(tree.value[at], 6)))
+        if inner:
+            todo += [(tree.left[at], 2 * number + 1), (tree.right[at], 2 * number + 2)]
+    return spark.createDataFrame(rows, "kind string, node int, feature int, cut double, gain double, value double")
+
+
 _IMPUTE = ["l_quantity", "l_tax", "l_extendedprice"]
 
 

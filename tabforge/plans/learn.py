@@ -7,7 +7,7 @@ fold / parameter point) so lost or duplicated rows are still visible. Their
 numeric checks live in ``tests/test_models.py`` and ``tests/test_boosting.py``.
 Forests, boosters, AdaBoost, softmax steps, random draws and hold-out
 repetitions have the sizes below, those of the reference or the operator's own
-default; only those of q_vote and q_shortlist are not parameters.
+default; only those of q_vote are not parameters.
 """
 
 from __future__ import annotations
@@ -20,10 +20,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..models import boosting as B
 from ..models import estimators as L
 from ..models import gram as GR
 from ..models import selection as M
 from ..models import svr as SVR
+from ..models import tpe as TPE
 from ..operators import boxcox as BC
 from ..operators import encode as J
 from ..operators import lookup as D
@@ -52,6 +54,11 @@ ADABOOST_ROUNDS = 200
 ADABOOST_RATE = 0.5
 SOFTMAX_MOST_STEPS = 5001
 RANDOM_DRAWS = 10
+TPE_EVALUATIONS = 150
+SHORTLIST_FOLDS = 5
+SHORTLIST_TREES = 10
+ARD_SPACE = {"a1": ("uniform", 1e-8, 1.0), "a2": ("uniform", 1e-8, 1.0), "l1": ("uniform", 1e-8, 1.0),
+             "l2": ("uniform", 1e-8, 1.0), "threshold_lambda": ("uniform", 1e3, 1e4)}
 HOLDOUT_REPETITIONS = 50
 
 CUST_FEATURES = ["c_acctbal", "c_nationkey", "n_orders", "avg_price"]
@@ -138,13 +145,22 @@ def q_gbt(spark, d, rounds: int = BOOST_ROUNDS):
 
 @query("q_xgb_like")
 def q_xgb_like(spark, d, rounds: int = BOOST_ROUNDS):
-    t = emb_table(spark, d)
+    t = table(spark, d, "embeddings", "vec_id", "embedding", "label")
     valid = F.expr(K.seeded_hash_sql("vec_id", 1)) < F.lit(int(0.2 * K.HASH_P))
-    m = L.xgb_like(rounds, 0.3, 3, subsample=0.8, n_classes=10).fit(t)
-    reg = L.xgb_like(rounds, 0.3, 3, regression=True, validation_col="is_valid").fit(
-        t.withColumn("is_valid", valid))
-    return _keyed(reg.transform(m.transform(t).withColumnRenamed("prediction", "cls")),
-                  "vec_id", ["cls"])
+    m = B.fit_boosted(t, "embedding", "label", B.Params("multi:softmax", rounds, 0.3, 3, subsample=0.8, n_classes=10))
+    reg = B.fit_boosted(t.where(~valid), "embedding", "label", B.Params("reg:squarederror", rounds, 0.3, 3, early_stopping_rounds=10),
+                        evals={"valid": t.where(valid)})
+    return reg.transform(m.transform(t, "cls")).select("vec_id", "prediction", "cls")
+
+
+@query("q_xgb_rounds")
+def q_xgb_rounds(spark, d, rounds: int = 20):
+    """The evaluation list of a regularised binary booster: one row for each round and set."""
+    t = customer_table(spark, d).select("c_custkey", *CUST_FEATURES, "label")
+    valid = F.expr(K.seeded_hash_sql("c_custkey", 3)) < F.lit(int(0.25 * K.HASH_P))
+    m = B.fit_boosted(t.where(~valid), CUST_FEATURES, "label", B.Params("binary:logistic", rounds, 0.1, 5, gamma=0.1, reg_alpha=0.1),
+                      evals={"valid": t.where(valid)})
+    return spark.createDataFrame(m.evals, "round int, set string, loss double, error double")
 
 
 @query("q_adaboost")
@@ -257,7 +273,7 @@ def q_gram_models(spark, d):
     feats = ["l_quantity", "l_discount", "l_tax"]
     g = GR.gram(li, feats, "l_extendedprice")
     out = li.select("line_id", *feats)
-    for name in ("ols", "ridge", "omp", "bayesian_ridge", "ard"):
+    for name in ("ols", "ridge", "lasso", "elastic_net", "lars", "lasso_lars", "omp", "bayesian_ridge", "ard"):
         out = out.withColumn(f"pred_{name}", GR.SOLVERS[name](g, feats).predict_col())
     return out.drop(*feats)
 
@@ -287,10 +303,10 @@ def q_cv_scores(spark, d):
 
 
 @query("q_shortlist")
-def q_shortlist(spark, d):
-    t = K.kfold(emb_table(spark, d, binary=True), "vec_id", 3, 2, exact=False).cache()
-    n = t.count() * 2 // 3
-    cands = {"tree": L.decision_tree("gini", 4), "forest": L.random_forest(FOREST_TREES, 4),
+def q_shortlist(spark, d, folds: int = SHORTLIST_FOLDS, trees: int = FOREST_TREES):
+    t = K.kfold(emb_table(spark, d, binary=True), "vec_id", folds, 2, exact=False).cache()
+    n = t.count() * (folds - 1) // folds
+    cands = {"tree": L.decision_tree("gini", 4), "forest": L.random_forest(trees, 4),
              "logistic": L.logistic(1.0, n), "nb": L.gaussian_nb()}
     try:
         return M.shortlist(cands, t, "fold", M.accuracy_evaluator())
@@ -298,6 +314,31 @@ def q_shortlist(spark, d):
         t.unpersist()
 
 
+@query("q_shortlist_linear")
+def q_shortlist_linear(spark, d, folds: int = SHORTLIST_FOLDS, trees: int = SHORTLIST_TREES):
+    """M3: five-fold RMSE of the linear family (one scan for all of it) and a forest, least mean first."""
+    feats = ["l_quantity", "l_discount", "l_tax"]
+    li = K.kfold(line_table(spark, d), "line_id", folds, 1, exact=False)
+    gram = GR.cv_rmse(li, feats, "l_extendedprice", "fold", list(GR.SOLVERS))
+    t = L.assemble(li.select("fold", *feats, F.col("l_extendedprice").alias("label")), feats).select("fold", "label", "features")
+    forest = M.cv_scores(L.random_forest(trees, 10, regression=True), t, "fold", M.rmse_evaluator())
+    scores = gram.unionByName(M.cv_table(spark, "forest", forest).withColumnRenamed("value", "rmse"))
+    return N.score_summary(scores, "rmse", ["model"]).orderBy(F.col("mean"), F.col("std").desc(), "model")
+
+
+@query("q_tpe_search")
+def q_tpe_search(spark, d, evaluations: int = TPE_EVALUATIONS):
+    """M6: ARD parameters of least ten-fold RMSE; one scan serves all trials."""
+    feats = ["l_quantity", "l_discount", "l_tax"]
+    li = K.kfold(line_table(spark, d), "line_id", 10, 2, exact=False)
+    per = GR.fold_grams(li, feats, "l_extendedprice", "fold")
+
+    def loss(params: dict) -> float:
+        scores = GR.fold_rmse(per, feats, lambda g, f: GR.ard(g, f, **params))
+        return sum(v for _, v in scores) / len(scores)
+    return TPE.trial_table(spark, TPE.tpe_search(loss, ARD_SPACE, evaluations, seed=42))
+
+
 @query("q_oof")
 def q_oof(spark, d):
     t = K.kfold(emb_table(spark, d, binary=True), "vec_id", 3, 4, exact=False)
@@ -352,6 +393,19 @@ def q_model_impute(spark, d):
     return out.select("l_orderkey", "l_linenumber", "disc", "disc_filled")
 
 
+@query("q_impute_forest")
+def q_impute_forest(spark, d, trees: int = SHORTLIST_TREES):
+    """M9 with forest and boosted regressors: both learn the known discounts and fill the missing ones."""
+    li = line_table(spark, d).withColumn("disc", C.sentinel_to_null("l_discount"))
+    feats = ["l_quantity", "l_tax", "l_extendedprice"]
+    asm = VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep")
+    forest = lambda known: Pipeline(stages=[asm, L.random_forest(trees, 5, label="disc", regression=True)]).fit(known)
+    boosted = lambda known: B.fit_boosted(known, feats, "disc", B.Params(n_estimators=trees, max_depth=3))
+    out = M.model_impute(li, "disc", forest, out="forest_filled").drop("features")
+    return M.model_impute(out, "disc", boosted, out="boosted_filled").select(
+        "l_orderkey", "l_linenumber", "disc", "forest_filled", "boosted_filled")
+
+
 @query("q_override_model")
 def q_override_model(spark, d):
     t = customer_table(spark, d)

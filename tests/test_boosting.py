@@ -18,14 +18,14 @@ def test_queries_fit_the_reference_sizes(spark, monkeypatch):
     def seen(*args, **kw):
         raise Seen(args, kw)
     monkeypatch.setattr(learn.L, "AdaBoostSAMME", seen)
-    monkeypatch.setattr(learn.L, "xgb_like", seen)
+    monkeypatch.setattr(learn.B, "fit_boosted", seen)
     with pytest.raises(Seen) as e:
         learn.q_adaboost(spark, SF001)
     assert (e.value.args[1]["n_estimators"], e.value.args[1]["learning_rate"]) == (200, 0.5)
     for given, rounds in (({}, 100), ({"rounds": 7}, 7)):
         with pytest.raises(Seen) as e:
             learn.q_xgb_like(spark, SF001, **given)
-        assert e.value.args[0][0] == rounds
+        assert e.value.args[0][3].n_estimators == rounds
 
 
 def test_adaboost_matches_a_plain_loop_over_its_trees(spark):

@@ -78,6 +78,64 @@ def test_bayesian_ridge_and_ard_on_gram_equal_data_matrix(reg_data):
     assert np.count_nonzero(omp.coef) == 2 and omp.coef[2] == 0.0
 
 
+def test_lasso_and_elastic_net_on_gram_meet_the_conditions_and_equal_mllib(spark, reg_data):
+    df, X, y = reg_data
+    g, n = GR.gram(df, FEATS, "y"), len(y)
+    Xc, yc = X - X.mean(0), y - y.mean()
+    for alpha, r in ((0.05, 1.0), (0.3, 1.0), (0.2, 0.5), (0.4, 0.1)):
+        w = GR.elastic_net(g, FEATS, alpha, r).coef
+        grad = Xc.T @ (yc - Xc @ w) / n - alpha * (1 - r) * w
+        used = w != 0
+        assert np.abs(grad[used] - alpha * r * np.sign(w[used])).max(initial=0) < 1e-8
+        assert (np.abs(grad[~used]) <= alpha * r + 1e-8).all()
+    t = L.assemble(df.withColumnRenamed("y", "label"), FEATS)
+    assert GR.lasso(g, FEATS, 0.3).coef == pytest.approx(L.lasso(0.3, max_iter=500).setTol(1e-12).fit(t).coefficients.toArray(), abs=1e-4)
+    assert GR.elastic_net(g, FEATS, 0.2, 0.5).coef == pytest.approx(
+        L.elastic_net(0.2, 0.5, t, max_iter=500).setTol(1e-12).fit(t).coefficients.toArray(), abs=1e-4)
+    assert GR.lasso(g, FEATS, 1e6).coef == pytest.approx(np.zeros(4))
+    assert GR.lasso(g, FEATS, 1e6).intercept == pytest.approx(y.mean())
+
+
+def _gram_of(X, y):
+    return GR.Gram(float(len(y)), X.sum(0), y.sum(), X.T @ X, X.T @ y, y @ y)
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_least_angle_knots_are_lasso_solutions(seed):
+    rng = np.random.default_rng(seed)
+    n, p = int(rng.integers(12, 60)), int(rng.integers(1, 9))
+    X = rng.normal(size=(n, p)) @ (np.eye(p) + 0.7 * rng.normal(size=(p, p)))     # correlated, so that columns leave the path
+    y = X @ rng.normal(size=p) + rng.normal(size=n)
+    if seed % 5 == 0:
+        X[:, 0] = 3.0
+    if seed % 7 == 0 and p > 2:
+        X[:, 1] = X[:, 2]
+    g, names = _gram_of(X, y), [str(i) for i in range(p)]
+    Xc, yc = X - X.mean(0), y - y.mean()
+    sse = lambda w: float(((yc - Xc @ w) ** 2).sum())
+    path = GR.least_angle_path(g)
+    assert all(a >= b - 1e-12 for (a, _), (b, _) in zip(path, path[1:]))
+    knots = [a for a, _ in path if a > 1e-9]
+    for a in knots + [0.5 * (x + z) for x, z in zip(knots, knots[1:])]:
+        w, ref = GR.on_path(path, a), GR.lasso(g, names, a).coef
+        assert sse(w) / 2 / n + a * np.abs(w).sum() == pytest.approx(sse(ref) / 2 / n + a * np.abs(ref).sum(), abs=1e-8)
+    ols = sse(GR.ols(g, names).coef)
+    assert sse(path[-1][1]) == pytest.approx(ols, abs=1e-7)
+    assert sse(GR.lars(g, names).coef) == pytest.approx(ols, abs=1e-7)
+    assert np.count_nonzero(GR.lars(g, names, 1).coef) <= 1
+
+
+def test_lasso_lars_scales_columns_to_unit_length():
+    rng = np.random.default_rng(1)
+    X = rng.normal(size=(50, 3)) * [1.0, 10.0, 100.0]
+    y = X @ [1.0, 0.2, 0.01] + rng.normal(size=50)
+    g, names = _gram_of(X, y), ["a", "b", "c"]
+    norm = np.linalg.norm(X - X.mean(0), axis=0)
+    unit = _gram_of((X - X.mean(0)) / norm, y)
+    assert GR.lasso_lars(g, names, 0.02).coef * norm == pytest.approx(GR.lasso(unit, names, 0.02).coef, abs=1e-9)
+    assert not GR.lasso_lars(g, names, 1.0).coef.any()             # as in the reference's scores: the constant model
+
+
 def test_gram_cv_one_scan_matches_refits(reg_data):
     df, _, _ = reg_data
     f = K.kfold(df, "id", 3, 1)

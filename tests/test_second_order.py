@@ -191,9 +191,13 @@ def test_odd_tables(spark):
     assert [r["prediction"] for r in empty.transform(df).collect()] == [0.5] * 4
 
 
-def test_a_level_shuffles_once_before_the_split_search(spark):
-    df, _, _ = table(spark, 50, 6)
-    cells = df.select(F.lit(0).alias("k"), F.lit(0).alias("node"), F.lit(0).alias("f"), F.col("id").alias("b"),
-                      F.lit(1.0).alias("g"), F.lit(1.0).alias("h"), F.lit(1.0).alias("n"))
-    plan = B._best_splits(cells, B.Params())._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 2
+def test_search_by_shuffle_equals_the_one_task(spark, monkeypatch):
+    df, x, _ = table(spark, 200, 6, classes=3)
+    p = B.Params("multi:softmax", 2, max_depth=3, n_classes=3)
+    a = B.fit_boosted(df, COLS, "y", p)
+    monkeypatch.setattr(B, "ONE_TASK_BYTES", -1)
+    b = B.fit_boosted(df, COLS, "y", p)
+    assert np.allclose(a.margins(x), b.margins(x)) and [t.feature for r in a.rounds for t in r] == [t.feature for r in b.rounds for t in r]
+    monkeypatch.setattr(B, "MOST_CELLS", 3 * 256)
+    c = B.fit_boosted(df, COLS, "y", p)
+    assert np.allclose(a.margins(x), c.margins(x))
