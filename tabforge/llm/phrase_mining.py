@@ -28,7 +28,7 @@ from .common import stage
 
 LONGEST = 5
 #: Bytes of text worked on at once; a longer text is cut between words, with the words before the cut as context.
-CHUNK = 1 << 19
+CHUNK = 1 << 18
 #: Bits of a bitmap of frequent fingerprints: 16 for each, and no more than this (16 MB).
 MOST_BITS = 1 << 27
 #: Bits of a pointer that hold the number of the word; the others are those of the text's key.
@@ -144,18 +144,20 @@ def parts_of(text: bytes, chunk: int = CHUNK):
 
 
 def _chunks(batch, chunk: int):
-    """Texts of one language put together: (lang, buffer, text keys, starts, context, first numbers)."""
-    d = batch.to_pydict()
-    rows = sorted(zip(d["lang"], d["k"], d["text"]), key=lambda r: r[:2])
+    """Texts of one language put together: (lang, [(part, text key, words of context, number of the first word)]).
+
+    Texts are taken from the Arrow buffer one at a time, so a task holds a chunk besides the batch.
+    """
+    langs, keys, texts = batch.column("lang").to_pylist(), batch.column("k").to_pylist(), batch.column("text")
     held: list = []
     size, lang = 0, None
-    for la, k, text in rows:
-        for part, context, first in parts_of(text, chunk):
-            if held and (la != lang or size + len(part) > chunk):
+    for i in sorted(range(len(keys)), key=lambda i: (langs[i], keys[i])):
+        for part, context, first in parts_of(texts[i].as_py(), chunk):
+            if held and (langs[i] != lang or size + len(part) > chunk):
                 yield lang, held
                 held, size = [], 0
-            lang = la
-            held.append((part, k, context, first))
+            lang = langs[i]
+            held.append((part, keys[i], context, first))
             size += len(part) + 1
     if held:
         yield lang, held
