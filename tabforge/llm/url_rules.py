@@ -4,6 +4,10 @@ FP-growth mines combinations of URL tokens together with a label item. Rules
 ``tokens -> bad`` that hold well above the share of bad labels, and not by
 chance, are kept and indexed under their rarest token; a URL is compared only
 with rules filed under one of its tokens.
+
+Tokens held by just the same labelled rows say the same of them. One of each
+such class is mined, so a long URL that repeats adds one item and not every
+subset of its tokens; a rule then asks for any token of each of its classes.
 """
 
 from __future__ import annotations
@@ -70,7 +74,7 @@ def url_tokens(url: Column) -> Column:
 
 def mine_rules(labelled: DataFrame, min_support: float = 0.001, min_odds: float = 2.0, chance: float = 0.05,
                min_confidence: float = 0.0) -> DataFrame:
-    """Rules ``tokens -> bad`` from (tokens, bad boolean): tokens, rarest, support, confidence.
+    """Rules ``tokens -> bad`` from (tokens, bad boolean): tokens, rarest, support, confidence, alike.
 
     Everything is relative to the share of bad rows. ``min_support`` is the
     share of the bad rows that hold the tokens, at least as many rows as a rule
@@ -81,15 +85,25 @@ def mine_rules(labelled: DataFrame, min_support: float = 0.001, min_odds: float
     few rows to ever be a rule do not count (Tarone 1990). ``support`` is the
     share of labelled rows. A rule goes when a part of its tokens is a rule of the same or a
     higher confidence. No labelled rows, none bad or all bad: no rules.
+    ``tokens`` and ``rarest`` name each class of tokens held by the same rows by
+    its least token, ``alike`` lists the classes. So URLs of any length that
+    repeat as often as the floor add one item each.
     """
-    baskets = stage(labelled.select(F.when(F.col("bad"), F.concat("tokens", F.array(F.lit(BAD)))).otherwise(F.col("tokens"))
-                                    .alias("items")).where(F.size("items") > 0), "url-baskets")
-    n, n_bad = baskets.agg(F.count(F.lit(1)), F.count_if(F.array_contains("items", BAD))).first()
-    shape = "tokens array<string>, rarest string, support double, confidence double"
+    rows = stage(labelled.select(F.monotonically_increasing_id().alias("row"), F.coalesce("bad", F.lit(False)).alias("bad"), "tokens")
+                 .where(F.col("bad") | (F.size("tokens") > 0)), "url-rows")
+    n, n_bad = rows.agg(F.count(F.lit(1)), F.count_if("bad")).first()
+    shape = "tokens array<string>, rarest string, support double, confidence double, alike array<array<string>>"
     if n_bad in (0, n):
-        return baskets.sparkSession.createDataFrame([], shape)
+        return rows.sparkSession.createDataFrame([], shape)
     base = n_bad / n
     least = max(1, math.ceil(min_support * n_bad), math.ceil(math.log(1 / chance) / -math.log(base)))
+    alike = stage(alike_tokens(rows, least), "url-alike")
+    others = alike.select("rep", F.explode("alike").alias("t")).where(F.col("t") != F.col("rep")).select("t")
+    kept = (rows.select("row", F.explode("tokens").alias("t")).join(others, "t", "left_anti")
+            .groupBy("row").agg(F.collect_list("t").alias("kept")))                         # the tokens of one URL
+    items = F.coalesce("kept", F.array().cast("array<string>"))
+    baskets = stage(rows.select("row", "bad").join(kept, "row", "left").select(
+        F.when(F.col("bad"), F.concat(items, F.array(F.lit(BAD)))).otherwise(items).alias("items")), "url-baskets")
     # half a row less, as the share is rounded up to rows again
     sets = stage(FPGrowth(itemsCol="items", minSupport=min(1.0, (least - 0.5) / n)).fit(baskets).freqItemsets
                  .select(F.array_sort(F.array_remove("items", BAD)).alias("tokens"),
@@ -98,7 +112,8 @@ def mine_rules(labelled: DataFrame, min_support: float = 0.001, min_odds: float
     parts = (held.where(F.size("tokens") > 1).select("held", "tokens", F.explode("tokens").alias("t"))
              .select(F.array_remove("tokens", F.col("t")).alias("tokens"), "held").distinct())
     own = held.join(parts, ["tokens", "held"], "left_anti")     # the largest of the sets held by the same rows
-    most = least + 1000
+    # the floor ends here at the latest, as ever fewer sets are tried
+    most = max(least, math.ceil(math.log(max(1, own.count()) / chance) / -math.log(base))) + 1
     by_rows = {r[0]: r[1] for r in own.groupBy(F.least("held", F.lit(most))).count().collect()}
     tried = sum(by_rows.values())
     while least < most and least * -math.log(base) < math.log(max(1, tried) / chance):
@@ -124,7 +139,21 @@ def mine_rules(labelled: DataFrame, min_support: float = 0.001, min_odds: float
     rarest = (rules.select("tokens", F.explode("tokens").alias("t")).join(single, "t")
               .groupBy("tokens").agg(F.min(F.struct("freq", "t")).alias("r"))
               .select("tokens", F.col("r.t").alias("rarest")))
-    return rules.join(rarest, "tokens").select("tokens", "rarest", "support", "confidence")
+    classes = (rules.select("tokens", F.explode("tokens").alias("rep")).join(alike, "rep", "left").groupBy("tokens")
+               .agg(F.sort_array(F.collect_list(F.struct("rep", F.coalesce("alike", F.array("rep")).alias("alike")))).alias("c")))
+    return rules.join(rarest, "tokens").join(classes, "tokens").select(
+        "tokens", "rarest", "support", "confidence", F.col("c.alike").alias("alike"))
+
+
+def alike_tokens(rows: DataFrame, least: int) -> DataFrame:
+    """(rep, alike) of each class of two tokens or more held by the same ``least`` rows or more; rep is the least of them.
+
+    Rows are compared by their number and two 64-bit sums of hashes. A class is part of a URL, so it is no longer.
+    """
+    held = rows.select(F.explode("tokens").alias("t"), F.xxhash64("row").alias("a"), F.xxhash64(F.lit(1), "row").alias("b"))
+    marks = held.groupBy("t").agg(F.count("*").alias("n"), F.bit_xor("a").alias("a"), F.bit_xor("b").alias("b")).where(F.col("n") >= least)
+    return (marks.groupBy("n", "a", "b").agg(F.min("t").alias("rep"), F.sort_array(F.collect_set("t")).alias("alike"))
+            .where(F.size("alike") > 1).select("rep", "alike"))
 
 
 def match_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
@@ -133,9 +162,11 @@ def match_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
     Best: highest confidence, then support, then tokens.
     """
     held = urls.where("url is not null").select("url").distinct().withColumn("tokens", url_tokens(F.col("url")))
-    filed = rules.select(F.col("rarest").alias("t"), F.col("tokens").alias("need"), "support", "confidence")
+    # filed under each token that can stand for the rarest
+    rarest = F.expr("filter(alike, c -> array_contains(c, rarest))")[0]
+    filed = rules.select(F.explode(rarest).alias("t"), F.col("tokens").alias("need"), "alike", "support", "confidence")
     hits = (held.select("url", "tokens", F.explode("tokens").alias("t")).join(filed, "t")
-            .where(F.size(F.array_except("need", "tokens")) == 0))
+            .where(F.expr("forall(alike, c -> arrays_overlap(c, tokens))")))
     best = hits.groupBy("url").agg(F.max(F.struct("confidence", "support", "need")).alias("b"))
     return best.select(F.col("url").alias("hit_url"), F.col("b.confidence").alias("confidence"), F.col("b.need").alias("matched"))
 

@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+import itertools
+import math
 import random
 
 from pyspark.sql import functions as F
 
 from tabforge.llm.registry import URL_RULES
-from tabforge.llm.url_rules import judge_urls
+from tabforge.llm.url_rules import judge_urls, mine_rules
 
 
 def labels(spark, rows):
@@ -84,3 +86,67 @@ def test_labels_without_signal_yield_no_rules(spark):
     for bad in (True, False):                      # all alike: no token says more than another
         alike = df.select("page_id", F.lit(bad).alias("bad"))
         assert judge_urls(df.drop("bad"), alike, []).where("verdict = 'block'").count() == 0
+
+
+def enumerated(rows, min_support=0.001, min_odds=2.0, chance=0.05):
+    """Every set of tokens, tried one by one: (tokens, confidence) of the rules, tokens of the same rows named by the least."""
+    rows = [r for r in rows if r[0] or r[1]]                  # a good row without tokens says nothing
+    n, n_bad = len(rows), sum(bad for _, bad in rows)
+    base = n_bad / n
+    holders = {}
+    for t in sorted({t for ts, _ in rows for t in ts}):
+        holders.setdefault(frozenset(i for i, (ts, _) in enumerate(rows) if t in ts), t)
+    names = sorted(holders.values())
+    of = {t: r for r, t in holders.items()}
+    least = max(1, math.ceil(min_support * n_bad), math.ceil(math.log(1 / chance) / -math.log(base)))
+    held = {}
+    for k in range(1, len(names) + 1):
+        for c in itertools.combinations(names, k):
+            r = frozenset.intersection(*(of[t] for t in c))
+            if len(r) >= least:
+                held[c] = r
+    closed = [len(r) for r in set(held.values())]
+    while least * -math.log(base) < math.log(max(1, sum(h >= least for h in closed)) / chance):
+        least += 1
+    tried = max(1, sum(h >= least for h in closed))
+    odds = min_odds * base / (1 - base)
+    rules = {}
+    for c, r in held.items():
+        b = sum(rows[i][1] for i in r)
+        conf = b / len(r)
+        if b and len(r) >= least and conf >= odds / (1 + odds):
+            kl = conf * math.log(conf / base) + ((1 - conf) * math.log((1 - conf) / (1 - base)) if conf < 1 else 0)
+            if len(r) * kl >= math.log(tried / chance):
+                rules[c] = conf
+    drop = {c for c in rules if any(p in rules and rules[p] >= rules[c] for p in itertools.combinations(c, len(c) - 1))}
+    return {c: conf for c, conf in rules.items() if c not in drop}
+
+
+def test_rules_equal_an_enumeration_of_all_sets(spark):
+    some = 0
+    for seed in (1, 2):
+        rnd = random.Random(seed)
+        rows = []
+        for _ in range(300):
+            ts = [t for t in "abcdefghi" if rnd.random() < 0.3]
+            ts += ["x", "y", "z"] if rnd.random() < 0.15 else []                 # always together
+            bad = rnd.random() < (0.9 if {"a", "b"} <= set(ts) else 0.8 if "x" in ts else 0.1)
+            rows.append((ts, bad))
+        got = mine_rules(spark.createDataFrame(rows, "tokens array<string>, bad boolean")).collect()
+        want = enumerated(rows)
+        assert {tuple(r.tokens): round(r.confidence, 9) for r in got} == {c: round(v, 9) for c, v in want.items()}
+        assert all([["x", "y", "z"] if t == "x" else [t] for t in r.tokens] == r.alike for r in got)
+        some += len(want)
+    assert some >= 2
+
+
+def test_long_urls_that_repeat(spark):
+    rnd = random.Random(9)
+    rows = [(i, f"http://h{rnd.randrange(9)}.test/{rnd.randrange(5)}", i % 5 == 0) for i in range(200)]
+    long = "http://track.test/go?" + "&".join(f"p{i}={i}" for i in range(40))
+    rows += [(200 + i, long, True) for i in range(6)] + [(300, long.replace("p7=7&", ""), None), (301, "x" * 100_000, False),
+                                                        (302, "http://a.test/" + "/".join(f"s{chr(97 + i % 26)}{'x' * (i // 26)}" for i in range(2000)), True)]
+    df = spark.createDataFrame(rows, "page_id long, url string, bad boolean")
+    got = {r.page_id: r.verdict for r in judge_urls(df.drop("bad"), df.select("page_id", "bad"), []).collect()}
+    assert len(got) == 209
+    assert all(got[i] == "block" for i in (*range(200, 206), 300))               # any token of the class will do
