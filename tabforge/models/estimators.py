@@ -13,6 +13,7 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC,
                                        LogisticRegression, MultilayerPerceptronClassifier,
@@ -151,23 +152,49 @@ def elastic_net(alpha: float, l1_ratio: float, df: DataFrame, label: str = "labe
 
 # Kernels by explicit feature maps --------------------------------------------------
 
+def _mapped(df: DataFrame, arr: str, out: str, rows_to_features) -> DataFrame:
+    """``out`` as a vector column: one matrix product for each Arrow batch of the array column."""
+    @F.pandas_udf("array<double>")
+    def features(x: pd.Series) -> pd.Series:
+        return pd.Series(list(rows_to_features(np.vstack(x.to_numpy()).astype(np.float64)))) if len(x) else x
+
+    return df.withColumn(out, array_to_vector(features(F.col(arr).cast("array<double>"))))
+
+
 def random_fourier_features(df: DataFrame, arr: str, dim: int, gamma: float, n_components: int,
                             seed: int = 0, out: str = "rff") -> DataFrame:
     """L16 (Rahimi and Recht 2007): ``z_j = sqrt(2/D) cos(w_j . x + b_j)`` with
     ``w ~ N(0, 2 gamma)``, ``b ~ U[0, 2pi)`` approximates the RBF kernel
     ``exp(-gamma ||x - y||^2)``. The D x p projection is drawn on the driver
-    from the seed (parameters, not data) and applied as array expressions."""
+    from the seed (parameters, not data)."""
     rng = np.random.default_rng(seed)
     W = rng.normal(0.0, math.sqrt(2.0 * gamma), size=(n_components, dim))
     b = rng.uniform(0.0, 2 * math.pi, size=n_components)
-    x = F.col(arr).cast("array<double>")
-    scale = math.sqrt(2.0 / n_components)
-    comps = []
-    for j in range(n_components):
-        wj = F.array(*[F.lit(float(v)) for v in W[j]])
-        dot = F.aggregate(F.zip_with(x, wj, lambda a, c: a * c), F.lit(0.0), lambda s, v: s + v)
-        comps.append(F.lit(scale) * F.cos(dot + F.lit(float(b[j]))))
-    return df.withColumn(out, array_to_vector(F.array(*comps)))
+    return _mapped(df, arr, out, lambda x: math.sqrt(2.0 / n_components) * np.cos(x @ W.T + b))
+
+
+def kernel_matrix(x: np.ndarray, z: np.ndarray, kernel: str, gamma: float, degree: int, coef0: float) -> np.ndarray:
+    """``exp(-gamma ||x - z||^2)`` (rbf) or ``(gamma x.z + coef0)^degree`` (poly) of all rows of x with all of z."""
+    if kernel == "poly":
+        return (gamma * (x @ z.T) + coef0) ** degree
+    return np.exp(-gamma * np.maximum((x * x).sum(1)[:, None] - 2 * x @ z.T + (z * z).sum(1)[None, :], 0.0))
+
+
+def nystroem_features(df: DataFrame, arr: str, n_components: int, kernel: str = "rbf", gamma: float = 1.0, degree: int = 3,
+                      coef0: float = 1.0, seed: int = 0, out: str = "kernel") -> DataFrame:
+    """L16 (Williams and Seeger 2001): features whose dot product is the kernel, exact on the span of the landmarks.
+
+    Landmarks are the ``n_components`` rows (all, if fewer) of least seeded hash of their content, so they do not depend
+    on partitions and are the only rows that reach the driver. With the landmarks' kernel block ``K = U diag(l) U'``,
+    a row's features are ``k(x, landmarks) U diag(l^-1/2)``; directions of hardly any weight are left out."""
+    a = F.col(arr).cast("array<double>")
+    rows = (df.where(a.isNotNull()).select(a.alias("x")).distinct()
+            .orderBy(F.xxhash64(F.lit(seed), "x"), "x").limit(n_components).collect())
+    z = np.array([r["x"] for r in rows], dtype=np.float64)
+    values, u = np.linalg.eigh(kernel_matrix(z, z, kernel, gamma, degree, coef0))
+    use = values > 1e-10 * values.max()
+    root = u[:, use] / np.sqrt(values[use])
+    return _mapped(df, arr, out, lambda x: kernel_matrix(x, z, kernel, gamma, degree, coef0) @ root)
 
 
 def poly_features(degree: int, input_col: str = "features", out: str = "poly"):

@@ -17,6 +17,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -212,19 +214,42 @@ def simple_impute(df: DataFrame, columns: Sequence[str], strategy: str = "median
 # Reports -------------------------------------------------------------------
 
 def corr_long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every ordered pair, pairwise-complete, as a
-    long table ``(col_a, col_b, corr)`` from one aggregate job; each unordered
-    pair is computed once and listed both ways."""
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    aggs = []
-    for i, (a, b) in enumerate(pairs):
-        both = F.col(a).isNotNull() & F.col(b).isNotNull()
-        aggs.append(F.corr(F.when(both, F.col(a).cast("double")),
-                           F.when(both, F.col(b).cast("double"))).alias(f"c{i}"))
-    wide = df.agg(*aggs)
-    cells = [(a, b, i) for i, (a, b) in enumerate(pairs)] + [(b, a, i) for i, (a, b) in enumerate(pairs) if a != b]
-    stack = ", ".join(f"'{a}', '{b}', c{i}" for a, b, i in cells)
-    return wide.selectExpr(f"stack({len(cells)}, {stack}) as (col_a, col_b, corr)")
+    """Pearson correlation of every ordered pair over the rows where both are known, as a
+    long table ``(col_a, col_b, corr)``; NULL where a column does not vary.
+
+    Each task forms the masked products of its rows with NumPy (values, squares and
+    known-masks, about the columns' means); one shuffle adds the tasks' sums by pair, so
+    the plan does not grow with the columns and the shuffle not with the rows."""
+    cols = list(columns)
+    p = len(cols)
+    values = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    means = values.agg(*[F.avg(F.nullif(f"c{i}", F.lit(float("nan")))).alias(f"c{i}") for i in range(p)]).first()
+    centre = np.array([m if m is not None and np.isfinite(m) else 0.0 for m in means])
+    iu, ju = np.triu_indices(p)
+
+    def part(batches):
+        n, c, s, q = (np.zeros((p, p)) for _ in range(4))
+        for pdf in batches:
+            x = pdf.to_numpy(dtype=np.float64) - centre
+            known = (~np.isnan(x)).astype(np.float64)
+            x = np.nan_to_num(x, nan=0.0)
+            n += known.T @ known
+            c += x.T @ x
+            s += x.T @ known
+            q += (x * x).T @ known
+        yield pd.DataFrame({"i": iu.astype(np.int32), "j": ju.astype(np.int32), "n": n[iu, ju], "c": c[iu, ju], "si": s[iu, ju],
+                            "sj": s[ju, iu], "qi": q[iu, ju], "qj": q[ju, iu]})
+
+    sums = (values.mapInPandas(part, "i int, j int, n double, c double, si double, sj double, qi double, qj double")
+            .groupBy("i", "j").agg(*[F.sum(v).alias(v) for v in ("n", "c", "si", "sj", "qi", "qj")]))
+    # what is left of a square sum after its mean: rounding of a constant column is none
+    spread = lambda q, s: F.when(F.expr(f"{q} - try_divide({s} * {s}, n) > 1e-13 * {q}"), F.expr(f"{q} - {s} * {s} / n"))
+    corr = F.try_divide(F.expr("c - try_divide(si * sj, n)"), F.sqrt(spread("qi", "si")) * F.sqrt(spread("qj", "sj")))
+    name = lambda i: F.get(F.lit(cols), F.col(i))
+    both = F.when(F.col("i") == F.col("j"), F.array(F.struct("i", "j"))).otherwise(
+        F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j"))))
+    return sums.select(corr.alias("corr"), F.explode(both).alias("pair")).select(
+        name("pair.i").alias("col_a"), name("pair.j").alias("col_b"), "corr")
 
 
 def count_where(df: DataFrame, cond: Column) -> DataFrame:

@@ -24,6 +24,7 @@ from ..models import boosting as B
 from ..models import estimators as L
 from ..models import gram as GR
 from ..models import selection as M
+from ..models import sgd as SGD
 from ..models import svr as SVR
 from ..models import tpe as TPE
 from ..operators import boxcox as BC
@@ -211,23 +212,34 @@ def q_decision_line(spark, d):
 @query("q_kernel_svm")
 def q_kernel_svm(spark, d, components: int = 256):
     e = emb_table(spark, d, binary=True)
-    t = L.random_fourier_features(e, "embedding", EMB_DIM, gamma=0.01, n_components=components, seed=3)
-    t = IO.stage_table(t, scratch_dir(spark, f"rff_{_tag(d)}"))                 # each fit step reads it again
+    t = L.nystroem_features(e, "embedding", components, gamma=0.01, seed=3)
+    t = IO.stage_table(t, scratch_dir(spark, f"kernel_{_tag(d)}"))              # each fit step reads it again
     n = t.count()
-    rbf = L.linear_svc(1.0, n).setFeaturesCol("rff").fit(t)
+    rbf = L.linear_svc(1.0, n).setFeaturesCol("kernel").fit(t)
     p = IO.stage_table(L.poly_features(2, "features", "poly").transform(e), scratch_dir(spark, f"poly_{_tag(d)}"))
     poly = L.linear_svc(1.0, n).setFeaturesCol("poly").fit(p)                   # the expansion, fitted
     second = poly.transform(p).select("vec_id", F.col("prediction").alias("poly_prediction"))
     return _keyed(rbf.transform(t), "vec_id").join(second, "vec_id")
 
 
+@query("q_sgd")
+def q_sgd(spark, d, epochs: int = 5):
+    """An SGD regressor on scaled columns and a hinge classifier."""
+    li = J.standard_scale(line_table(spark, d), ["l_quantity", "l_discount", "l_tax"])
+    li = li.withColumn("label", F.col("l_extendedprice") / 1000)
+    m = SGD.fit_sgd(li, ["l_quantity", "l_discount", "l_tax"], "label", epochs=epochs)
+    c = SGD.fit_sgd(li.withColumn("dear", (F.col("label") > 50).cast("int")), ["l_quantity", "l_discount", "l_tax"], "dear", "hinge",
+                    schedule="optimal", epochs=epochs)
+    return c.transform(m.transform(li, "price"), "dear").select("line_id", "price", "dear")
+
+
 @query("q_svr")
 def q_svr(spark, d, components: int = 64):
     li = table(spark, d, "part", "p_partkey", "p_size", "p_retailprice").withColumn("label", F.col("p_retailprice") / 100)
     t = J.standard_scale(li.withColumn("key", F.col("p_partkey").cast("double")), ["p_size", "key"])
     t = t.withColumn("x", F.array(F.col("p_size").cast("double"), F.col("key").cast("double")))
-    t = L.random_fourier_features(t, "x", 2, gamma=0.5, n_components=components, seed=5)
-    linear, rbf = SVR.fit_svr(t, "x", C=0.01, eps=0.5), SVR.fit_svr(t, "rff", C=1.0, eps=0.5)
+    t = IO.stage_table(L.nystroem_features(t, "x", components, gamma=0.5, seed=5), scratch_dir(spark, f"svr_{_tag(d)}"))
+    linear, rbf = SVR.fit_svr(t, "x", C=0.01, eps=0.5), SVR.fit_svr(t, "kernel", C=1.0, eps=0.5)
     out = rbf.transform(linear.transform(t, "linear_prediction"), "rbf_prediction")
     return out.select("p_partkey", "linear_prediction", "rbf_prediction")
 
