@@ -65,10 +65,16 @@ def signatures(terms: DataFrame, keys: list[str], weights: list[str], samples: i
     gets a null array. Terms of a group are expected once. When ``terms`` is
     partitioned by ``keys``, nothing is shuffled.
     """
+    first = weights[0]
     rows = terms.withColumns({f"l_{w}": F.log(F.col(w).cast("double")) for w in weights})
-    least = _with_draws(rows, samples).groupBy(*keys, "block").agg(*[
-        F.min(F.when(F.col(w) > 0, _sample(j, F.col(f"l_{w}")))).alias(f"{w}_{j}")
-        for w in weights for j in range(BLOCK)])
+    drawn = _with_draws(rows, samples).withColumns({f"s{j}": _sample(j, F.col(f"l_{first}")) for j in range(BLOCK)})
+
+    def own(w: str, j: int) -> Column:
+        """The sample at weight ``w``; where it equals the first weight, so does the sample."""
+        return F.col(f"s{j}") if w == first else F.when(F.col(w) == F.col(first), F.col(f"s{j}")).otherwise(_sample(j, F.col(f"l_{w}")))
+
+    least = drawn.groupBy(*keys, "block").agg(*[
+        F.min(F.when(F.col(w) > 0, own(w, j))).alias(f"{w}_{j}") for w in weights for j in range(BLOCK)])
     listed = least.groupBy(*keys).agg(*[
         F.sort_array(F.collect_list(F.struct("block", F.array(*[F.col(f"{w}_{j}") for j in range(BLOCK)]).alias("s")))).alias(w)
         for w in weights])
