@@ -23,6 +23,7 @@ from ..functions import columns as C
 from ..models import boosting as B
 from ..models import estimators as L
 from ..models import gram as GR
+from ..models import mlp as MLP
 from ..models import selection as M
 from ..models import sgd as SGD
 from ..models import svr as SVR
@@ -256,6 +257,15 @@ def q_mlp(spark, d):
     return _keyed(L.mlp(EMB_DIM, 10, (16,)).fit(t).transform(t), "vec_id")
 
 
+@query("q_mlp_layers")
+def q_mlp_layers(spark, d, max_iter: int = 50):
+    """L19 by L-BFGS: a rectified classifier and a tanh regression of the label."""
+    t = table(spark, d, "embeddings", "vec_id", "embedding", "label")
+    c = MLP.fit_mlp(t, "embedding", "label", (16,), "relu", n_classes=10, max_iter=max_iter)
+    r = MLP.fit_mlp(t, "embedding", "label", (6,), "tanh", max_iter=max_iter)
+    return r.transform(c.transform(t, "cls"), "prediction").select("vec_id", "cls", "prediction")
+
+
 @query("q_vote")
 def q_vote(spark, d):
     t = emb_table(spark, d, binary=True)
