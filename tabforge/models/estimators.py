@@ -88,33 +88,6 @@ def softmax_regression(label: str = "label", max_iter: int = 100):
     return LogisticRegression(family="multinomial", regParam=0.0, maxIter=max_iter, labelCol=label)
 
 
-def doubling_steps(most: int) -> list[int]:
-    """1, 2, 4, ... and ``most`` itself: the iteration path of early stopping."""
-    steps = [1]
-    while steps[-1] * 2 < most:
-        steps.append(steps[-1] * 2)
-    return steps + ([most] if most > 1 else [])
-
-
-def softmax_early_stop(train: DataFrame, valid: DataFrame, label: str = "label",
-                       steps: Sequence[int] = (1, 2, 4, 8, 16, 32, 64, 128, 256, 512, 1024, 2048, 4096, 5001),
-                       eps: float = 1e-10):
-    """L8 early stopping: fit along an iteration path, score validation
-    cross-entropy (H11) after each, stop at the first rise; returns
-    ``(best model, [(iterations, loss)])``."""
-    best, path, prev = None, [], math.inf
-    for it in steps:
-        m = softmax_regression(label, it).fit(train)
-        p = vector_to_array(F.col("probability"))
-        loss = m.transform(valid).agg(F.avg(-F.ln(F.get(p, F.col(label).cast("int")) + F.lit(eps)))
-                                      ).first()[0]
-        path.append((it, float(loss)))
-        if loss > prev:
-            break
-        best, prev = m, loss
-    return best, path
-
-
 # Linear regression ----------------------------------------------------------------
 
 def _label_std(df: DataFrame, label: str, sample: bool) -> float:

@@ -20,12 +20,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..models import adaboost as AB
 from ..models import boosting as B
 from ..models import estimators as L
 from ..models import gram as GR
 from ..models import mlp as MLP
 from ..models import selection as M
 from ..models import sgd as SGD
+from ..models import softmax as SM
 from ..models import svr as SVR
 from ..models import tpe as TPE
 from ..operators import boxcox as BC
@@ -172,6 +174,16 @@ def q_adaboost(spark, d, rounds: int = ADABOOST_ROUNDS, rate: float = ADABOOST_R
     return _keyed(m.transform(t), "vec_id")
 
 
+@query("q_adaboost_real")
+def q_adaboost_real(spark, d, rounds: int = 20, rate: float = ADABOOST_RATE, trees: int = 5):
+    """L5 with class probabilities over small forests, and its regressor over trees; the reference boosts 200 rounds
+    of a tuned forest, which is ``rounds`` and ``trees``: a round here costs a forest's jobs whatever its rows."""
+    t = table(spark, d, "embeddings", "vec_id", "embedding", "label")
+    c = AB.fit_adaboost(t, "embedding", "label", lambda seed: L.random_forest(trees, 3, seed=seed), rounds, rate, classes=10)
+    r = AB.fit_adaboost(t, "embedding", "label", lambda seed: L.decision_tree(max_depth=3, regression=True, seed=seed), rounds, 1.0)
+    return r.transform(c.transform(t, "cls")).select("vec_id", "cls", "prediction")
+
+
 # ---------------------------------------------------------------- linear and other classifiers
 
 @query("q_logit")
@@ -184,10 +196,9 @@ def q_logit(spark, d):
 
 @query("q_softmax_reg")
 def q_softmax_reg(spark, d, most_steps: int = SOFTMAX_MOST_STEPS):
-    t = K.three_way_split(emb_table(spark, d), "vec_id", 0.2, 0.2, 9)
-    best, path = L.softmax_early_stop(t.where("split = 'train'"), t.where("split = 'valid'"),
-                                      steps=L.doubling_steps(most_steps))
-    return _keyed(best.transform(t), "vec_id", ["split", F.lit(len(path)).alias("path_len")])
+    t = K.three_way_split(table(spark, d, "embeddings", "vec_id", "embedding", "label"), "vec_id", 0.2, 0.2, 9)
+    m = SM.fit_softmax(t.where("split = 'train'"), t.where("split = 'valid'"), "embedding", "label", 10, most_steps=most_steps)
+    return _keyed(m.transform(t), "vec_id", ["split", F.lit(len(m.path)).alias("path_len")])
 
 
 @query("q_svc")
