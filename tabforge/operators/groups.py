@@ -213,9 +213,30 @@ def simple_impute(df: DataFrame, columns: Sequence[str], strategy: str = "median
 
 # Reports -------------------------------------------------------------------
 
+#: Columns up to which correlations are aggregate expressions; p^2 of them make a plan.
+MOST_CORR_EXPRESSIONS = 20
+
+
 def corr_long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every ordered pair over the rows where both are known, as a
-    long table ``(col_a, col_b, corr)``; NULL where a column does not vary.
+    long table ``(col_a, col_b, corr)``; NULL where a column does not vary. Few columns are one
+    aggregate in the JVM, more are masked products (``corr_products``)."""
+    if len(columns) > MOST_CORR_EXPRESSIONS:
+        return corr_products(df, columns)
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
+    aggs = []
+    for i, (a, b) in enumerate(pairs):
+        both = F.col(a).isNotNull() & F.col(b).isNotNull()
+        aggs.append(F.corr(F.when(both, F.col(a).cast("double")),
+                           F.when(both, F.col(b).cast("double"))).alias(f"c{i}"))
+    wide = df.agg(*aggs)
+    cells = [(a, b, i) for i, (a, b) in enumerate(pairs)] + [(b, a, i) for i, (a, b) in enumerate(pairs) if a != b]
+    stack = ", ".join(f"'{a}', '{b}', c{i}" for a, b, i in cells)
+    return wide.selectExpr(f"stack({len(cells)}, {stack}) as (col_a, col_b, corr)")
+
+
+def corr_products(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """E11 for wide tables: the same correlations from sums of products.
 
     Each task forms the masked products of its rows with NumPy (values, squares and
     known-masks, about the columns' means); one shuffle adds the tasks' sums by pair, so

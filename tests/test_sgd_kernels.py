@@ -97,6 +97,9 @@ def test_correlations_of_many_columns_take_one_shuffle(spark):
 
 def test_correlation_of_odd_columns(spark):
     df = spark.createDataFrame([(1.0, 5, None, "x"), (2.0, 5, 1.0, "y"), (None, 5, 2.0, "z")], "a double, k int, b double, s string")
-    got = {(r[0], r[1]): r[2] for r in E.corr_long(df, ["a", "k", "b"]).collect()}
+    for corr in (E.corr_long, E.corr_products):
+        got = {(r[0], r[1]): r[2] for r in corr(df, ["a", "b"]).collect()}
+        assert got["a", "a"] == pytest.approx(1.0) and got["a", "b"] is None and len(got) == 4
+    got = {(r[0], r[1]): r[2] for r in E.corr_products(df, ["a", "k", "b"]).collect()}
     assert got["a", "a"] == pytest.approx(1.0) and got["a", "k"] is None and got["a", "b"] is None and got["k", "k"] is None
-    assert len(got) == 9 and all(r[2] is None for r in E.corr_long(df.where("a > 9"), ["a", "b"]).collect())
+    assert len(got) == 9 and all(r[2] is None for r in E.corr_products(df.where("a > 9"), ["a", "b"]).collect())
