@@ -7,17 +7,19 @@
    sets with Jaccard >= t share a shingle among the first n - ceil(t n) + 1 of
    each. Nodes with equal prefixes and size form one group; only groups are
    posted under their prefix shingles. Shingles with large counts are salted.
-3. Each posting list proposes a star: every group against one leader. A group
-   joins the leader with which it shares the most lists, if these are a fair part
-   of its prefix; that makes tentative clusters, unverified.
-4. Group pairs of different clusters that share a list are filtered by size and
-   by the number of prefix shingles they share, which bounds the intersection
-   from above. They and the stars expand to members, whose whole sets are
-   compared exactly; the links make components.
-5. Within a cluster, verified stars and at last all pairs are proposed, but only
-   between members of different components. So a group of n near copies costs
-   about n comparisons, and still every pair that could connect two components
-   is compared.
+3. Bands of least shingles of the whole sets propose stars: every node against
+   those leaders of its bands with which it shares the most, and the members of
+   a group against one of them. They are only a guide: whole sets are compared
+   exactly, and verified stars make components.
+4. Lists of several components propose stars once more, against a group of the
+   least component, by the same choice.
+5. Group pairs that share a list and are not within one component are filtered
+   by size, by the position of each common shingle and by the number of prefix
+   shingles they share, which bound the intersection from above. What is left
+   expands to members of different components, whose whole sets are compared.
+6. The links of all rounds make the components. So a group of n near copies
+   costs about n comparisons, and still every pair that could connect two
+   components is compared.
 """
 
 from __future__ import annotations
@@ -40,9 +42,12 @@ SKETCH_BITS = 20
 SKETCH_CHUNKS = 256
 #: Postings that one salt of a frequent shingle holds, about.
 SALT_ROWS = 2000
-STAR_ROUNDS = 2
-#: Percent of its prefix that a group must share with a leader to join it tentatively.
-STAR_SHARE = 10
+#: Bands that propose stars, and least shingles in each: two sets of similarity 0.75 share one of 12 bands 99.8 % of the time.
+BANDS, BAND_ROWS = 12, 3
+#: Leaders that a node is compared with, by bands and then by lists: those with which it shares the most bands.
+STAR_LEADERS, LIST_LEADERS = 3, 12
+#: Bits of the filter that keeps texts of no interest from being made sets again (8 MB), and its chunks.
+MARK_BITS, MARK_CHUNKS = 26, 256
 #: Words whose hashes a task keeps.
 KNOWN_WORDS = 500_000
 
@@ -90,6 +95,17 @@ def set_digest(shingles: np.ndarray) -> tuple[int, int]:
     return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
 
 
+def band_keys(shingles: np.ndarray) -> np.ndarray:
+    """BANDS names, each of BAND_ROWS least shingles over equal ranges of hashes; ``shingles`` ascend, one at least.
+
+    A range without a shingle takes the next one, the last range the first.
+    """
+    k = BANDS * BAND_ROWS
+    starts = np.arange(k, dtype=np.uint64) * np.uint64((1 << 64) // k)
+    least = shingles[np.searchsorted(shingles, starts) % len(shingles)].reshape(BAND_ROWS, BANDS)
+    return _mix((least * _PLACES[:BAND_ROWS, None]).sum(0, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64))
+
+
 def prefix_size(n: int, percent: int) -> int:
     """n - ceil(percent n / 100) + 1."""
     return n - (percent * n + 99) // 100 + 1
@@ -132,7 +148,7 @@ def _sets_and_counts(docs: DataFrame, width: int) -> tuple[DataFrame, np.ndarray
     kind = dict(docs.dtypes)["doc_id"]
     both = stage(docs.select("doc_id", "text").mapInArrow(
         run, f"doc_id {kind}, n long, s long, s2 long, chunk int, counts binary"), "shingle-sets")
-    sums = (both.where("chunk is not null").select("chunk", "counts").repartition(SKETCH_CHUNKS // 16, "chunk")
+    sums = (both.where("chunk is not null").select("chunk", "counts").repartition("chunk")
             .mapInArrow(add_up, "chunk int, counts binary").collect())  # SKETCH_CHUNKS rows of fixed size
     counts = np.zeros((SKETCH_CHUNKS, per_chunk), np.int64)
     for r in sums:
@@ -141,7 +157,7 @@ def _sets_and_counts(docs: DataFrame, width: int) -> tuple[DataFrame, np.ndarray
 
 
 def _prefixes(docs: DataFrame, counts: np.ndarray, width: int, percent: int) -> DataFrame:
-    """Written stage (g, n, s, tokens, spread): a node's group, size, prefix, and salts per prefix shingle.
+    """Written stage (g, n, s, tokens, spread, bands): a node's group, size, prefix, salts per prefix shingle, and bands.
 
     A node appears once per task that sees it.
     """
@@ -163,49 +179,72 @@ def _prefixes(docs: DataFrame, counts: np.ndarray, width: int, percent: int) ->
                 first = np.lexsort((all_of, f))[:prefix_size(len(all_of), percent)]
                 tokens = all_of[first]
                 g = xxhash.xxh64_intdigest(tokens.tobytes() + len(all_of).to_bytes(8, "little"))
-                rows.append((g - (1 << 63), len(all_of), s, tokens.view(np.int64), (f[first] // limit + 1).astype(np.int32)))
+                rows.append((g - (1 << 63), len(all_of), s, tokens.view(np.int64), (f[first] // limit + 1).astype(np.int32), band_keys(all_of).view(np.int64)))
             if len(done) > 2_000_000:
                 done.clear()
             if rows:
                 c = list(zip(*rows, strict=True))
                 yield pa.RecordBatch.from_arrays([
                     pa.array(c[0], pa.int64()), pa.array(c[1], pa.int64()), pa.array(c[2], pa.int64()),
-                    pa.array(c[3], pa.list_(pa.int64())), pa.array(c[4], pa.list_(pa.int32()))], ["g", "n", "s", "tokens", "spread"])
-
-    return stage(docs.select("doc_id", "text").mapInArrow(run, "g long, n long, s long, tokens array<long>, spread array<int>"), "prefixes")
+                    pa.array(c[3], pa.list_(pa.int64())), pa.array(c[4], pa.list_(pa.int32())), pa.array(c[5], pa.list_(pa.int64()))],
+                    ["g", "n", "s", "tokens", "spread", "bands"])
 
+    return stage(docs.select("doc_id", "text").mapInArrow(
+        run, "g long, n long, s long, tokens array<long>, spread array<int>, bands array<long>"), "prefixes")
 
-def _whole_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """Written stage (s, shingles) of the nodes in column s.
 
-    A filter of fixed size (8 MB of bits) keeps most other sets from travelling;
-    the join with ``nodes`` decides.
-    """
-    bits = 26
+def _marks(of: DataFrame) -> np.ndarray:
+    """Bits of fixed size (8 MB), set at the upper MARK_BITS bits of the longs in column h."""
+    per_chunk = 1 << (MARK_BITS - 3 - MARK_CHUNKS.bit_length() + 1)
 
-    def marks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = np.zeros(1 << (bits - 3), np.uint8)
+    def mark(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = np.zeros(1 << (MARK_BITS - 3), np.uint8)
         for batch in batches:
-            at = batch.column("s").to_numpy(zero_copy_only=False).view(np.uint64) >> np.uint64(64 - bits)
+            at = batch.column("h").to_numpy(zero_copy_only=False).view(np.uint64) >> np.uint64(64 - MARK_BITS)
             np.bitwise_or.at(out, (at >> np.uint64(3)).astype(np.int64), (1 << (at & np.uint64(7))).astype(np.uint8))
-        if out.any():
-            yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([zlib.compress(out.tobytes(), 1)], pa.binary())], ["k", "bits"])
+        parts = out.reshape(MARK_CHUNKS, per_chunk)
+        used = np.flatnonzero(parts.any(1))
+        if len(used):
+            yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array([zlib.compress(parts[c].tobytes(), 1) for c in used], pa.binary())],
+                                             ["chunk", "bits"])
+
+    def either(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for c, blob in zip(batch.column("chunk").to_pylist(), batch.column("bits").to_pylist(), strict=True):
+                part = np.frombuffer(zlib.decompress(blob), np.uint8)
+                total[c] = total[c] | part if c in total else part
+        if total:
+            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([zlib.compress(v.tobytes(), 1) for v in total.values()], pa.binary())],
+                                             ["chunk", "bits"])
+
+    out = np.zeros((MARK_CHUNKS, per_chunk), np.uint8)
+    kind = "chunk int, bits binary"
+    for r in of.select("h").mapInArrow(mark, kind).repartition("chunk").mapInArrow(either, kind).collect():  # MARK_CHUNKS rows of fixed size
+        out[r.chunk] = np.frombuffer(zlib.decompress(bytes(r.bits)), np.uint8)
+    return out.ravel()
+
+
+def _whole_sets(docs: DataFrame, rows: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """Written stage (s, shingles) of the nodes in column s.
 
-    # few tasks, so that few filters of 8 MB reach the driver, one at a time
-    found = np.zeros(1 << (bits - 3), np.uint8)
-    for r in nodes.select("s").coalesce(4).mapInArrow(marks, "k int, bits binary").toLocalIterator():
-        found |= np.frombuffer(zlib.decompress(bytes(r.bits)), np.uint8)
-    wanted = docs.sparkSession.sparkContext.broadcast(found)
+    A filter of fixed size over the doc_ids of one row per node keeps most other
+    texts from being made sets again; the join with ``nodes`` decides.
+    """
+    one = (rows.withColumn("h", F.xxhash64("doc_id")).join(nodes.select("s"), "s", "left_semi")
+           .groupBy("s").agg(F.min("h").alias("h")))
+    wanted = docs.sparkSession.sparkContext.broadcast(_marks(one))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle, marked, done = Shingler(width), wanted.value, set()
-        for _, texts in text_slices(batches, "doc_id"):
+        for key, texts in text_slices(batches, "h"):
+            at = key.to_numpy(zero_copy_only=False).view(np.uint64) >> np.uint64(64 - MARK_BITS)
+            hit = marked[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1
             names, sets = [], []
-            for text in texts:
-                all_of = shingle(text)
+            for i in np.flatnonzero(hit):
+                all_of = shingle(texts[i])
                 s, _ = set_digest(all_of)
-                at = (s & ((1 << 64) - 1)) >> (64 - bits)
-                if s not in done and len(all_of) and marked[at >> 3] >> (at & 7) & 1:
+                if s not in done and len(all_of):
                     done.add(s)
                     names.append(s)
                     sets.append(all_of.view(np.int64))
@@ -214,7 +253,7 @@ def _whole_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
             if names:
                 yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["s", "shingles"])
 
-    every = docs.select("doc_id", "text").mapInArrow(run, "s long, shingles array<long>")
+    every = docs.select(F.xxhash64("doc_id").alias("h"), "text").mapInArrow(run, "s long, shingles array<long>")
     return stage(every.join(nodes.select("s"), "s", "left_semi").dropDuplicates(["s"]), "whole-sets")
 
 
@@ -227,12 +266,6 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                  .where(100 * F.col("i") >= percent * (F.size("x") + F.size("y") - F.col("i"))).select("a", "b"), "links")
 
 
-def _component_of(members: DataFrame, links: DataFrame) -> DataFrame:
-    """``members`` (with column s) and c: the component of each node so far."""
-    found = components(links, "a", "b").select(F.col("node").alias("s"), "component")
-    return members.join(found, "s", "left").withColumn("c", F.coalesce("component", "s")).drop("component")
-
-
 def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs`` (doc_id, text).
 
@@ -250,7 +283,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75) -> Da
     if rows.where("n > 0").groupBy("s").agg(F.min("s2").alias("x"), F.max("s2").alias("y")).where("x <> y").limit(1).count():
         raise ValueError("two shingle sets share a 64-bit name")
     nodes = _prefixes(docs, counts, width, percent)
-    members = stage(nodes.select("g", "s", "n").distinct(), "members")
+    members = stage(nodes.select("g", "s", "n", "bands").distinct(), "members")
     posted = (nodes.select("g", "n", F.posexplode(F.arrays_zip("tokens", "spread")).alias("pos", "t"))
               .select(F.col("t.tokens").alias("token"), "g", F.shiftleft("n", 32).bitwiseOR(F.col("pos")).alias("np"),
                       F.when(F.col("t.spread") > 1, F.pmod(F.xxhash64("g"), F.col("t.spread")) + 1).otherwise(0).cast("int").alias("salt")))
@@ -259,55 +292,60 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75) -> Da
     shared = stage(posted.withColumns({"lo": F.min("g").over(listed), "hi": F.max("g").over(listed)}).where("lo <> hi or salt > 0")
                    .select("token", "salt", "g", "np").distinct().select(
                        "token", "g", F.shiftright("np", 32).alias("n"), F.col("np").bitwiseAND(F.lit(0x7FFFFFFF)).alias("pos")), "postings")
-    stars = _tentative_stars(shared, percent)
-    cluster = stage(_clusters(members, stars), "clusters")
-    across = _pairs_across(shared, cluster, percent)
-    own = _own_stars(members)
-    leaders = members.groupBy("g").agg(F.min("s").alias("s"))  # a star needs one member of the leader
-    first = stage(_expand(stars, members, leaders).unionByName(_expand(across, members, members)).unionByName(own).distinct(), "candidates")
-    sets = _whole_sets(docs, first.select(F.col("a").alias("s")).unionByName(first.select(F.col("b").alias("s"))).distinct(), width)
-    links = _verify(first, sets, percent)
-    # lists within one cluster; what differs between clusters has been compared
-    inside = stage(shared.join(cluster, "g").where("clustered").withColumn("token", F.xxhash64("token", "cluster"))
-                   .select("token", "g", "n", "pos"), "cluster-postings")
-    held = stage(members.join(sets.select("s"), "s", "left_semi"), "compared-members")
-    state = _spans_of_groups(held, links)
-    for seed in range(STAR_ROUNDS + 1):
-        # the last time all pairs, before that stars; all between different components only
-        more = _star_round(state, inside, sets, seed, percent) if seed < STAR_ROUNDS else _last_round(state, inside, sets, percent)
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            state = _spans_of_groups(held, links)
-    known = state[0].select("s", "c").distinct()  # nodes that were never compared stand alone
-    out = rows.join(known.withColumnRenamed("s", "of"), F.col("s") == F.col("of"), "left")
+    sets = found = None
+    for propose in (_first_stars, _list_stars, _pairs_between):
+        pairs = stage(propose(shared, members, found, percent), "candidates")
+        if pairs.isEmpty() and found is not None:
+            continue
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("s")).distinct()
+        more = _whole_sets(docs, rows, ends if sets is None else ends.join(sets.select("s"), "s", "left_anti"), width)
+        sets = more if sets is None else sets.unionByName(more)
+        links = _verify(pairs, sets, percent)
+        if found is not None:
+            links = links.unionByName(found.select(F.col("node").alias("a"), F.col("component").alias("b")))
+        found = components(links, "a", "b")
+    known = found.select(F.col("node").alias("of"), F.col("component").alias("c"))  # other nodes stand alone
+    out = rows.join(known, F.col("s") == F.col("of"), "left")
     out = stage(out.select("doc_id", "n", F.when(F.col("n") > 0, F.coalesce("c", "s")).alias("c")), "doc-nodes")
     least = out.where("c is not null").groupBy(F.col("c").alias("root")).agg(F.min("doc_id").alias("least"))
     return (out.join(least, F.col("c") == F.col("root"), "left")
             .select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("c").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id")))
 
 
-def _tentative_stars(shared: DataFrame, percent: int) -> DataFrame:
-    """Written stage (g_a, g_b): each group with the leader it shares the most lists with.
+def _first_stars(shared: DataFrame, members: DataFrame, found: None, percent: int) -> DataFrame:
+    """(a, b): every node against leaders of its bands, and the members of a group against one of them."""
+    bands = members.select("s", "n", F.explode("bands").alias("band"))
+    lead = (bands.groupBy("band").agg(F.min("s").alias("lo"), F.max("s").alias("hi"), F.min(F.struct(F.xxhash64("s").alias("h"), "s", "n")).alias("l"))
+            .where("lo <> hi").select("band", F.col("l.s").alias("to"), F.col("l.n").alias("ln")))
+    met = bands.join(lead, "band").where((F.col("s") != F.col("to")) & _near_sizes("n", "ln", percent)).select("s", "to")
+    return _alike(met.distinct(), members, STAR_LEADERS).unionByName(_own_stars(members)).distinct()
+
+
+def _list_stars(shared: DataFrame, members: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """(a, b): one node of each group against leaders of its lists that are of another component.
 
-    Only a guide to what is compared first: the leader must share STAR_SHARE of
-    the group's prefix, and nothing is concluded from it.
+    A list's leader belongs to its least component, which is mostly its largest,
+    as that is named by its least node; each list draws one by itself.
     """
-    lead = shared.groupBy("token").agg(F.min(F.struct(F.xxhash64("g").alias("h"), "g", "n")).alias("l"))
-    seen = (shared.join(lead, "token").where("g <> l.g").select("g", "n", F.col("l.g").alias("b"), F.col("l.n").alias("ln"))
-            .where(_near_sizes("n", "ln", percent)).groupBy("g", "n", "b").agg(F.count("*").alias("k")))
-    best = (seen.where(F.col("k") * 100 >= STAR_SHARE * _prefix("n", percent))
-            .groupBy("g").agg(F.max(F.struct("k", "b")).alias("best")))
-    return stage(best.select(F.col("g").alias("g_a"), F.col("best.b").alias("g_b")), "stars")
+    _, post = _lists_between(shared, members, found)
+    lead = (post.groupBy("token").agg(F.min(F.struct("c1", F.xxhash64("g", "token").alias("h"), "one", "n")).alias("l"))
+            .select("token", F.col("l.c1").alias("lc"), F.col("l.one").alias("to"), F.col("l.n").alias("ln")))
+    met = (post.join(lead, "token").where((F.col("c1") != F.col("lc")) & _near_sizes("n", "ln", percent))
+           .select(F.col("one").alias("s"), "to"))
+    return _alike(met.distinct(), members, LIST_LEADERS).distinct()
 
 
-def _clusters(members: DataFrame, stars: DataFrame) -> DataFrame:
-    """(g, cluster, clustered): the tentative cluster of each group, and whether it has other members."""
-    found = components(stars, "g_a", "g_b").select(F.col("node").alias("g"), "component")
-    groups = members.groupBy("g").agg(F.count("*").alias("k")).join(found, "g", "left")
-    roots = found.select(F.col("component").alias("g")).distinct().withColumn("leads", F.lit(True))
-    return groups.join(roots, "g", "left").select(
-        "g", F.coalesce("component", "g").alias("cluster"),
-        (F.col("component").isNotNull() | F.col("leads").isNotNull() | (F.col("k") > 1)).alias("clustered"))
+def _alike(met: DataFrame, members: DataFrame, leaders: int) -> DataFrame:
+    """(a, b): every node s against those ``leaders`` of its leaders ``to`` with which it shares the most bands, one at least.
+
+    Nothing is concluded from it. A node has a leader for each of its bands or
+    prefix shingles at most.
+    """
+    one, two = members.select("s", F.col("bands").alias("x")), members.select(F.col("s").alias("to"), F.col("bands").alias("y"))
+    alike = F.struct(F.size(F.array_intersect("x", "y")).alias("k"), "to")
+    best = (met.join(one, "s").join(two, "to").select("s", alike.alias("l")).where("l.k > 0")
+            .withColumn("r", F.row_number().over(Window.partitionBy("s").orderBy(F.desc("l")))).where(F.col("r") <= leaders))
+    return best.select(F.least("s", "l.to").alias("a"), F.greatest("s", "l.to").alias("b"))
 
 
 def _own_stars(members: DataFrame) -> DataFrame:
@@ -316,32 +354,45 @@ def _own_stars(members: DataFrame) -> DataFrame:
     return members.join(one, "g").where("s <> a").select("a", F.col("s").alias("b"))
 
 
-def _pairs_across(shared: DataFrame, cluster: DataFrame, percent: int) -> DataFrame:
-    """(g_a, g_b) of different clusters that may reach the similarity.
+def _lists_between(shared: DataFrame, members: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(g, s, c) of all nodes, and the postings of lists that hold several components, with those of each group.
 
-    ``k`` counts the prefix shingles that both groups have: every list that two
-    clusters share is kept, so the count is whole. Of the two prefixes one ends
-    first in the order of shingles; what is common beyond it lies in the rest of
-    that set, so the intersection is at most k and the longer of the two rests.
+    c1 and c2 are the least and greatest component of a group, ``one`` a member of c1.
     """
-    post = shared.join(cluster.select("g", "cluster"), "g")
-    mixed = post.groupBy("token").agg(F.min("cluster").alias("lo"), F.max("cluster").alias("hi")).where("lo <> hi").select("token")
-    post = stage(post.join(mixed, "token", "left_semi"), "mixed-postings")
-    a, b = (post.select(F.col("token").alias("t" + k), *[F.col(c).alias(c + k) for c in ("g", "n", "pos", "cluster")]) for k in ("_a", "_b"))
-    pairs = a.join(b, (F.col("t_a") == F.col("t_b")) & (F.col("g_a") < F.col("g_b")) & (F.col("cluster_a") != F.col("cluster_b"))
-                   & _near_sizes("n_a", "n_b", percent))
-    counted = pairs.groupBy("g_a", "g_b", "n_a", "n_b").agg(F.count("*").alias("k"))
-    rest = F.greatest(F.col("n_a") - _prefix("n_a", percent), F.col("n_b") - _prefix("n_b", percent))
-    return stage(counted.where((100 + percent) * (F.col("k") + rest) >= percent * (F.col("n_a") + F.col("n_b")))
-                 .select("g_a", "g_b"), "pairs-across")
+    known = stage(members.join(found.withColumnRenamed("node", "s"), "s", "left").select("g", "s", F.coalesce("component", "s").alias("c")), "node-components")
+    spans = (known.groupBy("g").agg(F.min(F.struct("c", "s")).alias("l"), F.max("c").alias("c2"))
+             .select("g", F.col("l.c").alias("c1"), "c2", F.col("l.s").alias("one")))
+    post = shared.join(spans, "g")
+    mixed = post.groupBy("token").agg(F.min("c1").alias("lo"), F.max("c2").alias("hi")).where("lo <> hi").select("token")
+    return known, stage(post.join(mixed, "token", "left_semi"), "mixed-postings")
 
 
-def _expand(group_pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
-    """(a, b): the members that ``left`` has of one group against those that ``right`` has of the other, a < b."""
-    one = left.select(F.col("g").alias("g_a"), F.col("s").alias("x"))
-    two = right.select(F.col("g").alias("g_b"), F.col("s").alias("y"))
-    return (group_pairs.join(one, "g_a").join(two, "g_b")
-            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
+def _pairs_between(shared: DataFrame, members: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of different components that may reach the similarity.
+
+    A list of one component proposes nothing, and neither do groups within one
+    component. Two bounds filter the pairs of groups. At a common shingle, at
+    most the shorter rest from there on and the lesser position before it can be
+    common. And ``k`` counts the prefix shingles that both have (every list that
+    two components share is kept, so the count is whole); of the two prefixes one
+    ends first in the order of shingles, and what is common beyond it lies in the
+    rest of that set.
+    """
+    known, post = _lists_between(shared, members, found)
+    a, b = (post.select("token", *[F.col(c).alias(c + k) for c in ("g", "n", "pos", "c1", "c2")]) for k in ("_a", "_b"))
+    most = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) + F.least("pos_a", "pos_b")
+    apart = ~((F.col("c1_a") == F.col("c2_a")) & (F.col("c1_b") == F.col("c2_b")) & (F.col("c1_a") == F.col("c1_b")))
+    enough = percent * (F.col("n_a") + F.col("n_b"))
+    pairs = a.join(b, (a.token == b.token) & (F.col("g_a") < F.col("g_b")) & apart & _near_sizes("n_a", "n_b", percent)
+                   & ((100 + percent) * most >= enough))
+    rest = F.greatest(F.col("n_a") - _prefix("n_a", percent), F.col("n_b") - _prefix("n_b", percent))
+    pairs = (pairs.groupBy("g_a", "g_b", "n_a", "n_b").agg(F.count("*").alias("k"))
+             .where((100 + percent) * (F.col("k") + rest) >= enough).select("g_a", "g_b"))
+    own = known.groupBy("g").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).where("c1 <> c2").select(F.col("g").alias("g_a"), F.col("g").alias("g_b"))
+    left = known.select(F.col("g").alias("g_a"), F.col("s").alias("x"), F.col("c").alias("cx"))
+    right = known.select(F.col("g").alias("g_b"), F.col("s").alias("y"), F.col("c").alias("cy"))
+    return (pairs.unionByName(own).join(left, "g_a").join(right, "g_b").where("cx <> cy")
+            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
 
 
 def _prefix(n: str, percent: int):
@@ -351,48 +402,3 @@ def _prefix(n: str, percent: int):
 
 def _near_sizes(a: str, b: str, percent: int):
     return (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
-
-
-def _spans_of_groups(members: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(members with component, groups with their least and greatest component and one member)."""
-    known = stage(_component_of(members, links), "node-components")
-    spans = known.groupBy("g").agg(F.min("c").alias("c1"), F.max("c").alias("c2"), F.min("s").alias("one"))
-    return known, stage(spans, "group-components")
-
-
-def _star_round(state, shared: DataFrame, sets: DataFrame, seed: int, percent: int) -> DataFrame:
-    """Compare the members of each posted group with one leader of the list, where components differ."""
-    known, spans = state
-    post = shared.select("token", "g", "n").join(spans, "g")
-    lead = (post.groupBy("token").agg(F.min("c1").alias("lo"), F.max("c2").alias("hi"),
-                                      F.min(F.struct(F.xxhash64("g", F.lit(seed)).alias("h"), "one", "n", "c1", "c2")).alias("l"))
-            .where("lo <> hi").select("token", F.col("l.one").alias("b"), F.col("l.n").alias("ln"),
-                                      F.col("l.c1").alias("l1"), F.col("l.c2").alias("l2")))
-    stars = (post.join(lead, "token").where(_near_sizes("n", "ln", percent) & ~((F.col("c1") == F.col("l1")) & (F.col("c2") == F.col("l1")) & (F.col("l1") == F.col("l2"))))
-             .select("g", "b").distinct())
-    own = spans.where("c1 <> c2").select("g", F.col("one").alias("b"))
-    leader = known.select(F.col("s").alias("b"), F.col("c").alias("cb"))
-    pairs = (stars.unionByName(own).distinct().join(known, "g").join(leader, "b").where("s <> b and c <> cb")
-             .select(F.least("s", "b").alias("a"), F.greatest("s", "b").alias("b")).distinct())
-    return _verify(pairs, sets, percent)
-
-
-def _last_round(state, shared: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """All pairs of groups on a list that are not within one component, by size and position."""
-    known, spans = state
-    post = shared.join(spans.select("g", "c1", "c2"), "g")
-    mixed = post.groupBy("token").agg(F.min("c1").alias("lo"), F.max("c2").alias("hi")).where("lo <> hi").select("token")
-    post = stage(post.join(mixed, "token", "left_semi"), "mixed-postings")
-    a, b = (post.select("token", *[F.col(c).alias(c + k) for c in ("g", "n", "pos", "c1", "c2")]) for k in ("_a", "_b"))
-    # at most this many shingles are shared from the first common one on
-    most = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) + F.least("pos_a", "pos_b")
-    apart = ~((F.col("c1_a") == F.col("c2_a")) & (F.col("c1_b") == F.col("c2_b")) & (F.col("c1_a") == F.col("c1_b")))
-    pairs = (a.join(b, (a.token == b.token) & (F.col("g_a") < F.col("g_b")) & apart & _near_sizes("n_a", "n_b", percent)
-                    & ((100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b"))))
-             .select("g_a", "g_b").distinct())
-    own = spans.where("c1 <> c2").select(F.col("g").alias("g_a"), F.col("g").alias("g_b"))
-    left = known.select(F.col("g").alias("g_a"), F.col("s").alias("a"), F.col("c").alias("ca"))
-    right = known.select(F.col("g").alias("g_b"), F.col("s").alias("b"), F.col("c").alias("cb"))
-    expanded = (pairs.unionByName(own).join(left, "g_a").join(right, "g_b").where("ca <> cb")
-                .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    return _verify(expanded, sets, percent)

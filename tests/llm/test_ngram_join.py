@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import random
 
+from pyspark.sql import functions as F
+
 from tabforge.llm import ngram_join
 from tabforge.llm.ngram_join import jaccard_components, prefix_size
 
@@ -48,9 +50,28 @@ def test_against_brute_force(spark, monkeypatch):
     expect = brute(rows)
     assert sorted(map(tuple, jaccard_components(docs).collect()), key=str) == expect
     monkeypatch.setattr(ngram_join, "SALT_ROWS", 1)  # every frequent shingle is salted
-    monkeypatch.setattr(ngram_join, "STAR_ROUNDS", 1)
+    monkeypatch.setattr(ngram_join, "STAR_LEADERS", 1)
     assert sorted(map(tuple, jaccard_components(docs).collect()), key=str) == expect
 
 
+def test_stars_only_guide(spark, monkeypatch):
+    """Without a star all links come from the join of groups."""
+    rnd = random.Random(5)
+    hub = prose(rnd, 60)
+    rows = [(i, edit(rnd, hub, i % 5)) for i in range(40)] + [(100 + i, prose(rnd, 30)) for i in range(5)]
+    for name in ("_first_stars", "_list_stars"):
+        monkeypatch.setattr(ngram_join, name, lambda shared, members, found, percent: members.select(F.col("s").alias("a"), F.col("s").alias("b")).limit(0))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, jaccard_components(docs).collect()), key=str) == brute(rows)
+
+
+def test_very_long_text(spark):
+    rnd = random.Random(6)
+    long = prose(rnd, 60_000)
+    rows = [(1, long), (2, edit(rnd, long, 500)), (3, edit(rnd, long, 40_000)), (4, "word " * 50_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, jaccard_components(docs).collect()), key=str) == brute(rows)
+
+
 def test_empty_table(spark):
     assert jaccard_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
