@@ -2,8 +2,10 @@
 
 A step is one pass: every task sums the gradient of its training rows and the losses of its training and validation rows
 at the present weights, the driver adds a row for each task and takes the step. So the loss that decides about stopping
-costs no pass of its own, and no fit starts again from zero. A table of up to ``ONE_TASK_BYTES`` is one partition, whose
-task takes all steps itself: the same sums, one job.
+costs no pass of its own, and no fit starts again from zero. The rows are packed once into matrix blocks that the executors
+keep (on disk where memory is short), in at most a task a core while a task's blocks stay below ``TASK_BYTES``: a step reads
+blocks, plans no query, and is bounded by the job's start. A table of up to ``ONE_TASK_BYTES`` is one partition, whose task
+takes all steps itself: the same sums, one job.
 """
 
 from __future__ import annotations
@@ -13,6 +15,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +26,9 @@ from .boosting import feature_array
 from .mlp import softmax
 
 ONE_TASK_BYTES = 1 << 25
+#: Blocks of one task of a step: below LEAST_TASK_BYTES a core gets none of its own, above TASK_BYTES cores take several tasks.
+LEAST_TASK_BYTES = 1 << 24
+TASK_BYTES = 1 << 27
 EPSILON = 1e-7
 
 
@@ -76,6 +83,30 @@ def _descend(sums, theta: np.ndarray, eta: float, alpha: float, most_steps: int)
     return best, path
 
 
+def _blocks(rows: DataFrame, tasks: int, width: int):
+    """(matrix with a column of ones, classes, part) of each batch of ``rows``, in at most ``tasks`` partitions.
+
+    Values that single precision holds exactly, as those of a float column, are kept in it; products are taken in double.
+    """
+    def pack(batches):
+        for batch in batches:
+            if batch.num_rows:
+                x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, width)
+                with np.errstate(over="ignore"):
+                    single = x.astype(np.float32)
+                yield pa.RecordBatch.from_arrays([pa.array([v], pa.binary()) for v in (
+                    (single if (single == x).all() else x).tobytes(), batch.column("y").to_numpy(zero_copy_only=False).tobytes(),
+                    batch.column("part").to_numpy().tobytes())], ["x", "y", "part"])
+
+    def block(row):
+        y, part = np.frombuffer(row["y"]), np.frombuffer(row["part"], dtype=np.int32)
+        kind = np.float32 if len(row["x"]) == 4 * len(y) * width else np.float64
+        x = np.frombuffer(row["x"], dtype=kind).reshape(len(y), width)
+        return np.column_stack([np.ones(len(y), dtype=kind), x]), y, part
+
+    return rows.coalesce(tasks).mapInArrow(pack, "x binary, y binary, part binary").rdd.map(block)
+
+
 def fit_softmax(train: DataFrame, valid: DataFrame, features: Sequence[str] | str, label: str, n_classes: int, eta: float = 0.1,
                 alpha: float = 0.0, most_steps: int = 5001, seed: int = 42) -> SoftmaxModel:
     """Labels are 0 to ``n_classes`` - 1; rows with a missing feature or label are left out. Steps end at the first rise
@@ -122,15 +153,19 @@ def fit_softmax(train: DataFrame, valid: DataFrame, features: Sequence[str] | st
         row = rows.coalesce(1).mapInPandas(all_steps, "theta array<double>, train array<double>, valid array<double>").first()
         best, path = (np.array(row["theta"]).reshape(shape), list(zip(row["train"], row["valid"]))) if row else (theta, [])
     else:
+        size = n * (width + 1) * 8
+        cores = train.sparkSession.sparkContext.defaultParallelism
+        tasks = max(-(-size // TASK_BYTES), min(cores, -(-size // LEAST_TASK_BYTES)))
+        blocks = _blocks(rows, int(tasks), width).persist(StorageLevel.MEMORY_AND_DISK)
+
         def sums(t):
-            def part(batches):
-                grad, v = np.zeros(shape), np.zeros(4)
-                for pdf in batches:
-                    g, u = sums_of(matrices([pdf]), t)
-                    grad, v = grad + g, v + u
-                yield pd.DataFrame({"grad": [grad.ravel().tolist()], "v": [v.tolist()]})
-
-            found = rows.mapInPandas(part, "grad array<double>, v array<double>").collect()          # one row per task
-            return (np.sum([r["grad"] for r in found], axis=0).reshape(shape), *np.sum([r["v"] for r in found], axis=0))
-        best, path = _descend(sums, theta, eta, alpha, most_steps)
+            def part(parts):
+                yield sums_of(parts, t)
+
+            found = blocks.mapPartitions(part).collect()                                             # one row per task
+            return (np.sum([g for g, _ in found], axis=0).reshape(shape), *np.sum([v for _, v in found], axis=0))
+        try:
+            best, path = _descend(sums, theta, eta, alpha, most_steps)
+        finally:
+            blocks.unpersist()
     return SoftmaxModel(best, features if isinstance(features, str) else list(features), path)

@@ -60,3 +60,13 @@ def test_odd_rows(spark):
     assert len(m.path) == 5 and m.path[-1][0] < m.path[0][0]
     assert [r["prediction"] is None for r in m.transform(df).collect()] == [True, True, False, False, True]
     assert S.fit_softmax(df.where("false"), df, "x", "y", 2).path == []
+
+
+def test_blocks_hold_every_row_exactly_in_few_tasks(spark):
+    """Rows go into matrix blocks once, in the tasks asked for, instead of a query a step."""
+    floats = spark.sql("select array(cast(id as float) / 3f, -1f) x, 0d y, 0 part from range(0, 25, 1, 5)")
+    rows = floats.selectExpr("cast(x as array<double>) x", "y", "part").unionByName(spark.sql("select array(0.1d, 1e300d) x, 1d y, 1 part"))
+    blocks = S._blocks(rows, 2, 2)
+    assert blocks.getNumPartitions() == 2
+    found = sorted(tuple(r) + (c, p) for x, y, part in blocks.collect() for r, c, p in zip(x.astype(float).tolist(), y.tolist(), part.tolist()))
+    assert found == sorted((1.0, *r["x"], r["y"], r["part"]) for r in rows.collect())
