@@ -9,8 +9,10 @@ The plan is a block nested-loop join expressed with shuffles:
 * every query row is replicated to the ``R`` reference blocks of its batch and
   every reference row to the ``QB`` batches (``explode`` of a small sequence);
 * ``cogroup`` on (batch, block) hands one task one query batch and one
-  reference block; a NumPy kernel (``applyInPandas``, Arrow batches) computes
-  the distances in bounded chunks and emits only the local top-k per query;
+  reference block; a NumPy kernel (``applyInPandas``, Arrow batches) bounds
+  all squared distances from below by matrix products in bounded chunks,
+  computes exactly those that a query's k best so far do not rule out, and
+  emits only the local top-k per query;
 * a window over at most ``k x R`` candidates per query keeps the global top-k.
 
 Ties are broken by reference id, so the result is deterministic; the sizes
@@ -30,6 +32,30 @@ NO_LABEL = np.iinfo(np.int32).min  # stands for NULL inside the kernel
 CANDIDATE_SCHEMA = "query_id long, nbr_id long, nbr_label int, dist double"
 
 
+#: Queries of one product, and references of the first, which gives the bound for the others.
+QUERY_ROWS = 1024
+FIRST_ROWS = 512
+
+
+def _merge(bd, bi, bl, rows, cols, q_mat, t_mat, q_ids, t_ids, t_lab, exclude_self: bool) -> None:
+    """Takes the pairs (query row, reference row) into the best of each query, by their exact distance, then id."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        diff = q_mat[rows] - t_mat[cols]
+        d2 = np.einsum("nd,nd->n", diff, diff)
+    ok = np.isfinite(d2)
+    if exclude_self:
+        ok &= q_ids[rows] != t_ids[cols]
+    rows, cols, d2 = rows[ok], cols[ok], d2[ok]
+    if not len(rows):
+        return
+    k, met = bd.shape[1], np.unique(rows)
+    of = np.concatenate([np.repeat(met, k), rows])
+    d, i, lab = (np.concatenate([b[met].ravel(), new]) for b, new in ((bd, d2), (bi, t_ids[cols]), (bl, t_lab[cols])))
+    order = np.lexsort((i, d, of))
+    first = order[np.searchsorted(of[order], met)[:, None] + np.arange(k)[None, :]]
+    bd[met], bi[met], bl[met] = d[first], i[first], lab[first]
+
+
 def _block_topk(k: int, exclude_self: bool, chunk_bytes: int):
     def run(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
         if q.empty or r.empty:
@@ -42,25 +68,39 @@ def _block_topk(k: int, exclude_self: bool, chunk_bytes: int):
         t_ids = r["id"].to_numpy(np.int64)
         t_lab = r["label"].fillna(NO_LABEL).to_numpy(np.int64)
         t_mat = np.vstack(r["vec"].to_numpy()).astype(np.float64)
-        nq = len(q_ids)
+        nq, dim = q_mat.shape
         best_d = np.full((nq, k), np.inf)
         best_i = np.full((nq, k), np.iinfo(np.int64).max, dtype=np.int64)
         best_l = np.full((nq, k), NO_LABEL, dtype=np.int64)
-        step = max(1, chunk_bytes // max(1, nq * t_mat.shape[1] * 8))
-        for s in range(0, len(t_ids), step):
-            tm, ti, tl = t_mat[s:s + step], t_ids[s:s + step], t_lab[s:s + step]
-            diff = q_mat[:, None, :] - tm[None, :, :]
-            d2 = np.einsum("qtd,qtd->qt", diff, diff)
-            d2 = np.where(np.isfinite(d2), d2, np.inf)
-            if exclude_self:
-                d2 = np.where(q_ids[:, None] == ti[None, :], np.inf, d2)
-            cd = np.concatenate([best_d, d2], axis=1)
-            ci = np.concatenate([best_i, np.broadcast_to(ti, d2.shape)], axis=1)
-            cl = np.concatenate([best_l, np.broadcast_to(tl, d2.shape)], axis=1)
-            order = np.lexsort((ci, cd), axis=1)[:, :k]
-            best_d = np.take_along_axis(cd, order, 1)
-            best_i = np.take_along_axis(ci, order, 1)
-            best_l = np.take_along_axis(cl, order, 1)
+        # one product gives a lower bound of every squared distance: qn + tn - 2 q.t less what its rounding can be
+        slack = 16 * (dim + 8) * np.finfo(float).eps
+        with np.errstate(over="ignore", invalid="ignore"):
+            qn, tn = (np.einsum("nd,nd->n", m, m) for m in (q_mat, t_mat))
+            q_aug = np.column_stack([-2.0 * q_mat, np.ones(nq), qn * (1.0 - slack)])
+            t_aug = np.column_stack([t_mat, tn * (1.0 - slack), np.ones(len(t_ids))])
+        width = max(1, min(QUERY_ROWS, chunk_bytes // 8))
+        step = max(1, chunk_bytes // (8 * width))
+        pairs = max(1, chunk_bytes // (8 * max(1, dim)))
+        for a in range(0, nq, width):
+            here = slice(a, a + width)
+            bd, bi, bl = best_d[here], best_i[here], best_l[here]
+            s, size = 0, min(step, FIRST_ROWS)
+            while s < len(t_ids):
+                part = slice(s, s + size)
+                ti = t_ids[part]
+                with np.errstate(over="ignore", invalid="ignore"):
+                    low = q_aug[here] @ t_aug[part].T
+                    limit = bd[:, -1]
+                    if s == 0 and len(ti) > k:
+                        # no distance passes its lower bound by more than twice the slack: the k-th of these bounds the k-th
+                        high = low + 4 * slack * (qn[here][:, None] + tn[part][None, :])
+                        if exclude_self:
+                            high[q_ids[here][:, None] == ti[None, :]] = np.inf
+                        limit = np.partition(high, k - 1, axis=1)[:, k - 1]
+                    rows, cols = np.nonzero(~(low > limit[:, None]))        # what is not a number is taken too
+                for c in range(0, len(rows), pairs):
+                    _merge(bd, bi, bl, rows[c:c + pairs], cols[c:c + pairs], q_mat[here], t_mat[part], q_ids[here], ti, t_lab[part], exclude_self)
+                s, size = s + size, step
         found = np.isfinite(best_d)
         keep = found.copy()
         keep[:, 0] = True  # a query without any neighbour here keeps one empty row
