@@ -146,23 +146,18 @@ def repeated_holdout_baseline(df: DataFrame, key: str, target: str, reps: int,
     """K7 with the constant-mean model: for each repetition ``r`` (seed r), fit
     the train mean and score test MSE.
 
-    Two scans in total, whatever ``reps``: rows are paired with the
-    repetitions (``explode``, streamed) and ``groupBy(rep)`` aggregates
-    partially, first the train means (one row per repetition), then the test
-    errors against those means.
+    Two scans in total, whatever ``reps``: each holds one pair of sums a
+    repetition, side by side, so a row is read and shuffled no oftener for more
+    repetitions; first the train means (one row), then the test errors against
+    those means.
     """
     y = F.col(target).cast("double")
     cut = F.lit(int(round(test_ratio * HASH_P)))
-    per_rep = F.array(*[F.struct(F.lit(r).alias("rep"), (hash_col(key, r) < cut).alias("t"))
-                        for r in range(reps)])
-    long = df.select(y.alias("_y"), F.explode(per_rep).alias("_r")).select(
-        "_y", F.col("_r.rep").alias("rep"), F.col("_r.t").alias("t"))
-    means = {r["rep"]: r["m"] for r in long.where(~F.col("t")).groupBy("rep")
-             .agg(F.avg("_y").alias("m")).collect()}                      # reps rows
-    pairs = []
-    for r in range(reps):
-        pairs += [F.lit(r), F.lit(means.get(r)).cast("double")]
-    m = F.element_at(F.create_map(*pairs), F.col("rep"))
-    return long.groupBy("rep").agg(
-        F.avg(F.when(F.col("t"), F.pow(F.col("_y") - m, 2))).alias("mse"),
-        F.count_if(F.col("t")).alias("n_test"))
+    rows = df.select(y.alias("_y"), *[(hash_col(key, r) < cut).alias(f"_t{r}") for r in range(reps)])
+    means = rows.agg(*[F.avg(F.when(~F.col(f"_t{r}"), F.col("_y"))).alias(f"m{r}") for r in range(reps)]).first()   # one row
+    found = rows.agg(F.count(F.lit(1)).alias("n"), *[c for r in range(reps) for c in (
+        F.avg(F.when(F.col(f"_t{r}"), F.pow(F.col("_y") - F.lit(means[f"m{r}"]).cast("double"), 2))).alias(f"e{r}"),
+        F.count_if(F.col(f"_t{r}")).alias(f"n{r}"))])
+    each = F.explode(F.array(*[F.struct(F.lit(r).alias("rep"), F.col(f"e{r}").alias("mse"), F.col(f"n{r}").alias("n_test"))
+                               for r in range(reps)]))
+    return found.where("n > 0").select(each.alias("r")).select("r.*")                   # an empty table gives no rows
