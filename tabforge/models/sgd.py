@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -94,11 +94,13 @@ def fit_sgd(df: DataFrame, features: Sequence[str] | str, label: str, loss: str
             w, t, n, total = theta.copy(), done, 0, 0.0
             rng = np.random.default_rng([seed, number])
             with np.errstate(over="ignore", invalid="ignore"):
-                for pdf in batches:
-                    if pdf.empty:
+                for rows_ in batches:
+                    if not rows_.num_rows:
                         continue
-                    a = np.column_stack([np.vstack(pdf["x"].to_numpy()), np.ones(len(pdf))])
-                    b = pdf["y"].to_numpy()
+                    b = rows_.column("y").to_numpy(zero_copy_only=False)
+                    # the arrays' values lie side by side
+                    x = rows_.column("x").flatten().to_numpy(zero_copy_only=False).reshape(len(b), width)
+                    a = np.column_stack([x, np.ones(len(b))])
                     total += float(_value(loss, a @ theta, b).sum())
                     n += len(b)
                     order = rng.permutation(len(b))
@@ -108,9 +110,9 @@ def fit_sgd(df: DataFrame, features: Sequence[str] | str, label: str, loss: str
                         g = a[part].T @ _slope(loss, a[part] @ w, b[part]) / len(part)
                         g[:-1] += alpha * w[:-1]
                         w -= rate(schedule, eta0, alpha, power, t) * g
-            yield pd.DataFrame({"w": [w.tolist()], "n": [n], "total": [total], "t": [t]})
+            yield pa.RecordBatch.from_pydict({"w": [w.tolist()], "n": [n], "total": [total], "t": [t]})
 
-        found = [r for r in rows.mapInPandas(run, "w array<double>, n long, total double, t long").collect() if r["n"]]
+        found = [r for r in rows.mapInArrow(run, "w array<double>, n long, total double, t long").collect() if r["n"]]
         n = sum(r["n"] for r in found)
         if not n:
             return theta, done, 0.0
