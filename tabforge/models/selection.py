@@ -18,10 +18,13 @@ from concurrent.futures import ThreadPoolExecutor
 import numpy as np
 from pyspark.ml.evaluation import (BinaryClassificationEvaluator,
                                    MulticlassClassificationEvaluator, RegressionEvaluator)
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_dir
+from ..sources.files import stage_table
+
 
 def rmse_evaluator(label: str = "label"):
     return RegressionEvaluator(metricName="rmse", labelCol=label)
@@ -105,21 +108,33 @@ def sample_params(estimator, space: Mapping[str, tuple], n_iter: int, seed: int)
     return maps
 
 
-def search(estimator, maps: list, df: DataFrame, fold: str, evaluator, parallelism: int = 4):
+def search(estimator, maps: list, df: DataFrame, fold: str, evaluator, parallelism: int = 4, folds: int = 3):
     """M4/M5/M7: cross-validated search over ``maps`` on a fold column; returns
     ``(table(params, metric), best_model, best_params)`` where the best model is
-    refit on all rows."""
-    cv = CrossValidator(estimator=estimator, estimatorParamMaps=maps, evaluator=evaluator,
-                        foldCol=fold, parallelism=parallelism)
-    model = cv.fit(df)
+    refit on all rows. The frame is written once, and every fit reads from it the
+    columns that its stages use: no join is done again, no wide row is cached and
+    no row passes through Python."""
     spark = df.sparkSession
-    rows = [(json.dumps({p.name: v for p, v in m.items()}, default=str), float(a))
-            for m, a in zip(maps, model.avgMetrics)]
+    df = stage_table(df, scratch_dir(spark, "search"))
+    if df.where(~F.coalesce(F.col(fold).between(0, folds - 1), F.lit(False))).take(1):
+        raise ValueError(f"{fold} must be 0 to {folds - 1}")
+    parts = [(df.where(F.col(fold) != f), df.where(F.col(fold) == f)) for f in range(folds)]
+    if not all(p.take(1) for pair in parts for p in pair):
+        raise ValueError("a fold leaves no rows for training or validation")
+
+    def one(job):
+        (train, valid), pm = job
+        return float(evaluator.evaluate(estimator.fit(train, pm).transform(valid)))
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        found = np.array(list(pool.map(one, itertools.product(parts, maps)))).reshape(folds, len(maps))
+    metrics = found.mean(axis=0).tolist()
+    rows = [(json.dumps({p.name: v for p, v in m.items()}, default=str), float(a)) for m, a in zip(maps, metrics)]
     table = spark.createDataFrame(rows, "params string, metric double")
     better = max if evaluator.isLargerBetter() else min
-    best_i = model.avgMetrics.index(better(model.avgMetrics))
+    best_i = metrics.index(better(metrics))
     best_params = {p.name: v for p, v in maps[best_i].items()}
-    return table, model.bestModel, best_params
+    return table, estimator.fit(df, maps[best_i]), best_params
 
 
 def oof_predictions(estimator, df: DataFrame, fold: str, keep: Sequence[str]) -> DataFrame:

@@ -386,6 +386,7 @@ def q_grid(spark, d):
     est = L.decision_tree()
     maps = M.union_grids(est, [{"maxDepth": [2, 3], "impurity": ["gini", "entropy"]},
                                {"maxDepth": [4]}])
+    t = t.select("fold", "features", "label")
     table_, best, params = M.search(est, maps, t, "fold", M.accuracy_evaluator(), parallelism=4)
     return table_.withColumn("best_depth", F.lit(int(params.get("maxDepth", 0))))
 
@@ -410,6 +411,7 @@ def q_prep_search(spark, d):
     pipe = Pipeline(stages=[imp, asm, reg])
     maps = M.union_grids(imp, [{"strategy": ["mean", "median"]}])
     maps = [{**m, reg.regParam: r} for m in maps for r in (0.0, 0.1)]
+    li = li.select("fold", "label", "l_quantity", "disc", "l_tax")
     table_, _, _ = M.search(pipe, maps, li, "fold", M.rmse_evaluator(), parallelism=4)
     return table_
 
