@@ -21,6 +21,7 @@ from dataclasses import asdict, dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +34,10 @@ MOST_BINS = 255
 MOST_CELLS = 1 << 22
 #: Bytes of binned rows up to which they are one partition, whose task then searches the cuts itself.
 ONE_TASK_BYTES = 1 << 22
+#: Bytes of binned rows that a task takes at least, and at most if cores take several: tasks, so the cells that they
+#: send, do not become more with the input until all cores are full of work.
+LEAST_TASK_BYTES = 1 << 22
+TASK_BYTES = 1 << 28
 
 
 @dataclass
@@ -241,6 +246,8 @@ def feature_array(features: Sequence[str] | str) -> Column:
 
 def _matrix(x, width: int) -> np.ndarray:
     """Rows of arrays (null, or holding nulls) as a float matrix with NaN for what is missing."""
+    if len(x) and all(v is not None and len(v) == width and v.dtype == np.float64 for v in x):
+        return np.concatenate(list(x)).reshape(len(x), width)
     out = np.full((len(x), width), np.nan)
     for i, row in enumerate(x):
         if row is not None:
@@ -249,6 +256,33 @@ def _matrix(x, width: int) -> np.ndarray:
     return out
 
 
+# ---------------------------------------------------------------- Arrow columns
+
+def _column_matrix(x: pa.Array, width: int) -> np.ndarray:
+    """``_matrix`` of an Arrow column; arrays all of ``width`` lie side by side."""
+    if not x.null_count and (np.diff(x.offsets.to_numpy()) == width).all():
+        return x.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(len(x), width)
+    return _matrix(x.to_pandas(), width)
+
+
+def _bytes_matrix(x: pa.Array, width: int) -> np.ndarray:
+    """Rows of ``width`` bytes."""
+    if not width or not len(x):
+        return np.zeros((len(x), width), dtype=np.uint8)
+    start = np.frombuffer(x.buffers()[1], dtype=np.int32)[x.offset]
+    return np.frombuffer(x.buffers()[2], dtype=np.uint8)[start:start + len(x) * width].reshape(len(x), width)
+
+
+def _bytes_column(rows: np.ndarray) -> pa.Array:
+    """A binary value of each row of bytes."""
+    offsets = np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(rows))])
+
+
+def _list_column(rows: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1], rows.ravel())
+
+
 # ---------------------------------------------------------------- bins
 
 def quantile_cuts(df: DataFrame, x: str, width: int, max_bins: int, weight: str | None = None) -> list[np.ndarray]:
@@ -298,16 +332,17 @@ def _binned(df: DataFrame, cuts: list[np.ndarray], outputs: int, base: float) ->
     schema = "bins binary, y double, w double, part int, rid long, margin array<double>"
 
     def run(batches):
-        for pdf in batches:
-            rows = _matrix(pdf["x"], width)
+        for rb in batches:
+            rows = _column_matrix(rb.column("x"), width)
             bins = np.zeros(rows.shape, dtype=np.uint8)
             for f, c in enumerate(cuts):
                 ok = ~np.isnan(rows[:, f])
                 bins[ok, f] = np.searchsorted(c, rows[ok, f], side="right") + 1
-            yield pd.DataFrame({"bins": [b.tobytes() for b in bins], "y": pdf["y"], "w": pdf["w"], "part": pdf["part"],
-                                "rid": pdf["rid"], "margin": [[base] * outputs] * len(pdf)})
+            yield pa.RecordBatch.from_arrays(
+                [_bytes_column(bins), *[rb.column(c) for c in ("y", "w", "part", "rid")], _list_column(np.full((len(rows), outputs), base))],
+                ["bins", "y", "w", "part", "rid", "margin"])
 
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run, schema)
 
 
 # ---------------------------------------------------------------- training
@@ -320,21 +355,22 @@ def _drawn(rid: np.ndarray, seed: int, r: int, share: float) -> np.ndarray:
     return (v ^ v >> np.uint64(31)) >> np.uint64(11) < np.uint64(int(share * (1 << 53)))
 
 
-def _margins(pdf, bins: np.ndarray, recent: list[list[Tree]]) -> np.ndarray:
-    out = np.array(pdf["margin"].tolist(), dtype=np.float64).reshape(len(pdf), -1)
+def _margins(rb: pa.RecordBatch, bins: np.ndarray, recent: list[list[Tree]]) -> np.ndarray:
+    out = rb.column("margin").flatten().to_numpy(zero_copy_only=False).reshape(len(bins), -1).copy()
     for trees in recent:
         for k, t in enumerate(trees):
             out[:, k] += np.array(t.value)[t.nodes_of(bins)]
     return out
 
 
-_CELLS = "k int, node int, f int, b int, g double, h double, n double"
+_CELLS = "k int, node int, f int, cells binary"
 _BEST = "k int, node int, gain double, f int, b int, missing_left int, gl double, hl double, g double, h double, n double"
 
 
 def _level(data: DataFrame, p: Params, width: int, r: int, recent: list[list[Tree]], growing: list[Tree],
            frontier: list[tuple[int, int]], columns: list[np.ndarray], score: bool, bins_n: int, search: bool) -> DataFrame:
-    """The cells of one level: for (output, node) of ``frontier`` sums by feature and bin; losses as k = -1 if asked.
+    """The cells of one level: for (output, node) of ``frontier`` and each feature a row with the sums of all bins (g and h
+    as doubles, rows as 32-bit integers); losses as k = -1, in bin 0, if asked.
 
     With ``search``, of a table in one partition, the best cuts themselves.
     """
@@ -344,10 +380,12 @@ def _level(data: DataFrame, p: Params, width: int, r: int, recent: list[list[Tre
     def run(batches):
         sums = np.zeros((3, len(frontier) * width * bins_n))
         scores: dict[int, np.ndarray] = {}
-        for pdf in batches:
-            bins = np.frombuffer(b"".join(pdf["bins"]), dtype=np.uint8).reshape(len(pdf), width)
-            y, w, part = (pdf[c].to_numpy() for c in ("y", "w", "part"))
-            margin = _margins(pdf, bins, recent)
+        for rb in batches:
+            if not rb.num_rows:
+                continue
+            bins = _bytes_matrix(rb.column("bins"), width)
+            y, w, part = (rb.column(c).to_numpy(zero_copy_only=False) for c in ("y", "w", "part"))
+            margin = _margins(rb, bins, recent)
             if score:
                 loss, miss = losses(margin, y, objective)
                 for s in np.unique(part):
@@ -356,7 +394,7 @@ def _level(data: DataFrame, p: Params, width: int, r: int, recent: list[list[Tre
                         [(loss * w)[mine].sum(), (miss * w)[mine].sum(), w[mine].sum()])
             use = part == 0
             if p.subsample < 1.0:
-                use &= _drawn(pdf["rid"].to_numpy(), p.seed, r, p.subsample)
+                use &= _drawn(rb.column("rid").to_numpy(zero_copy_only=False), p.seed, r, p.subsample)
             if not use.any() or not frontier:
                 continue
             bins, w = bins[use], w[use]
@@ -380,20 +418,33 @@ def _level(data: DataFrame, p: Params, width: int, r: int, recent: list[list[Tre
             if len(kn):
                 knf = np.column_stack([np.repeat(kn, width, axis=0), np.tile(np.arange(width), len(kn))])
                 drawn = np.concatenate([np.isin(np.arange(width), columns[k]) for k, _ in frontier])
-                yield best_cuts(knf[drawn], sums.reshape(3, -1, bins_n)[:, drawn], p)
+                yield _batch(best_cuts(knf[drawn], sums.reshape(3, -1, bins_n)[:, drawn], p))
             for s, v in scores.items():
-                yield pd.DataFrame([(-1, s, 0.0, 0, 0, 0, 0.0, 0.0, *v)], columns=[x.split()[0] for x in _BEST.split(", ")])
+                yield _batch(pd.DataFrame([(-1, s, 0.0, 0, 0, 0, 0.0, 0.0, *v)], columns=list(_TYPES)))
             return
-        full = np.flatnonzero(sums[2])
-        i, rest = full // (width * bins_n), full % (width * bins_n)
-        out = {"k": kn[i, 0], "node": kn[i, 1], "f": (rest // bins_n).astype(np.int32), "b": (rest % bins_n).astype(np.int32),
-               "g": sums[0][full], "h": sums[1][full], "n": sums[2][full]}
-        yield pd.DataFrame(out)
-        if scores:
-            yield pd.DataFrame([(-1, s, 0, 0, *v) for s, v in scores.items()], columns=list(out)).astype(
-                {c: np.int32 for c in ("k", "node", "f", "b")})
+        sums = sums.reshape(3, -1, bins_n)
+        full = np.flatnonzero(sums[2].any(axis=1))
+        keys = [np.append(kn[full // max(1, width), c], np.array(lost, dtype=np.int32)) for c, lost in (
+            (0, [-1] * len(scores)), (1, list(scores)))]
+        lost = np.zeros((3, len(scores), bins_n))
+        for i, v in enumerate(scores.values()):
+            lost[:2, i, 0] = v[:2]
+            lost[0, i, 1] = v[2]                                  # a weight need not be whole
+        cells = np.concatenate([sums[:, full], lost], axis=1)
+        yield pa.RecordBatch.from_arrays(
+            [*[pa.array(c, pa.int32()) for c in keys], pa.array(np.append(full % max(1, width), np.zeros(len(scores))).astype(np.int32)),
+             _bytes_column(np.concatenate([cells[0].view(np.uint8), cells[1].view(np.uint8), cells[2].astype(np.int32).view(np.uint8)], axis=1))],
+            ["k", "node", "f", "cells"])
+
+    return data.mapInArrow(run, _BEST if search else _CELLS)
 
-    return data.mapInPandas(run, _BEST if search else _CELLS)
+
+_TYPES = dict(x.split() for x in _BEST.split(", "))
+
+
+def _batch(found: pd.DataFrame) -> pa.RecordBatch:
+    kinds = {"int": pa.int32(), "double": pa.float64()}
+    return pa.RecordBatch.from_arrays([pa.array(found[c].to_numpy(), kinds[t]) for c, t in _TYPES.items()], list(_TYPES))
 
 
 def best_cuts(knf: np.ndarray, sums: np.ndarray, p: Params) -> pd.DataFrame:
@@ -444,17 +495,23 @@ def _best_splits(cells: DataFrame, p: Params, bins: int) -> list[dict]:
     for each node and task comes back.
     """
     def search(batches):
-        parts = [b for b in batches if len(b)]
-        if parts:
-            c = pd.concat(parts)
-            knf, group = np.unique(c[["k", "node", "f"]].to_numpy(), axis=0, return_inverse=True)
-            sums = np.zeros((3, len(knf), bins))
-            sums[:, group.ravel(), c["b"].to_numpy()] = c[["g", "h", "n"]].to_numpy().T
-            yield best_cuts(knf, sums, p)
-
-    found = (cells.repartition("k", "node", "f").groupBy("k", "node", "f", "b")
-             .agg(F.sum("g").alias("g"), F.sum("h").alias("h"), F.sum("n").alias("n"))
-             .mapInPandas(search, _BEST).toPandas())
+        place, sums = {}, np.zeros((3, 64, bins))
+        for rb in batches:
+            keys = list(zip(*(rb.column(c).to_pylist() for c in ("k", "node", "f"))))
+            raw = _bytes_matrix(rb.column("cells"), 20 * bins)
+            at = np.array([place.setdefault(key, len(place)) for key in keys], dtype=np.int64)
+            if len(place) > sums.shape[1]:
+                sums = np.concatenate([sums, np.zeros((3, len(place), bins))], axis=1)
+            for row, (a, b, kind) in enumerate(((0, 8, np.float64), (8, 16, np.float64), (16, 20, np.int32))):
+                np.add.at(sums[row], at, np.ascontiguousarray(raw[:, a * bins:b * bins]).view(kind))
+        lost = [(s, sums[:, i]) for (k, s, _), i in place.items() if k == -1]
+        for s, v in lost:
+            yield _batch(pd.DataFrame([(-1, s, 0.0, 0, 0, 0, 0.0, 0.0, v[0, 0], v[1, 0], v[0, 1])], columns=list(_TYPES)))
+        knf = np.array([key for key in place if key[0] >= 0], dtype=np.int64).reshape(-1, 3)
+        if len(knf):
+            yield _batch(best_cuts(knf, sums[:, [i for key, i in place.items() if key[0] >= 0]], p))
+
+    found = cells.repartition("k", "node", "f").mapInArrow(search, _BEST).toPandas()
     return _first_of_node(found).to_dict("records")
 
 
@@ -491,9 +548,12 @@ def fit_boosted(train: DataFrame, features: Sequence[str] | str, label: str, par
     folder = scratch_dir(spark, "boost")
     data = stage_table(_binned(every_row, cuts, outputs, p.base_margin()), folder)
     bins_n = max([len(c) for c in cuts], default=0) + 2
-    alone = data.count() * (width + 8 * outputs) <= ONE_TASK_BYTES
+    size = data.count() * (width + 8 * outputs)
+    alone = size <= ONE_TASK_BYTES
     if alone:
         data = stage_table(data.coalesce(1), folder)
+    tasks = 1 if alone else max(-(-size // TASK_BYTES), min(spark.sparkContext.defaultParallelism, -(-size // LEAST_TASK_BYTES)))
+    data = data.coalesce(tasks)
 
     done: list[list[Tree]] = []
     recent: list[list[Tree]] = []
@@ -535,8 +595,7 @@ def fit_boosted(train: DataFrame, features: Sequence[str] | str, label: str, par
         done.append(growing)
         recent.append(growing)
         if len(recent) >= every:
-            data = _with_margins(data, recent, width, folder)
-            data = data.coalesce(1) if alone else data
+            data = _with_margins(data, recent, width, folder).coalesce(tasks)
             recent = []
     return BoostedTrees(p, features if isinstance(features, str) else list(features), width, done, noted,
                         best_round if p.early_stopping_rounds else len(done) - 1)
@@ -565,8 +624,9 @@ def _grow(growing: list[Tree], found: list[dict], p: Params, cuts: list[np.ndarr
 def _with_margins(data: DataFrame, recent: list[list[Tree]], width: int, folder: str) -> DataFrame:
     """The binned rows written again with the margins of the trees so far."""
     def run(batches):
-        for pdf in batches:
-            bins = np.frombuffer(b"".join(pdf["bins"]), dtype=np.uint8).reshape(len(pdf), width)
-            yield pdf.assign(margin=list(_margins(pdf, bins, recent)))
+        for rb in batches:
+            if rb.num_rows:
+                margin = _list_column(_margins(rb, _bytes_matrix(rb.column("bins"), width), recent))
+                yield pa.RecordBatch.from_arrays([margin if c == "margin" else rb.column(c) for c in rb.schema.names], rb.schema.names)
 
-    return stage_table(data.mapInPandas(run, data.schema), folder)
+    return stage_table(data.mapInArrow(run, data.schema), folder)
