@@ -97,7 +97,8 @@ def _block_topk(k: int, exclude_self: bool, chunk_bytes: int):
                         if exclude_self:
                             high[q_ids[here][:, None] == ti[None, :]] = np.inf
                         limit = np.partition(high, k - 1, axis=1)[:, k - 1]
-                    rows, cols = np.nonzero(~(low > limit[:, None]))        # what is not a number is taken too
+                    # what is not a number is taken too, as is what lies where rounding is not relative
+                    rows, cols = np.nonzero(~(low > limit[:, None] + np.finfo(float).tiny))
                 for c in range(0, len(rows), pairs):
                     _merge(bd, bi, bl, rows[c:c + pairs], cols[c:c + pairs], q_mat[here], t_mat[part], q_ids[here], ti, t_lab[part], exclude_self)
                 s, size = s + size, step
