@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from .forest import CellForestRegressor
 
 
 def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
@@ -50,10 +51,11 @@ def decision_tree(impurity: str = "gini", max_depth: int = 5, label: str = "labe
 def random_forest(n_estimators: int = 500, max_depth: int = 5, min_samples_split: int = 2,
                   label: str = "label", regression: bool = False, seed: int = 42):
     """L2: ``min_samples_split`` becomes ``minInstancesPerNode`` (a child must
-    keep at least half of a splittable node, the nearest MLlib knob)."""
+    keep at least half of a splittable node, the nearest MLlib knob). Regression
+    grows its trees on counted cells where few features make few."""
     kw = dict(numTrees=n_estimators, maxDepth=max_depth, labelCol=label, seed=seed,
               minInstancesPerNode=max(1, min_samples_split // 2))
-    return RandomForestRegressor(**kw) if regression else RandomForestClassifier(**kw)
+    return CellForestRegressor(RandomForestRegressor(**kw)) if regression else RandomForestClassifier(**kw)
 
 
 def gradient_boosting(n_estimators: int = 100, learning_rate: float = 0.1, max_depth: int = 3,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tabforge.models import boosting as B
 from tabforge.models import estimators as L
+from tabforge.models import forest as F_
 from tabforge.models import selection as M
 from tabforge.models import sgd as SGD
 from tabforge.operators import knn as KNN
@@ -107,3 +108,32 @@ def test_search_reads_its_rows_once(spark):
     for bad in ("if(x = 1, null, fold)", "fold + 1", "0"):
         with pytest.raises(ValueError):
             M.search(est, maps, t.withColumn("fold", F.expr(bad)), "fold", M.rmse_evaluator())
+
+
+def test_forest_grows_on_counted_cells(spark):
+    """Every row is counted in its cell, the trees see cells, and the fit is MLlib's up to the bootstrap draws."""
+    rng = np.random.default_rng(3)
+    x = np.stack([rng.integers(0, 60, 6000), rng.integers(0, 3, 6000)], 1)
+    y = np.where(x[:, 0] > 20, 10.0, 0.0) + 5.0 * x[:, 1] + rng.normal(size=6000)
+    df = L.assemble(spark.createDataFrame([(*map(float, r), float(v)) for r, v in zip(x, y)], "a double, b double, label double"), ["a", "b"])
+    forest = L.random_forest(5, 8, regression=True)
+    forest.forest.setFeatureSubsetStrategy("all")
+    cuts = [F_.cut_points(c.astype(float), 32) for c in x.T]
+    assert len(cuts[0]) <= 31 and cuts[1].tolist() == [0.5, 1.5]
+    cells = F_._count_cells(df.select(F.col("a").alias("x0"), F.col("b").alias("x1"), F.col("label").alias("y")), cuts, 5, 1).toPandas()
+    assert cells["cell"].is_unique and len(cells) <= (len(cuts[0]) + 1) * 3
+    assert all(abs(cells[f"w{t}"].sum() - 6000) < 400 and abs(cells[f"s{t}"].sum() - y.sum()) < 0.1 * y.sum() for t in range(5))
+    got, want = (m.transform(df).select("a", "b", "label", "prediction").toPandas() for m in (forest.fit(df), forest.forest.fit(df)))
+    both = got.merge(want.drop_duplicates(["a", "b"]), on=["a", "b"])
+    assert len(both) == 6000 and np.abs(both["prediction_x"] - both["prediction_y"]).mean() < 0.25
+    assert isinstance(forest.fit(df), F_.CellForestModel)
+    one = df.where("a = 1 and b = 1").withColumn("label", F.lit(2.0))           # one cell, no cut
+    assert {r["prediction"] for r in forest.fit(one).transform(df).collect()} == {2.0}
+
+
+def test_forest_on_rows_where_cells_are_many(spark, monkeypatch):
+    monkeypatch.setattr(F_, "CELL_LIMIT", 8)
+    df = L.assemble(spark.range(40).selectExpr("double(id) a", "double(id) label"), ["a"])
+    assert not isinstance(L.random_forest(2, 2, regression=True).fit(df), F_.CellForestModel)
+    with pytest.raises(Exception, match="(?i)null"):
+        L.random_forest(2, 2, regression=True).fit(df.withColumn("label", F.lit(None).cast("double")))
