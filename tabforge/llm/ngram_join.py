@@ -14,8 +14,8 @@
 4. Lists of several components propose stars once more, against a group of the
    least component, by the same choice.
 5. Group pairs that share a list and are not within one component are filtered
-   by size, by the position of each common shingle and by the number of prefix
-   shingles they share, which bound the intersection from above. What is left
+   by size, by the position of each common shingle, by signatures of the whole
+   sets and by the number of prefix shingles they share, which bound the intersection from above. What is left
    expands to members of different components, whose whole sets are compared.
 6. The links of all rounds make the components. So a group of n near copies
    costs about n comparisons, and still every pair that could connect two
@@ -24,6 +24,7 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -48,19 +49,19 @@ BANDS, BAND_ROWS = 12, 3
 STAR_LEADERS, LIST_LEADERS = 3, 12
 #: Bits of the filter that keeps texts of no interest from being made sets again (8 MB), and its chunks.
 MARK_BITS, MARK_CHUNKS = 26, 256
-#: Words whose hashes a task keeps.
-KNOWN_WORDS = 500_000
+#: Text whose words a task hashes at once.
+BLOCK_BYTES = 1 << 20
+#: Bits of a set's signature.
+SIGN_BITS = 1024
 
 # Odd multipliers for the places of a word in a shingle, from a fixed seed.
 _PLACES = np.random.default_rng(20).integers(1 << 62, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
-
-
-class _WordHashes(dict):
-    """Word bytes -> 64-bit hash."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = h = xxhash.xxh64_intdigest(word)
-        return h
+# A random number for each byte (A-Z: that of a-z), and the bytes that belong to words.
+_LETTERS = np.random.default_rng(22).integers(0, 1 << 64, 256, dtype=np.uint64)
+_LETTERS[65:91] = _LETTERS[97:123]
+_INSIDE = np.ones(256, bool)
+_INSIDE[[0x20, *range(0x09, 0x0E)]] = False
+_WHITE_BYTE = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -70,24 +71,98 @@ def _mix(h: np.ndarray) -> np.ndarray:
 
 
 class Shingler:
-    """Sorted distinct shingle hashes of texts: A-Z lower-cased, words between x20 and x09 to x0D."""
+    """Sorted distinct shingle hashes of texts: A-Z lower-cased, words between x20 and x09 to x0D.
+
+    A word's hash sums a random number of each byte times one of its place.
+    """
 
     def __init__(self, width: int):
         self.width = width
-        self.known = _WordHashes()
+        self.places = _odd(1024)
 
     def __call__(self, text: str) -> np.ndarray:
-        if len(self.known) > KNOWN_WORDS:
-            self.known.clear()
-        words = text.encode().lower().split()
-        h = np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
-        n = min(len(h), self.width)
-        if not n:
-            return h
-        out = np.full(len(h) - n + 1, np.uint64(n))
-        for i in range(n):
-            out += h[i:len(h) - n + 1 + i] * _PLACES[i]
-        return np.unique(_mix(out))
+        return self.sets([text])[0]
+
+    def sets(self, texts: list[str]) -> list[np.ndarray]:
+        """One array for each text; texts are hashed together, about ``BLOCK_BYTES`` at a time."""
+        out, part, size = [], [], 0
+        for text in texts:
+            part.append(text.encode())
+            size += len(part[-1])
+            if size > BLOCK_BYTES:
+                out += self._of(part)
+                part, size = [], 0
+        return out + self._of(part)
+
+    def _of(self, texts: list[bytes]) -> list[np.ndarray]:
+        if len(texts) == 1:
+            blocks = [self._words(b) for b in _blocks(texts[0])]
+            counts, h = [sum(map(len, blocks))], np.concatenate(blocks)
+        else:
+            data = b" ".join(texts)
+            h, starts = self._words(data, True)
+            ends = np.cumsum([len(t) + 1 for t in texts])
+            counts = np.diff(np.searchsorted(starts, ends), prepend=0).tolist()
+        w = self.width
+        every = np.full(max(0, len(h) - w + 1), np.uint64(w))
+        for i in range(w):
+            every += h[i:len(h) - w + 1 + i] * _PLACES[i] if len(every) else every
+        every, out, at = _mix(every), [], 0
+        for n in counts:
+            if n >= w:
+                s = np.sort(every[at:at + n - w + 1])
+                keep = np.empty(len(s), bool)
+                keep[0] = True
+                np.not_equal(s[1:], s[:-1], out=keep[1:])
+                out.append(s[keep])
+            elif n:
+                out.append(_mix((h[at:at + n] * _PLACES[:n]).sum(keepdims=True, dtype=np.uint64) + np.uint64(n)))
+            else:
+                out.append(np.empty(0, np.uint64))
+            at += n
+        return out
+
+    def _words(self, data: bytes, with_starts: bool = False):
+        b = np.frombuffer(b" " + data + b" ", np.uint8)
+        inside = _INSIDE[b]
+        edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+        starts, sizes = edges[::2], edges[1::2] - edges[::2]
+        if not len(starts):
+            h = np.empty(0, np.uint64)
+        else:
+            if sizes.max() > len(self.places):
+                self.places = _odd(2 * int(sizes.max()))
+            at = np.flatnonzero(inside)
+            values = _LETTERS[b[at]]
+            values *= self.places[at - np.repeat(starts, sizes)]
+            h = _mix(np.add.reduceat(values, np.cumsum(sizes) - sizes))
+        return (h, starts) if with_starts else h
+
+
+def _odd(n: int) -> np.ndarray:
+    """The first ``n`` of a fixed row of random odd numbers."""
+    return np.random.default_rng(21).integers(0, 1 << 64, n, dtype=np.uint64) | np.uint64(1)
+
+
+def _blocks(data: bytes) -> Iterator[bytes]:
+    """``data`` cut between words, about BLOCK_BYTES each."""
+    at = 0
+    while len(data) - at > BLOCK_BYTES:
+        cut = _WHITE_BYTE.search(data, at + BLOCK_BYTES)
+        if cut is None:
+            break
+        yield data[at:cut.start()]
+        at = cut.start()
+    yield data[at:]
+
+
+def signature(shingles: np.ndarray) -> np.ndarray:
+    """SIGN_BITS bits: the parity of a set's shingles by their upper bits.
+
+    Two sets differ in as many shingles as their signatures differ in bits, at least.
+    """
+    odd = np.bincount((shingles >> np.uint64(64 - SIGN_BITS.bit_length() + 1)).astype(np.int64), minlength=SIGN_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def set_digest(shingles: np.ndarray) -> tuple[int, int]:
@@ -119,7 +194,7 @@ def _sets_and_counts(docs: DataFrame, width: int) -> tuple[DataFrame, np.ndarray
         shingle, counts, kind = Shingler(width), np.zeros(1 << SKETCH_BITS, np.int64), pa.null()
         names = ["doc_id", "n", "s", "s2", "chunk", "counts"]
         for key, texts in text_slices(batches, "doc_id"):
-            sets = [shingle(t) for t in texts]
+            sets = shingle.sets(texts)
             digests = [set_digest(s) for s in sets]
             every = np.concatenate(sets)
             counts += np.bincount((every >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=1 << SKETCH_BITS)
@@ -157,7 +232,7 @@ def _sets_and_counts(docs: DataFrame, width: int) -> tuple[DataFrame, np.ndarray
 
 
 def _prefixes(docs: DataFrame, counts: np.ndarray, width: int, percent: int) -> DataFrame:
-    """Written stage (g, n, s, tokens, spread, bands): a node's group, size, prefix, salts per prefix shingle, and bands.
+    """Written stage (g, n, s, tokens, spread, bands, sign): a node's group, size, prefix, salts per prefix shingle, bands and signature.
 
     A node appears once per task that sees it.
     """
@@ -169,8 +244,7 @@ def _prefixes(docs: DataFrame, counts: np.ndarray, width: int, percent: int) ->
         shingle, freq, done = Shingler(width), order.value, set()
         for _, texts in text_slices(batches, "doc_id"):
             rows = []
-            for text in texts:
-                all_of = shingle(text)
+            for all_of in shingle.sets(texts):
                 s, _ = set_digest(all_of)
                 if not len(all_of) or s in done:
                     continue
@@ -179,18 +253,18 @@ def _prefixes(docs: DataFrame, counts: np.ndarray, width: int, percent: int) ->
                 first = np.lexsort((all_of, f))[:prefix_size(len(all_of), percent)]
                 tokens = all_of[first]
                 g = xxhash.xxh64_intdigest(tokens.tobytes() + len(all_of).to_bytes(8, "little"))
-                rows.append((g - (1 << 63), len(all_of), s, tokens.view(np.int64), (f[first] // limit + 1).astype(np.int32), band_keys(all_of).view(np.int64)))
+                rows.append((g - (1 << 63), len(all_of), s, tokens.view(np.int64), (f[first] // limit + 1).astype(np.int32), band_keys(all_of).view(np.int64), signature(all_of)))
             if len(done) > 2_000_000:
                 done.clear()
             if rows:
                 c = list(zip(*rows, strict=True))
                 yield pa.RecordBatch.from_arrays([
                     pa.array(c[0], pa.int64()), pa.array(c[1], pa.int64()), pa.array(c[2], pa.int64()),
-                    pa.array(c[3], pa.list_(pa.int64())), pa.array(c[4], pa.list_(pa.int32())), pa.array(c[5], pa.list_(pa.int64()))],
-                    ["g", "n", "s", "tokens", "spread", "bands"])
+                    pa.array(c[3], pa.list_(pa.int64())), pa.array(c[4], pa.list_(pa.int32())), pa.array(c[5], pa.list_(pa.int64())), pa.array(c[6], pa.list_(pa.int64()))],
+                    ["g", "n", "s", "tokens", "spread", "bands", "sign"])
 
     return stage(docs.select("doc_id", "text").mapInArrow(
-        run, "g long, n long, s long, tokens array<long>, spread array<int>, bands array<long>"), "prefixes")
+        run, "g long, n long, s long, tokens array<long>, spread array<int>, bands array<long>, sign array<long>"), "prefixes")
 
 
 def _marks(of: DataFrame) -> np.ndarray:
@@ -241,8 +315,7 @@ def _whole_sets(docs: DataFrame, rows: DataFrame, nodes: DataFrame, width: int)
             at = key.to_numpy(zero_copy_only=False).view(np.uint64) >> np.uint64(64 - MARK_BITS)
             hit = marked[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1
             names, sets = [], []
-            for i in np.flatnonzero(hit):
-                all_of = shingle(texts[i])
+            for all_of in shingle.sets([texts[i] for i in np.flatnonzero(hit)]):
                 s, _ = set_digest(all_of)
                 if s not in done and len(all_of):
                     done.add(s)
@@ -283,7 +356,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75) -> Da
     if rows.where("n > 0").groupBy("s").agg(F.min("s2").alias("x"), F.max("s2").alias("y")).where("x <> y").limit(1).count():
         raise ValueError("two shingle sets share a 64-bit name")
     nodes = _prefixes(docs, counts, width, percent)
-    members = stage(nodes.select("g", "s", "n", "bands").distinct(), "members")
+    members = stage(nodes.select("g", "s", "n", "bands", "sign").distinct(), "members")
     posted = (nodes.select("g", "n", F.posexplode(F.arrays_zip("tokens", "spread")).alias("pos", "t"))
               .select(F.col("t.tokens").alias("token"), "g", F.shiftleft("n", 32).bitwiseOR(F.col("pos")).alias("np"),
                       F.when(F.col("t.spread") > 1, F.pmod(F.xxhash64("g"), F.col("t.spread")) + 1).otherwise(0).cast("int").alias("salt")))
@@ -379,12 +452,16 @@ def _pairs_between(shared: DataFrame, members: DataFrame, found: DataFrame, perc
     rest of that set.
     """
     known, post = _lists_between(shared, members, found)
-    a, b = (post.select("token", *[F.col(c).alias(c + k) for c in ("g", "n", "pos", "c1", "c2")]) for k in ("_a", "_b"))
+    signs = members.groupBy("g").agg(F.when(F.count("*") == 1, F.min("sign")).alias("sign"))      # several sets have none in common
+    post = post.join(signs, "g")
+    a, b = (post.select("token", *[F.col(c).alias(c + k) for c in ("g", "n", "pos", "c1", "c2", "sign")]) for k in ("_a", "_b"))
+    differ = sum(F.bit_count(F.col("sign_a")[i].bitwiseXOR(F.col("sign_b")[i])) for i in range(SIGN_BITS // 64))
     most = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) + F.least("pos_a", "pos_b")
     apart = ~((F.col("c1_a") == F.col("c2_a")) & (F.col("c1_b") == F.col("c2_b")) & (F.col("c1_a") == F.col("c1_b")))
     enough = percent * (F.col("n_a") + F.col("n_b"))
     pairs = a.join(b, (a.token == b.token) & (F.col("g_a") < F.col("g_b")) & apart & _near_sizes("n_a", "n_b", percent)
-                   & ((100 + percent) * most >= enough))
+                   & ((100 + percent) * most >= enough)
+                   & F.coalesce((100 + percent) * (F.col("n_a") + F.col("n_b") - differ) >= 2 * enough, F.lit(True)))
     rest = F.greatest(F.col("n_a") - _prefix("n_a", percent), F.col("n_b") - _prefix("n_b", percent))
     pairs = (pairs.groupBy("g_a", "g_b", "n_a", "n_b").agg(F.count("*").alias("k"))
              .where((100 + percent) * (F.col("k") + rest) >= enough).select("g_a", "g_b"))

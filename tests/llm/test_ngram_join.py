@@ -75,3 +75,45 @@ def test_very_long_text(spark):
 
 def test_empty_table(spark):
     assert jaccard_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_batches_of_texts_make_the_sets_of_each_text(monkeypatch):
+    """Sets of words hashed side by side, in blocks of any size: as many shingles as tuples of words, equal for equal words."""
+    from tabforge.llm import ngram_join as J
+    rng = random.Random(4)
+    texts = ["", " \t\n", "a", "A b", "a\x0bB c\td\ne", "É é x y z é", "x " * 300, "q" * 5000 + " w", *(
+        " ".join(rng.choice(["ab", "Ab", "ba", "c", "ccc", "中"]) for _ in range(rng.randrange(60))) for _ in range(200))]
+    words = [[w.decode().translate({c: c + 32 for c in range(65, 91)}) for w in t.encode().split()] for t in texts]
+    tuples = [{tuple(w[i:i + min(5, len(w))]) for i in range(max(1, len(w) - 4))} if w else set() for w in words]
+    sets = J.Shingler(5).sets(texts)
+    assert [len(s) for s in sets] == [len(t) for t in tuples]
+    assert all((s[1:] > s[:-1]).all() for s in sets)
+    for i in range(len(texts)):
+        for k in range(i):
+            assert len(set(sets[i].tolist()) & set(sets[k].tolist())) == len(tuples[i] & tuples[k])
+    monkeypatch.setattr(J, "BLOCK_BYTES", 7)
+    assert [s.tolist() for s in J.Shingler(5).sets(texts)] == [s.tolist() for s in sets]
+    assert [J.Shingler(5)(t).tolist() for t in texts] == [s.tolist() for s in sets]
+
+
+def test_signatures_keep_unlike_sets_from_being_paired(spark):
+    """Groups on one list whose signatures differ in too many bits make no pair; like ones do, as do groups of several sets."""
+    import numpy as np
+
+    from tabforge.llm import ngram_join as J
+    rng = np.random.default_rng(5)
+    base = np.unique(rng.integers(0, 1 << 64, 100, dtype=np.uint64))
+    near = np.sort(np.concatenate([base[5:], rng.integers(0, 1 << 64, 5, dtype=np.uint64)]))
+    far = [np.unique(rng.integers(0, 1 << 64, 100, dtype=np.uint64)) for _ in range(20)]
+    sets = [base, near, *far]
+    differ = [sum(bin(int(x) & (1 << 64) - 1).count("1") for x in J.signature(base) ^ J.signature(s)) for s in sets]
+    assert all(d <= len(np.setxor1d(base, s)) for d, s in zip(differ, sets, strict=True)) and differ[0] == 0
+    members = spark.createDataFrame([(i, i, 100, J.band_keys(s).view(np.int64).tolist(), J.signature(s).tolist()) for i, s in enumerate(sets)]
+                                    + [(1, 99, 100, [0], J.signature(far[0]).tolist())], "g long, s long, n long, bands array<long>, sign array<long>")
+    shared = spark.createDataFrame([(t, i, 100, t) for i in range(len(sets)) for t in range(26)], "token long, g long, n long, pos int")
+    found = spark.createDataFrame([], "node long, component long")
+    made = {(r.a, r.b) for r in J._pairs_between(shared, members, found, 75).collect()}
+    assert {p for p in made if 1 not in p and 99 not in p} == set()
+    assert {(0, 1), (0, 99), (1, 2), (2, 99), (1, 99)} <= made     # group 1 holds two sets: no signature speaks for both
+    alone = members.where("s <> 99")
+    assert {(r.a, r.b) for r in J._pairs_between(shared, alone, found, 75).collect()} == {(0, 1)}
