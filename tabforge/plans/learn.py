@@ -29,6 +29,7 @@ from ..models import sgd as SGD
 from ..models import softmax as SM
 from ..models import svr as SVR
 from ..models import tpe as TPE
+from ..models.forest import CellForestRegressor
 from ..operators import boxcox as BC
 from ..operators import encode as J
 from ..operators import lookup as D
@@ -353,7 +354,7 @@ def q_shortlist_linear(spark, d, folds: int = SHORTLIST_FOLDS, trees: int = SHOR
     li = K.kfold(line_table(spark, d), "line_id", folds, 1, exact=False)
     gram = GR.cv_rmse(li, feats, "l_extendedprice", "fold", list(GR.SOLVERS))
     t = L.assemble(li.select("fold", *feats, F.col("l_extendedprice").alias("label")), feats).select("fold", "label", "features")
-    forest = M.cv_scores(L.random_forest(trees, 10, regression=True), t, "fold", M.rmse_evaluator())
+    forest = M.cv_scores(CellForestRegressor(L.random_forest(trees, 10, regression=True)), t, "fold", M.rmse_evaluator())
     scores = gram.unionByName(M.cv_table(spark, "forest", forest).withColumnRenamed("value", "rmse"))
     return N.score_summary(scores, "rmse", ["model"]).orderBy(F.col("mean"), F.col("std").desc(), "model")
 

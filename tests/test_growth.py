@@ -116,7 +116,7 @@ def test_forest_grows_on_counted_cells(spark):
     x = np.stack([rng.integers(0, 60, 6000), rng.integers(0, 3, 6000)], 1)
     y = np.where(x[:, 0] > 20, 10.0, 0.0) + 5.0 * x[:, 1] + rng.normal(size=6000)
     df = L.assemble(spark.createDataFrame([(*map(float, r), float(v)) for r, v in zip(x, y)], "a double, b double, label double"), ["a", "b"])
-    forest = L.random_forest(5, 8, regression=True)
+    forest = F_.CellForestRegressor(L.random_forest(5, 8, regression=True))
     forest.forest.setFeatureSubsetStrategy("all")
     cuts = [F_.cut_points(c.astype(float), 32) for c in x.T]
     assert len(cuts[0]) <= 31 and cuts[1].tolist() == [0.5, 1.5]
@@ -134,6 +134,6 @@ def test_forest_grows_on_counted_cells(spark):
 def test_forest_on_rows_where_cells_are_many(spark, monkeypatch):
     monkeypatch.setattr(F_, "CELL_LIMIT", 8)
     df = L.assemble(spark.range(40).selectExpr("double(id) a", "double(id) label"), ["a"])
-    assert not isinstance(L.random_forest(2, 2, regression=True).fit(df), F_.CellForestModel)
+    assert not isinstance(F_.CellForestRegressor(L.random_forest(2, 2, regression=True)).fit(df), F_.CellForestModel)
     with pytest.raises(Exception, match="(?i)null"):
-        L.random_forest(2, 2, regression=True).fit(df.withColumn("label", F.lit(None).cast("double")))
+        F_.CellForestRegressor(L.random_forest(2, 2, regression=True)).fit(df.withColumn("label", F.lit(None).cast("double")))
