@@ -11,12 +11,13 @@
    those leaders of its bands with which it shares the most, and the members of
    a group against one of them. They are only a guide: whole sets are compared
    exactly, and verified stars make components.
-4. Lists of several components propose stars once more, against a group of the
-   least component, by the same choice.
+4. Lists of several components propose stars twice more, against groups of the
+   component that most of the list is in, by the same choice.
 5. Group pairs that share a list and are not within one component are filtered
-   by size, by the position of each common shingle, by signatures of the whole
-   sets and by the number of prefix shingles they share, which bound the intersection from above. What is left
-   expands to members of different components, whose whole sets are compared.
+   by size, by the position of each common shingle, by the number of prefix
+   shingles that each can share, by signatures of the whole sets and by the
+   number that both do share, which bound the intersection from above. What is
+   left expands to members of different components, whose whole sets are compared.
 6. The links of all rounds make the components. So a group of n near copies
    costs about n comparisons, and still every pair that could connect two
    components is compared.
@@ -53,6 +54,8 @@ MARK_BITS, MARK_CHUNKS = 26, 256
 BLOCK_BYTES = 1 << 20
 #: Bits of a set's signature.
 SIGN_BITS = 1024
+#: Shingles of two sets above which their signatures hardly tell how alike they are.
+SIGNED = 4 * SIGN_BITS
 
 # Odd multipliers for the places of a word in a shingle, from a fixed seed.
 _PLACES = np.random.default_rng(20).integers(1 << 62, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
@@ -366,7 +369,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75) -> Da
                    .select("token", "salt", "g", "np").distinct().select(
                        "token", "g", F.shiftright("np", 32).alias("n"), F.col("np").bitwiseAND(F.lit(0x7FFFFFFF)).alias("pos")), "postings")
     sets = found = None
-    for propose in (_first_stars, _list_stars, _pairs_between):
+    for propose in (_first_stars, _list_stars, _list_stars, _pairs_between):  # lists again: by then the large components hold their least edited copies
         pairs = stage(propose(shared, members, found, percent), "candidates")
         if pairs.isEmpty() and found is not None:
             continue
@@ -391,36 +394,57 @@ def _first_stars(shared: DataFrame, members: DataFrame, found: None, percent: in
     lead = (bands.groupBy("band").agg(F.min("s").alias("lo"), F.max("s").alias("hi"), F.min(F.struct(F.xxhash64("s").alias("h"), "s", "n")).alias("l"))
             .where("lo <> hi").select("band", F.col("l.s").alias("to"), F.col("l.n").alias("ln")))
     met = bands.join(lead, "band").where((F.col("s") != F.col("to")) & _near_sizes("n", "ln", percent)).select("s", "to")
-    return _alike(met.distinct(), members, STAR_LEADERS).unionByName(_own_stars(members)).distinct()
+    return _alike(met.distinct(), members, STAR_LEADERS, percent).unionByName(_own_stars(members)).distinct()
 
 
 def _list_stars(shared: DataFrame, members: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     """(a, b): one node of each group against leaders of its lists that are of another component.
 
-    A list's leader belongs to its least component, which is mostly its largest,
-    as that is named by its least node; each list draws one by itself.
+    A list's leaders belong to the component that most of its groups are in: one
+    drawn for each list by itself, and the one with the fewest prefix shingles that
+    no other component has, which of near copies is the least edited.
     """
     _, post = _lists_between(shared, members, found)
-    lead = (post.groupBy("token").agg(F.min(F.struct("c1", F.xxhash64("g", "token").alias("h"), "one", "n")).alias("l"))
-            .select("token", F.col("l.c1").alias("lc"), F.col("l.one").alias("to"), F.col("l.n").alias("ln")))
+    drawn, alone = F.xxhash64("g", "token").alias("h"), (_prefix("n", percent) - F.col("held")).alias("u")
+    lead = (post.groupBy("token", "c1").agg((-F.count("*")).alias("k"), F.min(F.struct(drawn, "one", "n")).alias("x"), F.min(F.struct(alone, drawn, "one", "n")).alias("y"))
+            .groupBy("token").agg(F.min(F.struct("k", "c1", "x", "y")).alias("l")).select("token", "l.*")
+            .select("token", F.col("c1").alias("lc"), F.explode(F.array_distinct(F.array(
+                *[F.struct(F.col(f"{l}.one").alias("to"), F.col(f"{l}.n").alias("ln")) for l in "xy"]))).alias("l"))
+            .select("token", "lc", "l.to", "l.ln"))
     met = (post.join(lead, "token").where((F.col("c1") != F.col("lc")) & _near_sizes("n", "ln", percent))
            .select(F.col("one").alias("s"), "to"))
-    return _alike(met.distinct(), members, LIST_LEADERS).distinct()
+    return _alike(met.distinct(), members, LIST_LEADERS, percent).distinct()
 
 
-def _alike(met: DataFrame, members: DataFrame, leaders: int) -> DataFrame:
-    """(a, b): every node s against those ``leaders`` of its leaders ``to`` with which it shares the most bands, one at least.
+def _alike(met: DataFrame, members: DataFrame, leaders: int, percent: int) -> DataFrame:
+    """(a, b): every node s against those ``leaders`` of its leaders ``to`` that seem most alike, one at least.
 
-    Nothing is concluded from it. A node has a leader for each of its bands or
-    prefix shingles at most.
+    Of those that share a band and that signatures do not rule out: for sets too
+    large for signatures those with which it shares the most bands, for others
+    those whose signature differs least. Nothing is concluded from it. A node has
+    a leader or two for each of its bands or prefix shingles at most.
     """
-    one, two = members.select("s", F.col("bands").alias("x")), members.select(F.col("s").alias("to"), F.col("bands").alias("y"))
-    alike = F.struct(F.size(F.array_intersect("x", "y")).alias("k"), "to")
-    best = (met.join(one, "s").join(two, "to").select("s", alike.alias("l")).where("l.k > 0")
+    one, two = (members.select(F.col("s").alias(s), F.col("n").alias("n_" + c), F.col("bands").alias("bands_" + c), F.col("sign").alias("sign_" + c))
+                for s, c in (("s", "a"), ("to", "b")))
+    size = F.col("n_a") + F.col("n_b")
+    shared = F.size(F.array_intersect("bands_a", "bands_b"))
+    alike = F.struct(F.when(size > SIGNED, shared).otherwise(BANDS + SIGN_BITS - F.col("differ")).alias("k"), "to")
+    best = (met.join(one, "s").join(two, "to").withColumn("differ", _differ()).where((shared > 0) & _may_reach(size, F.col("differ"), percent))
+            .select("s", alike.alias("l"))
             .withColumn("r", F.row_number().over(Window.partitionBy("s").orderBy(F.desc("l")))).where(F.col("r") <= leaders))
     return best.select(F.least("s", "l.to").alias("a"), F.greatest("s", "l.to").alias("b"))
 
 
+def _differ():
+    """Bits in which the signatures ``sign_a`` and ``sign_b`` differ."""
+    return sum(F.bit_count(F.col("sign_a")[i].bitwiseXOR(F.col("sign_b")[i])) for i in range(SIGN_BITS // 64))
+
+
+def _may_reach(size, differ, percent: int):
+    """False where sets of ``size`` shingles together differ in too many, as they differ in ``differ`` at least."""
+    return (100 + percent) * (size - differ) >= 2 * percent * size
+
+
 def _own_stars(members: DataFrame) -> DataFrame:
     """(a, b): the members of each group of several against one of them."""
     one = members.groupBy("g").agg(F.min("s").alias("a"), F.count("*").alias("k")).where("k > 1")
@@ -430,14 +454,19 @@ def _own_stars(members: DataFrame) -> DataFrame:
 def _lists_between(shared: DataFrame, members: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(g, s, c) of all nodes, and the postings of lists that hold several components, with those of each group.
 
-    c1 and c2 are the least and greatest component of a group, ``one`` a member of c1.
+    c1 and c2 are the least and greatest component of a group, ``one`` a member of
+    c1. ``held`` counts the lists that a group is in, ``before`` those of them whose
+    shingle comes earlier: no group of another component shares more with it.
     """
     known = stage(members.join(found.withColumnRenamed("node", "s"), "s", "left").select("g", "s", F.coalesce("component", "s").alias("c")), "node-components")
     spans = (known.groupBy("g").agg(F.min(F.struct("c", "s")).alias("l"), F.max("c").alias("c2"))
              .select("g", F.col("l.c").alias("c1"), "c2", F.col("l.s").alias("one")))
     post = shared.join(spans, "g")
     mixed = post.groupBy("token").agg(F.min("c1").alias("lo"), F.max("c2").alias("hi")).where("lo <> hi").select("token")
-    return known, stage(post.join(mixed, "token", "left_semi"), "mixed-postings")
+    own = Window.partitionBy("g")
+    post = post.join(mixed, "token", "left_semi").withColumns({
+        "before": F.row_number().over(own.orderBy("pos")) - 1, "held": F.count("*").over(own)})
+    return known, stage(post, "mixed-postings")
 
 
 def _pairs_between(shared: DataFrame, members: DataFrame, found: DataFrame, percent: int) -> DataFrame:
@@ -445,24 +474,23 @@ def _pairs_between(shared: DataFrame, members: DataFrame, found: DataFrame, perc
 
     A list of one component proposes nothing, and neither do groups within one
     component. Two bounds filter the pairs of groups. At a common shingle, at
-    most the shorter rest from there on and the lesser position before it can be
-    common. And ``k`` counts the prefix shingles that both have (every list that
+    most the shorter rest from there on and the fewer shingles before it that are
+    on such lists can be common. And ``k`` counts the prefix shingles that both have (every list that
     two components share is kept, so the count is whole); of the two prefixes one
     ends first in the order of shingles, and what is common beyond it lies in the
-    rest of that set.
+    rest of that set. Neither group has more than ``held`` of them to begin with.
     """
     known, post = _lists_between(shared, members, found)
     signs = members.groupBy("g").agg(F.when(F.count("*") == 1, F.min("sign")).alias("sign"))      # several sets have none in common
     post = post.join(signs, "g")
-    a, b = (post.select("token", *[F.col(c).alias(c + k) for c in ("g", "n", "pos", "c1", "c2", "sign")]) for k in ("_a", "_b"))
-    differ = sum(F.bit_count(F.col("sign_a")[i].bitwiseXOR(F.col("sign_b")[i])) for i in range(SIGN_BITS // 64))
-    most = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) + F.least("pos_a", "pos_b")
+    a, b = (post.select("token", *[F.col(c).alias(c + k) for c in ("g", "n", "pos", "c1", "c2", "before", "held", "sign")]) for k in ("_a", "_b"))
+    most = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) + F.least("before_a", "before_b")
     apart = ~((F.col("c1_a") == F.col("c2_a")) & (F.col("c1_b") == F.col("c2_b")) & (F.col("c1_a") == F.col("c1_b")))
     enough = percent * (F.col("n_a") + F.col("n_b"))
-    pairs = a.join(b, (a.token == b.token) & (F.col("g_a") < F.col("g_b")) & apart & _near_sizes("n_a", "n_b", percent)
-                   & ((100 + percent) * most >= enough)
-                   & F.coalesce((100 + percent) * (F.col("n_a") + F.col("n_b") - differ) >= 2 * enough, F.lit(True)))
     rest = F.greatest(F.col("n_a") - _prefix("n_a", percent), F.col("n_b") - _prefix("n_b", percent))
+    pairs = a.join(b, (a.token == b.token) & (F.col("g_a") < F.col("g_b")) & apart & _near_sizes("n_a", "n_b", percent)
+                   & ((100 + percent) * most >= enough) & ((100 + percent) * (F.least("held_a", "held_b") + rest) >= enough)
+                   & F.coalesce(_may_reach(F.col("n_a") + F.col("n_b"), _differ(), percent), F.lit(True)))
     pairs = (pairs.groupBy("g_a", "g_b", "n_a", "n_b").agg(F.count("*").alias("k"))
              .where((100 + percent) * (F.col("k") + rest) >= enough).select("g_a", "g_b"))
     own = known.groupBy("g").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).where("c1 <> c2").select(F.col("g").alias("g_a"), F.col("g").alias("g_b"))

@@ -117,3 +117,41 @@ def test_signatures_keep_unlike_sets_from_being_paired(spark):
     assert {(0, 1), (0, 99), (1, 2), (2, 99), (1, 99)} <= made     # group 1 holds two sets: no signature speaks for both
     alone = members.where("s <> 99")
     assert {(r.a, r.b) for r in J._pairs_between(shared, alone, found, 75).collect()} == {(0, 1)}
+
+
+def _cluster(spark):
+    """Near copies 1, 2 and 10 to 14, of which the latter are one component; 1, 2 and 12 are on every list, the others on ten."""
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 1 << 64, 100, dtype=np.uint64)
+    sets = {s: np.unique(np.concatenate([base[2:], rng.integers(0, 1 << 64, 2, dtype=np.uint64)])) for s in (1, 2, 10, 11, 12, 13, 14)}
+    members = spark.createDataFrame([(s, s, 100, ngram_join.band_keys(x).view(np.int64).tolist(), ngram_join.signature(x).tolist()) for s, x in sets.items()],
+                                    "g long, s long, n long, bands array<long>, sign array<long>")
+    shared = spark.createDataFrame([(t, s, 100, t) for s in sets for t in range(26 if s in (1, 2, 12) else 10)], "token long, g long, n long, pos int")
+    return shared, members, spark.createDataFrame([(s, 10) for s in range(11, 15)], "node long, component long")
+
+
+def test_leaders_of_lists_are_of_the_largest_component_and_little_edited(spark):
+    """A lone node of a lesser name is no leader; the member on the most lists is one."""
+    made = {(r.a, r.b) for r in ngram_join._list_stars(*_cluster(spark), 75).collect()}
+    assert {(1, 12), (2, 12)} <= made
+
+
+def test_groups_on_too_few_lists_make_no_rows(spark):
+    """Equal sizes of 100 need 86 in common, so 12 of 26 prefix shingles: groups on ten lists meet no other, though signatures would let them."""
+    pairs = ngram_join._pairs_between(*_cluster(spark), 75)
+    assert {(r.a, r.b) for r in pairs.collect()} == {(1, 2), (1, 12), (2, 12)}
+    rows = []
+
+    def walk(p):
+        if "Adaptive" in p.nodeName():
+            return walk(p.executedPlan())
+        if "Join" in p.nodeName() and "[token" in p.simpleString(9):
+            rows.append(p.metrics().get("numOutputRows").get().value())
+        if "QueryStage" in p.nodeName():
+            walk(p.plan())
+        for i in range(p.children().size()):
+            walk(p.children().apply(i))
+    walk(pairs._jdf.queryExecution().executedPlan())
+    assert rows == [3 * 26]
