@@ -12,12 +12,15 @@ from pyspark.sql import functions as F
 
 from .common import stage
 
+#: Edges above which no side of a join is broadcast: compressed files make Spark take them for much smaller than they are.
+LIGHT_EDGES = 100_000
 
-def _star(pairs: DataFrame) -> DataFrame:
+
+def _star(pairs: DataFrame, light: bool) -> DataFrame:
     """(node, other) -> every other linked to the least id that ``node`` sees."""
     least = (pairs.groupBy("node").agg(F.min("other").alias("m"))
              .select("node", F.least("node", "m").alias("m")))
-    return pairs.join(least, "node")
+    return (pairs if light else pairs.hint("merge")).join(least, "node")
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
@@ -28,10 +31,11 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """
     cur = stage(edges.select(F.greatest(a, b).alias("node"), F.least(a, b).alias("other"))
                 .where(f"{a} is not null and {b} is not null and {a} <> {b}").distinct(), "cc")
+    light = cur.count() <= LIGHT_EDGES
     while not _is_star(cur):
         both = cur.unionByName(cur.select(F.col("other").alias("node"), F.col("node").alias("other")))
-        large = _star(both).where("other > node").select(F.col("other").alias("node"), F.col("m").alias("other"))
-        small = _star(large)
+        large = _star(both, light).where("other > node").select(F.col("other").alias("node"), F.col("m").alias("other"))
+        small = _star(large, light)
         nxt = (small.select(F.col("other").alias("node"), F.col("m").alias("other"))
                .unionByName(small.select("node", F.col("m").alias("other"))))
         cur = stage(nxt.where("node <> other").distinct(), "cc")

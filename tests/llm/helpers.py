@@ -42,3 +42,13 @@ class Roots:
 #: Texts that every operator on documents must stand.
 ODD_TEXTS = [None, "", " ", "\n", "\n\n a\n", "word", "Two Words", "É Ünïcode ẞ İ line\nÉ ünïcode", "▁▁ x ▁", "a\x00b\x0bc\x85d",
              "日本語 テキスト 😀", "x" * 3000, "spaces" + " " * 500 + "end", "tab\tand\rreturn\r\nline"]
+
+
+def broadcast_rows(plan):
+    """Rows that the nodes of an executed plan (a py4j object) have sent through the driver."""
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        return broadcast_rows(plan.executedPlan())
+    if plan.nodeName().endswith("QueryStage"):
+        return broadcast_rows(plan.plan())
+    own = plan.metrics().apply("numOutputRows").value() if plan.nodeName() == "BroadcastExchange" else 0
+    return own + sum(broadcast_rows(plan.children().apply(i)) for i in range(plan.children().size()))

@@ -1,11 +1,12 @@
 from __future__ import annotations
 
 import numpy as np
+import pytest
 
 from tabforge.llm import itq_dedup
-from tabforge.llm.itq_dedup import near_vectors
+from tabforge.llm.itq_dedup import alike, near_vectors, parts_for, rounded, sign_codes, tables
 
-from .helpers import Roots
+from .helpers import Roots, broadcast_rows
 
 
 def brute(rows, threshold=0.9):
@@ -78,3 +79,78 @@ def test_radius_holds_22_bits(spark, monkeypatch):
 
 def test_low_recall_after_the_fallback_widens_the_radius(spark, monkeypatch):
     assert linked_at(spark, monkeypatch, 40, 0.0)
+
+
+def test_filed_codes_do_not_pass_the_driver(spark, monkeypatch):
+    """The joins for links broadcast fewer rows than there are vectors, those after it fewer than links, whatever Spark estimates."""
+    frames = {}
+
+    def kept(df, name, real=itq_dedup.stage):
+        frames[name] = df
+        return real(df, name)
+
+    monkeypatch.setattr(itq_dedup, "stage", kept)
+    rng = np.random.default_rng(5)
+    units = np.repeat(rng.standard_normal((100, 64)), 10, 0) + 0.1 * rng.standard_normal((1000, 64))
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(units)]
+    got = near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    assert {r.n_links for r in got.collect()} == {9}
+    links = frames["vec-links"]
+    assert len(links.collect()) == 4500
+    assert broadcast_rows(links._jdf.queryExecution().executedPlan()) < 1000
+    assert broadcast_rows(got._jdf.queryExecution().executedPlan()) < 4500
+
+
+def pairs_of(codes, units, chunks, width, threshold, radius):
+    out = set()
+    for b in range(len(units)):
+        apart = codes[:b] ^ codes[b]
+        near = np.zeros(b, bool)
+        for t in range(chunks):
+            near |= np.bitwise_count((apart >> np.uint64(t * width)) & np.uint64((1 << width) - 1)) <= 2
+        near &= (np.bitwise_count(apart) <= radius) & (units[:b] @ units[b] >= threshold)
+        out |= {(int(a), b) for a in np.flatnonzero(near)}
+    return out
+
+
+@pytest.mark.parametrize("width", [2, 8, 16])
+@pytest.mark.parametrize("parts", [3, 4, 5, 6])
+def test_tables_hold_each_near_pair_once(monkeypatch, parts, width):
+    """All pairs of chunk distance 2 or less, each from one table, also in many blocks and tiles."""
+    monkeypatch.setattr(itq_dedup, "TILE", 7)
+    rng = np.random.default_rng(parts)
+    units = np.repeat(rng.standard_normal((40, 24)), 5, 0) + 0.3 * rng.standard_normal((200, 24))
+    units[:60] = np.eye(24)[rng.integers(0, 24, 60)] + 0.3 * rng.standard_normal((60, 24)) ** 5
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    codes = sign_codes(units, np.zeros(24), rng.standard_normal((24, 4 * width)))
+    scale, small, rest = rounded(units)
+    vectors = (scale[:, None] * small).astype(np.float32)
+    found, of = [], tables(4, width, parts)
+    for at, (_, same) in enumerate(of):
+        key, block = codes & np.uint64(same), np.arange(len(units)) % 3
+        for k in np.unique(key):
+            for lo, hi in ((i, j) for j in range(3) for i in range(j + 1)):
+                first = np.flatnonzero((key == k) & (block == lo))
+                second = first if lo == hi else np.flatnonzero((key == k) & (block == hi))
+                for x, y in alike(codes, vectors, rest, first, second, at, of, 0.8, 2 * width):
+                    found += [tuple(sorted(p)) for p in zip(x.tolist(), y.tolist(), strict=True)]
+    true = pairs_of(codes, units, 4, width, 0.8, 2 * width)
+    assert len(found) == len(set(found))
+    assert true <= set(found)
+    assert len(true) > 100
+    assert all(units[a] @ units[b] >= 0.8 - 2.1 * rest.max() - 0.01 for a, b in found)
+
+
+def test_large_buckets_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(itq_dedup, "BLOCK", 16)
+    rng = np.random.default_rng(6)
+    units = np.repeat(rng.standard_normal((4, 16)), 40, 0) + 0.05 * rng.standard_normal((160, 16))
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(units)]
+    got = near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    assert sorted(((r.vec_id, r.n_links, r.component_id) for r in got.collect()), key=str) == brute(rows)
+
+
+def test_buckets_stay_bounded():
+    sizes = [10, 10**5, 10**6, 3 * 10**6]
+    assert [parts_for(n, 16) for n in sizes] == [3, 3, 4, 5]
+    assert parts_for(10**9, 16) == itq_dedup.MOST_PARTS
